@@ -28,6 +28,10 @@ _STRIP_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
 # digits, hyphen, apostrophe, dot, slash, space); everything else is removed.
 TITLECASE_KEEP_CLASS = "a-zA-ZÀ-ÖØ-öø-ÿ0-9\\-\\'\\./ "
 
+# Fixed value: the one kept letter whose title case is two letters ("ß" → "Ss");
+# every other kept letter title-cases to its upper case.
+TITLECASE_SPECIAL = {"ß": "Ss"}
+
 
 def py_strip(col) -> Column:
     """Remove leading/trailing whitespace exactly like Python ``str.strip()``."""
@@ -85,7 +89,11 @@ def clean_titlecase(col) -> Column:
 
     def fix_part(p: Column) -> Column:
         all_caps = (F.char_length(p) > 1) & (F.upper(p) == p) & (F.lower(p) != p)
-        cap = F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 2147483647)))
+        first = F.substring(p, 1, 1)
+        title = F.upper(first)
+        for k, v in TITLECASE_SPECIAL.items():
+            title = F.when(first == k, F.lit(v)).otherwise(title)
+        cap = F.concat(title, F.lower(F.substring(p, 2, 2147483647)))
         return F.when(all_caps, p).otherwise(cap)
 
     def fix_word(w: Column) -> Column:

@@ -72,3 +72,225 @@ def q_inventory_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .plans.inventory_snapshot import InventorySnapshot
     srcs = adapters(spark, sf_dir, ["stock_quantities", "products", "product_prices"])
     return InventorySnapshot(srcs).build(spark, ctx=RunContext(as_of=AS_OF))
+
+
+# ------------------------------------------------------------ oracle helpers
+# Python's str.strip() whitespace set, as literal characters for RE2 (DuckDB).
+_PY_WS = ("[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0  - "
+          "    　]")
+
+
+def _sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_PY_WS}+|{_PY_WS}+$', '', 'g')"
+
+
+def _sql_clean(x: str) -> str:
+    s = _sql_strip(x)
+    return (f"CASE WHEN {s} IN ('None','NONE','nan','NaN','<NA>','null','NULL','') "
+            f"THEN NULL ELSE {s} END")
+
+
+# --------------------------------------------------------------------- X4
+_X4_ORACLE = """
+WITH b AS (
+  SELECT LEAST((SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders),
+               (SELECT MIN(CAST(l_shipdate AS DATE)) FROM lineitem)) AS lo,
+         GREATEST((SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders),
+                  (SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem)) AS hi),
+d AS (SELECT CAST(g.ts AS DATE) AS date
+      FROM b, generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) AS g(ts))
+SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS id,
+       date,
+       CAST(day(date) AS INTEGER) AS day_num,
+       strftime(date, '%A') AS week_day_name,
+       CAST(isodow(date) AS INTEGER) AS week_day_num,
+       CAST(month(date) AS INTEGER) AS month_num,
+       strftime(date, '%B') AS month_name,
+       CAST(day(date) = 1 AS INTEGER) AS is_month_start,
+       CAST(date = last_day(date) AS INTEGER) AS is_month_end,
+       CAST(quarter(date) AS INTEGER) AS quarter_num,
+       CAST(year(date) AS INTEGER) AS year,
+       CAST(weekofyear(date) AS INTEGER) AS week_num,
+       CAST(epoch(CAST(date AS TIMESTAMP)) AS BIGINT) AS start_unix,
+       CAST(epoch(CAST(date AS TIMESTAMP)) AS BIGINT) + 86399 AS end_unix
+FROM d"""
+
+
+@register("date_dimension", _X4_ORACLE)
+def q_date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 D2–D8 — calendar covering every day from the first order to the last shipment."""
+    from .plans.date_dimension import DateDimension, DateDimensionParameters
+    from .sources.calendar import data_date_bounds
+    from .sources.tables import table
+    lo, hi = data_date_bounds([(table(spark, sf_dir, "orders"), "o_orderdate"),
+                               (table(spark, sf_dir, "lineitem"), "l_shipdate")])
+    params = DateDimensionParameters(lo.isoformat(), hi.isoformat())
+    return DateDimension().build(spark, params, RunContext(as_of=AS_OF))
+
+
+# --------------------------------------------------------- T1 P1 P10 Q7 Q2
+_DOC_SCHEMA_DEFAULTS = {"lang": "und", "source": "unknown"}
+
+
+def _documents_schema():
+    from pyspark.sql import types as T
+
+    from .schema import ColumnSpec, OutputSchema
+    return OutputSchema(
+        "documents_clean",
+        ColumnSpec("doc_id", T.LongType(), primary_key=True),
+        ColumnSpec("text", T.StringType()),
+        ColumnSpec("lang", T.StringType(), default="und", nullable=False),
+        ColumnSpec("source", T.StringType(), default="unknown", nullable=False),
+        ColumnSpec("n_chars", T.LongType(), default=0, min_value=0),
+    )
+
+
+_T1_ORACLE = f"""
+SELECT doc_id,
+       {_sql_clean('text')} AS text,
+       COALESCE({_sql_clean('lang')}, 'und') AS lang,
+       COALESCE({_sql_clean('source')}, 'unknown') AS source,
+       COALESCE(n_chars, 0) AS n_chars
+FROM documents"""
+
+
+@register("clean_strings_defaults", _T1_ORACLE)
+def q_clean_strings_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The output tail over whole documents (strip, sentinels → null, defaults)."""
+    from .operators.tail import output_tail
+    from .sources.tables import table
+    return output_tail(table(spark, sf_dir, "documents"), _documents_schema())
+
+
+_Q7_ORACLE = f"""
+WITH c AS ({_T1_ORACLE})
+SELECT column_name, position, null_count, non_null FROM (
+  SELECT 'doc_id' AS column_name, 0 AS position, COUNT(*) - COUNT(doc_id) AS null_count, COUNT(doc_id) AS non_null FROM c
+  UNION ALL SELECT 'text', 1, COUNT(*) - COUNT(text), COUNT(text) FROM c
+  UNION ALL SELECT 'lang', 2, COUNT(*) - COUNT(lang), COUNT(lang) FROM c
+  UNION ALL SELECT 'source', 3, COUNT(*) - COUNT(source), COUNT(source) FROM c
+  UNION ALL SELECT 'n_chars', 4, COUNT(*) - COUNT(n_chars), COUNT(n_chars) FROM c)"""
+
+
+@register("null_profile", _Q7_ORACLE)
+def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2/Q7: per column null and non-null counts of the cleaned documents, one pass."""
+    from .operators.quality import null_counts
+    return null_counts(q_clean_strings_defaults(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------- T2
+# Query parameters: two dictionaries; "small" is redefined by the second one
+# (later wins), "blue" is replaced by another key ("red") which must not be
+# replaced again (single pass).
+ABBREVIATIONS = [{"small": "sm", "blue": "red", "ring": "rg"},
+                 {"red": "r", "widget": "wdg", "small": "S"}]
+
+_T2_ORACLE = """
+SELECT p_partkey, p_name,
+       trim(array_to_string(list_transform(string_split(COALESCE(p_name, ''), ' '),
+            lambda w: CASE w WHEN 'small' THEN 'S' WHEN 'blue' THEN 'red' WHEN 'ring' THEN 'rg'
+                        WHEN 'red' THEN 'r' WHEN 'widget' THEN 'wdg' ELSE w END), ' ')) AS p_name_short
+FROM part"""
+
+
+@register("abbreviate", _T2_ORACLE)
+def q_abbreviate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole-word, single-pass abbreviation of part names."""
+    from .functions.text import abbreviate
+    from .sources.tables import table
+    part = table(spark, sf_dir, "part")
+    return part.select("p_partkey", "p_name",
+                       abbreviate("p_name", ABBREVIATIONS).alias("p_name_short"))
+
+
+# ---------------------------------------------------------------------- T3
+def _sql_titlecase(x: str) -> str:
+    cleaned = (f"regexp_replace({_sql_strip(f'COALESCE({x}, {chr(39)}{chr(39)})')}, "
+               "'[^a-zA-ZÀ-ÖØ-öø-ÿ0-9\\-''./ ]+', '', 'g')")
+    part = ("CASE WHEN length(p) > 1 AND upper(p) = p AND lower(p) <> p THEN p "
+            "ELSE (CASE WHEN substr(p, 1, 1) = 'ß' THEN 'Ss' ELSE upper(substr(p, 1, 1)) END) "
+            "|| lower(substr(p, 2)) END")
+    word = f"array_to_string(list_transform(string_split(w, '-'), lambda p: {part}), '-')"
+    return (f"array_to_string(list_transform(list_filter(string_split_regex({cleaned}, ' +'), "
+            f"lambda w: w <> ''), lambda w: {word}), ' ')")
+
+
+_T3_ORACLE = f"""
+SELECT doc_id, {_sql_titlecase('text')} AS title_text FROM documents"""
+
+
+@register("titlecase", _T3_ORACLE)
+def q_titlecase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean and title-case whole document texts."""
+    from .functions.text import clean_titlecase
+    from .sources.tables import table
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", clean_titlecase("text").alias("title_text"))
+
+
+# ---------------------------------------------------------------------- T4
+def _postal_oracle() -> str:
+    from .functions.postal import countries_by_pattern
+    cleaned = "upper(regexp_replace(postal_code, '[^0-9A-Za-z]', '', 'g'))"
+    conds = []
+    for pattern, countries in countries_by_pattern().items():
+        clist = ", ".join(f"'{c}'" for c in countries)
+        conds.append(f"(country_code IN ({clist}) AND NOT COALESCE(regexp_matches({cleaned}, "
+                     f"'{pattern}'), FALSE))")
+    return with_adapters(["postal_inputs"], f"""
+SELECT c_custkey, country_code, postal_code,
+       CASE WHEN {' OR '.join(conds)} THEN NULL ELSE {cleaned} END AS postal_code_clean
+FROM postal_inputs""")
+
+
+@register("postal_codes", _postal_oracle())
+def q_postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: clean customer postal codes and null the invalid ones per country pattern."""
+    from .functions.postal import clean_postal_code
+    from .sources.fixtures import adapter
+    src = adapter(spark, sf_dir, "postal_inputs")
+    return src.select("c_custkey", "country_code", "postal_code",
+                      clean_postal_code("postal_code", "country_code").alias("postal_code_clean"))
+
+
+# ---------------------------------------------------------------------- T5
+_T5_ORACLE = """
+WITH p AS (
+  SELECT l_orderkey, l_linenumber,
+         o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) AS start_ts,
+         l_shipdate + to_minutes(CAST(l_linenumber * 97 % 1440 AS BIGINT)) AS end_ts
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+q AS (
+  SELECT *, CAST(start_ts AS DATE) AS ds, CAST(end_ts AS DATE) AS de FROM p)
+SELECT l_orderkey, l_linenumber, start_ts, end_ts,
+  CASE
+    WHEN start_ts IS NULL OR end_ts IS NULL THEN NULL
+    WHEN start_ts > end_ts THEN 0
+    WHEN ds = de THEN CASE WHEN isodow(ds) <= 5
+                           THEN (epoch_us(end_ts) - epoch_us(start_ts)) // 60000000 ELSE 0 END
+    ELSE ((CASE WHEN isodow(ds) <= 5
+                THEN epoch_us(CAST(ds + 1 AS TIMESTAMP)) - epoch_us(start_ts) ELSE 0 END)
+        + (CASE WHEN isodow(de) <= 5
+                THEN epoch_us(end_ts) - epoch_us(CAST(de AS TIMESTAMP)) ELSE 0 END)) // 60000000
+       + 1440 * len(list_filter(range(CAST(ds + 1 AS TIMESTAMP), CAST(de AS TIMESTAMP), INTERVAL 1 DAY),
+                                lambda x: isodow(x) <= 5))
+  END AS working_minutes
+FROM q"""
+
+
+@register("working_minutes", _T5_ORACLE)
+def q_working_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: working minutes from order time to ship time for every line item (UTC)."""
+    from pyspark.sql import functions as F
+
+    from .functions.worktime import working_minutes
+    from .sources.tables import table
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    pairs = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", "l_linenumber",
+        F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate")).alias("start_ts"),
+        F.timestamp_add("MINUTE", (F.col("l_linenumber") * 97) % 1440, F.col("l_shipdate")).alias("end_ts"))
+    return pairs.withColumn("working_minutes", working_minutes("start_ts", "end_ts", "UTC"))
