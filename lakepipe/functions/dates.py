@@ -102,7 +102,8 @@ def seconds_to_hms(col) -> Column:
     a = F.abs(s)
     body = F.format_string("%02d:%02d:%02d", (a / 3600).cast("long"),
                            ((a % 3600) / 60).cast("long"), a % 60)
-    return F.when(s < 0, F.concat(F.lit("-"), body)).otherwise(body)
+    return (F.when(s.isNull(), F.lit(None).cast("string"))
+            .when(s < 0, F.concat(F.lit("-"), body)).otherwise(body))
 
 
 def default_window(as_of: date | datetime, days: int = 7) -> tuple[str, str]:
