@@ -484,3 +484,58 @@ def q_run_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .plans.monitoring import monitoring_report
     from .sources.fixtures import adapter
     return monitoring_report(adapter(spark, sf_dir, "run_log"), MONITORING_AS_OF)
+
+
+# ------------------------------------------------------------ X7 JSON rows
+_JSON_ZIP_ORACLE = with_adapters(["json_docs"], """,
+p AS (SELECT CAST(json_extract(doc, '$.id') AS BIGINT) AS id,
+             json_extract_string(doc, '$.kind') AS kind,
+             CAST(json_extract(doc, '$.user.id') AS BIGINT) AS "user.id",
+             CAST(json_extract(doc, '$.user.flag.odd') AS BOOLEAN) AS "user.flag.odd",
+             CAST(json_extract(doc, '$.tags') AS VARCHAR[]) AS tags,
+             CAST(json_extract(doc, '$.scores') AS BIGINT[]) AS scores
+      FROM json_docs),
+z AS (SELECT id, kind, "user.id", "user.flag.odd", UNNEST(tags) AS tags, UNNEST(scores) AS scores FROM p)
+SELECT DISTINCT * FROM z""")
+
+
+@register("json_zip", _JSON_ZIP_ORACLE)
+def q_json_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects with two equal-length lists → positional zip, nested
+    objects flattened to dotted columns, duplicates removed."""
+    from .sources.fixtures import adapter
+    from .sources.json_docs import json_rows
+    return json_rows(adapter(spark, sf_dir, "json_docs"), "doc")
+
+
+_JSON_EXPLODE_ORACLE = with_adapters(["json_tag_docs"], """,
+p AS (SELECT CAST(json_extract(doc, '$.id') AS BIGINT) AS id,
+             json_extract_string(doc, '$.kind') AS kind,
+             CAST(json_extract(doc, '$.tags') AS VARCHAR[]) AS tags
+      FROM json_tag_docs)
+SELECT DISTINCT id, kind, UNNEST(tags) AS tags FROM p""")
+
+
+@register("json_explode", _JSON_EXPLODE_ORACLE)
+def q_json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects with one list field → one row per element (empty list → no row)."""
+    from .sources.fixtures import adapter
+    from .sources.json_docs import json_rows
+    return json_rows(adapter(spark, sf_dir, "json_tag_docs"), "doc")
+
+
+_JSON_LIST_ORACLE = with_adapters(["json_list_docs"], """,
+m AS (SELECT UNNEST(CAST(json_extract(doc, '$') AS JSON[])) AS e FROM json_list_docs)
+SELECT DISTINCT
+       CASE WHEN json_type(e) = 'OBJECT' THEN CAST(json_extract(e, '$.k') AS BIGINT) END AS k,
+       CASE WHEN json_type(e) <> 'OBJECT' THEN CAST(e AS BIGINT) END AS value
+FROM m""")
+
+
+@register("json_list_rows", _JSON_LIST_ORACLE)
+def q_json_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List documents → one row per member; object members give
+    their fields, scalar members the ``value`` column; duplicates removed."""
+    from .sources.fixtures import adapter
+    from .sources.json_docs import json_rows
+    return json_rows(adapter(spark, sf_dir, "json_list_docs"), "doc")

@@ -152,6 +152,18 @@ SELECT event_id,
 FROM {events}""",
 }
 
+# A list document per event: its props object and its id as a bare scalar.
+ADAPTERS["json_list_docs"] = """
+SELECT event_id, CONCAT('[', props, ',', CAST(event_id AS VARCHAR(20)), ']') AS doc
+FROM {events}"""
+
+# An object with exactly one list field per event (0, 1 or 2 tags).
+ADAPTERS["json_tag_docs"] = """
+SELECT event_id,
+       CONCAT('{{"id":', CAST(event_id AS VARCHAR(20)), ',"kind":"', event_type, '","tags":[',
+              CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '"a"' ELSE '"a","b"' END, ']}}') AS doc
+FROM {events}"""
+
 # The small label dimensions share one shape, each with its own label prefix.
 SMALL_DIMS = {
     "dim_product_status": "Status",

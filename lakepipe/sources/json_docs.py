@@ -107,7 +107,8 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
         F.schema_of_variant_agg(F.when(F.col("_obj"), F.col("v"))).alias("obj"),
         F.schema_of_variant_agg(F.when(~F.col("_obj"), F.col("v"))).alias("val"),
         F.count_if(F.col("_obj")).alias("n_obj"),
-        F.count_if(~F.col("_obj")).alias("n_val")).first()
+        F.count_if(~F.col("_obj")).alias("n_val"),
+        F.count_if(F.col("_obj") & ~F.col("top")).alias("n_member_obj")).first()
     if not shapes["n_obj"] and not shapes["n_val"]:
         return spark.createDataFrame([], T.StructType([]))
 
@@ -136,10 +137,20 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
                .when(n == 0, F.array().cast("array<int>"))
                .otherwise(F.sequence(F.lit(0), n - 1)))
         staged = staged.select("*", F.explode(idx).alias("_pos"))
+    # Objects the list rule skips keep whole lists; when such objects exist the
+    # field holds elements in some rows and lists in others, so it becomes text.
+    mixed = explode_lists == "document" and bool(shapes["n_member_obj"])
     for name in names:
         field = F.col("_s").getField(name)
         if name in list_fields:
-            field = F.when(F.col("_pos") >= 0, F.get(field, F.col("_pos"))).otherwise(field)
+            elem = F.get(field, F.col("_pos"))
+            if mixed:
+                etype = obj_type[name].dataType.elementType
+                as_text = (elem.cast("string") if isinstance(etype, T.AtomicType)
+                           else F.to_json(elem))
+                field = F.when(F.col("_pos") >= 0, as_text).otherwise(F.to_json(field))
+            else:
+                field = F.when(F.col("_pos") >= 0, elem)
         out_cols.append(field.alias(name))
     if val_ddl:
         if "value" in names:
