@@ -539,3 +539,142 @@ def q_json_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sources.fixtures import adapter
     from .sources.json_docs import json_rows
     return json_rows(adapter(spark, sf_dir, "json_list_docs"), "doc")
+
+
+# ------------------------------------------------------------ quality checks
+_Q1_ORACLE = """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
+
+
+@register("pk_violations", _Q1_ORACLE)
+def q_pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: repeated (l_orderkey, l_linenumber) keys in lineitem, with their counts."""
+    from .operators.quality import pk_violations
+    from .sources.tables import table
+    return pk_violations(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def _null_violation_oracle() -> str:
+    from .plans.inventory_export import COLUMNS
+    parts = [f"SELECT '{c}' AS column_name, {i} AS position, COUNT(*) - COUNT(\"{c}\") AS null_count FROM x"
+             for i, c in enumerate(COLUMNS)]
+    return (f"WITH x AS ({_X2_ORACLE}\n)\nSELECT * FROM (" + "\nUNION ALL ".join(parts)
+            + ") WHERE null_count > 0")
+
+
+@register("null_violations", _null_violation_oracle())
+def q_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: which of the 42 inventory-export columns hold nulls, and how many (one pass)."""
+    from .operators.quality import null_violations
+    out = q_inventory_export(spark, sf_dir)
+    return null_violations(out, out.columns)
+
+
+def _documents_range_schema():
+    from .schema import OutputSchema, unsigned_int, unsigned_smallint, varchar
+    return OutputSchema("documents_ranges", unsigned_int("doc_id"), varchar("text", 16383),
+                        varchar("lang", 2), varchar("source", 4), unsigned_smallint("n_chars"))
+
+
+_Q13_ORACLE = """
+SELECT * FROM (
+  SELECT 'doc_id' AS column_name, 0 AS position,
+         COUNT(*) FILTER (WHERE doc_id < 0 OR doc_id > 4294967295) AS out_of_range FROM documents
+  UNION ALL SELECT 'text', 1, COUNT(*) FILTER (WHERE length(text) > 16383) FROM documents
+  UNION ALL SELECT 'lang', 2, COUNT(*) FILTER (WHERE length(lang) > 2) FROM documents
+  UNION ALL SELECT 'source', 3, COUNT(*) FILTER (WHERE length(source) > 4) FROM documents
+  UNION ALL SELECT 'n_chars', 4, COUNT(*) FILTER (WHERE n_chars < 0 OR n_chars > 65535) FROM documents)
+WHERE out_of_range > 0"""
+
+
+@register("range_violations", _Q13_ORACLE)
+def q_range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q13: documents against declared database types (unsigned ints, text lengths)."""
+    from .operators.quality import range_violations
+    from .sources.tables import table
+    return range_violations(table(spark, sf_dir, "documents"), _documents_range_schema())
+
+
+_Q9_ORACLE = """
+WITH b AS (SELECT MIN(CAST(o_orderdate AS DATE)) AS lo, MAX(CAST(o_orderdate AS DATE)) AS hi FROM orders),
+d AS (SELECT CAST(g.ts AS DATE) AS missing_date
+      FROM b, generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) AS g(ts))
+SELECT missing_date FROM d
+WHERE missing_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)"""
+
+
+@register("daily_completeness", _Q9_ORACLE)
+def q_daily_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q9: days between the first and last order without any order (calendar anti join)."""
+    from .operators.quality import daily_completeness
+    from .sources.calendar import date_range_of
+    from .sources.tables import table
+    orders = table(spark, sf_dir, "orders")
+    return daily_completeness(orders, "o_orderdate", date_range_of(spark, [(orders, "o_orderdate")]))
+
+
+_Q11_ORACLE = f"""
+WITH x AS ({_X1_ORACLE}
+),
+s AS (SELECT CAST(stock_creation_date AS DATE) AS date, SUM(quantity) AS s0,
+             SUM(unit_price) AS s1, SUM(total_value) AS s2
+      FROM x GROUP BY 1)
+SELECT date, list_filter([CASE WHEN s0 = 0 THEN 'quantity' END,
+                          CASE WHEN s1 = 0 THEN 'unit_price' END,
+                          CASE WHEN s2 = 0 THEN 'total_value' END], lambda c: c IS NOT NULL)
+       AS zero_sum_columns
+FROM s WHERE s0 = 0 OR s1 = 0 OR s2 = 0"""
+
+
+@register("zero_sum_days", _Q11_ORACLE)
+def q_zero_sum_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q11: stock-creation days of the inventory snapshot whose quantity, price
+    or value columns sum to zero (e.g. only unpriced products that day)."""
+    from .operators.quality import zero_sum_days
+    return zero_sum_days(q_inventory_snapshot(spark, sf_dir), "stock_creation_date",
+                         ["quantity", "unit_price", "total_value"])
+
+
+# Query parameter: the event types a consumer accepts ("error" is not one of them).
+ALLOWED_EVENT_TYPES = ["click", "view", "purchase", "signup"]
+
+_Q12_ORACLE = f"""
+SELECT event_type AS value, COUNT(*) AS n FROM events
+WHERE event_type IS NOT NULL AND event_type NOT IN ({', '.join(repr(x) for x in ALLOWED_EVENT_TYPES)})
+GROUP BY event_type"""
+
+
+@register("invalid_options", _Q12_ORACLE)
+def q_invalid_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q12: event types outside the allowed options, with their counts."""
+    from .operators.quality import invalid_options
+    from .sources.tables import table
+    return invalid_options(table(spark, sf_dir, "events"), "event_type", ALLOWED_EVENT_TYPES)
+
+
+_Q4_ORACLE = f"""
+WITH z AS ({_JSON_ZIP_ORACLE}
+)
+SELECT * FROM (
+  SELECT 'id' AS column_name, 0 AS position, CAST(0 AS BIGINT) AS mismatches
+  UNION ALL SELECT 'kind', 1, 0
+  UNION ALL SELECT 'user.id', 2, 0
+  UNION ALL SELECT 'user.flag.odd', 3, 0
+  UNION ALL SELECT 'scores', 4, COUNT(scores) FROM z)"""
+
+
+def _json_expected_types():
+    from pyspark.sql import types as T
+    # "user.flag.odd" is declared int: booleans pass as integers; "scores"
+    # is declared text, so every numeric score is a mismatch; "tags" only
+    # has to be present.
+    return {"id": T.LongType(), "kind": T.StringType(), "user.id": T.LongType(),
+            "user.flag.odd": T.IntegerType(), "scores": T.StringType(), "tags": None}
+
+
+@register("type_mismatches", _Q4_ORACLE)
+def q_type_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3/Q4: per declared column of the JSON rows, non-null values of another type."""
+    from .operators.quality import type_mismatches
+    return type_mismatches(q_json_zip(spark, sf_dir), _json_expected_types())
