@@ -678,3 +678,175 @@ def q_type_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3/Q4: per declared column of the JSON rows, non-null values of another type."""
     from .operators.quality import type_mismatches
     return type_mismatches(q_json_zip(spark, sf_dir), _json_expected_types())
+
+
+# ------------------------------------------------------------------- sinks
+def _scratch_table(spark: SparkSession, base: str) -> str:
+    """A fresh catalog table name for one query run (data in the shared folder)."""
+    import uuid
+    return f"{base}_{uuid.uuid4().hex[:12]}"
+
+
+_K123_ORACLE = """
+SELECT 'part' AS src, p_partkey AS id, upper(p_name) AS name FROM part
+UNION ALL
+SELECT 'supplier' AS src, s_suppkey AS id, s_name AS name FROM supplier"""
+
+
+@register("load_modes_roundtrip", _K123_ORACLE)
+def q_load_modes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1–K3: DROP_INSERT parts, TRUNCATE_INSERT them again with upper-case names
+    (definition kept, rows replaced), INSERT suppliers after a key-conflict
+    check on (src, id); the table is read back."""
+    from pyspark.sql import functions as F
+
+    from .sinks.loaders import LoadMode, load_table
+    from .sources.tables import table
+    name = _scratch_table(spark, "lp_items")
+    part = table(spark, sf_dir, "part")
+    rows = part.select(F.lit("part").alias("src"), F.col("p_partkey").alias("id"),
+                       F.col("p_name").alias("name"))
+    load_table(rows, name, LoadMode.DROP_INSERT)
+    load_table(rows.withColumn("name", F.upper("name")), name, LoadMode.TRUNCATE_INSERT)
+    sup = table(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("src"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    load_table(sup, name, LoadMode.INSERT, key=["src", "id"])
+    return spark.table(name)
+
+
+_K3_CONFLICT_ORACLE = """
+SELECT p_partkey AS id FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)"""
+
+
+@register("insert_key_conflicts", _K3_CONFLICT_ORACLE)
+def q_insert_key_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 check: the sold parts (from lineitem) are loaded first; appending the
+    whole part table then conflicts on every part id already present."""
+    from pyspark.sql import functions as F
+
+    from .sinks.loaders import LoadMode, key_conflicts, load_table
+    from .sources.tables import table
+    name = _scratch_table(spark, "lp_sold_parts")
+    sold = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("id")).distinct()
+    load_table(sold, name, LoadMode.DROP_INSERT)
+    new = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    return key_conflicts(new, spark.table(name), ["id"])
+
+
+_K4_ORACLE = "SELECT * FROM orders"
+
+
+@register("csv_export_roundtrip", _K4_ORACLE)
+def q_csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders exported as CSV (parallel part files, dated layout) and read back."""
+    from .sinks.export import dated_key, export_csv
+    from .session import shared_dir
+    from .sources.tables import table
+    orders = table(spark, sf_dir, "orders")
+    path = dated_key(shared_dir(spark, "exports"), "orders", AS_OF)
+    export_csv(orders, path)
+    return spark.read.schema(orders.schema).option("header", True) \
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+
+
+_K5_ORACLE = f"""
+SELECT 'orders' AS export_name, 'orders_{AS_OF:%Y-%m-%d}.csv' AS file_name, 'Orders' AS category,
+       '{KPI_WINDOW[0]} to {KPI_WINDOW[1]}' AS period, COUNT(*) AS row_count,
+       TRUE AS within_size_limit
+FROM orders"""
+
+
+@register("export_manifest", _K5_ORACLE)
+def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip CSV export of orders as one file at the exact key, and its
+    manifest (observed row count, period label, byte size checked against the limit)."""
+    from pyspark.sql import functions as F
+
+    from .sinks.export import DEFAULT_SIZE_LIMIT, dated_key, export_csv, export_manifest
+    from .session import shared_dir
+    from .sources.tables import table
+    orders = table(spark, sf_dir, "orders")
+    path = dated_key(shared_dir(spark, "exports"), "orders", AS_OF)
+    res = export_csv(orders, path, single_file=True, compression="gzip")
+    man = export_manifest(spark, res, export_name="orders", category="Orders",
+                          min_date=KPI_WINDOW[0], max_date=KPI_WINDOW[1], as_of=AS_OF)
+    return man.select("export_name", "file_name", "category", "period", "row_count",
+                      (F.col("bytes") <= DEFAULT_SIZE_LIMIT).alias("within_size_limit"))
+
+
+_X6_ORACLE = """
+SELECT 'customer' AS table_name, COUNT(*) AS source_rows, COUNT(*) AS target_rows FROM customer
+UNION ALL SELECT 'part', COUNT(*), COUNT(*) FROM part
+UNION ALL SELECT 'supplier', COUNT(*), COUNT(*) FROM supplier"""
+
+# Table groups per source system (query parameter).
+MIRROR_GROUPS = {"erp": {"tables": ["customer", "part", "supplier"], "dims": ["part"]}}
+
+
+@register("mirror_tables", _X6_ORACLE)
+def q_mirror_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X6 (S12 K8 F6): mirror a table group into catalog tables (generated column
+    left out), then reconcile source and target row counts."""
+    from pyspark.sql import functions as F
+
+    from .sinks.mirror import mirror_tables, select_tables
+    from .sources.tables import table
+    names = select_tables(MIRROR_GROUPS, "erp")
+    sources = {n: table(spark, sf_dir, n) for n in names}
+    # a derived column the target computes itself (F6): excluded from the copy
+    sources["part"] = sources["part"].withColumn("p_name_upper", F.upper("p_name"))
+    prefix = _scratch_table(spark, "mirror") + "_"
+    return mirror_tables(spark, sources, target_prefix=prefix,
+                         generated_columns={"part": ["p_name_upper"]})
+
+
+_EMB_ORACLE = "SELECT vec_id, embedding, COALESCE(label, -1) AS label FROM embeddings"
+
+
+@register("embedding_passthrough", _EMB_ORACLE)
+def q_embedding_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1/P10 on a frame with a vector column: cleaning touches strings only,
+    the float arrays pass through unchanged."""
+    from pyspark.sql import types as T
+
+    from .operators.tail import output_tail
+    from .schema import ColumnSpec, OutputSchema
+    from .sources.tables import table
+    schema = OutputSchema("embeddings_out", ColumnSpec("vec_id", T.LongType(), primary_key=True),
+                          ColumnSpec("embedding", T.ArrayType(T.FloatType())),
+                          ColumnSpec("label", T.IntegerType(), default=-1))
+    return output_tail(table(spark, sf_dir, "embeddings"), schema)
+
+
+_RUN_ORACLE = f"""
+WITH b AS (
+  SELECT LEAST((SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders),
+               (SELECT MIN(CAST(l_shipdate AS DATE)) FROM lineitem)) AS lo,
+         GREATEST((SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders),
+                  (SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem)) AS hi)
+SELECT 'lakepipe.plans.date_dimension.DateDimension' AS pipe_name, 0 AS status_id,
+       CAST(0 AS BIGINT) AS loaded_rows, CAST(NULL AS VARCHAR) AS error
+UNION ALL
+SELECT 'lakepipe.plans.date_dimension.DateDimension', 1, CAST(hi - lo + 1 AS BIGINT), NULL FROM b"""
+
+
+@register("job_run_log", _RUN_ORACLE)
+def q_job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the date-dimension job end to end (checks before
+    the write, DROP_INSERT into a catalog table) and return its run-log records."""
+    from pyspark.sql import functions as F
+
+    from .plans.date_dimension import DateDimension, DateDimensionParameters
+    from .plans.job import Destination
+    from .sinks.loaders import LoadMode
+    from .sources.calendar import data_date_bounds
+    from .sources.tables import table
+    lo, hi = data_date_bounds([(table(spark, sf_dir, "orders"), "o_orderdate"),
+                               (table(spark, sf_dir, "lineitem"), "l_shipdate")])
+    log_table = _scratch_table(spark, "lp_run_log")
+    ctx = RunContext(as_of=AS_OF, run_log_table=log_table, manual_trigger=False)
+    DateDimension().run(spark, DateDimensionParameters(lo.isoformat(), hi.isoformat()), ctx,
+                        Destination(table=_scratch_table(spark, "lp_dim_date"),
+                                    load_mode=LoadMode.DROP_INSERT))
+    return spark.table(log_table).where(F.col("uuid") == ctx.run_id).select(
+        "pipe_name", "status_id", "loaded_rows", "error")
