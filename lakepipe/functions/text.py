@@ -19,10 +19,9 @@ from ._util import to_col
 # Strings that mean "missing" after stripping, in this order.
 MISSING_SENTINELS = ["None", "NONE", "nan", "NaN", "<NA>", "null", "NULL", ""]
 
-# Python's str.isspace() set = Unicode White_Space plus the four separators
-# \x1c-\x1f; Java's (?U)\s is White_Space only, so the range is added.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
+# The characters Python's str.strip() removes, derived by rule (all of them
+# lie below U+3001): Unicode White_Space plus the separators \x1c-\x1f.
+PY_WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Fixed value: characters kept by the title-case cleaner (Latin-1 letters,
 # digits, hyphen, apostrophe, dot, slash, space); everything else is removed.
@@ -34,8 +33,9 @@ TITLECASE_SPECIAL = {"ß": "Ss"}
 
 
 def py_strip(col) -> Column:
-    """Remove leading/trailing whitespace exactly like Python ``str.strip()``."""
-    return F.regexp_replace(to_col(col), _STRIP_PATTERN, "")
+    """Remove leading/trailing whitespace exactly like Python ``str.strip()``
+    (a character-set trim, no regular expression)."""
+    return F.btrim(to_col(col), F.lit(PY_WHITESPACE))
 
 
 def clean_string(col) -> Column:
@@ -82,24 +82,28 @@ def abbreviate(col, abbreviation_dicts: Iterable[Mapping[str, str]]) -> Column:
 def clean_titlecase(col) -> Column:
     """Null → "", strip, drop characters outside the whitelist, split on spaces;
     per hyphen part keep an all-caps part longer than one character, else
-    capitalise it (first upper, rest lower); re-join with '-' and ' '."""
+    capitalise it (title-case first character, rest lower); re-join with single
+    spaces.
+
+    Runs as one flat pass: spaces are collapsed, the text is cut into parts and
+    separators (zero-width split around ' ' and '-'), each part is fixed, and
+    the tokens are concatenated again.
+    """
     s = py_strip(F.coalesce(to_col(col), F.lit("")))
     s = F.regexp_replace(s, f"[^{TITLECASE_KEEP_CLASS}]+", "")
-    words = F.filter(F.split(s, " +", -1), lambda w: w != "")
+    s = F.btrim(F.regexp_replace(s, " {2,}", " "), F.lit(" "))
+    tokens = F.split(s, "(?<=[ -])|(?=[ -])", -1)
 
-    def fix_part(p: Column) -> Column:
+    def fix_token(p: Column) -> Column:
         all_caps = (F.char_length(p) > 1) & (F.upper(p) == p) & (F.lower(p) != p)
         first = F.substring(p, 1, 1)
         title = F.upper(first)
         for k, v in TITLECASE_SPECIAL.items():
             title = F.when(first == k, F.lit(v)).otherwise(title)
         cap = F.concat(title, F.lower(F.substring(p, 2, 2147483647)))
-        return F.when(all_caps, p).otherwise(cap)
-
-    def fix_word(w: Column) -> Column:
-        return F.array_join(F.transform(F.split(w, "-", -1), fix_part), "-")
+        return F.when((p == " ") | (p == "-") | all_caps, p).otherwise(cap)
 
-    return F.array_join(F.transform(words, fix_word), " ")
+    return F.array_join(F.transform(tokens, fix_token), "")
 
 
 def last_segment(col, sep: str = ".") -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import nonzero_or_null, when_all_positive
-from ..operators.joins import checked_broadcast, join_dimension
+from ..operators.joins import checked_broadcast, fits_broadcast_all, join_dimension
 from ..schema import ColumnSpec, OutputSchema
 from .job import BatchJob, Destination, RunContext
 
@@ -56,7 +56,7 @@ def _yes_no(flag, yes="Yes", no="No"):
     return F.when(flag, F.lit(yes)).otherwise(F.lit(no))
 
 
-def product_dimension(d: Mapping[str, DataFrame]) -> DataFrame:
+def product_dimension(d: Mapping[str, DataFrame], fits: Mapping[str, bool]) -> DataFrame:
     """Product with its attribute labels (one row per product)."""
     p = d["dim_product"]
     for dim, key, label in [("dim_dexterity", "dexterity_id", "dexterity"),
@@ -65,16 +65,18 @@ def product_dimension(d: Mapping[str, DataFrame]) -> DataFrame:
                             ("dim_shaft_material", "shaft_material_id", "shaft_material"),
                             ("dim_product_condition", "condition_id", "condition")]:
         lab = checked_broadcast(d[dim].select(F.col("id").alias(f"_{label}_id"),
-                                              F.col("name").alias(f"{label}_name")))
+                                              F.col("name").alias(f"{label}_name")),
+                                fits=fits[dim])
         p = p.join(lab, p[key] == lab[f"_{label}_id"], "left").drop(f"_{label}_id")
     return p
 
 
-def model_dimension(d: Mapping[str, DataFrame]) -> DataFrame:
+def model_dimension(d: Mapping[str, DataFrame], fits: Mapping[str, bool]) -> DataFrame:
     """Model with its brand label (one row per model)."""
     m = d["dim_model"].select("id", F.col("name").alias("model_name"), "brand_id")
     b = checked_broadcast(d["dim_brand"].select(F.col("id").alias("_brand_id"),
-                                                F.col("name").alias("brand_name")))
+                                                F.col("name").alias("brand_name")),
+                          fits=fits["dim_brand"])
     return m.join(b, m.brand_id == b._brand_id, "left").drop("_brand_id")
 
 
@@ -94,13 +96,22 @@ class InventoryExport(BatchJob):
     def transform(self, inputs, params, ctx: RunContext) -> DataFrame:
         d = self.sources
         f = inputs["data"]
-        f = join_dimension(f, d["dim_warehouse"], "warehouse_id", "id", "inner", prefix="w_")
-        f = join_dimension(f, d["dim_product_status"], "product_status_id", "id", "inner", prefix="ps_")
-        f = join_dimension(f, d["dim_product_type"], "product_type_id", "id", "inner", prefix="pt_")
-        f = join_dimension(f, d["dim_entity"], "entity_id", "id", "left", prefix="e_")
-        f = join_dimension(f, product_dimension(d), "product_id", "id", "left", prefix="p_")
-        f = join_dimension(f, model_dimension(d), "model_id", "id", "left", prefix="m_")
-        f = join_dimension(f, d["dim_purchase_channel"], "channel_id", "id", "left", prefix="ch_")
+        fits = fits_broadcast_all({k: d[k] for k in DIMENSIONS})  # one bounded-count job
+        f = join_dimension(f, d["dim_warehouse"], "warehouse_id", "id", "inner", prefix="w_",
+                           fits=fits["dim_warehouse"])
+        f = join_dimension(f, d["dim_product_status"], "product_status_id", "id", "inner",
+                           prefix="ps_", fits=fits["dim_product_status"])
+        f = join_dimension(f, d["dim_product_type"], "product_type_id", "id", "inner", prefix="pt_",
+                           fits=fits["dim_product_type"])
+        f = join_dimension(f, d["dim_entity"], "entity_id", "id", "left", prefix="e_",
+                           fits=fits["dim_entity"])
+        # the denormalised dims have exactly the rows of dim_product / dim_model
+        f = join_dimension(f, product_dimension(d, fits), "product_id", "id", "left", prefix="p_",
+                           fits=fits["dim_product"])
+        f = join_dimension(f, model_dimension(d, fits), "model_id", "id", "left", prefix="m_",
+                           fits=fits["dim_model"])
+        f = join_dimension(f, d["dim_purchase_channel"], "channel_id", "id", "left", prefix="ch_",
+                           fits=fits["dim_purchase_channel"])
         c = F.col
         cost_fx = F.round(c("fx_rate") * c("cost"), 2)
         cond = c("p_condition_id")

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import date_key, date_literal
 from ..functions.numeric import safe_ratio
-from ..operators.joins import checked_broadcast
+from ..operators.joins import checked_broadcast, fits_broadcast_all
 from ..schema import (ColumnSpec, OutputSchema, unsigned_decimal, unsigned_int,
                       unsigned_smallint, unsigned_tinyint)
 from ..sinks.loaders import LoadMode
@@ -74,17 +74,18 @@ class InventorySnapshot(BatchJob):
                     .where(F.col("status_id") != OUT_OF_STOCK_STATUS)
                     .select(F.col("id"), F.col("system_id").alias("entity_id"),
                             "warehouse_id", "status_id"))
-        stock = (stock.join(checked_broadcast(products), stock.product_id == products.id, "inner")
+        prices = self.sources["product_prices"].select(
+            "product_id", "entity_id", F.col("regular_price").alias("unit_price"))
+        fits = fits_broadcast_all({"products": products, "prices": prices})
+        stock = (stock.join(checked_broadcast(products, fits=fits["products"]),
+                            stock.product_id == products.id, "inner")
                  .where(F.col("available_qty") > 0)
                  .select("entity_id", "warehouse_id", "product_id", "status_id",
                          "stock_creation_date", "total_cost", "total_qty", "available_qty"))
-        prices = self.sources["product_prices"].select(
-            "product_id", "entity_id", F.col("regular_price").alias("unit_price"))
-        return {"stock": stock, "product_prices": prices}
+        return {"stock": stock, "product_prices": checked_broadcast(prices, fits=fits["prices"])}
 
     def transform(self, inputs, params, ctx: RunContext) -> DataFrame:
-        prices = checked_broadcast(inputs["product_prices"])
-        df = inputs["stock"].join(prices, ["entity_id", "product_id"], "left")
+        df = inputs["stock"].join(inputs["product_prices"], ["entity_id", "product_id"], "left")
         # Each column sees the ones before it (total_cost uses the rounded average).
         return (df.withColumn("date_id", date_key(date_literal(ctx.as_of)))
                 .withColumn("avg_unit_cost", safe_ratio("total_cost", "total_qty", 2, 0))
