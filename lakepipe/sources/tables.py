@@ -1,4 +1,12 @@
-"""Parquet table loading for the test tables (and any ``<dir>/<name>.parquet`` layout)."""
+"""Parquet table loading for the test tables (and any ``<dir>/<name>.parquet`` layout).
+
+A scan yields one task per file split; a table stored as a few large,
+unsplittable row groups would leave most cores idle for the row-wise work
+that follows. ``spread`` hash-partitions such a scan on its key column up to
+the cluster's default parallelism. On big inputs (more splits than cores) it
+does nothing. Hashing on a key keeps the redistribution deterministic when a
+task is retried.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +16,24 @@ TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations"]
 
+# Tables too small to be worth redistributing (fixed-size dimensions).
+_TINY = {"region", "nation"}
+
+
+def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition on ``keys`` when the frame has fewer partitions than
+    ``min_partitions`` (default: the cluster's default parallelism)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
+
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if parallel and name not in _TINY:
+        df = spread(df, [df.columns[0]])
+    return df
 
 
 def tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
