@@ -136,13 +136,19 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
         idx = (F.when(n.isNull(), F.array(F.lit(-1)))
                .when(n == 0, F.array().cast("array<int>"))
                .otherwise(F.sequence(F.lit(0), n - 1)))
-        staged = staged.select("*", F.explode(idx).alias("_pos"))
+        # list fields are lifted to top-level columns before the generator, so
+        # nested-field pruning never has to look through it
+        lifted = [F.col("_s").getField(n).alias(f"_list{i}") for i, n in enumerate(list_fields)]
+        staged = staged.select("*", *lifted, idx.alias("_idx"))
+        staged = staged.select(*[c for c in staged.columns if c != "_idx"],
+                               F.explode("_idx").alias("_pos"))
     # Objects the list rule skips keep whole lists; when such objects exist the
     # field holds elements in some rows and lists in others, so it becomes text.
     mixed = explode_lists == "document" and bool(shapes["n_member_obj"])
     for name in names:
         field = F.col("_s").getField(name)
         if name in list_fields:
+            field = F.col(f"_list{list_fields.index(name)}")
             elem = F.get(field, F.col("_pos"))
             if mixed:
                 etype = obj_type[name].dataType.elementType
