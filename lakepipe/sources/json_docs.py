@@ -92,7 +92,10 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
     if explode_lists not in ("document", "record"):
         raise ValueError("explode_lists must be 'document' or 'record'")
     spark = df.sparkSession
-    v = df.select(F.parse_json(F.col(col)).alias("_v"))
+    # blank text is no document; the guard sits inside the expression so it
+    # holds wherever the optimizer places the filters
+    text = F.col(col)
+    v = df.select(F.parse_json(F.when(_non_blank(text), text)).alias("_v"))
     v = v.where(F.col("_v").isNotNull() & ~F.is_variant_null("_v"))
     is_list = F.schema_of_variant("_v").startswith("ARRAY")
     members = F.transform(F.col("_v").cast("array<variant>"),
@@ -180,14 +183,35 @@ def _non_blank(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+", "") != ""
 
 
+def documents_from_text(raw: DataFrame, text_col: str = "value", keep=()) -> DataFrame:
+    """Whole-file texts → JSON documents (column ``doc``).
+
+    A text with at least two non-blank lines that each parse on their own is
+    NDJSON: every line becomes a one-member list document, so its objects follow
+    the list rule (R2). Anything else is one document (a value spread over
+    several lines always has a line that is not valid JSON by itself). Blank
+    texts are dropped; a malformed document fails when it is parsed.
+    """
+    t = F.col(text_col)
+    lines = F.filter(F.split(t, r"\r?\n"), lambda ln: _non_blank(ln))
+    ndjson = (F.size(lines) >= 2) & F.forall(lines, lambda ln: F.try_parse_json(ln).isNotNull())
+    kept = [F.col(k) for k in keep]
+    staged = raw.where(_non_blank(t)).select(*kept, t.alias("_text"), ndjson.alias("_nd"),
+                                             lines.alias("_lines"))
+    single = staged.where(~F.col("_nd")).select(*kept, F.col("_text").alias("doc"))
+    multi = staged.where(F.col("_nd")).select(*kept, F.explode("_lines").alias("_line")) \
+        .select(*kept, F.concat(F.lit("["), F.col("_line"), F.lit("]")).alias("doc"))
+    return single.unionByName(multi)
+
+
 def read_json_files(spark: SparkSession, paths) -> DataFrame:
     """JSON documents from files and directories, as ``(source_file, doc)``.
 
-    ``*.json`` files hold one whole document each; if the text is not one JSON
-    value it is read as one document per non-blank line (NDJSON fallback).
-    ``*.jsonl`` / ``*.ndjson`` are read line by line (split across tasks).
-    Blank files and JSON ``null`` documents are skipped later by ``json_rows``.
-    Lines are wrapped as one-member lists so they follow the list rule (R2).
+    ``*.json`` files are read whole (one task per file) and split by
+    ``documents_from_text`` (one document, or NDJSON lines). ``*.jsonl`` /
+    ``*.ndjson`` are read line by line, so large files split across tasks; each
+    line is a one-member list document (R2). Blank files/lines are skipped and
+    JSON ``null`` documents are dropped by ``json_rows``.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -195,25 +219,18 @@ def read_json_files(spark: SparkSession, paths) -> DataFrame:
     for p in paths:
         for ext, whole in (("json", True), ("jsonl", False), ("ndjson", False)):
             try:
-                r = spark.read.option("pathGlobFilter", f"*.{ext}")
-                if whole:
-                    r = r.option("wholetext", True)
-                raw = r.text(p)
+                raw = (spark.read.format("text").option("wholetext", whole)
+                       .option("pathGlobFilter", f"*.{ext}").load(p))
             except AnalysisException as e:
                 if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                     raise ResourceNotFoundError(p) from e
                 raise
             raw = raw.select(F.col("_metadata.file_path").alias("source_file"), "value")
             if whole:
-                ok = F.try_parse_json("value").isNotNull()
-                single = raw.where(_non_blank(F.col("value")) & ok).select(
-                    "source_file", F.col("value").alias("doc"))
-                lines = raw.where(_non_blank(F.col("value")) & ~ok).select(
-                    "source_file", F.explode(F.split("value", r"\r?\n")).alias("line"))
-                frames.append(single)
-                raw = lines.withColumnRenamed("line", "value")
-            frames.append(raw.where(_non_blank(F.col("value"))).select(
-                "source_file", F.concat(F.lit("["), F.col("value"), F.lit("]")).alias("doc")))
+                frames.append(documents_from_text(raw, "value", keep=["source_file"]))
+            else:
+                frames.append(raw.where(_non_blank(F.col("value"))).select(
+                    "source_file", F.concat(F.lit("["), F.col("value"), F.lit("]")).alias("doc")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
