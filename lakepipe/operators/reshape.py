@@ -52,7 +52,9 @@ def zip_lists(df: DataFrame, cols: list[str]) -> DataFrame:
     idx = F.when(n.isNull(), F.array(F.lit(-1))) \
            .when(n == 0, F.array().cast("array<int>")) \
            .otherwise(F.sequence(F.lit(0), n - 1))
-    staged = df.select("*", F.explode(idx).alias("_pos"))
+    staged = df.select("*", idx.alias("_idx"))
+    staged = staged.select(*[F.col(f"`{c}`") for c in df.columns],
+                           F.explode_outer("_idx").alias("_pos")).where(F.col("_pos").isNotNull())
     pos = F.col("_pos")
     return staged.select(*[
         F.when(pos >= 0, F.get(F.col(f"`{c}`"), pos)).alias(c) if c in cols else F.col(f"`{c}`")

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..errors import ResourceNotFoundError
+from ..functions.text import PY_WHITESPACE
 from ..operators.quality import enforce_types
 from ..operators.reshape import flatten as flatten_structs
 from ..operators.reshape import strict_length
@@ -92,18 +93,23 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
     if explode_lists not in ("document", "record"):
         raise ValueError("explode_lists must be 'document' or 'record'")
     spark = df.sparkSession
-    # blank text is no document; the guard sits inside the expression so it
-    # holds wherever the optimizer places the filters
+    # Blank text and JSON null are no document. Both are handled inside the
+    # expressions (an empty member list) rather than by filters: a filter here
+    # would be pushed below the input's exchange and parse every document twice.
     text = F.col(col)
     v = df.select(F.parse_json(F.when(_non_blank(text), text)).alias("_v"))
-    v = v.where(F.col("_v").isNotNull() & ~F.is_variant_null("_v"))
-    is_list = F.schema_of_variant("_v").startswith("ARRAY")
-    members = F.transform(F.col("_v").cast("array<variant>"),
+    v_ = F.col("_v")
+    no_doc = v_.isNull() | F.is_variant_null(v_)
+    is_list = F.schema_of_variant(v_).startswith("ARRAY")
+    members = F.transform(v_.cast("array<variant>"),
                           lambda e: F.struct(e.alias("v"), F.lit(False).alias("top")))
-    items = F.when(is_list, members).otherwise(
-        F.array(F.struct(F.col("_v").alias("v"), F.lit(True).alias("top"))))
-    rows = v.select(F.inline(items))
-    rows = rows.where(~F.is_variant_null("v"))
+    single = F.array(F.struct(v_.alias("v"), F.lit(True).alias("top")))
+    items = (F.when(no_doc, F.filter(single, lambda x: F.lit(False)))
+             .when(is_list, members).otherwise(single))
+    # *_outer generators + a filter after them: Spark infers no size() > 0
+    # predicate for outer generators, so the item expression is built once.
+    rows = v.select(F.inline_outer(items))
+    rows = rows.where(F.col("v").isNotNull() & ~F.is_variant_null("v"))
     rows = rows.withColumn("_obj", F.schema_of_variant("v").startswith("OBJECT"))
 
     shapes = rows.agg(
@@ -144,7 +150,8 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
         lifted = [F.col("_s").getField(n).alias(f"_list{i}") for i, n in enumerate(list_fields)]
         staged = staged.select("*", *lifted, idx.alias("_idx"))
         staged = staged.select(*[c for c in staged.columns if c != "_idx"],
-                               F.explode("_idx").alias("_pos"))
+                               F.explode_outer("_idx").alias("_pos"))
+        staged = staged.where(F.col("_pos").isNotNull())
     # Objects the list rule skips keep whole lists; when such objects exist the
     # field holds elements in some rows and lists in others, so it becomes text.
     mixed = explode_lists == "document" and bool(shapes["n_member_obj"])
@@ -180,7 +187,7 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
 
 
 def _non_blank(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+", "") != ""
+    return F.btrim(c, F.lit(PY_WHITESPACE)) != ""
 
 
 def documents_from_text(raw: DataFrame, text_col: str = "value", keep=()) -> DataFrame:
