@@ -758,8 +758,9 @@ FROM orders"""
 
 @register("export_manifest", _K5_ORACLE)
 def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gzip CSV export of orders as one file at the exact key, and its
-    manifest (observed row count, period label, byte size checked against the limit)."""
+    """Gzip CSV export of orders (parallel part files under the dated
+    key) and its manifest (observed row count, period label, byte size checked
+    against the limit)."""
     from pyspark.sql import functions as F
 
     from .sinks.export import DEFAULT_SIZE_LIMIT, dated_key, export_csv, export_manifest
@@ -767,7 +768,7 @@ def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sources.tables import table
     orders = table(spark, sf_dir, "orders")
     path = dated_key(shared_dir(spark, "exports"), "orders", AS_OF)
-    res = export_csv(orders, path, single_file=True, compression="gzip")
+    res = export_csv(orders, path, compression="gzip")
     man = export_manifest(spark, res, export_name="orders", category="Orders",
                           min_date=KPI_WINDOW[0], max_date=KPI_WINDOW[1], as_of=AS_OF)
     return man.select("export_name", "file_name", "category", "period", "row_count",

@@ -70,7 +70,12 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = False,
                compression: str | None = None,
                timestamp_format: str = "yyyy-MM-dd HH:mm:ss",
                size_limit: int | None = None) -> ExportResult:
-    """K4: header, null → empty field, quotes doubled, values not trimmed."""
+    """K4: header, null → empty field, quotes doubled, values not trimmed.
+
+    ``single_file=True`` writes one file at exactly ``path`` through a single
+    task (``coalesce(1)``); use it only for deliverables known to be small.
+    The default writes part files in parallel under ``path``.
+    """
     spark = df.sparkSession
     obs = Observation("export")
     out = csv_ready(df).observe(obs, F.count(F.lit(1)).alias("rows"))

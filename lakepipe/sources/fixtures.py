@@ -184,14 +184,19 @@ def base_tables(name: str) -> list[str]:
     return sorted(set(_REF.findall(ADAPTERS[name])))
 
 
-def adapter(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    sql = ADAPTERS[name]
-    refs = {t: table(spark, sf_dir, t) for t in base_tables(name)}
-    return spark.sql(sql, **refs)
+def adapter(spark: SparkSession, sf_dir: str, name: str,
+            bases: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One adapter view; ``bases`` lets several adapters share base-table reads."""
+    bases = bases if bases is not None else {}
+    for t in base_tables(name):
+        if t not in bases:
+            bases[t] = table(spark, sf_dir, t)
+    return spark.sql(ADAPTERS[name], **{t: bases[t] for t in base_tables(name)})
 
 
 def adapters(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
-    return {n: adapter(spark, sf_dir, n) for n in names}
+    bases: dict[str, DataFrame] = {}
+    return {n: adapter(spark, sf_dir, n, bases) for n in names}
 
 
 def adapter_sql(name: str) -> str:
