@@ -851,3 +851,33 @@ def q_job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     load_mode=LoadMode.DROP_INSERT))
     return spark.table(log_table).where(F.col("uuid") == ctx.run_id).select(
         "pipe_name", "status_id", "loaded_rows", "error")
+
+
+# ----------------------------------------------------------- S1/S2 SQL text
+_SALES_SQL = """
+SELECT cs.entity_id AS entity_id, cs.order_id AS order_id, to_date(cs.order_date) AS time,
+       cs.country AS country, cs.region_type AS region_type, cs.region AS region,
+       cs.customer_type AS customer_type, cs.net_subtotal AS net_subtotal
+FROM {customer_sales} cs
+WHERE to_date(cs.order_date) BETWEEN :min_date AND :max_date"""
+
+_S2_ORACLE = with_adapters(["customer_sales"], f"""
+SELECT cs.entity_id AS entity_id, cs.order_id AS order_id, CAST(cs.order_date AS DATE) AS time,
+       cs.country AS country, cs.region_type AS region_type, cs.region AS region,
+       cs.customer_type AS customer_type, cs.net_subtotal AS net_subtotal
+FROM customer_sales cs
+WHERE CAST(cs.order_date AS DATE) BETWEEN DATE '{KPI_WINDOW[0]}' AND DATE '{KPI_WINDOW[1]}'""")
+
+
+@register("sales_extract_sql", _S2_ORACLE)
+def q_sales_extract_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract written as SQL text; the frame is bound as ``{customer_sales}``
+    and the window as named parameters ``:min_date`` / ``:max_date``."""
+    from datetime import date
+
+    from .sources.fixtures import adapter
+    from .sources.sql import run_sql
+    return run_sql(spark, _SALES_SQL,
+                   {"min_date": date.fromisoformat(KPI_WINDOW[0]),
+                    "max_date": date.fromisoformat(KPI_WINDOW[1])},
+                   customer_sales=adapter(spark, sf_dir, "customer_sales"))

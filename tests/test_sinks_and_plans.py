@@ -154,3 +154,38 @@ def test_inventory_snapshot_aggregates_before_the_join(spark):
         .optimizedPlan().toString()
     # the aggregate over stock rows sits below the product join
     assert plan.index("Join Inner") < plan.rindex("Aggregate [product_id")
+
+
+def test_debug_run_writes_csv_and_warns_on_empty_input(spark, recwarn):
+    import warnings
+    ctx = RunContext(as_of=datetime(2024, 1, 1), debug=True)
+    stats = _Tiny([(1, "a")]).run(spark, None, ctx, Destination(table=_name("never")))
+    assert stats["loaded_rows"] == 1
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        _Tiny([]).run(spark, None, RunContext(as_of=datetime(2024, 1, 1), debug=True),
+                      Destination(table=_name("never")))
+    assert any("is empty" in str(x.message) for x in w)
+
+
+def test_enforce_not_empty_and_default_window(spark):
+    from lakepipe.errors import EmptyTableError
+    from lakepipe.functions import default_window
+    from lakepipe.operators.quality import enforce_not_empty
+    with pytest.raises(EmptyTableError):
+        enforce_not_empty(spark.range(0), "t")
+    enforce_not_empty(spark.range(1), "t")
+    assert default_window(datetime(2024, 3, 8, 5), 7) == ("2024-03-01", "2024-03-08")
+
+
+def test_sql_parameters_reach_the_scan(spark):
+    from datetime import date as _date
+
+    from lakepipe.registry import _SALES_SQL
+    from lakepipe.sources.fixtures import adapter
+    from lakepipe.sources.sql import run_sql
+    df = run_sql(spark, _SALES_SQL, {"min_date": _date(1996, 1, 1), "max_date": _date(1996, 1, 31)},
+                 customer_sales=adapter(spark, SF_ORACLE, "customer_sales"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan
+    assert df.where(F.col("time") > F.lit("1996-01-31").cast("date")).count() == 0
