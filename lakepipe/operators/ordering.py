@@ -9,8 +9,13 @@ partitions. Only the per-partition counts (one row per partition) are
 combined in a single task, and they are broadcast back — a bound set by the
 partition count, not by the data.
 
-The order must be total (add a unique tie-break column), so every
-re-computation after an executor loss numbers the rows identically.
+The range-partitioned, sorted, id-stamped rows are materialised once with a
+reliable ``checkpoint()`` (written under ``spark.checkpoint.dir``). Both the
+per-partition counts and the numbered rows read that copy, so they agree by
+construction: recomputing a range exchange twice could sample different
+bounds, and a lost executor cannot change ids that are already written.
+The order must still be total (add a unique tie-break column) for the
+numbering to be reproducible between runs.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOW_BITS = 33
 
 
@@ -25,9 +32,11 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "row_number",
                       num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
     ranged = (df.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     part = F.shiftright(F.col("_mid"), _LOW_BITS)
     numbered = ranged.withColumn("_part", part) \
                      .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_part"), _LOW_BITS) + 1)
