@@ -85,14 +85,14 @@ def clean_titlecase(col) -> Column:
     capitalise it (title-case first character, rest lower); re-join with single
     spaces.
 
-    Runs as one flat pass: spaces are collapsed, the text is cut into parts and
-    separators (zero-width split around ' ' and '-'), each part is fixed, and
-    the tokens are concatenated again.
+    Runs as one flat pass: spaces are collapsed, the text is cut into tokens
+    that are either a part (a run without ' ' or '-') or one separator, each
+    part is fixed, and the tokens are concatenated again.
     """
     s = py_strip(F.coalesce(to_col(col), F.lit("")))
     s = F.regexp_replace(s, f"[^{TITLECASE_KEEP_CLASS}]+", "")
     s = F.btrim(F.regexp_replace(s, " {2,}", " "), F.lit(" "))
-    tokens = F.split(s, "(?<=[ -])|(?=[ -])", -1)
+    tokens = F.regexp_extract_all(s, F.lit("[^ -]+|[ -]"), 0)
 
     def fix_token(p: Column) -> Column:
         all_caps = (F.char_length(p) > 1) & (F.upper(p) == p) & (F.lower(p) != p)

@@ -69,7 +69,7 @@ def _decimal_bound(dt: T.DecimalType) -> Decimal:
     return Decimal(10) ** (dt.precision - dt.scale) - Decimal(10) ** (-dt.scale)
 
 
-def _range_condition(spec: ColumnSpec, dtype: T.DataType | None) -> Column | None:
+def _range_condition(spec: ColumnSpec) -> Column | None:
     c = _c(spec.name)
     conds = []
     lo, hi = spec.min_value, spec.max_value
@@ -95,12 +95,12 @@ def range_violations(df: DataFrame, schema: OutputSchema) -> DataFrame:
     """Q13: per column, values outside the declared range/precision/length."""
     specs = [s for s in schema.columns
              if s.has_range or isinstance(s.dtype, T.DecimalType)]
-    specs = [s for s in specs if _range_condition(s, None) is not None]
+    specs = [s for s in specs if _range_condition(s) is not None]
     if not specs:
         return df.sparkSession.createDataFrame(
             [], "column_name string, position int, out_of_range bigint")
     names = [s.name for s in specs]
-    aggs = [F.count_if(F.coalesce(_range_condition(s, None), F.lit(False))).alias(f"out_of_range__{i}")
+    aggs = [F.count_if(F.coalesce(_range_condition(s), F.lit(False))).alias(f"out_of_range__{i}")
             for i, s in enumerate(specs)]
     return (_stack(df.agg(*aggs), names, {"out_of_range": []})
             .where(F.col("out_of_range") > 0))
@@ -118,7 +118,7 @@ def enforce_output(df: DataFrame, schema: OutputSchema) -> None:
         checks.append(F.count_if(_c(n).isNull()).alias(f"n{i}"))
         names.append(("null", n))
     for j, s in enumerate(schema.columns):
-        cond = _range_condition(s, None) if (s.has_range or isinstance(s.dtype, T.DecimalType)) else None
+        cond = _range_condition(s) if (s.has_range or isinstance(s.dtype, T.DecimalType)) else None
         if cond is not None:
             checks.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"r{j}"))
             names.append(("range", s.name))

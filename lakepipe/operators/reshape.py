@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import UnequalListLengthsError  # noqa: F401  (raised by callers/tests)
 
 
 def unpivot(df: DataFrame, id_cols: list[str], value_cols: list[str] | None = None,
@@ -32,7 +31,9 @@ def explode_list(df: DataFrame, col: str) -> DataFrame:
 
 
 def strict_length(arrays: list[Column]) -> Column:
-    """Common length of the non-null arrays; raises when they differ."""
+    """Common length of the non-null arrays. When they differ the query fails
+    with "All list fields must have the same length. Got: [...]" (the
+    ``UnequalListLengthsError`` message), raised on the executor."""
     sizes = [F.when(a.isNotNull(), F.size(a)) for a in arrays]
     lo = F.least(*sizes) if len(sizes) > 1 else sizes[0]
     hi = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]

@@ -68,10 +68,29 @@ def cast_to_schema(df: DataFrame, schema: OutputSchema) -> DataFrame:
     return df.select(*cols)
 
 
+def _tail_columns(df: DataFrame, schema: OutputSchema, cast: bool) -> list:
+    require_columns(df, schema.names)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    defaults = schema.defaults
+    cols = []
+    for spec in schema.columns:
+        c = F.col(f"`{spec.name}`")
+        if isinstance(types[spec.name], T.StringType):
+            c = clean_string(c)
+        if spec.name in defaults:
+            c = F.coalesce(c, F.lit(defaults[spec.name]))
+        if cast and spec.dtype is not None and types[spec.name] != spec.dtype:
+            c = c.cast(spec.dtype)
+        cols.append(c.alias(spec.name))
+    return cols
+
+
 def prepare_output(df: DataFrame, schema: OutputSchema) -> DataFrame:
-    """Project, clean and default (no cast): the frame the output checks read."""
-    return fill_defaults(clean_strings(project(df, schema)), schema)
+    """Project, clean and default in one projection (no cast): the frame the
+    output checks read."""
+    return df.select(*_tail_columns(df, schema, cast=False))
 
 
 def output_tail(df: DataFrame, schema: OutputSchema) -> DataFrame:
-    return cast_to_schema(prepare_output(df, schema), schema)
+    """Project, clean, default and cast in one projection."""
+    return df.select(*_tail_columns(df, schema, cast=True))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import enforce_output
-from ..operators.tail import cast_to_schema, prepare_output
+from ..operators.tail import cast_to_schema, output_tail, prepare_output
 from ..schema import OutputSchema
 from ..sinks.export import debug_path, export_csv
 from ..sinks.loaders import LoadMode, load_table
@@ -83,7 +83,7 @@ class BatchJob:
         ctx = ctx or RunContext()
         params = params if params is not None else self.parameters()
         out = self.transform(self.extract(spark, params, ctx), params, ctx)
-        return cast_to_schema(prepare_output(out, self.schema), self.schema)
+        return output_tail(out, self.schema)
 
     def run(self, spark: SparkSession, params=None, ctx: RunContext | None = None,
             destination: Destination | None = None) -> dict[str, Any]:
