@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import nonzero_or_null, when_all_positive
-from ..operators.joins import checked_broadcast, fits_broadcast_all, join_dimension
+from ..operators.joins import (DEFAULT_BROADCAST_ROWS, checked_broadcast, fits_broadcast_all,
+                               join_dimension)
 from ..schema import ColumnSpec, OutputSchema
 from .job import BatchJob, Destination, RunContext
 
@@ -87,8 +88,10 @@ class InventoryExport(BatchJob):
     schema = SCHEMA
     destination = Destination(csv_path=None)
 
-    def __init__(self, sources: Mapping[str, DataFrame]):
+    def __init__(self, sources: Mapping[str, DataFrame],
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
         self.sources = sources
+        self.max_broadcast_rows = max_broadcast_rows
 
     def extract(self, spark: SparkSession, params, ctx: RunContext) -> dict[str, DataFrame]:
         return {"data": self.sources["fact_inventory_current"]}
@@ -96,7 +99,8 @@ class InventoryExport(BatchJob):
     def transform(self, inputs, params, ctx: RunContext) -> DataFrame:
         d = self.sources
         f = inputs["data"]
-        fits = fits_broadcast_all({k: d[k] for k in DIMENSIONS})  # one bounded-count job
+        # one bounded-count job decides every broadcast
+        fits = fits_broadcast_all({k: d[k] for k in DIMENSIONS}, self.max_broadcast_rows)
         f = join_dimension(f, d["dim_warehouse"], "warehouse_id", "id", "inner", prefix="w_",
                            fits=fits["dim_warehouse"])
         f = join_dimension(f, d["dim_product_status"], "product_status_id", "id", "inner",

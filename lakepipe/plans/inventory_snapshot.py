@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import date_key, date_literal
 from ..functions.numeric import safe_ratio
-from ..operators.joins import checked_broadcast, fits_broadcast_all
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, fits_broadcast_all
 from ..schema import (ColumnSpec, OutputSchema, unsigned_decimal, unsigned_int,
                       unsigned_smallint, unsigned_tinyint)
 from ..sinks.loaders import LoadMode
@@ -59,8 +59,10 @@ class InventorySnapshot(BatchJob):
     schema = SCHEMA
     destination = Destination(table="fact_inventory", load_mode=LoadMode.INSERT)
 
-    def __init__(self, sources: Mapping[str, DataFrame]):
+    def __init__(self, sources: Mapping[str, DataFrame],
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
         self.sources = sources
+        self.max_broadcast_rows = max_broadcast_rows
 
     def extract(self, spark: SparkSession, params, ctx: RunContext) -> dict[str, DataFrame]:
         s = self.sources["stock_quantities"]
@@ -76,7 +78,8 @@ class InventorySnapshot(BatchJob):
                             "warehouse_id", "status_id"))
         prices = self.sources["product_prices"].select(
             "product_id", "entity_id", F.col("regular_price").alias("unit_price"))
-        fits = fits_broadcast_all({"products": products, "prices": prices})
+        fits = fits_broadcast_all({"products": products, "prices": prices},
+                                  self.max_broadcast_rows)
         stock = (stock.join(checked_broadcast(products, fits=fits["products"]),
                             stock.product_id == products.id, "inner")
                  .where(F.col("available_qty") > 0)

@@ -2,15 +2,20 @@
 
 A scan yields one task per file split; a table stored as a few large,
 unsplittable row groups would leave most cores idle for the row-wise work
-that follows. ``spread`` hash-partitions such a scan on its key column up to
-the cluster's default parallelism. On big inputs (more splits than cores) it
-does nothing. Hashing on a key keeps the redistribution deterministic when a
-task is retried.
+that follows. ``spread`` hash-partitions such a scan up to the cluster's
+default parallelism. On big inputs (more splits than cores) it does nothing.
+
+The partitioning expression is ``xxhash64(key)``, not the key itself: it is
+deterministic (a retried task gets the same rows) but never equals a join's or
+aggregate's required distribution, so those keep their own shuffles, which
+AQE may coalesce or split for skew (a user-requested partitioning on the join
+key would be reused as is and could not be split).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -26,7 +31,7 @@ def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) ->
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, *keys)
+    return df.repartition(target, F.xxhash64(*[F.col(k) for k in keys]))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
