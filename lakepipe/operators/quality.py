@@ -159,13 +159,28 @@ def _type_ok(c: Column, dtype: T.DataType, source: T.DataType) -> Column:
     return F.lit(False)
 
 
+# Python types accepted in a validation schema, as the Spark type they stand for.
+PYTHON_TYPES = {int: T.LongType(), float: T.DoubleType(), str: T.StringType(),
+                bool: T.BooleanType()}
+
+
+def _as_spark_type(t):
+    if t is None or isinstance(t, T.DataType):
+        return t
+    if t in PYTHON_TYPES:
+        return PYTHON_TYPES[t]
+    raise TypeError(f"unsupported expected type: {t!r}")
+
+
 def type_mismatches(df: DataFrame, expected: dict) -> DataFrame:
     """Q3 + Q4: per expected column, how many non-null values do not conform.
 
-    ``expected`` maps a column to a Spark type, or to ``None`` for a presence
-    check only. A missing column raises ``MissingColumnError``.
+    ``expected`` maps a column to a Spark type or a Python type (``int``,
+    ``float``, ``str``, ``bool``), or to ``None`` for a presence check only.
+    A missing column raises ``MissingColumnError``.
     """
     require_columns(df, list(expected))
+    expected = {c: _as_spark_type(t) for c, t in expected.items()}
     typed = [(c, t) for c, t in expected.items() if t is not None]
     if not typed:
         return df.sparkSession.createDataFrame([], "column_name string, position int, mismatches bigint")
@@ -177,6 +192,7 @@ def type_mismatches(df: DataFrame, expected: dict) -> DataFrame:
 
 
 def enforce_types(df: DataFrame, expected: dict) -> None:
+    """Raise ``ColumnTypeMismatchError`` for the first column (in order) with a mismatch."""
     for row in type_mismatches(df, expected).where("mismatches > 0").orderBy("position").limit(1).collect():
         raise ColumnTypeMismatchError(row["column_name"], expected[row["column_name"]])
 

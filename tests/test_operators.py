@@ -137,3 +137,32 @@ def test_validate_table_name():
     assert Q.validate_table_name("ok_1") == "ok_1"
     with pytest.raises(ValueError):
         Q.validate_table_name("bad; drop")
+
+
+def test_python_types_in_validation_schema(spark):
+    df = spark.createDataFrame([(1, 2.5, "x", True)], "i long, f double, s string, b boolean")
+    got = {r["column_name"]: r["mismatches"]
+           for r in Q.type_mismatches(df, {"i": int, "f": float, "s": int, "b": int}).collect()}
+    assert got == {"i": 0, "f": 0, "s": 1, "b": 0}
+    from lakepipe.errors import ColumnTypeMismatchError
+    with pytest.raises(ColumnTypeMismatchError) as e:
+        Q.enforce_types(df, {"i": int, "s": float})
+    assert e.value.column == "s" and e.value.expected is float
+
+
+def test_remaining_domain_errors_carry_their_fields(spark):
+    from datetime import date, datetime
+
+    from lakepipe.errors import InvalidDataError, InvalidParameterError, MissingDailyDataError
+    from lakepipe.sources.calendar import date_range
+    ev = spark.createDataFrame([(datetime(2024, 1, 1, 3),), (datetime(2024, 1, 3, 4),)], "ts timestamp_ntz")
+    with pytest.raises(MissingDailyDataError) as e:
+        Q.enforce_daily_completeness(ev, "ts", date_range(spark, "2024-01-01", "2024-01-03"), "events")
+    assert e.value.table_name == "events" and e.value.date == date(2024, 1, 2)
+    z = spark.createDataFrame([(datetime(2024, 1, 1), 0, 1)], "ts timestamp_ntz, a int, b int")
+    with pytest.raises(InvalidDataError) as e:
+        Q.enforce_no_zero_sums(z, "ts", ["a", "b"])
+    assert e.value.zero_sum_columns == ["a"]
+    with pytest.raises(InvalidParameterError) as e:
+        Q.check_parameter("mode", "x", ["a", "b"])
+    assert e.value.valid_options == ["a", "b"] and "Valid options" in str(e.value)
