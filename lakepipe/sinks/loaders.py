@@ -34,7 +34,9 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def default_table_path(spark: SparkSession, name: str) -> str:
-    return shared_dir(spark, "tables", name)
+    """A stable folder per table name, so replacing a table rewrites its files in
+    place instead of leaving the previous ones behind."""
+    return shared_dir(spark, "tables", name, unique=False)
 
 
 def key_conflicts(df: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:

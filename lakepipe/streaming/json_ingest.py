@@ -6,8 +6,10 @@ checkpoint), each micro-batch goes through the same document rules as the
 batch reader (``json_rows``: list/object/scalar shapes, flatten, validate,
 dedup within the batch), and the rows are written as parquet under
 ``<target>/batch=<id>``. Re-running a batch after a failure rewrites the same
-folder, so the sink is idempotent; the checkpoint lives in the shared
-checkpoint folder unless one is given.
+folder, so the sink is idempotent. The checkpoint defaults to
+``<target>/_checkpoint`` (parquet readers skip it), so repeated runs against the
+same target continue where the last one stopped; keep the target in shared
+storage on a cluster.
 
 ``trigger="available_now"`` processes everything present and stops — the
 streaming equivalent of a scheduled batch run.
@@ -19,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import shared_dir
 from ..sources.json_docs import documents_from_text, json_rows
 
 
@@ -47,7 +48,7 @@ def ingest_json_folder(spark: SparkSession, source_dir: str, target_dir: str, *,
             docs.unpersist()
 
     writer = (stream.writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint or shared_dir(spark, "streams", "json")))
+              .option("checkpointLocation", checkpoint or f"{target_dir.rstrip('/')}/_checkpoint"))
     if trigger == "available_now":
         writer = writer.trigger(availableNow=True)
     else:

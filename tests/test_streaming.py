@@ -22,3 +22,13 @@ def test_ingest_new_files_only(spark, tmp_path):
     q.awaitTermination(120)
     ids = sorted(r["id"] for r in read_ingested(spark, out).collect())
     assert ids == [1, 1, 2, 3, 4]
+
+
+def test_default_checkpoint_resumes(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.json").write_text(json.dumps({"id": 1}))
+    ingest_json_folder(spark, str(src), out).awaitTermination(120)
+    (src / "b.json").write_text(json.dumps({"id": 2}))
+    ingest_json_folder(spark, str(src), out).awaitTermination(120)
+    assert sorted(r["id"] for r in read_ingested(spark, out).collect()) == [1, 2]
