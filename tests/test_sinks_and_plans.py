@@ -189,3 +189,19 @@ def test_sql_parameters_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate,1996-01-01" in plan
     assert df.where(F.col("time") > F.lit("1996-01-31").cast("date")).count() == 0
+
+
+def test_jdbc_connection_options_keep_password_out_of_the_url(spark, monkeypatch):
+    from lakepipe.errors import InvalidTableNameError
+    from lakepipe.sources.jdbc import Connection, read_table
+    c = Connection("dwh", "mysql", "db.local", None, "etl", "p@ss/word", "sales")
+    assert c.url == "jdbc:mysql://db.local:3306/sales"
+    opts = c.options(dbtable="t", fetchsize=100)
+    assert opts["password"] == "p@ss/word" and "p@ss" not in opts["url"]
+    assert opts["driver"] == "com.mysql.cj.jdbc.Driver" and opts["fetchsize"] == "100"
+    monkeypatch.setenv("PG_HOST", "pg")
+    monkeypatch.setenv("PG_USER", "u")
+    pg = Connection.from_env("erp", "PG", "postgresql", "erp")
+    assert pg.url == "jdbc:postgresql://pg:5432/erp" and pg.user == "u"
+    with pytest.raises(InvalidTableNameError):
+        read_table(spark, c, "orders; drop table x")
