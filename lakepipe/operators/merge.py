@@ -20,13 +20,17 @@ _HOW = {"inner": "inner", "left": "left", "right": "right", "outer": "full", "fu
 
 
 def merge(left: DataFrame, right: DataFrame, on: list[str], how: str = "outer",
-          suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
+          suffixes: tuple[str, str] = ("_x", "_y"), null_safe: bool = True) -> DataFrame:
+    """``null_safe=False`` is for keys known to be non-null: plain equality keeps
+    the join keys identical to the inputs' own partitioning (e.g. a preceding
+    aggregation on the same keys), so no extra shuffle is planned."""
     if how not in _HOW:
         raise ValueError(f"how must be one of {sorted(_HOW)}")
     lt, rt = left.alias("_l"), right.alias("_r")
     cond = None
     for k in on:
-        c = F.col(f"_l.`{k}`").eqNullSafe(F.col(f"_r.`{k}`"))
+        lk, rk = F.col(f"_l.`{k}`"), F.col(f"_r.`{k}`")
+        c = lk.eqNullSafe(rk) if null_safe else (lk == rk)
         cond = c if cond is None else (cond & c)
     joined = lt.join(rt, cond, _HOW[how])
 

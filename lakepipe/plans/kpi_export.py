@@ -3,10 +3,13 @@
 Both facts are filtered on their day (F2; Catalyst turns ``to_date(ts)
 BETWEEN`` into a pushed half-open range on the timestamp), then aggregated to
 one row per (time, region_type, region, country) *before* they meet, so the
-null-safe full outer merge (J3) joins group rows, never order rows, and the
+full outer merge (J3) joins group rows, never order rows, and the
 output honours the declared key (time, region_type, region, country,
-kpi_name). The merged KPIs are unpivoted (R1), rounded (M1), zero and missing
-values dropped (F4), and null geography labels replaced by ``N/A``.
+kpi_name). Null geography labels are replaced by ``N/A`` before grouping (the
+key is not-null), which lets the merge use plain equality on exactly the
+aggregation keys: the merge reuses the aggregates' partitioning instead of
+shuffling both sides again. The merged KPIs are unpivoted (R1), rounded (M1),
+and zero and missing values dropped (F4).
 
 Partial aggregation runs map-side, so a hot group (one country holding a
 third of the orders) shrinks to one row per task before the shuffle.
@@ -81,7 +84,10 @@ class KpiExport(BatchJob):
 
     def extract(self, spark: SparkSession, params, ctx: RunContext) -> dict[str, DataFrame]:
         lo, hi = _window(params, ctx)
-        geo = ["country", "region_type", "region"]
+        # key columns are not-null in the output: missing labels become N/A up
+        # front, so both aggregates and the merge partition on the same keys
+        geo = [F.coalesce(F.col(c), F.lit("N/A")).alias(c)
+               for c in ["country", "region_type", "region"]]
         sales = (self.sources["customer_sales"].where(in_window("order_date", lo, hi))
                  .select(F.to_date("order_date").alias("time"), *geo, "order_id", "net_subtotal"))
         purchases = (self.sources["customer_purchases"].where(in_window("order_date", lo, hi))
@@ -90,11 +96,8 @@ class KpiExport(BatchJob):
 
     def transform(self, inputs, params, ctx: RunContext) -> DataFrame:
         merged = merge(sales_kpis(inputs["sales"]), purchase_kpis(inputs["purchases"]),
-                       on=GROUP_COLS, how="outer")
+                       on=GROUP_COLS, how="outer", null_safe=False)
         long = unpivot(merged, GROUP_COLS, var_name="kpi_name", value_name="value",
                        value_type=VALUE_TYPE)
         long = long.withColumn("value", F.round("value", 2))
-        long = long.where(F.col("value").isNotNull() & (F.col("value") != 0))
-        return long.select(
-            "time", *[F.coalesce(F.col(c), F.lit("N/A")).alias(c) for c in GROUP_COLS[1:]],
-            "kpi_name", "value")
+        return long.where(F.col("value").isNotNull() & (F.col("value") != 0))
