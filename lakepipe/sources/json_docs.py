@@ -24,6 +24,8 @@ documents too).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,12 +89,24 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
-              deduplicate: bool = True, schema: dict | None = None,
-              explode_lists: str = "document") -> DataFrame:
-    if explode_lists not in ("document", "record"):
-        raise ValueError("explode_lists must be 'document' or 'record'")
-    spark = df.sparkSession
+@dataclass(frozen=True)
+class JsonShape:
+    """What the reshaping needs to know about a set of documents.
+
+    ``object_type``: Spark DDL of the object rows (``STRUCT<…>``), or None when
+    there are none; ``value_type``: DDL of scalar members (column ``value``), or
+    None; ``member_objects``: whether list documents contain objects (with the
+    ``"document"`` rule their list fields then stay whole, so list columns are
+    text). Infer it once with ``infer_json_shape`` (one pass), store it, and pass
+    it to ``json_rows`` to skip that pass and give every batch the same schema.
+    """
+    object_type: str | None
+    value_type: str | None
+    member_objects: bool
+
+
+def _document_items(df: DataFrame, col: str) -> DataFrame:
+    """Documents → one row per item: (v VARIANT, top BOOLEAN, _obj BOOLEAN)."""
     # Blank text and JSON null are no document. Both are handled inside the
     # expressions (an empty member list) rather than by filters: a filter here
     # would be pushed below the input's exchange and parse every document twice.
@@ -110,24 +124,48 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
     # predicate for outer generators, so the item expression is built once.
     rows = v.select(F.inline_outer(items))
     rows = rows.where(F.col("v").isNotNull() & ~F.is_variant_null("v"))
-    rows = rows.withColumn("_obj", F.schema_of_variant("v").startswith("OBJECT"))
+    return rows.withColumn("_obj", F.schema_of_variant("v").startswith("OBJECT"))
 
-    shapes = rows.agg(
+
+def _shape_of(rows: DataFrame) -> JsonShape:
+    agg = rows.agg(
         F.schema_of_variant_agg(F.when(F.col("_obj"), F.col("v"))).alias("obj"),
         F.schema_of_variant_agg(F.when(~F.col("_obj"), F.col("v"))).alias("val"),
         F.count_if(F.col("_obj")).alias("n_obj"),
         F.count_if(~F.col("_obj")).alias("n_val"),
         F.count_if(F.col("_obj") & ~F.col("top")).alias("n_member_obj")).first()
-    if not shapes["n_obj"] and not shapes["n_val"]:
+    return JsonShape(variant_type_to_ddl(agg["obj"]) if agg["n_obj"] else None,
+                     variant_type_to_ddl(agg["val"]) if agg["n_val"] else None,
+                     bool(agg["n_member_obj"]))
+
+
+def infer_json_shape(df: DataFrame, col: str = "doc") -> JsonShape:
+    """One aggregate pass (``schema_of_variant_agg``, partial per task); only a
+    type string whose size depends on the distinct keys reaches the driver."""
+    return _shape_of(_document_items(df, col))
+
+
+def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
+              deduplicate: bool = True, schema: dict | None = None,
+              explode_lists: str = "document", shape: JsonShape | None = None) -> DataFrame:
+    if explode_lists not in ("document", "record"):
+        raise ValueError("explode_lists must be 'document' or 'record'")
+    spark = df.sparkSession
+    rows = _document_items(df, col)
+    shape = shape if shape is not None else _shape_of(rows)
+    if shape.object_type is None and shape.value_type is None:
         return spark.createDataFrame([], T.StructType([]))
+    shapes = {"obj": shape.object_type, "val": shape.value_type,
+              "n_obj": shape.object_type is not None, "n_val": shape.value_type is not None,
+              "n_member_obj": shape.member_objects}
 
     out_cols: list[Column] = []
     obj_type = struct_expr = None
     if shapes["n_obj"]:
-        struct_expr = F.expr(f"cast(v as {variant_type_to_ddl(shapes['obj'])})")
+        struct_expr = F.expr(f"cast(v as {shapes['obj']})")
         obj_type = rows.select(struct_expr.alias("_s")).schema["_s"].dataType  # analysis only
     names = [f.name for f in obj_type.fields] if obj_type else []
-    val_ddl = variant_type_to_ddl(shapes["val"]) if shapes["n_val"] else None
+    val_ddl = shapes["val"] if shapes["n_val"] else None
 
     staged_cols = [F.col("_obj"), F.col("top")]
     if obj_type:

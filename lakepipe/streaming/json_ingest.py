@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.json_docs import documents_from_text, json_rows
+from ..sources.json_docs import JsonShape, documents_from_text, json_rows
 
 
 def ingest_json_folder(spark: SparkSession, source_dir: str, target_dir: str, *,
@@ -29,7 +29,11 @@ def ingest_json_folder(spark: SparkSession, source_dir: str, target_dir: str, *,
                        flatten: bool = True, deduplicate: bool = True,
                        explode_lists: str = "document", schema: dict | None = None,
                        trigger: str = "available_now",
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+                       max_files_per_trigger: int | None = None,
+                       shape: JsonShape | None = None) -> StreamingQuery:
+    """Start the stream. With ``shape`` (see ``infer_json_shape``) every batch is
+    reshaped to the same columns and types and no batch runs an inference pass;
+    without it each batch infers its own."""
     reader = (spark.readStream.format("text").option("wholetext", True)
               .option("pathGlobFilter", pattern))
     if max_files_per_trigger:
@@ -42,7 +46,7 @@ def ingest_json_folder(spark: SparkSession, source_dir: str, target_dir: str, *,
             if docs.isEmpty():
                 return
             rows = json_rows(docs, "doc", flatten=flatten, deduplicate=deduplicate,
-                             schema=schema, explode_lists=explode_lists)
+                             schema=schema, explode_lists=explode_lists, shape=shape)
             rows.write.mode("overwrite").parquet(f"{target_dir.rstrip('/')}/batch={batch_id}")
         finally:
             docs.unpersist()

@@ -105,3 +105,17 @@ def test_read_json_files_directory_and_fallbacks(spark, tmp_path):
 def test_variant_type_to_ddl():
     s = "OBJECT<`a b`: OBJECT<x: BIGINT>, l: ARRAY<VOID>, `OBJECT<`: STRING>"
     assert variant_type_to_ddl(s) == "STRUCT<`a b`: STRUCT<x: BIGINT>, l: ARRAY<STRING>, `OBJECT<`: STRING>"
+
+
+def test_stored_shape_skips_inference_and_fixes_the_schema(spark):
+    from lakepipe.sources.json_docs import JsonShape, infer_json_shape
+    docs = _docs(spark, ['{"id": 1, "t": ["a", "b"], "u": {"x": 1}}', '[{"id": 2}, 9]'])
+    shape = infer_json_shape(docs)
+    assert shape == JsonShape("STRUCT<id: BIGINT, t: ARRAY<STRING>, u: STRUCT<x: BIGINT>>",
+                              "BIGINT", True)
+    assert _rows(json_rows(docs, shape=shape)) == _rows(json_rows(docs))
+    # a later batch without "u" and without scalars keeps the same columns
+    later = _docs(spark, ['{"id": 3, "t": ["c"]}'])
+    out = json_rows(later, shape=shape)
+    assert sorted(out.columns) == ["id", "t", "u.x", "value"]
+    assert _rows(out)[1] == [(3, "c", None, None)]
