@@ -205,3 +205,37 @@ def test_jdbc_connection_options_keep_password_out_of_the_url(spark, monkeypatch
     assert pg.url == "jdbc:postgresql://pg:5432/erp" and pg.user == "u"
     with pytest.raises(InvalidTableNameError):
         read_table(spark, c, "orders; drop table x")
+
+
+def test_real_jobs_run_end_to_end(spark, tmp_path):
+    from lakepipe.plans.inventory_export import InventoryExport
+    from lakepipe.plans.inventory_snapshot import InventorySnapshot
+    from lakepipe.plans.kpi_export import KpiExport, KpiExportParameters
+    from lakepipe.registry import _X2_DIMS
+    from lakepipe.sources.fixtures import adapters
+    as_of = datetime(2024, 1, 31)
+    log = _name("runs")
+    kpi = KpiExport(adapters(spark, SF_ORACLE, ["customer_sales", "customer_purchases"]))
+    params = KpiExportParameters("1996-01-01", "1996-03-31")
+    out = str(tmp_path / "kpi")
+    stats = kpi.run(spark, params, RunContext(as_of=as_of, run_log_table=log),
+                    Destination(csv_path=out, compression="gzip"))
+    assert stats["loaded_rows"] == kpi.build(spark, params, RunContext(as_of=as_of)).count() > 0
+    assert spark.read.option("header", True).csv(out).count() == stats["loaded_rows"]
+
+    inv = InventoryExport(adapters(spark, SF_ORACLE, _X2_DIMS))
+    stats = inv.run(spark, None, RunContext(as_of=as_of, run_log_table=log),
+                    Destination(csv_path=str(tmp_path / "inv")))
+    assert stats["loaded_rows"] == 12053
+
+    snap = InventorySnapshot(adapters(spark, SF_ORACLE, ["stock_quantities", "products", "product_prices"]))
+    target = _name("fact_inventory")
+    stats = snap.run(spark, None, RunContext(as_of=as_of, run_log_table=log),
+                     Destination(table=target, load_mode=LoadMode.INSERT))
+    assert stats["loaded_rows"] == spark.table(target).count() == 1771
+    # a second snapshot for the same day violates the key (date, product, warehouse)
+    with pytest.raises(PrimaryKeyViolationError):
+        snap.run(spark, None, RunContext(as_of=as_of, run_log_table=log),
+                 Destination(table=target, load_mode=LoadMode.INSERT))
+    statuses = [r["status_id"] for r in spark.table(log).orderBy("created_at").collect()]
+    assert statuses.count(1) == 3 and statuses.count(2) == 1
