@@ -16,6 +16,9 @@ for ``n`` = days since a Monday, so no per-row loop or calendar table is needed.
 Naive input is local wall time. A repeated wall time (clock set back) takes
 the first occurrence; a wall time inside a gap (clock set forward) maps to the
 first instant after the gap, assuming transitions begin on a whole local hour.
+A local midnight that does not exist (zones that change clocks at midnight)
+is the transition instant, so the count stays the real elapsed working time;
+the data-frame algorithm this mirrors raises an error in that case.
 """
 
 from __future__ import annotations
