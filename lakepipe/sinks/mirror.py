@@ -58,3 +58,23 @@ def mirror_tables(spark: SparkSession, sources: Mapping[str, DataFrame], *,
     for r in recon[1:]:
         out = out.unionByName(r)
     return out
+
+
+def mirror_jdbc_tables(spark: SparkSession, conn, tables: list[str], *,
+                       partitioning: Mapping[str, tuple[str, int, int, int]] | None = None,
+                       target_prefix: str = "mirror_",
+                       generated_columns: Mapping[str, list[str]] | None = None) -> DataFrame:
+    """X6 over JDBC: each table is read with parallel range queries when a
+    ``(column, lower, upper, partitions)`` entry is given (S10), then mirrored."""
+    from ..sources.jdbc import read_table
+    partitioning = partitioning or {}
+    sources = {}
+    for t in tables:
+        if t in partitioning:
+            col, lo, hi, n = partitioning[t]
+            sources[t] = read_table(spark, conn, t, partition_column=col, lower_bound=lo,
+                                    upper_bound=hi, num_partitions=n)
+        else:
+            sources[t] = read_table(spark, conn, t)
+    return mirror_tables(spark, sources, target_prefix=target_prefix,
+                         generated_columns=generated_columns)
