@@ -70,3 +70,26 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_runs_on_smallest_scale(spark, name):
     E.queries()[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
+
+
+def test_kpi_export_narrow_window_matches_oracle(spark, duck):
+    """F2 boundaries: both window ends are inclusive days."""
+    from datetime import datetime
+
+    from lakepipe.plans.job import RunContext
+    from lakepipe.plans.kpi_export import KpiExport, KpiExportParameters
+    from lakepipe.registry import _X3_ORACLE, KPI_WINDOW
+    from lakepipe.sources.fixtures import adapters
+    lo, hi = "1996-02-01", "1996-02-29"
+    srcs = adapters(spark, SF_ORACLE, ["customer_sales", "customer_purchases"])
+    sdf = KpiExport(srcs).build(spark, KpiExportParameters(lo, hi), RunContext(as_of=datetime(2024, 1, 1)))
+    sql = _X3_ORACLE.replace(f"DATE '{KPI_WINDOW[0]}'", f"DATE '{lo}'").replace(
+        f"DATE '{KPI_WINDOW[1]}'", f"DATE '{hi}'")
+    res = duck.execute(sql)
+    ocols = [d[0] for d in res.description]
+    orows = res.fetchall()
+    srows = [tuple(r) for r in sdf.collect()]
+    assert len(srows) > 0
+    assert _rows(sdf.columns, srows) == _rows(ocols, orows)
+    days = {r[0] for r in srows}
+    assert min(days).isoformat() == lo and max(days).isoformat() == hi
