@@ -96,7 +96,3 @@ class InventorySnapshot(BatchJob):
                 .withColumn("total_value", F.round(F.col("unit_price") * F.col("available_qty"), 2))
                 .withColumnRenamed("available_qty", "quantity"))
 
-
-def inventory_snapshot(sources: Mapping[str, DataFrame], spark: SparkSession,
-                       ctx: RunContext) -> DataFrame:
-    return InventorySnapshot(sources).build(spark, ctx=ctx)

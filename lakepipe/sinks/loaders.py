@@ -16,7 +16,6 @@ from __future__ import annotations
 from enum import Enum
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..errors import PrimaryKeyViolationError, TableNotFoundError
 from ..operators.quality import validate_table_name
@@ -69,6 +68,3 @@ def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = N
         writer = writer.partitionBy(*partition_by)
     writer.option("path", path or default_table_path(spark, name)).saveAsTable(name)
 
-
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))

@@ -18,7 +18,6 @@ streaming equivalent of a scheduled batch run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.json_docs import JsonShape, documents_from_text, json_rows
