@@ -9,6 +9,12 @@
 
 Tables are external tables whose files live under ``spark.checkpoint.dir``
 (or an explicit ``path``), so every executor can read them.
+
+Guarantees: writes go through Spark's commit protocol (a retried task never
+leaves partial files). Replacing a parquet table is not atomic for readers, so
+jobs run every check *before* the first file is written. The INSERT key check
+and the append are two steps: they are not safe against a concurrent writer
+appending the same keys (use a table format with MERGE for that).
 """
 
 from __future__ import annotations
