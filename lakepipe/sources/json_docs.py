@@ -111,20 +111,23 @@ def _document_items(df: DataFrame, col: str) -> DataFrame:
     # expressions (an empty member list) rather than by filters: a filter here
     # would be pushed below the input's exchange and parse every document twice.
     text = F.col(col)
-    v = df.select(F.parse_json(F.when(_non_blank(text), text)).alias("_v"))
+    # The first non-blank character of a valid document tells its kind, so the
+    # top level needs no walk over the parsed value.
+    first = F.substring(F.btrim(text, F.lit(PY_WHITESPACE)), 1, 1)
+    v = df.select(F.parse_json(F.when(_non_blank(text), text)).alias("_v"), first.alias("_first"))
     v_ = F.col("_v")
     no_doc = v_.isNull() | F.is_variant_null(v_)
-    is_list = F.schema_of_variant(v_).startswith("ARRAY")
-    members = F.transform(v_.cast("array<variant>"),
-                          lambda e: F.struct(e.alias("v"), F.lit(False).alias("top")))
-    single = F.array(F.struct(v_.alias("v"), F.lit(True).alias("top")))
+    members = F.transform(v_.cast("array<variant>"), lambda e: F.struct(
+        e.alias("v"), F.lit(False).alias("top"),
+        F.schema_of_variant(e).startswith("OBJECT").alias("_obj")))
+    single = F.array(F.struct(v_.alias("v"), F.lit(True).alias("top"),
+                              (F.col("_first") == "{").alias("_obj")))
     items = (F.when(no_doc, F.filter(single, lambda x: F.lit(False)))
-             .when(is_list, members).otherwise(single))
+             .when(F.col("_first") == "[", members).otherwise(single))
     # *_outer generators + a filter after them: Spark infers no size() > 0
     # predicate for outer generators, so the item expression is built once.
     rows = v.select(F.inline_outer(items))
-    rows = rows.where(F.col("v").isNotNull() & ~F.is_variant_null("v"))
-    return rows.withColumn("_obj", F.schema_of_variant("v").startswith("OBJECT"))
+    return rows.where(F.col("v").isNotNull() & ~F.is_variant_null("v"))
 
 
 def _shape_of(rows: DataFrame) -> JsonShape:
