@@ -227,6 +227,14 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
     return result
 
 
+def json_object_rows(spark: SparkSession, obj, **kwargs) -> DataFrame:
+    """S9 for an in-memory object: a dict, list or scalar becomes one document
+    and follows the same rules as ``json_rows`` (an empty list gives no rows)."""
+    import json
+    doc = spark.createDataFrame([(json.dumps(obj),)], "doc string")
+    return json_rows(doc, "doc", **kwargs)
+
+
 def _non_blank(c: Column) -> Column:
     return F.btrim(c, F.lit(PY_WHITESPACE)) != ""
 

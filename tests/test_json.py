@@ -119,3 +119,12 @@ def test_stored_shape_skips_inference_and_fixes_the_schema(spark):
     out = json_rows(later, shape=shape)
     assert sorted(out.columns) == ["id", "t", "u.x", "value"]
     assert _rows(out)[1] == [(3, "c", None, None)]
+
+
+def test_in_memory_objects(spark):
+    from lakepipe.sources.json_docs import json_object_rows
+    cols, rows = _rows(json_object_rows(spark, {"id": 1, "t": ["a", "b"], "u": {"x": 2}}))
+    assert cols == ["id", "t", "u.x"] and rows == [(1, "a", 2), (1, "b", 2)]
+    cols, rows = _rows(json_object_rows(spark, [{"a": 1}, {"a": 1}, 5]))
+    assert rows == sorted([(1, None), (None, 5)], key=repr)
+    assert json_object_rows(spark, []).count() == 0
