@@ -887,3 +887,21 @@ def q_sales_extract_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
                    {"min_date": date.fromisoformat(KPI_WINDOW[0]),
                     "max_date": date.fromisoformat(KPI_WINDOW[1])},
                    customer_sales=adapter(spark, sf_dir, "customer_sales"))
+
+
+# ------------------------------------------------------------ S6–S8 files
+_JSON_FILES_ORACLE = _JSON_ZIP_ORACLE
+
+
+@register("json_files", _JSON_FILES_ORACLE)
+def q_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6–S8 + R2–R6 + A8: the event documents written as line-delimited files
+    (several part files) in the shared folder, read back by the directory reader
+    and reshaped with the list rule applied to every record (``explode_lists="record"``)."""
+    from .session import shared_dir
+    from .sources.fixtures import adapter
+    from .sources.json_docs import json_rows, read_json_files
+    folder = shared_dir(spark, "json_files")
+    adapter(spark, sf_dir, "json_docs").select("doc").write.mode("overwrite").text(folder)
+    docs = read_json_files(spark, folder, document_globs=(), line_globs=("*.txt",))
+    return json_rows(docs, "doc", explode_lists="record")

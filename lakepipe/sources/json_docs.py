@@ -260,23 +260,26 @@ def documents_from_text(raw: DataFrame, text_col: str = "value", keep=()) -> Dat
     return single.unionByName(multi)
 
 
-def read_json_files(spark: SparkSession, paths) -> DataFrame:
+def read_json_files(spark: SparkSession, paths, *,
+                    document_globs=("*.json",),
+                    line_globs=("*.jsonl", "*.ndjson")) -> DataFrame:
     """JSON documents from files and directories, as ``(source_file, doc)``.
 
-    ``*.json`` files are read whole (one task per file) and split by
-    ``documents_from_text`` (one document, or NDJSON lines). ``*.jsonl`` /
-    ``*.ndjson`` are read line by line, so large files split across tasks; each
-    line is a one-member list document (R2). Blank files/lines are skipped and
-    JSON ``null`` documents are dropped by ``json_rows``.
+    Files matching ``document_globs`` (default ``*.json``) are read whole (one
+    task per file) and split by ``documents_from_text`` (one document, or NDJSON
+    lines). Files matching ``line_globs`` (default ``*.jsonl``, ``*.ndjson``) are
+    read line by line, so large files split across tasks; each line is a
+    one-member list document (R2). Blank files/lines are skipped and JSON
+    ``null`` documents are dropped by ``json_rows``.
     """
     if isinstance(paths, str):
         paths = [paths]
     frames = []
     for p in paths:
-        for ext, whole in (("json", True), ("jsonl", False), ("ndjson", False)):
+        for glob, whole in [(g, True) for g in document_globs] + [(g, False) for g in line_globs]:
             try:
                 raw = (spark.read.format("text").option("wholetext", whole)
-                       .option("pathGlobFilter", f"*.{ext}").load(p))
+                       .option("pathGlobFilter", glob).load(p))
             except AnalysisException as e:
                 if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                     raise ResourceNotFoundError(p) from e
