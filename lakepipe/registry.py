@@ -905,3 +905,19 @@ def q_json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     adapter(spark, sf_dir, "json_docs").select("doc").write.mode("overwrite").text(folder)
     docs = read_json_files(spark, folder, document_globs=(), line_globs=("*.txt",))
     return json_rows(docs, "doc", explode_lists="record")
+
+
+@register("json_stream_ingest", _JSON_ZIP_ORACLE)
+def q_json_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structured Streaming ingest of the event documents: Spark writes them as
+    line-delimited part files, a file stream (``availableNow``) reshapes each
+    micro-batch with the JSON rules into parquet, and the ingested rows are read back."""
+    from .session import shared_dir
+    from .sources.fixtures import adapter
+    from .streaming.json_ingest import ingest_json_folder, read_ingested
+    base = shared_dir(spark, "json_stream")
+    adapter(spark, sf_dir, "json_docs").select("doc").write.mode("overwrite").text(f"{base}/in")
+    q = ingest_json_folder(spark, f"{base}/in", f"{base}/out", pattern="*.txt",
+                           line_delimited=True, explode_lists="record")
+    q.awaitTermination()
+    return read_ingested(spark, f"{base}/out").drop("batch")

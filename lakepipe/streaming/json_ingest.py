@@ -18,8 +18,10 @@ streaming equivalent of a scheduled batch run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import PY_WHITESPACE
 from ..sources.json_docs import JsonShape, documents_from_text, json_rows
 
 
@@ -29,18 +31,25 @@ def ingest_json_folder(spark: SparkSession, source_dir: str, target_dir: str, *,
                        explode_lists: str = "document", schema: dict | None = None,
                        trigger: str = "available_now",
                        max_files_per_trigger: int | None = None,
-                       shape: JsonShape | None = None) -> StreamingQuery:
+                       shape: JsonShape | None = None,
+                       line_delimited: bool = False) -> StreamingQuery:
     """Start the stream. With ``shape`` (see ``infer_json_shape``) every batch is
     reshaped to the same columns and types and no batch runs an inference pass;
-    without it each batch infers its own."""
-    reader = (spark.readStream.format("text").option("wholetext", True)
+    without it each batch infers its own. ``line_delimited=True`` reads files
+    line by line (NDJSON; large files split across tasks), each line a
+    one-member list document; otherwise each file is read whole."""
+    reader = (spark.readStream.format("text").option("wholetext", not line_delimited)
               .option("pathGlobFilter", pattern))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        docs = documents_from_text(batch, "value").persist()
+        if line_delimited:
+            docs = batch.where(F.btrim("value", F.lit(PY_WHITESPACE)) != "").select(
+                F.concat(F.lit("["), F.col("value"), F.lit("]")).alias("doc")).persist()
+        else:
+            docs = documents_from_text(batch, "value").persist()
         try:
             if docs.isEmpty():
                 return
