@@ -156,19 +156,21 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
     spark = df.sparkSession
     rows = _document_items(df, col)
     shape = shape if shape is not None else _shape_of(rows)
-    if shape.object_type is None and shape.value_type is None:
+    obj_ddl, val_ddl = shape.object_type, shape.value_type
+    if obj_ddl is None and val_ddl is None:
         return spark.createDataFrame([], T.StructType([]))
-    shapes = {"obj": shape.object_type, "val": shape.value_type,
-              "n_obj": shape.object_type is not None, "n_val": shape.value_type is not None,
-              "n_member_obj": shape.member_objects}
+    # items of a kind the shape does not declare are not part of the output
+    if obj_ddl is None:
+        rows = rows.where(~F.col("_obj"))
+    elif val_ddl is None:
+        rows = rows.where(F.col("_obj"))
 
     out_cols: list[Column] = []
     obj_type = struct_expr = None
-    if shapes["n_obj"]:
-        struct_expr = F.expr(f"cast(v as {shapes['obj']})")
+    if obj_ddl:
+        struct_expr = F.expr(f"cast(v as {obj_ddl})")
         obj_type = rows.select(struct_expr.alias("_s")).schema["_s"].dataType  # analysis only
     names = [f.name for f in obj_type.fields] if obj_type else []
-    val_ddl = shapes["val"] if shapes["n_val"] else None
 
     staged_cols = [F.col("_obj"), F.col("top")]
     if obj_type:
@@ -195,7 +197,7 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
         staged = staged.where(F.col("_pos").isNotNull())
     # Objects the list rule skips keep whole lists; when such objects exist the
     # field holds elements in some rows and lists in others, so it becomes text.
-    mixed = explode_lists == "document" and bool(shapes["n_member_obj"])
+    mixed = explode_lists == "document" and shape.member_objects
     for name in names:
         field = F.col("_s").getField(name)
         if name in list_fields:

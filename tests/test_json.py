@@ -128,3 +128,10 @@ def test_in_memory_objects(spark):
     cols, rows = _rows(json_object_rows(spark, [{"a": 1}, {"a": 1}, 5]))
     assert rows == sorted([(1, None), (None, 5)], key=repr)
     assert json_object_rows(spark, []).count() == 0
+
+
+def test_shape_without_scalars_drops_scalar_members(spark):
+    from lakepipe.sources.json_docs import JsonShape
+    docs = _docs(spark, ['[{"id": 1}, 7]'])
+    out = json_rows(docs, shape=JsonShape("STRUCT<id: BIGINT>", None, True))
+    assert _rows(out) == (["id"], [(1,)])
