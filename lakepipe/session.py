@@ -57,3 +57,12 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         path = f"{path}/{uuid.uuid4().hex}"
     return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system (staging data of a finished run)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
