@@ -44,12 +44,13 @@ class NoParameters:
 
 @dataclass
 class Destination:
-    """Where ``run`` writes: a catalog table and/or a CSV export."""
+    """Where ``run`` writes: a catalog table, a database table and/or a CSV export."""
     table: str | None = None
     load_mode: LoadMode = LoadMode.INSERT
     csv_path: str | None = None
     single_file: bool = False
     compression: str | None = None
+    jdbc: tuple | None = None  # (Connection, table name): a database table, same load modes
 
 
 @dataclass
@@ -143,6 +144,13 @@ class BatchJob:
             load_table(output.observe(obs, F.count(F.lit(1)).alias("rows")), dest.table,
                        dest.load_mode, key=self.schema.primary_key or None)
             loaded = int(obs.get["rows"])
+        if dest.jdbc:
+            from ..sources.jdbc import load_jdbc
+            conn, table = dest.jdbc
+            obs = Observation("loaded_jdbc")
+            load_jdbc(output.observe(obs, F.count(F.lit(1)).alias("rows")), conn, table,
+                      dest.load_mode, key=self.schema.primary_key or None)
+            loaded = int(obs.get["rows"])
         if dest.csv_path:
             res = export_csv(output, dest.csv_path, single_file=dest.single_file,
                              compression=dest.compression)

@@ -239,3 +239,25 @@ def test_real_jobs_run_end_to_end(spark, tmp_path):
                  Destination(table=target, load_mode=LoadMode.INSERT))
     statuses = [r["status_id"] for r in spark.table(log).orderBy("created_at").collect()]
     assert statuses.count(1) == 3 and statuses.count(2) == 1
+
+
+def test_load_jdbc_modes_map_to_writer_options(spark, monkeypatch):
+    """Without a database server: record what the JDBC writer would be asked to do."""
+    import lakepipe.sources.jdbc as J
+    from lakepipe.errors import TableNotFoundError
+    calls = []
+    monkeypatch.setattr(J, "write_table", lambda df, conn, table, mode, **kw: calls.append(
+        (table, mode, kw.get("truncate", False))))
+    monkeypatch.setattr(J, "table_exists_jdbc", lambda spark, conn, table: table == "present")
+    conn = J.Connection("dwh", "mysql", "h", 3306, "u", "p", "db")
+    df = spark.createDataFrame([(1,)], "id long")
+    J.load_jdbc(df, conn, "t", LoadMode.DROP_INSERT)
+    J.load_jdbc(df, conn, "present", LoadMode.TRUNCATE_INSERT)
+    with pytest.raises(TableNotFoundError):
+        J.load_jdbc(df, conn, "absent", LoadMode.TRUNCATE_INSERT)
+    J.load_jdbc(df, conn, "absent", LoadMode.INSERT, key=["id"])
+    monkeypatch.setattr(J, "read_table", lambda spark, conn, table, **kw: spark.range(3))
+    with pytest.raises(PrimaryKeyViolationError):
+        J.load_jdbc(df, conn, "present", LoadMode.INSERT, key=["id"])
+    assert calls == [("t", "overwrite", False), ("present", "overwrite", True),
+                     ("absent", "append", False)]
