@@ -66,3 +66,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if fs.exists(hpath):
         fs.delete(hpath, True)
+
+
+def path_has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a folder of the shared file system exists and holds any file."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(hpath))

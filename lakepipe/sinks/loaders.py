@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import PrimaryKeyViolationError, TableNotFoundError
 from ..operators.quality import validate_table_name
-from ..session import shared_dir
+from ..session import path_has_data, shared_dir
 
 
 class LoadMode(Enum):
@@ -55,6 +55,12 @@ def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = N
     spark = df.sparkSession
     validate_table_name(name)
     exists = table_exists(spark, name)
+    location = path or default_table_path(spark, name)
+    if not exists and path_has_data(spark, location):
+        # data written by an earlier session whose catalog is gone: attach it, so
+        # INSERT checks keys against it and TRUNCATE_INSERT finds the table
+        spark.catalog.createTable(name, path=location, source=file_format)
+        exists = True
     if mode is LoadMode.TRUNCATE_INSERT:
         if not exists:
             raise TableNotFoundError(name)
@@ -72,5 +78,5 @@ def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = N
     writer = df.write.format(file_format).mode("overwrite" if mode is LoadMode.DROP_INSERT else "append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("path", path or default_table_path(spark, name)).saveAsTable(name)
+    writer.option("path", location).saveAsTable(name)
 

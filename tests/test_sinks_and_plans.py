@@ -261,3 +261,15 @@ def test_load_jdbc_modes_map_to_writer_options(spark, monkeypatch):
         J.load_jdbc(df, conn, "present", LoadMode.INSERT, key=["id"])
     assert calls == [("t", "overwrite", False), ("present", "overwrite", True),
                      ("absent", "append", False)]
+
+
+def test_insert_reattaches_data_left_by_an_earlier_catalog(spark):
+    t = _name("t_reattach")
+    df = spark.createDataFrame([(1, "a")], "id long, name string")
+    load_table(df, t, LoadMode.DROP_INSERT)
+    spark.sql(f"DROP TABLE {t}")              # external table: the files stay
+    with pytest.raises(PrimaryKeyViolationError):
+        load_table(df, t, LoadMode.INSERT, key=["id"])
+    load_table(spark.createDataFrame([(2, "b")], "id long, name string"), t, LoadMode.INSERT,
+               key=["id"])
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [(1, "a"), (2, "b")]
