@@ -8,7 +8,9 @@ data-quality checks, load modes, CSV exports, table mirroring, a run log with
 a monitoring report, and complete jobs built on them.
 """
 
+from .plans.job import BatchJob, Destination, RunContext
 from .schema import ColumnSpec, OutputSchema
+from .sinks.loaders import LoadMode
 
-__all__ = ["ColumnSpec", "OutputSchema"]
+__all__ = ["BatchJob", "ColumnSpec", "Destination", "LoadMode", "OutputSchema", "RunContext"]
 __version__ = "0.1.0"
