@@ -166,3 +166,27 @@ def test_remaining_domain_errors_carry_their_fields(spark):
     with pytest.raises(InvalidParameterError) as e:
         Q.check_parameter("mode", "x", ["a", "b"])
     assert e.value.valid_options == ["a", "b"] and "Valid options" in str(e.value)
+
+
+def test_small_helpers(spark):
+    from datetime import date, datetime
+
+    from lakepipe.errors import UnexpectedTypeError
+    from lakepipe.functions.dates import minutes_before, ntz_literal, start_of_day_before
+    from lakepipe.operators.reshape import explode_list
+    from lakepipe.operators.tail import clean_strings
+    from lakepipe.sources.calendar import data_date_bounds, date_range
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "id int, t array<string>")
+    assert sorted(tuple(r) for r in explode_list(df, "t").collect()) == [(1, "a"), (1, "b")]
+    s = spark.createDataFrame([(" x ", " y ")], "a string, b string")
+    assert tuple(clean_strings(s, exclude=["b"]).first()) == ("x", " y ")
+    with pytest.raises(UnexpectedTypeError):
+        OutputSchema("bad", "not a column spec")
+    row = spark.range(1).select(minutes_before(ntz_literal(datetime(2024, 1, 1, 0, 30)), 45).alias("a"),
+                                start_of_day_before(datetime(2024, 1, 30, 23, 58)).alias("b")).first()
+    assert row["a"] == datetime(2023, 12, 31, 23, 45) and row["b"] == datetime(2024, 1, 29)
+    cal = date_range(spark, "2024-02-27", "2024-03-01")
+    assert [r[0] for r in cal.orderBy("date").collect()] == [
+        date(2024, 2, 27), date(2024, 2, 28), date(2024, 2, 29), date(2024, 3, 1)]
+    ev = spark.createDataFrame([(datetime(2024, 1, 5, 3),), (datetime(2024, 1, 2, 9),)], "ts timestamp_ntz")
+    assert data_date_bounds([(ev, "ts")]) == (date(2024, 1, 2), date(2024, 1, 5))
