@@ -47,7 +47,8 @@ def dated_key(prefix: str, name: str, as_of: date | datetime, ext: str = "csv")
 
 
 def written_bytes(spark: SparkSession, path: str, glob: str = "part-*") -> tuple[int, int]:
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+               .option("recursiveFileLookup", True).load(path))
     row = listing.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b"),
                       F.count(F.lit(1)).alias("n")).first()
     return int(row["b"]), int(row["n"])
@@ -69,13 +70,17 @@ def _rename_single_part(spark: SparkSession, directory: str, target: str) -> Non
 def export_csv(df: DataFrame, path: str, *, single_file: bool = False,
                compression: str | None = None,
                timestamp_format: str = "yyyy-MM-dd HH:mm:ss",
-               size_limit: int | None = None) -> ExportResult:
+               size_limit: int | None = None,
+               partition_by: list[str] | None = None) -> ExportResult:
     """K4: header, null → empty field, quotes doubled, values not trimmed.
 
     ``single_file=True`` writes one file at exactly ``path`` through a single
     task (``coalesce(1)``); use it only for deliverables known to be small.
-    The default writes part files in parallel under ``path``.
+    The default writes part files in parallel under ``path``. ``partition_by``
+    (K10) writes Hive-style ``col=value`` folders, e.g. ``year=2024/month=01``.
     """
+    if single_file and partition_by:
+        raise ValueError("single_file and partition_by exclude each other")
     spark = df.sparkSession
     obs = Observation("export")
     out = csv_ready(df).observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -89,6 +94,8 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = False,
          .option("dateFormat", "yyyy-MM-dd"))
     if compression:
         w = w.option("compression", compression)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.csv(out_dir)
     rows = int(obs.get["rows"])
     size, files = written_bytes(spark, out_dir)

@@ -273,3 +273,15 @@ def test_insert_reattaches_data_left_by_an_earlier_catalog(spark):
     load_table(spark.createDataFrame([(2, "b")], "id long, name string"), t, LoadMode.INSERT,
                key=["id"])
     assert sorted(tuple(r) for r in spark.table(t).collect()) == [(1, "a"), (2, "b")]
+
+
+def test_export_partitioned_by_year_and_month(spark, tmp_path):
+    df = spark.createDataFrame([(1, date(2024, 1, 5)), (2, date(2024, 2, 9)), (3, date(2024, 2, 10))],
+                               "id int, d date")
+    df = df.withColumn("year", F.year("d")).withColumn("month", F.date_format("d", "MM"))
+    out = str(tmp_path / "exp")
+    res = export_csv(df, out, partition_by=["year", "month"])
+    assert res.row_count == 3 and res.files >= 2 and res.bytes > 0
+    assert os.path.isdir(os.path.join(out, "year=2024", "month=02"))
+    back = spark.read.option("header", True).csv(out)
+    assert back.where("month = 2").count() == 2
