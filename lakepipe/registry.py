@@ -331,7 +331,8 @@ FROM u WHERE value IS NOT NULL AND value <> 0""")
 
 @register("kpi_export", _X3_ORACLE)
 def q_kpi_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F2 → per-group KPIs → null-safe outer merge (J3) → unpivot (R1) → M1 → F4."""
+    """F2 → per-group KPIs (null labels → N/A) → full outer merge on the group keys
+    → unpivot (R1) → M1 → F4."""
     from .plans.kpi_export import KpiExport, KpiExportParameters
     srcs = adapters(spark, sf_dir, ["customer_sales", "customer_purchases"])
     return KpiExport(srcs).build(spark, KpiExportParameters(*KPI_WINDOW), RunContext(as_of=AS_OF))
