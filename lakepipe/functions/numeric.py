@@ -18,7 +18,13 @@ def round_decimal(col, scale: int = 2, precision: int | None = None) -> Column:
 
 
 def safe_ratio(numerator, denominator, scale: int = 2, fill=0) -> Column:
-    """Numerator / denominator rounded; a zero denominator gives ``fill``."""
+    """Numerator / denominator rounded; a zero denominator gives ``fill``.
+
+    The quotient of two decimals carries at least 6 decimals, but only 6 when
+    the operand types are wide (e.g. a sum's decimal(38,s) over a bigint); a
+    value just below a tie can then round up twice. Cast the operands to the
+    precision they need first so the quotient keeps more digits.
+    """
     q = F.try_divide(to_col(numerator), to_col(denominator))
     return F.coalesce(F.round(q, scale), F.lit(fill))
 

@@ -91,7 +91,12 @@ class InventorySnapshot(BatchJob):
         df = inputs["stock"].join(inputs["product_prices"], ["entity_id", "product_id"], "left")
         # Each column sees the ones before it (total_cost uses the rounded average).
         return (df.withColumn("date_id", date_key(date_literal(ctx.as_of)))
-                .withColumn("avg_unit_cost", safe_ratio("total_cost", "total_qty", 2, 0))
+                # Spark keeps only 6 decimals when dividing its widened sum types
+                # (decimal(38,4) / bigint), which can round twice; narrower operands
+                # keep 14, so the rounding to cents below is the only one.
+                .withColumn("avg_unit_cost", safe_ratio(F.col("total_cost").cast("decimal(28,4)"),
+                                                        F.col("total_qty").cast("decimal(18,0)"),
+                                                        2, 0))
                 .withColumn("total_cost", F.round(F.col("avg_unit_cost") * F.col("available_qty"), 2))
                 .withColumn("total_value", F.round(F.col("unit_price") * F.col("available_qty"), 2))
                 .withColumnRenamed("available_qty", "quantity"))
