@@ -93,3 +93,14 @@ def test_kpi_export_narrow_window_matches_oracle(spark, duck):
     assert _rows(sdf.columns, srows) == _rows(ocols, orows)
     days = {r[0] for r in srows}
     assert min(days).isoformat() == lo and max(days).isoformat() == hi
+
+
+def test_inventory_snapshot_matches_oracle_at_sf01(spark):
+    """Rounding ties of the average cost appear at sf0.1 (double-rounding guard)."""
+    con = duckdb.connect()
+    for t in ["lineitem", "part"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.1/{t}.parquet')")
+    sdf = E.queries()["inventory_snapshot"](spark, "/root/testdata/sf0.1")
+    res = con.execute(E.oracle_sql()["inventory_snapshot"])
+    ocols = [d[0] for d in res.description]
+    assert _rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _rows(ocols, res.fetchall())
