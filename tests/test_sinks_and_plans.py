@@ -285,3 +285,13 @@ def test_export_partitioned_by_year_and_month(spark, tmp_path):
     assert os.path.isdir(os.path.join(out, "year=2024", "month=02"))
     back = spark.read.option("header", True).csv(out)
     assert back.where("month = 2").count() == 2
+
+
+def test_no_cross_joins_and_no_unbounded_global_windows(spark):
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, SF_ORACLE))
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        # the only window operator anywhere is global_row_number's running sum over
+        # its per-partition counts (one row per partition)
+        windows = [l for l in plan.split("\n") if "Window [" in l]
+        assert all("_part" in l for l in windows), (name, windows)
