@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import csv
 import gzip
-import io
 import os
 import uuid
 from datetime import date, datetime
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
