@@ -94,6 +94,9 @@ class BatchJob:
         ctx = ctx or RunContext()
         params = params if params is not None else self.parameters()
         dest = destination or self.destination
+        if not (ctx.debug or dest.table or dest.jdbc or dest.csv_path):
+            raise ValueError(f"{self.job_name}: the destination names no table, "
+                             "database table or CSV path")
         started = time.time()
         stats = {"extracted_rows": 0, "loaded_rows": 0}
         self._log(spark, ctx, RunStatus.STARTED, started, stats, None)

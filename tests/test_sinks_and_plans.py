@@ -293,3 +293,10 @@ def test_no_cross_joins_and_no_unbounded_global_windows(spark):
         # its per-partition counts (one row per partition)
         windows = [l for l in plan.split("\n") if "Window [" in l]
         assert all("_part" in l for l in windows), (name, windows)
+
+
+def test_run_without_destination_fails_before_any_work(spark):
+    log = _name("log_nodest")
+    with pytest.raises(ValueError, match="names no table"):
+        _Tiny([(1, "a")]).run(spark, None, RunContext(run_log_table=log), Destination())
+    assert not spark.catalog.tableExists(log)
