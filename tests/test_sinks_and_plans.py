@@ -300,3 +300,20 @@ def test_run_without_destination_fails_before_any_work(spark):
     with pytest.raises(ValueError, match="names no table"):
         _Tiny([(1, "a")]).run(spark, None, RunContext(run_log_table=log), Destination())
     assert not spark.catalog.tableExists(log)
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    a, b = _name("fact_b"), _name("dim_b")
+    load_table(spark.range(1000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v")),
+               a, LoadMode.DROP_INSERT, bucket_by=(8, ["k"]))
+    load_table(spark.range(97).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w")),
+               b, LoadMode.DROP_INSERT, bucket_by=(8, ["k"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table(a).join(spark.table(b), "k")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
