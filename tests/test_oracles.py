@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lakepipe import registry
 from lakepipe.sources.tables import TEST_TABLES
 
 from .conftest import SF_ORACLE, SF_SMALL
@@ -54,10 +55,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF_ORACLE)
     srows = [tuple(r) for r in sdf.collect()]
@@ -67,7 +68,7 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(sdf.columns, srows) == _rows(ocols, res.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_runs_on_smallest_scale(spark, name):
     E.queries()[name](spark, SF_SMALL).write.format("noop").mode("overwrite").save()
 

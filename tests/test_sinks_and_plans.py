@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__ as E
+from lakepipe import registry
 from lakepipe.errors import (NotNullViolationError, PrimaryKeyViolationError,
                              SizeLimitExceededError, TableNotFoundError)
 from lakepipe.plans.job import BatchJob, Destination, RunContext
@@ -125,7 +126,7 @@ def _plan(df) -> str:
 
 
 def test_no_python_udf_in_any_registered_query(spark):
-    for name, fn in E.queries().items():
+    for name, fn in registry.QUERIES.items():
         plan = _plan(fn(spark, SF_ORACLE))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
@@ -286,7 +287,7 @@ def test_export_partitioned_by_year_and_month(spark, tmp_path):
 
 
 def test_no_cross_joins_and_no_unbounded_global_windows(spark):
-    for name, fn in E.queries().items():
+    for name, fn in registry.QUERIES.items():
         plan = _plan(fn(spark, SF_ORACLE))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         # the only window operator anywhere is global_row_number's running sum over
