@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pii, token_count
+from . import bpe, pii, quality_rules, token_count
 from ._base import documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -24,6 +24,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op6_bpe, op7_pii)}
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op6_bpe, op7_pii, op8_quality_rules)}
 
 ORACLES: dict[str, str] = {}
