@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pii, quality_rules, token_count
+from . import bpe, decontamination, pii, quality_rules, token_count
 from ._base import documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,6 +28,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op6_bpe, op7_pii, op8_quality_rules)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.leaks(documents(spark, sf_dir), benchmark)
+
+
+QUERIES = {f.__name__: f for f in (op2_token_counts, op6_bpe, op7_pii, op8_quality_rules,
+                                  op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
