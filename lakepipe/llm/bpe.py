@@ -100,13 +100,18 @@ class Transducer:
         if len(symbols) > 48:
             return self._merge_long(symbols)
         rank, none, parts = self.rank.get, len(self.rank), list(symbols)
-        while len(parts) > 1:
-            ranks = [rank(p, none) for p in zip(parts, parts[1:])]  # noqa: B905
+        ranks = [rank(p, none) for p in zip(parts, parts[1:])]  # noqa: B905
+        while ranks:
             low = min(ranks)
             if low == none:
                 break
             i = ranks.index(low)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            joined = parts[i] = parts[i] + parts[i + 1]
+            del parts[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], joined), none)
+            if i < len(ranks):
+                ranks[i] = rank((joined, parts[i + 1]), none)
         return parts
 
     def _merge_long(self, symbols: list[str]) -> list[str]:
@@ -165,7 +170,10 @@ class Decoder:
 
     def push(self, ids: list[int]) -> str:
         """The text that these further ids complete; unknown ids are skipped."""
-        parts = [t for i in ids if (t := self.tokens.get(i)) is not None]
+        try:
+            parts = list(map(self.tokens.__getitem__, ids))
+        except KeyError:
+            parts = [t for i in ids if (t := self.tokens.get(i)) is not None]
         if not self.as_bytes:
             text = " ".join(parts)
             text = text if self.first or not parts else " " + text
@@ -185,7 +193,7 @@ class Decoder:
 class Tokenizer:
     """A vocabulary file of the tokenizers library: BPE with word ends after a split by pattern."""
 
-    def __init__(self, spec: dict, cached: int = 150_000):
+    def __init__(self, spec: dict, cached: int = 400_000):
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.word_end = model.get("end_of_word_suffix") or ""
@@ -201,11 +209,20 @@ class Tokenizer:
         self.words = Cache(self._word, cached)
 
     def _piece(self, piece: str) -> bytes:
-        symbols = (self._symbols[b] for b in piece.encode())
-        return b"".join(struct.pack("<I", i) for i in self.transducer.encode(symbols))
+        symbols = [self._symbols[b] for b in piece.encode()]
+        t = self.transducer
+        if len(symbols) <= 48:  # the whole word fits in the buffer
+            symbols[-1] += self.word_end
+            ids = [t.vocab[x] for x in t.merge(symbols)]
+        else:
+            ids = list(t.encode(symbols))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, raw: bytes) -> bytes:
         text = raw.decode()
+        plain = text.replace("Σ", "σ").lower()
+        if plain.isalpha() and unicodedata.is_normalized("NFC", text):  # letters only: one piece
+            return self.pieces[plain]
         if self._special and "<" in text:
             parts = self._special.split(text)
         else:
