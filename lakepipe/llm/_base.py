@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from ..session import remove_path, shared_dir
 
@@ -38,7 +40,7 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
 
     ``fn`` gets one list per column and returns a dict of equally long lists.
     """
-    out_type = _arrow_schema(df.sparkSession, schema)
+    out_type = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -51,15 +53,9 @@ def map_batches(df: DataFrame, columns: list[str], schema: str,
     return df.select(*[F.col(c) for c in columns]).mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-    return to_arrow_schema(_parse_datatype_string(schema))
-
-
 def arrow_schema(schema: str) -> pa.Schema:
-    """The Arrow schema of a Spark DDL string."""
-    return _arrow_schema(None, schema)
+    """The Arrow schema of a Spark DDL string; on the driver only."""
+    return to_arrow_schema(_parse_datatype_string(schema))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, pii, quality_rules, token_count
+from . import bpe, decontamination, line_dedup, pii, quality_rules, token_count
 from ._base import documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -16,6 +16,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf_dir), PIECES)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir), WORD_BPE)
 
@@ -33,7 +37,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), benchmark)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op6_bpe, op7_pii, op8_quality_rules,
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_line_dedup, op6_bpe, op7_pii, op8_quality_rules,
                                   op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
