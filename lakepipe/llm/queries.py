@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontamination, line_dedup, pii, quality_rules, token_count
-from ._base import documents
+from . import bpe, decontamination, language_id, line_dedup, pii, quality_rules, token_count
+from ._base import bucket, documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +21,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.learn_and_identify(documents(spark, sf_dir), bucket(F.col("doc_id"), 3) == 1)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(documents(spark, sf_dir), WORD_BPE)
 
@@ -37,7 +42,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), benchmark)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_line_dedup, op6_bpe, op7_pii, op8_quality_rules,
+QUERIES = {f.__name__: f for f in (op2_token_counts, op4_line_dedup, op5_language_id, op6_bpe, op7_pii, op8_quality_rules,
                                   op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
