@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,39 @@ def arrow_schema(schema: str) -> pa.Schema:
     return to_arrow_schema(_parse_datatype_string(schema))
 
 
+def batch_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """An Arrow batch of row tuples."""
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+#: Bits of a bitmap: at least eight per value while that is below the upper bound (4 MB).
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 25
+
+
+def bitmap_of(df: DataFrame, column: str) -> bytes:
+    """A bitmap of the low digits of a long column, of bounded size, to be broadcast.
+
+    Values not in the column may be found in it, none of the column is missing: it only saves work.
+    """
+    n, bits = df.count(), LEAST_BITS
+    while bits < min(8 * n, MOST_BITS):
+        bits *= 2
+    at = F.pmod(F.col(column), F.lit(bits))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31)).cast("int"))
+    words = df.groupBy(F.shiftright(at, 5).alias("w")).agg(F.bit_or(one).alias("v"))
+    out = np.zeros(bits // 32, "<u4")
+    for b in words.toLocalIterator():  # bits / 32 rows at most
+        if b.w is not None:
+            out[b.w] = b.v
+    return out.tobytes()
+
+
+def in_bitmap(bitmap: bytes, value: int) -> bool:
+    at = value % (len(bitmap) * 8)
+    return bitmap[at >> 3] >> (at & 7) & 1 == 1
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row, also inside lambdas of ``body``."""
     return F.element_at(F.transform(F.array(value), body), 1)

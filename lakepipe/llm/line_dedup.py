@@ -6,12 +6,12 @@ of its own. Both depend on nearby lines only, so an inserted line shifts no boun
 
 A chunk that occurs again (in another document or later in the same) is compared with its first occurrence, by
 document id and position, which stays. If their bytes are equal, the chunk is extended over the lines just before
-and after it that are equal as well (at most those of the next chunk, ``EDGE`` lines each side), as boundaries cannot see where
-a copied passage begins and ends. It is removed if what is equal has two or more lines with a word, or is a long line: a single
+and after it that are equal as well by their 64-bit hashes (at most those of the next chunk, ``EDGE`` lines each side), as
+boundaries cannot see where a copied passage begins and ends. It is removed if what is equal has two or more lines with a word, or is a long line: a single
 short line that many documents share stays.
 
-Chunk hashes are counted first; a bitmap of the repeated ones (its bits follow their number, ``MOST_BITS`` at most)
-is broadcast, so that only chunks that may repeat are shuffled, to the row that holds the first occurrence. A chunk that a
+Chunk hashes are counted first; bitmaps of the repeated ones and of their first occurrences (of bounded size) are
+broadcast, so that only chunks that may repeat are shuffled: once to be compared, and those that may come first once more. A chunk that a
 third of all documents share is one key of a sort-merge join whose partition Spark can split. Of two different chunks with one hash
 the later is never removed.
 
@@ -24,24 +24,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._base import arrow_schema, let, written
+from ._base import arrow_schema, batch_of, bitmap_of, in_bitmap, let, written
 
 SPAN = 2
 ONE_IN = 2
 LONG_LINE = 20
 EDGE = 16
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 25
 _BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
-LIGHT = "doc_id long, row_key long, number int, hash long"
-FULL = ("doc_id long, row_key long, number int, hash long, at int, lines int, filled int, "
-        "body string, before array<string>, after array<string>")
+LIGHT = "doc_id long, row_key long, number int, hash long, position long"
+FULL = ("doc_id long, row_key long, number int, hash long, position long, at int, lines int, filled int, "
+        "body string, before array<long>, after array<long>, maybe_first boolean")
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -86,52 +84,46 @@ def _of_text(text: str | None):
 
 def _light(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = [(i, key, k, h) for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True)
+        rows = [(i, key, k, h, _position(i, key, k)) for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True)
                 for k, h, *_ in _of_text(text)[0]]
-        yield _batch(rows, schema)
+        yield batch_of(rows, schema)
 
 
-def _full(bitmap, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks whose hash is in the bitmap, with their bytes and the lines around them."""
-    bits = np.frombuffer(bitmap.value, np.uint8)
-    size = len(bits) * 8
+def _line_hash(line: str) -> int:
+    """A hash of a line as a signed long; 0 for lines without a word."""
+    if not line.strip(BLANK):
+        return 0
+    h = xxhash.xxh64_intdigest(line)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _position(doc_id: int | None, row_key: int, number: int) -> int:
+    """A hash of an occurrence's place."""
+    h = xxhash.xxh3_64_intdigest(f"{doc_id} {row_key} {number}")
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _full(bitmaps, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks whose hash is in the first bitmap, with their bytes and the hashes of the lines around them."""
+    known, first = bitmaps.value
     for b in batches:
         rows, held = [], 0
         for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True):
             chunked, lines, ranges = _of_text(text)
             for k, h, body, a, e in chunked:
-                at = h % size
-                if bits[at >> 3] >> (at & 7) & 1:
+                if in_bitmap(known, h):
                     before = lines[max(ranges[k - 1][0], a - EDGE):a][::-1] if k else []
                     after = lines[e:min(ranges[k + 1][1], e + EDGE)] if k + 1 < len(ranges) else []
                     # a long line counts as enough lines on its own
                     filled = 2 if _long(lines[a]) else sum(bool(x.strip(BLANK)) for x in lines[a:e])
-                    rows.append((i, key, k, h, a, e - a, filled, body, before, after))
+                    position = _position(i, key, k)
+                    rows.append((i, key, k, h, position, a, e - a, filled, body, list(map(_line_hash, before)),
+                                 list(map(_line_hash, after)), in_bitmap(first, position)))
                     held += len(body)
             if held > 8 << 20:
-                yield _batch(rows, schema)
+                yield batch_of(rows, schema)
                 rows, held = [], 0
-        yield _batch(rows, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-def _bitmap(repeated: DataFrame) -> bytes:
-    """A bitmap of the column ``hash``: at least eight bits a value, MOST_BITS at most."""
-    n = repeated.count()
-    bits = LEAST_BITS
-    while bits < min(8 * n, MOST_BITS):
-        bits *= 2
-    at = F.pmod(F.col("hash"), F.lit(bits))
-    words = (repeated.groupBy(F.shiftright(at, 5).alias("w"))
-             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(31)).cast("int"))).alias("v")))
-    out = np.zeros(bits // 32, np.uint32)
-    for b in words.toLocalIterator():  # bits / 32 rows at most
-        out[b.w] = b.v
-    return out.astype("<u4").tobytes()
+        yield batch_of(rows, schema)
 
 
 def _same_lines(a: Column, b: Column) -> Column:
@@ -143,25 +135,27 @@ def _same_lines(a: Column, b: Column) -> Column:
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, row_key, removed): the line numbers to remove from each document that has any."""
     keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
-    occurrence = F.struct("doc_id", "row_key", "number")
+    occurrence = F.struct("doc_id", "row_key", "number", "position")
     repeated = (keyed.mapInArrow(partial(_light, arrow_schema(LIGHT)), LIGHT).groupBy("hash")
-                .agg(F.min(occurrence).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", "first"))
+                .agg(F.min(occurrence).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+                .select(F.col("hash").alias("r_hash"), F.col("first.doc_id").alias("r_id"), F.col("first.row_key").alias("r_key"),
+                        F.col("first.number").alias("r_number"), F.col("first.position").alias("r_position")))
     repeated = written(repeated, "repeated-chunks")
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(repeated))
-    found = written(keyed.mapInArrow(partial(_full, bitmap, arrow_schema(FULL)), FULL), "chunks")
-    # the first occurrence is found by its whole position, so a chunk that is everywhere is no hot key here
-    where = repeated.select(F.col("hash").alias("r_hash"), F.col("first.doc_id").alias("r_id"),
-                            F.col("first.row_key").alias("r_key"), F.col("first.number").alias("r_number"))
+    bitmaps = docs.sparkSession.sparkContext.broadcast(
+        (bitmap_of(repeated, "r_hash"), bitmap_of(repeated, "r_position")))
+    found = written(keyed.mapInArrow(partial(_full, bitmaps, arrow_schema(FULL)), FULL), "chunks")
+    # first occurrences are joined by their whole position, so a chunk that is everywhere is no hot key here
     at_first = ((F.col("hash") == F.col("r_hash")) & F.col("doc_id").eqNullSafe(F.col("r_id"))
                 & (F.col("row_key") == F.col("r_key")) & (F.col("number") == F.col("r_number")))
-    keepers = (found.join(where, at_first)
-               .select("r_hash", "r_id", "r_key", "r_number", F.col("body").alias("k_body"),
-                       F.col("before").alias("k_before"), F.col("after").alias("k_after"))
+    maybe = found.filter("maybe_first").join(repeated.drop("r_position"), at_first, "left")
+    keepers = (maybe.filter("r_hash IS NOT NULL")
+               .select("r_hash", F.col("body").alias("k_body"), F.col("before").alias("k_before"),
+                       F.col("after").alias("k_after"))
                .dropDuplicates(["r_hash"]))  # equal rows bring the same first occurrence more than once
-    same = found.join(keepers, F.col("hash") == F.col("r_hash")).filter(
-        ~at_first & (F.col("body") == F.col("k_body")))
+    later = found.filter("NOT maybe_first").unionByName(maybe.filter("r_hash IS NULL").select(*found.columns))
+    same = later.join(keepers, F.col("hash") == F.col("r_hash")).filter(F.col("body") == F.col("k_body"))
     up, down = F.slice("before", 1, F.col("n_up")), F.slice("after", 1, F.col("n_down"))
-    filled = F.col("filled") + F.size(F.filter(F.concat(up, down), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")))
+    filled = F.col("filled") + F.size(F.filter(F.concat(up, down), lambda x: x != 0))
     span = F.sequence(F.col("at") - F.col("n_up"), F.col("at") + F.col("lines") + F.col("n_down") - 1)
     return (same.withColumn("n_up", _same_lines(F.col("before"), F.col("k_before")))
             .withColumn("n_down", _same_lines(F.col("after"), F.col("k_after")))
