@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, pii, quality_rules, token_count
+from . import bpe, decontamination, language_id, line_dedup, near_dedup, pii, quality_rules, token_count
 from ._base import bucket, documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -37,12 +37,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(documents(spark, sf_dir), words=4)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.leaks(documents(spark, sf_dir), benchmark)
 
 
 QUERIES = {f.__name__: f for f in (op2_token_counts, op4_line_dedup, op5_language_id, op6_bpe, op7_pii, op8_quality_rules,
-                                  op10_decontamination)}
+                                  op9_near_dedup, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
