@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, near_dedup, pii, quality_rules, token_count
+from . import bpe, decontamination, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_rules, token_count
 from ._base import bucket, documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(documents(spark, sf_dir), bucket(F.col("doc_id"), 5) == 1)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf_dir), PIECES)
 
@@ -46,7 +50,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), benchmark)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op4_line_dedup, op5_language_id, op6_bpe, op7_pii, op8_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_token_counts, op4_line_dedup, op5_language_id, op6_bpe, op7_pii, op8_quality_rules,
                                   op9_near_dedup, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
