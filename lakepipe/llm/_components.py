@@ -25,16 +25,15 @@ def components(edges: DataFrame) -> DataFrame:
                       .filter("u <> v").distinct(), "edges")
     state = _state(current)
     while state[0]:
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy(F.col("u").alias("k")).agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        both = current.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+        least = both.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
         large = (both.filter("v > u").join(least, F.col("u") == F.col("k"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")))
         least = large.groupBy(F.col("u").alias("k")).agg(F.min("v").alias("m"))
-        small = large.join(least, F.col("u") == F.col("k"))
-        small = (small.select(F.col("u"), F.col("m").alias("v"))
-                 .unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct())
+        small = large.join(least, F.col("u") == F.col("k")).select(
+            F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
         before, last = state, current
-        current = written(small, "edges")
+        current = written(small.filter("u <> v").distinct(), "edges")
         drop_written(last)
         if (state := _state(current)) == before:
             break

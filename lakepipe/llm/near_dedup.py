@@ -7,12 +7,12 @@ sequence). Documents are linked if 100 * intersection >= 80 * union of their ful
 2. A signature of ``PLACES`` places (``_minhash.super_minhash``) is cut into ``BANDS`` bands; nodes that agree on a band share a
    bucket. Two nodes of similarity 0.8 share none with a probability of 6 in 100,000, at 0.85 of 2 in 10 million.
 3. ``ROUNDS`` times, each bucket takes a node of its largest group so far as its hub, and every node outside that group is
-   compared in full with one of its hubs, the one that it shares most buckets with. Links merge groups. A bucket
-   of thousands of near copies needs a comparison per node, not per pair.
-4. What is left: pairs of one bucket that are in different groups still. A bucket's largest group is held against the
-   others in blocks of ``BLOCK`` nodes by signature; pairs whose signatures agree in ``NEAR`` places or more (0.8 less
-   four deviations) are compared in full. Nothing is capped: a pair of a bucket is left out only if its
-   documents are in one group already or their signatures are that far apart.
+   compared in full with one of its hubs, the one that it shares most buckets with; if they are linked it joins the
+   hub's group. A bucket of thousands of near copies needs a comparison per node, not per pair.
+4. Connected components of all links so far, then what is left: pairs of one bucket in different components. A bucket's
+   nodes are held against those outside its largest component in blocks of ``BLOCK`` nodes by signature; pairs whose
+   signatures agree in ``NEAR`` places or more (0.8 less four deviations) are compared in full. Nothing is capped: a pair of a
+   bucket is left out only if its documents are in one component already or their signatures are that far apart.
 
 Links are confirmed on full sets from the texts. Documents without words are linked with nothing. Rows of one
 id are one document: they are grouped together through that id, and equal rows give equal results. Rows without an
@@ -38,7 +38,7 @@ PLACES = 192
 BANDS = 32
 PERCENT = 80
 NEAR = 136
-ROUNDS = 3
+ROUNDS = 2
 BLOCK = 1024
 CACHED_WORDS = 200_000
 
@@ -78,17 +78,17 @@ def _pick(bitmap, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Itera
 
 
 def _confirm(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (u, v, u_text, v_text), those whose full sets are similar enough."""
+    """Of rows (u, v, top, u_text, v_text), those whose full sets are similar enough."""
     look = _word_hashes()
     recent = Cache(lambda text: shingle_set(text, words, look), 64)  # rows of one v come one after the other
     for b in batches:
         for k in range(0, b.num_rows, 500):
             rows = []
-            for u, v, a, c in zip(*(c.to_pylist() for c in b.slice(k, 500).columns), strict=True):
+            for u, v, top, a, c in zip(*(c.to_pylist() for c in b.slice(k, 500).columns), strict=True):
                 x, y = shingle_set(a, words, look), recent[c]
                 both = shared(x, y)
                 if 100 * both >= PERCENT * (len(x) + len(y) - both):
-                    rows.append((u, v))
+                    rows.append((u, v, top))
             yield batch_of(rows, schema)
 
 
@@ -121,13 +121,15 @@ def _near(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
     yield batch_of(pairs(rows), schema)
 
 
+LINKS = "u long, v long, top long"
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Links among pairs (u, v). ``texts`` has one text per node, so a hot v only repeats v's own text."""
+    """Links among pairs (u, v, top). ``texts`` has one text per node, so a hot v only repeats v's own text."""
     u = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("u_text"))
     v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("v_text"))
-    rows = pairs.join(u, "u").join(v, "v").select("u", "v", "u_text", "v_text")
-    schema = "u long, v long"
-    return rows.mapInArrow(partial(_confirm, words, arrow_schema(schema)), schema)
+    rows = pairs.join(u, "u").join(v, "v").select("u", "v", "top", "u_text", "v_text")
+    return rows.mapInArrow(partial(_confirm, words, arrow_schema(LINKS)), LINKS)
 
 
 def _largest(members: DataFrame) -> DataFrame:
@@ -140,11 +142,11 @@ def _largest(members: DataFrame) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame) -> DataFrame:
-    """One pair (u, v) for every node outside the largest group of a bucket: its most frequent hub."""
+    """One pair (u, v) for every node outside the largest group of a bucket: its most frequent hub, of group top."""
     of_hub = (members.join(_largest(members), "key").filter(F.col("component") != F.col("top"))
-              .groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n")))
-    best = of_hub.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("b"))
-    return best.select(F.col("node").alias("u"), F.col("b.hub").alias("v"))
+              .groupBy("node", "hub", "top").agg(F.count(F.lit(1)).alias("n")))
+    best = of_hub.groupBy("node").agg(F.max(F.struct("n", "hub", "top")).alias("b"))
+    return best.select(F.col("node").alias("u"), F.col("b.hub").alias("v"), F.col("b.top").alias("top"))
 
 
 def _cross_pairs(members: DataFrame) -> DataFrame:
@@ -165,7 +167,7 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     schema = "u long, v long"
     # a unit has 2 * BLOCK rows or so
     units = left.unionByName(right).repartition("unit").sortWithinPartitions("unit")
-    return units.mapInArrow(partial(_near, arrow_schema(schema)), schema).distinct()
+    return units.mapInArrow(partial(_near, arrow_schema(schema)), schema).distinct().withColumn("top", F.lit(0).cast("long"))
 
 
 def _groups(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -173,26 +175,30 @@ def _groups(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     exploded = nodes.select("node", F.explode("bands").alias("key"))
     buckets = exploded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     shared_keys = written(exploded.join(buckets, "key"), "buckets")
-    sample = shared_keys.sparkSession
-    near = sample.sparkContext.broadcast(bitmap_of(shared_keys.select("node").distinct(), "node"))
+    near = shared_keys.sparkSession.sparkContext.broadcast(bitmap_of(shared_keys, "node"))
     schema = "doc_id long, text string"
     # the texts of nodes that share a bucket, written once: each comparison joins these only
-    wanted = written(texts.mapInArrow(partial(_pick, near, arrow_schema(schema)), schema)
-                     .join(nodes.select(F.col("node").alias("n"), "digest"), F.col("doc_id") == F.col("n"))
-                     .select("doc_id", "text").dropDuplicates(["doc_id"]), "node-texts")
-    found = sample.createDataFrame([], "node long, component long")
-    links = None
-    for salt in range(ROUNDS + 1):
-        own = F.coalesce(F.col("component"), F.col("node")).alias("component")
-        members = (shared_keys.join(found, "node", "left")
-                   .select("key", "node", own, F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node").alias("mixed")))
-        if salt < ROUNDS:
-            pairs = _star_pairs(members)
-        else:
-            pairs = _cross_pairs(members.join(nodes.select("node", "low"), "node"))
-        new = _verified(pairs, wanted, words)
+    wanted = written(texts.mapInArrow(partial(_pick, near, arrow_schema(schema)), schema).dropDuplicates(["doc_id"]), "node-texts")
+
+    def members(groups: DataFrame | None, salt: int) -> DataFrame:
+        rows = shared_keys.withColumn("component", F.col("node")) if groups is None else (
+            shared_keys.join(groups.withColumnRenamed("component", "c"), "node", "left")
+            .withColumn("component", F.coalesce("c", "node")))
+        return rows.select("key", "node", "component", F.struct(F.xxhash64("node", F.lit(salt)).alias("h"), "node").alias("mixed"))
+
+    # a node's group is that of the last hub it is linked with: part of its component, known without following links
+    links = groups = None
+    for k in range(ROUNDS):
+        new = _verified(_star_pairs(members(groups, k)), wanted, words).withColumn("round", F.lit(k))
         links = written(new if links is None else links.unionByName(new), "links")
-        found = written(components(links), "groups")
+        groups = links.groupBy(F.col("u").alias("node")).agg(F.max(F.struct("round", "top")).alias("m")).select(
+            "node", F.col("m.top").alias("component"))
+    found = written(components(links.select("u", "v")), "components")
+    last = _cross_pairs(members(found, ROUNDS).join(nodes.select("node", "low"), "node"))
+    last = written(_verified(last, wanted, words).select("u", "v"), "links")
+    if last.take(1):  # stars of the components found and the links between them
+        found = written(components(last.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v")))),
+                        "components")
     drop_written(shared_keys)
     drop_written(wanted)
     return found
