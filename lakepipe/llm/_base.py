@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
@@ -97,6 +97,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+QUANTILE_STEP, QUANTILE_LAST = 0.01, 5000
+
+
+def histogram_quantile(values: DataFrame, by: list[str], value: str, q: float, name: str) -> DataFrame:
+    """The q-quantile of ``value`` per key, from a histogram of fixed steps: exact to a step.
+
+    Rows are counted per step before the shuffle; a key has at most ``2 * QUANTILE_LAST`` steps.
+    """
+    step = F.least(F.greatest(F.floor(F.col(value) / QUANTILE_STEP), F.lit(-QUANTILE_LAST)), F.lit(QUANTILE_LAST)).alias("_step")
+    counts = values.groupBy(*by, step).agg(F.count(F.lit(1)).alias("_n"))
+    upto, every = Window.partitionBy(*by).orderBy("_step"), Window.partitionBy(*by)
+    return (counts.select(*by, "_step", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(every).alias("_all"))
+            .filter(F.col("_upto") >= q * F.col("_all")).groupBy(*by)
+            .agg(((F.min("_step") + 1) * QUANTILE_STEP).alias(name)))
+
+
 def word_array(text: Column, lower: bool = False) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; null and blank texts have none."""
     t = F.coalesce(text, F.lit(""))

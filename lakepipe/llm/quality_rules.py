@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._base import drop_written, let, word_array, written
+from ._base import drop_written, histogram_quantile, let, word_array, written
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -42,7 +42,6 @@ CUTOFF = 23.51
 SCALES = (0.10, 0.04, 0.30, 0.20)
 DIMS = len(SCALES)
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-_STEP, _LAST = 0.01, 5000
 
 
 def _repeat_words(words: Column) -> Column:
@@ -92,19 +91,6 @@ def vector(s: Column) -> list[Column]:
             share("n_dup_lines", "n_lines", 10.0), share("n_repeat_words", "n_words", 50.0)]
 
 
-def _quantile(values: DataFrame, by: list[str], value: str, q: float, name: str) -> DataFrame:
-    """The q-quantile of ``value`` per key, from a histogram of fixed steps: exact to a step.
-
-    Rows are counted per step before the shuffle; a key has at most ``2 * _LAST`` steps.
-    """
-    step = F.least(F.greatest(F.floor(F.col(value) / _STEP), F.lit(-_LAST)), F.lit(_LAST)).alias("_step")
-    counts = values.groupBy(*by, step).agg(F.count(F.lit(1)).alias("_n"))
-    upto, every = Window.partitionBy(*by).orderBy("_step"), Window.partitionBy(*by)
-    return (counts.select(*by, "_step", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(every).alias("_all"))
-            .filter(F.col("_upto") >= q * F.col("_all")).groupBy(*by)
-            .agg(((F.min("_step") + 1) * _STEP).alias(name)))
-
-
 def _distance(x: list[Column], m: list[Column], cov: Column) -> Column:
     """Squared Mahalanobis distance by forward substitution with the Cholesky factor ``cov``."""
     y: list[Column] = []
@@ -156,9 +142,9 @@ def _at_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 def _start(rows: DataFrame) -> DataFrame:
     """First estimates: medians, and median absolute deviations as a diagonal covariance."""
     long = rows.select("grp", F.posexplode(F.array(*[F.col(f"x{i}") for i in range(DIMS)])).alias("dim", "x"))
-    mid = _quantile(long, ["grp", "dim"], "x", 0.5, "mid")
+    mid = histogram_quantile(long, ["grp", "dim"], "x", 0.5, "mid")
     off = long.join(mid, ["grp", "dim"]).select("grp", "dim", F.abs(F.col("x") - F.col("mid")).alias("off"))
-    both = mid.join(_quantile(off, ["grp", "dim"], "off", 0.5, "mad"), ["grp", "dim"])
+    both = mid.join(histogram_quantile(off, ["grp", "dim"], "off", 0.5, "mad"), ["grp", "dim"])
     pick = lambda c, i: F.max(F.when(F.col("dim") == i, F.col(c)))
     table = both.groupBy("grp").agg(*[pick("mid", i).alias(f"_m{i}") for i in range(DIMS)],
                                     *[pick("mad", i).alias(f"_d{i}") for i in range(DIMS)])
@@ -195,7 +181,7 @@ def estimates(stats: DataFrame) -> DataFrame:
     for _ in range(STEPS):
         near = _at_distance(rows, current)
         reach = near.select("grp", F.sqrt("d2").alias("d"))
-        core = near.join(_quantile(reach, ["grp"], "d", SUPPORT, "reach"), "grp").filter(F.sqrt("d2") <= F.col("reach"))
+        core = near.join(histogram_quantile(reach, ["grp"], "d", SUPPORT, "reach"), "grp").filter(F.sqrt("d2") <= F.col("reach"))
         last, current = current, written(_moments(core, CONSISTENCY), "quality-estimate")
         drop_written(last)
     final = _moments(_at_distance(rows, current).filter(F.col("d2") <= REWEIGHT), 1.0)

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_rules, token_count
+from . import (bpe, decontamination, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_model,
+               quality_rules, token_count)
 from ._base import bucket, documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,6 +22,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(documents(spark, sf_dir), PIECES)
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
@@ -50,7 +55,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), benchmark)
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_token_counts, op4_line_dedup, op5_language_id, op6_bpe, op7_pii, op8_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_token_counts, op3_quality_model, op4_line_dedup, op5_language_id, op6_bpe, op7_pii, op8_quality_rules,
                                   op9_near_dedup, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
