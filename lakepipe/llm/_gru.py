@@ -55,7 +55,11 @@ def make_layout(counts: np.ndarray, tail_mass: np.ndarray, n_classes: int) -> La
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    x = 0.5 * x
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 def new_parameters(layout: Layout, hidden: int, seed: int = 7) -> dict[str, np.ndarray]:
@@ -118,10 +122,14 @@ def run_window(p: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray, keep: l
         g = h @ p["u"]
         zr = sigmoid(inputs[t, :, :2 * n] + g[:, :2 * n])
         z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(inputs[t, :, 2 * n:] + r * g[:, 2 * n:])
+        c = r * g[:, 2 * n:]
+        c += inputs[t, :, 2 * n:]
+        np.tanh(c, out=c)
         if keep is not None:
             keep.append((z, r, c, g[:, 2 * n:]))
-        h = c + z * (h - c)
+        h = h - c
+        h *= z
+        h += c
     return states, h
 
 
@@ -131,20 +139,45 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def log_probability(p: dict, layout: Layout, hid: np.ndarray, ids: np.ndarray, grad: dict | None = None):
-    """Natural log of P(class) * P(word | class) of each row; with ``grad``, adds gradients and returns d hid too."""
+def _log_share(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of one column per row; overwrites ``logits``."""
+    np.clip(logits, -80, 80, out=logits)
+    mine = logits[np.arange(len(at)), at]
+    np.exp(logits, out=logits)
+    return mine - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+
+
+def log_likelihood(p: dict, layout: Layout, hid: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Natural log of P(class) * P(word | class) of each row."""
+    cls = layout.class_of[ids]
+    logits = hid @ p["wc"].T
+    logits += p["bc"][:, 0]
+    out = _log_share(logits, cls).astype(np.float64)
+    words = np.flatnonzero(ids < layout.n_words)
+    order = words[np.argsort(cls[words], kind="stable")]
+    ends = np.searchsorted(cls[order], np.arange(layout.n_word_classes + 1))
+    x, mine = hid[order], ids[order]
+    for c in np.flatnonzero(np.diff(ends)):
+        a, b, i, j = layout.first[c], layout.first[c + 1], ends[c], ends[c + 1]
+        if b - a > 1:
+            logits = x[i:j] @ p["ww"][a:b].T
+            logits += p["bw"][a:b, 0]
+            out[order[i:j]] += _log_share(logits, mine[i:j] - a)
+    return out
+
+
+def output_gradient(p: dict, layout: Layout, hid: np.ndarray, ids: np.ndarray, grad: dict):
+    """``log_likelihood`` with gradients: adds those of the output to ``grad`` and returns that of ``hid``."""
     cls = layout.class_of[ids]
     logits = hid @ p["wc"].T
     logits += p["bc"][:, 0]
     logp = _log_softmax(logits)
     rows = np.arange(len(ids))
-    out = logp[rows, cls].astype(np.float64)
-    if grad is not None:
-        d = np.exp(logp)
-        d[rows, cls] -= 1
-        grad["wc"] += d.T @ hid
-        grad["bc"] += d.sum(0)[:, None]
-        dhid = d @ p["wc"]
+    d = np.exp(logp)
+    d[rows, cls] -= 1
+    grad["wc"] += d.T @ hid
+    grad["bc"] += d.sum(0)[:, None]
+    dhid = d @ p["wc"]
     words = np.flatnonzero(ids < layout.n_words)
     order = words[np.argsort(cls[words], kind="stable")]
     ends = np.searchsorted(cls[order], np.arange(layout.n_word_classes + 1))
@@ -154,20 +187,15 @@ def log_probability(p: dict, layout: Layout, hid: np.ndarray, ids: np.ndarray, g
             continue
         at = order[ends[c]:ends[c + 1]]
         x = hid[at]
-        logw = _log_softmax(x @ p["ww"][a:b].T + p["bw"][a:b, 0])
-        mine = ids[at] - a
-        r = np.arange(len(at))
-        out[at] += logw[r, mine]
-        if grad is not None:
-            d = np.exp(logw)
-            d[r, mine] -= 1
-            grad["ww"][a:b] += d.T @ x
-            grad["bw"][a:b] += d.sum(0)[:, None]
-            dhid[at] += d @ p["ww"][a:b]
-    return out if grad is None else (out, dhid)
-
-
-def score(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 1024, window: int = 16) -> np.ndarray:
+        d = np.exp(_log_softmax(x @ p["ww"][a:b].T + p["bw"][a:b, 0]))
+        d[np.arange(len(at)), ids[at] - a] -= 1
+        grad["ww"][a:b] += d.T @ x
+        grad["bw"][a:b] += d.sum(0)[:, None]
+        dhid[at] += d @ p["ww"][a:b]
+    return dhid
+
+
+def score(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 512, window: int = 16) -> np.ndarray:
     """log10 probability of the symbols of each whole document."""
     total = np.zeros(len(docs))
     hidden = p["u"].shape[0]
@@ -176,12 +204,12 @@ def score(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 1024, wi
         h = np.zeros((len(active), hidden), np.float32) if start else h[:len(active)]
         states, h = run_window(p, h, ids)
         at = np.flatnonzero(ids >= 0)
-        logs = log_probability(p, layout, states.reshape(-1, hidden)[at], ids.reshape(-1)[at])
+        logs = log_likelihood(p, layout, states.reshape(-1, hidden)[at], ids.reshape(-1)[at])
         total += np.bincount(active[at % len(active)], logs, len(docs))
     return total / LN10
 
 
-def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 32, window: int = 16,
+def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 64, window: int = 16,
           rate: float = 0.1) -> dict[str, np.ndarray]:
     """Truncated backpropagation over whole documents; returns how often each row of a parameter was used.
 
@@ -200,7 +228,7 @@ def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 32, wind
         at = np.flatnonzero(ids >= 0)
         flat = ids.reshape(-1)[at]
         grad = {k: np.zeros_like(p[k]) for k in ("u", "wc", "bc", "ww", "bw")}
-        _, dhid = log_probability(p, layout, states.reshape(-1, hidden)[at], flat, grad)
+        dhid = output_gradient(p, layout, states.reshape(-1, hidden)[at], flat, grad)
         dstates = np.zeros((ids.size, hidden), np.float32)
         dstates[at] = dhid
         dstates = dstates.reshape(*ids.shape, hidden)

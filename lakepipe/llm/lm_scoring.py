@@ -7,8 +7,8 @@ network predicts the class from its state (softmax over classes), then the word
 words); within a tail class a token has the share (c + 0.5) / (N_t + 0.5 * (V_t + 1)) of its class's counts, where
 unseen tokens share the last place. At the start its output is that of the counts alone; training moves it from there.
 
-Training is truncated backpropagation in numpy, in ``ROUNDS`` rounds of one pass each over a ``1 / SGD_ONE_IN`` share of the training
-documents, chosen by hash, so that it grows with the corpus. In a round every task trains a copy on its documents and the copies
+Training is truncated backpropagation in numpy, in ``ROUNDS`` rounds. Each takes another ``1 / DOCUMENTS_ONE_IN`` of the training
+documents and of these ``1 / SPANS_ONE_IN`` of all spans of ``SPAN`` tokens, both by hash: a share of the corpus, so it grows with it. In a round every task trains a copy on its documents and the copies
 are averaged (later rounds at smaller rates), each row of a parameter by how often the tasks used it. Windows carry the state on, so a text's score is the log10 probability
 of the complete text.
 
@@ -27,18 +27,21 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _gru
 from ._base import arrow_schema, batch_of, written
 
-NEURAL = 2048
-WORD_CLASSES = 32
+NEURAL = 1024
+WORD_CLASSES = 24
 TAILS = 64
 HIDDEN = 16
 LOOKUP = 1 << 18
-SGD_ONE_IN = 8
+DOCUMENTS_ONE_IN = 8
+SPANS_ONE_IN = 4
+SPAN = 64
 ROUNDS = 2
 RATE = 0.15
 COUNTED = 200_000
@@ -55,6 +58,13 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+def spans(text: str | None) -> list[list[bytes]]:
+    """The spans of a text that are trained on."""
+    words, seed = tokens(text), xxhash.xxh32_intdigest(text or "")
+    return [words[k:k + SPAN] for k in range(0, len(words), SPAN)
+            if xxhash.xxh32_intdigest(str(k), seed) % SPANS_ONE_IN == 0]
+
+
 def _count(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
     for b in batches:
@@ -142,9 +152,8 @@ class Reader:
         self.in_tail = np.append(np.where(np.arange(len(v.words)) < n, 0.0, self.log_count[:-1]), 0.0)
         self.in_tail[n:-1] -= self.log_size[tails]
 
-    def read(self, text: str | None) -> tuple[np.ndarray, float, float, list[bytes]]:
+    def read(self, words: list[bytes]) -> tuple[np.ndarray, float, float, list[bytes]]:
         """(symbols, base part, score part, tokens whose counts are not at hand)."""
-        words = tokens(text)
         ranks = np.fromiter(map(self.rank.__getitem__, words), np.int64, len(words))
         symbols = self.symbol[ranks]
         score, rare = self.in_tail[ranks].sum(), []
@@ -158,12 +167,12 @@ class Reader:
 
 
 def _train(vocab, parameters, rate: float, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One copy trained on the documents of a task: sums of its changes, weighted by use, in blocks of rows."""
+    """One copy trained on the spans of a task: sums of its changes, weighted by use, in blocks of rows."""
     docs = []
     reader = None
     for b in batches:
         reader = reader or Reader(vocab.value)
-        docs += [reader.read(t)[0] for t in b.column(0).to_pylist()]
+        docs += [reader.read(words)[0] for t in b.column(0).to_pylist() for words in spans(t)]
     if not docs:
         return
     before = parameters.value
@@ -189,7 +198,7 @@ def fit(training: DataFrame, vocab, layout: _gru.Layout) -> dict[str, np.ndarray
     """Parameters after ROUNDS rounds of training copies and averaging them."""
     spark = training.sparkSession
     p = _gru.new_parameters(layout, HIDDEN)
-    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("sgd")), F.lit(SGD_ONE_IN * ROUNDS))
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("sgd")), F.lit(DOCUMENTS_ONE_IN))
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(p)
         parts = (training.filter(drawn == k).select("text")
@@ -211,7 +220,7 @@ def _score(vocab, parameters, schema: pa.Schema, batches: Iterator[pa.RecordBatc
         reader = reader or Reader(vocab.value)
         for k in range(0, b.num_rows, 4096):
             ids, texts = (c.to_pylist() for c in b.slice(k, 4096).columns)
-            symbols, base, score, rare = zip(*map(reader.read, texts), strict=True)
+            symbols, base, score, rare = zip(*(reader.read(tokens(t)) for t in texts), strict=True)
             neural = _gru.score(parameters.value, vocab.value.layout, list(symbols))
             counted = [Counter(r) for r in rare]
             yield batch_of([(i, len(s), len(s) - len(r), x, float(y + z), list(c), list(c.values()))
