@@ -39,7 +39,7 @@ BANDS = 32
 PERCENT = 80
 NEAR = 136
 ROUNDS = 2
-BLOCK = 1024
+BLOCK = 256
 CACHED_WORDS = 200_000
 
 SIGNED = "doc_id long, n_shingles long, digest binary, low binary, bands array<long>"
@@ -92,33 +92,70 @@ def _confirm(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -
             yield batch_of(rows, schema)
 
 
-def _near(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a unit (rows sorted by unit) of different groups with near signatures, at least one from the left."""
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each unit (first column), from batches sorted by unit."""
     unit, rows = None, []
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if r[0] != unit and rows:
+                yield rows
+                rows = []
+            unit = r[0]
+            rows.append(r)
+    if rows:
+        yield rows
 
-    def pairs(held: list) -> list[tuple]:
-        left = [r for r in held if r[1]]
-        right = [r for r in held if not r[1]]
-        if not left or not right:
-            return []
-        a = np.frombuffer(b"".join(r[4] for r in left), np.uint8).reshape(len(left), -1)
+
+def _near_pairs(rows: list[tuple]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Each left row of a unit and the right rows of other components with a near signature."""
+    left, right = [r for r in rows if r[1]], [r for r in rows if not r[1]]
+    if left and right:
         c = np.frombuffer(b"".join(r[4] for r in right), np.uint8).reshape(len(right), -1)
         groups = np.array([r[3] for r in right])
-        out = []
-        for r, s in zip(left, a, strict=True):
-            for j in np.flatnonzero(((c == s).sum(1) >= NEAR) & (groups != r[3])):
-                out.append((max(r[2], right[j][2]), min(r[2], right[j][2])))
-        return out
+        for r in left:
+            same = (c == np.frombuffer(r[4], np.uint8)).sum(1)
+            found = np.flatnonzero((same >= NEAR) & (groups != r[3]))
+            if len(found):
+                yield r, [right[j] for j in found]
 
-    for b in batches:
-        out = []
-        for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if r[0] != unit:
-                out += pairs(rows)
-                unit, rows = r[0], []
-            rows.append(r)
-        yield batch_of(out, schema)
-    yield batch_of(pairs(rows), schema)
+
+def _in_near_pairs(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (unit, left, node, component, low), those in any near pair of their unit."""
+    for rows in _by_unit(batches):
+        found = {}
+        for r, others in _near_pairs(rows):
+            found[r[1], r[2]] = r
+            found.update(((o[1], o[2]), o) for o in others)
+        if found:
+            yield batch_of(list(found.values()), schema)
+
+
+def _links_of_units(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (u, v) between components among rows (unit, left, node, component, low, text).
+
+    Within a unit a node that is linked with a component needs no second link to it.
+    """
+    look = _word_hashes()
+    recent = Cache(lambda text: shingle_set(text, words, look), 2 * BLOCK)
+    for rows in _by_unit(batches):
+        out, joined = [], {}
+
+        def find(c: int, joined: dict = joined) -> int:
+            while c in joined:
+                c = joined[c]
+            return c
+
+        for r, others in _near_pairs(rows):
+            for o in others:
+                a, c = find(r[3]), find(o[3])
+                if a != c:
+                    x, y = recent[r[5]], recent[o[5]]
+                    both = shared(x, y)
+                    if 100 * both >= PERCENT * (len(x) + len(y) - both):
+                        out.append((r[2], o[2]))
+                        joined[max(a, c)] = min(a, c)
+        if out:
+            yield batch_of(out, schema)
 
 
 LINKS = "u long, v long, top long"
@@ -149,8 +186,8 @@ def _star_pairs(members: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("u"), F.col("b.hub").alias("v"), F.col("b.top").alias("top"))
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (u, v) of one bucket, in different groups, with near signatures."""
+def _cross_links(members: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Links (u, v) between nodes of one bucket in different components."""
     marked = members.join(_largest(members).select("key", "top"), "key")
     sizes = marked.groupBy("key").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_right"),
@@ -164,10 +201,14 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
             .select("*", unit(part("n_left"), F.col("r"))).select(*take(True)))
     right = (rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n_left") - 1)).alias("l"))
              .select("*", unit(F.col("l"), part("n_right"))).select(*take(False)))
+    # a unit has 2 * BLOCK rows or so; only nodes in a near pair get their text
+    schema = "unit long, left boolean, node long, component long, low binary"
+    near = (left.unionByName(right).repartition("unit").sortWithinPartitions("unit")
+            .mapInArrow(partial(_in_near_pairs, arrow_schema(schema)), schema))
+    with_text = near.join(texts.select(F.col("doc_id").alias("n"), "text"), F.col("node") == F.col("n")).drop("n")
     schema = "u long, v long"
-    # a unit has 2 * BLOCK rows or so
-    units = left.unionByName(right).repartition("unit").sortWithinPartitions("unit")
-    return units.mapInArrow(partial(_near, arrow_schema(schema)), schema).distinct().withColumn("top", F.lit(0).cast("long"))
+    return (with_text.repartition("unit").sortWithinPartitions("unit")
+            .mapInArrow(partial(_links_of_units, words, arrow_schema(schema)), schema).distinct())
 
 
 def _groups(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
@@ -194,8 +235,7 @@ def _groups(nodes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
         groups = links.groupBy(F.col("u").alias("node")).agg(F.max(F.struct("round", "top")).alias("m")).select(
             "node", F.col("m.top").alias("component"))
     found = written(components(links.select("u", "v")), "components")
-    last = _cross_pairs(members(found, ROUNDS).join(nodes.select("node", "low"), "node"))
-    last = written(_verified(last, wanted, words).select("u", "v"), "links")
+    last = written(_cross_links(members(found, ROUNDS).join(nodes.select("node", "low"), "node"), wanted, words), "links")
     if last.take(1):  # stars of the components found and the links between them
         found = written(components(last.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v")))),
                         "components")
