@@ -1,10 +1,8 @@
-"""Join helpers: size-checked broadcast of dimension tables.
+"""Join helper for dimension tables.
 
-A dimension is broadcast only after a cheap, exact bound check
-(``limit(max_rows + 1).count()``, which stops reading once the bound is
-exceeded). Above the bound the plain join is kept, so Spark shuffles both
-sides on the key (sort-merge) and AQE may still switch to a broadcast from
-measured shuffle sizes or split skewed partitions.
+No broadcast is forced: Spark broadcasts a side whose size in bytes (from file statistics, or measured
+by AQE after its shuffle) is below ``spark.sql.autoBroadcastJoinThreshold``; any larger side is
+joined by a shuffle on the key, where AQE can split a hot key. Building a join runs no job.
 """
 
 from __future__ import annotations
@@ -12,39 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def fits_broadcast_all(frames: dict[str, DataFrame],
-                       max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, bool]:
-    """The bound check for several frames in one job (a union of bounded counts)."""
-    names = list(frames)
-    if not names:
-        return {}
-    parts = [frames[n].limit(max_rows + 1).select(F.lit(i).alias("_i"))
-             for i, n in enumerate(names)]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionAll(p)
-    counts = {r["_i"]: r["n"] for r in u.groupBy("_i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {n: counts.get(i, 0) <= max_rows for i, n in enumerate(names)}
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      fits: bool | None = None) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
-    ``fits`` passes a result already obtained from ``fits_broadcast_all``."""
-    ok = fits if fits is not None else fits_broadcast(df, max_rows)
-    return F.broadcast(df) if ok else df
-
 
 def join_dimension(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str,
-                   how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   prefix: str | None = None, fits: bool | None = None) -> DataFrame:
+                   how: str = "left", prefix: str | None = None) -> DataFrame:
     """Join a dimension on ``fact_key = dim_key``.
 
     The dimension's columns are prefixed (``prefix + name``) so several
@@ -53,5 +21,4 @@ def join_dimension(fact: DataFrame, dim: DataFrame, fact_key, dim_key: str,
     prefix = prefix if prefix is not None else ""
     d = dim.select(*[F.col(f"`{c}`").alias(prefix + c) for c in dim.columns])
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    d = checked_broadcast(d, max_rows, fits)
     return fact.join(d, fk == F.col(f"`{prefix + dim_key}`"), how)

@@ -15,10 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import (ColumnTypeMismatchError, EmptyTableError, InvalidDataError,
-                      InvalidParameterError, InvalidTableNameError, MissingColumnError,
-                      MissingDailyDataError, NotNullViolationError, PrimaryKeyViolationError,
-                      RangeViolationError, SizeLimitExceededError)
+from ..errors import CheckFailed
 from ..schema import ColumnSpec, OutputSchema
 from .tail import require_columns
 
@@ -111,7 +108,7 @@ def enforce_output(df: DataFrame, schema: OutputSchema) -> None:
     if schema.primary_key:
         dup = pk_violations(df, schema.primary_key).limit(1).collect()
         if dup:
-            raise PrimaryKeyViolationError(schema.primary_key, [tuple(dup[0])[:-1]])
+            raise CheckFailed("key", schema.primary_key, example=tuple(dup[0])[:-1])
     checks = []
     names = []
     for i, n in enumerate(schema.not_null):
@@ -128,8 +125,8 @@ def enforce_output(df: DataFrame, schema: OutputSchema) -> None:
     for (kind, name), value in zip(names, row):
         if value:
             if kind == "null":
-                raise NotNullViolationError(name)
-            raise RangeViolationError(name, value)
+                raise CheckFailed("not_null", name, rows=value)
+            raise CheckFailed("range", name, rows=value)
 
 
 # ------------------------------------------------------------ Q3, Q4, Q5
@@ -177,7 +174,7 @@ def type_mismatches(df: DataFrame, expected: dict) -> DataFrame:
 
     ``expected`` maps a column to a Spark type or a Python type (``int``,
     ``float``, ``str``, ``bool``), or to ``None`` for a presence check only.
-    A missing column raises ``MissingColumnError``.
+    A missing column fails the check ``column``.
     """
     require_columns(df, list(expected))
     expected = {c: _as_spark_type(t) for c, t in expected.items()}
@@ -192,9 +189,10 @@ def type_mismatches(df: DataFrame, expected: dict) -> DataFrame:
 
 
 def enforce_types(df: DataFrame, expected: dict) -> None:
-    """Raise ``ColumnTypeMismatchError`` for the first column (in order) with a mismatch."""
+    """Fail the check ``type`` for the first column (in order) with a mismatch."""
     for row in type_mismatches(df, expected).where("mismatches > 0").orderBy("position").limit(1).collect():
-        raise ColumnTypeMismatchError(row["column_name"], expected[row["column_name"]])
+        raise CheckFailed("type", row["column_name"], declared=expected[row["column_name"]],
+                          rows=row["mismatches"])
 
 
 # ---------------------------------------------------------- Q9 completeness
@@ -212,13 +210,13 @@ def daily_completeness(df: DataFrame, ts_col: str, calendar: DataFrame,
 
 def enforce_daily_completeness(df, ts_col, calendar, table_name: str) -> None:
     for row in daily_completeness(df, ts_col, calendar).orderBy("missing_date").limit(1).collect():
-        raise MissingDailyDataError(table_name, row["missing_date"])
+        raise CheckFailed("daily_rows", table_name, day=row["missing_date"])
 
 
 # --------------------------------------------------------- Q10 empty table
 def enforce_not_empty(df: DataFrame, table_name: str, reason: str | None = None) -> None:
     if df.isEmpty():
-        raise EmptyTableError(table_name, reason)
+        raise CheckFailed("rows", table_name, **({"reason": reason} if reason else {}))
 
 
 # --------------------------------------------------------- Q11 zero sums
@@ -234,7 +232,7 @@ def zero_sum_days(df: DataFrame, ts_col: str, value_cols: list[str]) -> DataFram
 
 def enforce_no_zero_sums(df, ts_col, value_cols) -> None:
     for row in zero_sum_days(df, ts_col, value_cols).orderBy("date").limit(1).collect():
-        raise InvalidDataError(row["date"], list(row["zero_sum_columns"]))
+        raise CheckFailed("zero_sum", row["date"], columns=list(row["zero_sum_columns"]))
 
 
 # ------------------------------------------------------- Q12 allowed values
@@ -247,26 +245,27 @@ def invalid_options(df: DataFrame, col: str, options: list) -> DataFrame:
 def check_parameter(name: str, value, options: list) -> None:
     """Q12 for a job argument (driver side, no job)."""
     if value not in options:
-        raise InvalidParameterError(name, value, options)
+        raise CheckFailed("option", name, value=value, options=options)
 
 
 # ---------------------------------------------------- Q14 size, Q15 names
 def enforce_size(actual_bytes: int, limit_bytes: int) -> None:
     if actual_bytes > limit_bytes:
-        raise SizeLimitExceededError(actual_bytes, limit_bytes)
+        raise CheckFailed("size", "export", bytes=actual_bytes, limit=limit_bytes)
 
 
+# Fixed value: the characters of a table name.
 _TABLE_NAME = re.compile(r"^[a-zA-Z0-9_]+$")
 
 
 def validate_table_name(name: str) -> str:
     if not _TABLE_NAME.match(name or ""):
-        raise InvalidTableNameError(name)
+        raise CheckFailed("table_name", repr(name))
     return name
 
 
 __all__ = [
-    "MissingColumnError", "all_null_columns", "check_parameter", "daily_completeness",
+    "all_null_columns", "check_parameter", "daily_completeness",
     "enforce_daily_completeness", "enforce_no_zero_sums", "enforce_not_empty",
     "enforce_output", "enforce_size", "enforce_types", "invalid_options", "missing_columns",
     "null_counts", "null_violations", "pk_violations", "range_violations", "type_mismatches",

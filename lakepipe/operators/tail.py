@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import MissingColumnError
+from ..errors import CheckFailed
 from ..functions.text import clean_string
 from ..schema import OutputSchema
 
@@ -20,7 +20,7 @@ def require_columns(df: DataFrame, columns) -> None:
     present = set(df.columns)
     for c in columns:
         if c not in present:
-            raise MissingColumnError(c)
+            raise CheckFailed("column", c)
 
 
 def project(df: DataFrame, schema: OutputSchema) -> DataFrame:

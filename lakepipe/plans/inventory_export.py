@@ -3,10 +3,9 @@
 Join plan: three mandatory dimensions (inner, J4) and four optional ones
 (left, J5) hang off the fact; the product's five attribute dimensions and
 the model's brand are folded into a denormalised product / model dimension
-first (J6), so the fact meets each key once. Every dimension goes through a
-row-bounded broadcast check: small label tables are broadcast, while a
-product or model dimension that outgrows the bound is sort-merge joined on
-its key (AQE may still broadcast it from runtime sizes, or split a skewed key).
+first (J6), so the fact meets each key once. Spark picks each join from sizes in
+bytes: small label tables are broadcast, while a product or model dimension above
+the threshold is sort-merge joined on its key, where AQE can split a skewed key.
 """
 
 from __future__ import annotations
@@ -18,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import nonzero_or_null, when_all_positive
-from ..operators.joins import (DEFAULT_BROADCAST_ROWS, checked_broadcast, fits_broadcast_all,
-                               join_dimension)
+from ..operators.joins import join_dimension
 from ..schema import ColumnSpec, OutputSchema
 from .job import BatchJob, Destination, RunContext
 
+# The export's column names and their order.
 COLUMNS = [
     "Entity", "Stock ID", "Product ID", "PO ID", "PO Item ID", "Warehouse", "Country",
     "Location", "Status", "Type", "Is Accessory", "Purchase Channel", "Stock Creation",
@@ -57,7 +56,7 @@ def _yes_no(flag, yes="Yes", no="No"):
     return F.when(flag, F.lit(yes)).otherwise(F.lit(no))
 
 
-def product_dimension(d: Mapping[str, DataFrame], fits: Mapping[str, bool]) -> DataFrame:
+def product_dimension(d: Mapping[str, DataFrame]) -> DataFrame:
     """Product with its attribute labels (one row per product)."""
     p = d["dim_product"]
     for dim, key, label in [("dim_dexterity", "dexterity_id", "dexterity"),
@@ -65,19 +64,15 @@ def product_dimension(d: Mapping[str, DataFrame], fits: Mapping[str, bool]) -> D
                             ("dim_standard_loft", "standard_loft_id", "loft"),
                             ("dim_shaft_material", "shaft_material_id", "shaft_material"),
                             ("dim_product_condition", "condition_id", "condition")]:
-        lab = checked_broadcast(d[dim].select(F.col("id").alias(f"_{label}_id"),
-                                              F.col("name").alias(f"{label}_name")),
-                                fits=fits[dim])
+        lab = d[dim].select(F.col("id").alias(f"_{label}_id"), F.col("name").alias(f"{label}_name"))
         p = p.join(lab, p[key] == lab[f"_{label}_id"], "left").drop(f"_{label}_id")
     return p
 
 
-def model_dimension(d: Mapping[str, DataFrame], fits: Mapping[str, bool]) -> DataFrame:
+def model_dimension(d: Mapping[str, DataFrame]) -> DataFrame:
     """Model with its brand label (one row per model)."""
     m = d["dim_model"].select("id", F.col("name").alias("model_name"), "brand_id")
-    b = checked_broadcast(d["dim_brand"].select(F.col("id").alias("_brand_id"),
-                                                F.col("name").alias("brand_name")),
-                          fits=fits["dim_brand"])
+    b = d["dim_brand"].select(F.col("id").alias("_brand_id"), F.col("name").alias("brand_name"))
     return m.join(b, m.brand_id == b._brand_id, "left").drop("_brand_id")
 
 
@@ -86,12 +81,10 @@ class InventoryExport(BatchJob):
 
     parameter_class = InventoryExportParameters
     schema = SCHEMA
-    destination = Destination(csv_path=None)
+    destination = Destination(export_name="current_inventory", gzip_copy=True)
 
-    def __init__(self, sources: Mapping[str, DataFrame],
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
+    def __init__(self, sources: Mapping[str, DataFrame]):
         self.sources = sources
-        self.max_broadcast_rows = max_broadcast_rows
 
     def extract(self, spark: SparkSession, params, ctx: RunContext) -> dict[str, DataFrame]:
         return {"data": self.sources["fact_inventory_current"]}
@@ -99,23 +92,15 @@ class InventoryExport(BatchJob):
     def transform(self, inputs, params, ctx: RunContext) -> DataFrame:
         d = self.sources
         f = inputs["data"]
-        # one bounded-count job decides every broadcast
-        fits = fits_broadcast_all({k: d[k] for k in DIMENSIONS}, self.max_broadcast_rows)
-        f = join_dimension(f, d["dim_warehouse"], "warehouse_id", "id", "inner", prefix="w_",
-                           fits=fits["dim_warehouse"])
+        f = join_dimension(f, d["dim_warehouse"], "warehouse_id", "id", "inner", prefix="w_")
         f = join_dimension(f, d["dim_product_status"], "product_status_id", "id", "inner",
-                           prefix="ps_", fits=fits["dim_product_status"])
-        f = join_dimension(f, d["dim_product_type"], "product_type_id", "id", "inner", prefix="pt_",
-                           fits=fits["dim_product_type"])
-        f = join_dimension(f, d["dim_entity"], "entity_id", "id", "left", prefix="e_",
-                           fits=fits["dim_entity"])
+                           prefix="ps_")
+        f = join_dimension(f, d["dim_product_type"], "product_type_id", "id", "inner", prefix="pt_")
+        f = join_dimension(f, d["dim_entity"], "entity_id", "id", "left", prefix="e_")
         # the denormalised dims have exactly the rows of dim_product / dim_model
-        f = join_dimension(f, product_dimension(d, fits), "product_id", "id", "left", prefix="p_",
-                           fits=fits["dim_product"])
-        f = join_dimension(f, model_dimension(d, fits), "model_id", "id", "left", prefix="m_",
-                           fits=fits["dim_model"])
-        f = join_dimension(f, d["dim_purchase_channel"], "channel_id", "id", "left", prefix="ch_",
-                           fits=fits["dim_purchase_channel"])
+        f = join_dimension(f, product_dimension(d), "product_id", "id", "left", prefix="p_")
+        f = join_dimension(f, model_dimension(d), "model_id", "id", "left", prefix="m_")
+        f = join_dimension(f, d["dim_purchase_channel"], "channel_id", "id", "left", prefix="ch_")
         c = F.col
         cost_fx = F.round(c("fx_rate") * c("cost"), 2)
         cond = c("p_condition_id")

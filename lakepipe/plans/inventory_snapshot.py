@@ -23,7 +23,6 @@ from pyspark.sql import types as T
 
 from ..functions.dates import date_key, date_literal
 from ..functions.numeric import safe_ratio
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, checked_broadcast, fits_broadcast_all
 from ..schema import (ColumnSpec, OutputSchema, unsigned_decimal, unsigned_int,
                       unsigned_smallint, unsigned_tinyint)
 from ..sinks.loaders import LoadMode
@@ -59,10 +58,8 @@ class InventorySnapshot(BatchJob):
     schema = SCHEMA
     destination = Destination(table="fact_inventory", load_mode=LoadMode.INSERT)
 
-    def __init__(self, sources: Mapping[str, DataFrame],
-                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
+    def __init__(self, sources: Mapping[str, DataFrame]):
         self.sources = sources
-        self.max_broadcast_rows = max_broadcast_rows
 
     def extract(self, spark: SparkSession, params, ctx: RunContext) -> dict[str, DataFrame]:
         s = self.sources["stock_quantities"]
@@ -78,14 +75,12 @@ class InventorySnapshot(BatchJob):
                             "warehouse_id", "status_id"))
         prices = self.sources["product_prices"].select(
             "product_id", "entity_id", F.col("regular_price").alias("unit_price"))
-        fits = fits_broadcast_all({"products": products, "prices": prices},
-                                  self.max_broadcast_rows)
-        stock = (stock.join(checked_broadcast(products, fits=fits["products"]),
-                            stock.product_id == products.id, "inner")
+        # Spark picks the joins from sizes in bytes; nothing is counted or broadcast ahead
+        stock = (stock.join(products, stock.product_id == products.id, "inner")
                  .where(F.col("available_qty") > 0)
                  .select("entity_id", "warehouse_id", "product_id", "status_id",
                          "stock_creation_date", "total_cost", "total_qty", "available_qty"))
-        return {"stock": stock, "product_prices": checked_broadcast(prices, fits=fits["prices"])}
+        return {"stock": stock, "product_prices": prices}
 
     def transform(self, inputs, params, ctx: RunContext) -> DataFrame:
         df = inputs["stock"].join(inputs["product_prices"], ["entity_id", "product_id"], "left")

@@ -7,7 +7,7 @@ the conformed output frame without running anything; ``run`` executes it:
 1. append a STARTED record to the run log;
 2. compute the prepared output once and stage it as parquet under the shared
    checkpoint folder, observing per-input row counts on the way (no extra
-   pass; S4, Q8 warns on empty inputs). The staged copy cuts the lineage: a
+   pass; S4, Q8 warns on empty inputs, Q7 on output columns without a value). The staged copy cuts the lineage: a
    lost executor after this point costs a re-read, not a recomputation;
 3. check key, not-null and ranges on the staged copy (Q1, Q2, Q13) — column-
    pruned scans of only the checked columns — *before* anything is written
@@ -18,6 +18,7 @@ the conformed output frame without running anything; ``run`` executes it:
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 import warnings
@@ -28,10 +29,10 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import enforce_output
+from ..operators.quality import all_null_columns, enforce_output
 from ..operators.tail import cast_to_schema, output_tail, prepare_output
 from ..schema import OutputSchema
-from ..sinks.export import debug_path, export_csv
+from ..sinks.export import dated_key, debug_path, export_csv, export_manifest, written_bytes
 from ..sinks.loaders import LoadMode, load_table
 from ..session import remove_path, shared_dir
 from .runlog import RunStatus, append_run_record
@@ -44,13 +45,22 @@ class NoParameters:
 
 @dataclass
 class Destination:
-    """Where ``run`` writes: a catalog table, a database table and/or a CSV export."""
+    """Where ``run`` writes: a catalog table, a database table and/or a CSV export with its manifest."""
     table: str | None = None
     load_mode: LoadMode = LoadMode.INSERT
     csv_path: str | None = None
     single_file: bool = False
     compression: str | None = None
     jdbc: tuple | None = None  # (Connection, table name): a database table, same load modes
+    partition_by: list[str] | None = None  # of a newly created table
+    export_name: str | None = None  # CSV at the dated key of this name under ``export_root``
+    export_root: str | None = None  # default: ``exports`` in the shared folder
+    gzip_copy: bool = False  # a second, compressed delivery beside the CSV
+    size_limit: int | None = None  # bytes of a delivery
+
+    @property
+    def writes(self) -> bool:
+        return bool(self.table or self.jdbc or self.csv_path or self.export_name)
 
 
 @dataclass
@@ -62,6 +72,15 @@ class RunContext:
     debug: bool = False
 
 
+def _rows_read(obs: Observation, df: DataFrame, wait: float = 5.0) -> int:
+    """Rows of an input as observed; counted if no executed plan read it (its observation never ends)."""
+    seen: list[int] = []
+    reader = threading.Thread(target=lambda: seen.append(int(obs.get["rows"])), daemon=True)
+    reader.start()
+    reader.join(wait)
+    return seen[0] if seen else df.count()
+
+
 class BatchJob:
     parameter_class: type = NoParameters
     schema: OutputSchema
@@ -94,41 +113,40 @@ class BatchJob:
         ctx = ctx or RunContext()
         params = params if params is not None else self.parameters()
         dest = destination or self.destination
-        if not (ctx.debug or dest.table or dest.jdbc or dest.csv_path):
+        if not (ctx.debug or dest.writes):
             raise ValueError(f"{self.job_name}: the destination names no table, "
-                             "database table or CSV path")
+                             "database table, CSV path or export")
         started = time.time()
         stats = {"extracted_rows": 0, "loaded_rows": 0}
         self._log(spark, ctx, RunStatus.STARTED, started, stats, None)
         try:
             inputs = self.extract(spark, params, ctx)
-            observations = {}
+            observed = {}
             for key, df in inputs.items():
-                obs = Observation(f"in_{key}")
+                obs = Observation(f"in_{key}_{uuid.uuid4().hex[:8]}")
+                observed[key] = (obs, df)
                 inputs[key] = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-                observations[key] = obs
             prepared = prepare_output(self.transform(inputs, params, ctx), self.schema)
             stage = shared_dir(spark, "staging", self.job_name.replace(".", "_"), ctx.run_id,
                                unique=False)
             prepared.write.mode("overwrite").parquet(stage)
             try:
                 staged = spark.read.parquet(stage)
+                size, _ = written_bytes(spark, stage)
                 enforce_output(staged, self.schema)
+                for row in all_null_columns(staged).orderBy("position").collect():
+                    warnings.warn(f"{self.job_name}: output column {row['column_name']} has no value")
                 output = cast_to_schema(staged, self.schema)
-                loaded = self._write(spark, output, dest, ctx)
+                manifests = self._write(spark, output, dest, ctx)
+                loaded = staged.count()  # what was staged is what was written; read from file footers
             finally:
                 remove_path(spark, stage)
-            counts = {}
-            for k, o in observations.items():
-                try:
-                    counts[k] = int(o.get["rows"])
-                except Exception:  # input not read by the plan
-                    counts[k] = 0
+            counts = {k: _rows_read(obs, df) for k, (obs, df) in observed.items()}
             for k, n in counts.items():
                 if n == 0:
-                    warnings.warn(f"Extracted {k} DataFrame is empty.")
+                    warnings.warn(f"{self.job_name}: input {k} has no rows")
             stats = {"extracted_rows": sum(counts.values()), "loaded_rows": loaded,
-                     "inputs": counts}
+                     "inputs": counts, "output_bytes": size, "manifests": manifests}
         except Exception as e:
             self._log(spark, ctx, RunStatus.FAILED, started, stats, str(e))
             raise
@@ -136,29 +154,32 @@ class BatchJob:
         return stats
 
     def _write(self, spark: SparkSession, output: DataFrame, dest: Destination,
-               ctx: RunContext) -> int:
+               ctx: RunContext) -> list[DataFrame]:
+        """Write the checked output everywhere the destination says; manifests of the exports."""
         if ctx.debug:
-            res = export_csv(output, debug_path(shared_dir(spark, "debug"), self.job_name),
-                             single_file=True)
-            return res.row_count
-        loaded = None
+            export_csv(output, debug_path(shared_dir(spark, "debug"), self.job_name), single_file=True)
+            return []
+        key = self.schema.primary_key or None
         if dest.table:
-            obs = Observation("loaded")
-            load_table(output.observe(obs, F.count(F.lit(1)).alias("rows")), dest.table,
-                       dest.load_mode, key=self.schema.primary_key or None)
-            loaded = int(obs.get["rows"])
+            load_table(output, dest.table, dest.load_mode, key=key, partition_by=dest.partition_by)
         if dest.jdbc:
             from ..sources.jdbc import load_jdbc
             conn, table = dest.jdbc
-            obs = Observation("loaded_jdbc")
-            load_jdbc(output.observe(obs, F.count(F.lit(1)).alias("rows")), conn, table,
-                      dest.load_mode, key=self.schema.primary_key or None)
-            loaded = int(obs.get["rows"])
-        if dest.csv_path:
-            res = export_csv(output, dest.csv_path, single_file=dest.single_file,
-                             compression=dest.compression)
-            loaded = res.row_count
-        return loaded or 0
+            load_jdbc(output, conn, table, dest.load_mode, key=key)
+        path = dest.csv_path
+        if not path and dest.export_name:
+            root = dest.export_root or shared_dir(spark, "exports", unique=False)
+            path = dated_key(root, dest.export_name, ctx.as_of)
+        if not path:
+            return []
+        deliveries = [(path, dest.compression)] + ([(f"{path}.gz", "gzip")] if dest.gzip_copy else [])
+        manifests = []
+        for target, compression in deliveries:
+            done = export_csv(output, target, single_file=dest.single_file, compression=compression,
+                              size_limit=dest.size_limit)
+            manifests.append(export_manifest(spark, done, export_name=dest.export_name or self.schema.name,
+                                             category=None, min_date=None, max_date=None, as_of=ctx.as_of))
+        return manifests
 
     def _log(self, spark, ctx, status, started, stats, error):
         if not ctx.run_log_table:
@@ -167,7 +188,8 @@ class BatchJob:
                           manual_trigger=ctx.manual_trigger, status=status,
                           duration=round(time.time() - started),
                           extracted_rows=stats.get("extracted_rows", 0),
-                          loaded_rows=stats.get("loaded_rows", 0), error=error)
+                          loaded_rows=stats.get("loaded_rows", 0), error=error,
+                          output_bytes=stats.get("output_bytes", 0))
 
     def describe(self) -> dict[str, Any]:
         return {"job": self.job_name, "schema": self.schema.names,

@@ -11,8 +11,9 @@ aggregation keys: the merge reuses the aggregates' partitioning instead of
 shuffling both sides again. The merged KPIs are unpivoted (R1), rounded (M1),
 and zero and missing values dropped (F4).
 
-Partial aggregation runs map-side, so a hot group (one country holding a
-third of the orders) shrinks to one row per task before the shuffle.
+Sums are combined map-side. Counting distinct orders first groups each fact by (group,
+order), so a hot group is spread over its orders in that shuffle; the second shuffle
+carries one row per task and group.
 """
 
 from __future__ import annotations
@@ -77,7 +78,7 @@ class KpiExport(BatchJob):
 
     parameter_class = KpiExportParameters
     schema = SCHEMA
-    destination = Destination(csv_path=None)
+    destination = Destination(export_name="kpi", gzip_copy=True)
 
     def __init__(self, sources: Mapping[str, DataFrame]):
         self.sources = sources

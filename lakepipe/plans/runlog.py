@@ -1,4 +1,7 @@
-"""Run log (K7, S11): one appended row per status change of a job run."""
+"""Run log (K7, S11): one appended row per status change of a job run.
+
+``dataframes_memory`` holds the size of the prepared output in whole MB (rounded up).
+"""
 
 from __future__ import annotations
 
@@ -33,11 +36,11 @@ RUN_LOG_SCHEMA = T.StructType([
 
 def append_run_record(spark: SparkSession, table: str, *, job_name: str, run_id: str,
                       manual_trigger: bool, status: RunStatus, duration: int,
-                      extracted_rows: int, loaded_rows: int, error: str | None,
+                      extracted_rows: int, loaded_rows: int, error: str | None, output_bytes: int = 0,
                       created_at: datetime | None = None) -> None:
     created_at = created_at or datetime.now(timezone.utc).replace(tzinfo=None)
     row = [(job_name, bool(manual_trigger), status.value, int(duration), int(extracted_rows),
-            0, int(loaded_rows), run_id, error, created_at)]
+            -(-int(output_bytes) // 2**20), int(loaded_rows), run_id, error, created_at)]
     df = spark.createDataFrame(row, RUN_LOG_SCHEMA)
     mode = LoadMode.INSERT if table_exists(spark, table) else LoadMode.DROP_INSERT
     load_table(df, table, mode)

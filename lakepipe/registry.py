@@ -160,7 +160,7 @@ def q_clean_strings_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The output tail over whole documents (strip, sentinels → null, defaults)."""
     from .operators.tail import output_tail
     from .sources.tables import table
-    return output_tail(table(spark, sf_dir, "documents", parallel=True), _documents_schema())
+    return output_tail(table(spark, sf_dir, "documents"), _documents_schema())
 
 
 _Q7_ORACLE = f"""
@@ -226,7 +226,7 @@ def q_titlecase(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean and title-case whole document texts."""
     from .functions.text import clean_titlecase
     from .sources.tables import table
-    docs = table(spark, sf_dir, "documents", parallel=True)
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", clean_titlecase("text").alias("title_text"))
 
 
@@ -443,9 +443,7 @@ FROM mg""")
 def q_inventory_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """14-table star/snowflake join (J4–J6) with P2–P6 derived columns, 42 columns."""
     from .plans.inventory_export import InventoryExport
-    from .sources.tables import spread
     srcs = adapters(spark, sf_dir, _X2_DIMS)
-    srcs["fact_inventory_current"] = spread(srcs["fact_inventory_current"], ["stock_id"])
     return InventoryExport(srcs).build(spark, ctx=RunContext(as_of=AS_OF))
 
 
@@ -508,8 +506,7 @@ def q_json_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects flattened to dotted columns, duplicates removed."""
     from .sources.fixtures import adapter
     from .sources.json_docs import json_rows
-    from .sources.tables import spread
-    return json_rows(spread(adapter(spark, sf_dir, "json_docs"), ["event_id"]), "doc")
+    return json_rows(adapter(spark, sf_dir, "json_docs"), "doc")
 
 
 _JSON_EXPLODE_ORACLE = with_adapters(["json_tag_docs"], """,
@@ -525,8 +522,7 @@ def q_json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects with one list field → one row per element (empty list → no row)."""
     from .sources.fixtures import adapter
     from .sources.json_docs import json_rows
-    from .sources.tables import spread
-    return json_rows(spread(adapter(spark, sf_dir, "json_tag_docs"), ["event_id"]), "doc")
+    return json_rows(adapter(spark, sf_dir, "json_tag_docs"), "doc")
 
 
 _JSON_LIST_ORACLE = with_adapters(["json_list_docs"], """,
@@ -543,8 +539,7 @@ def q_json_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     their fields, scalar members the ``value`` column; duplicates removed."""
     from .sources.fixtures import adapter
     from .sources.json_docs import json_rows
-    from .sources.tables import spread
-    return json_rows(spread(adapter(spark, sf_dir, "json_list_docs"), ["event_id"]), "doc")
+    return json_rows(adapter(spark, sf_dir, "json_list_docs"), "doc")
 
 
 # ------------------------------------------------------------ quality checks
@@ -599,7 +594,7 @@ def q_range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13: documents against declared database types (unsigned ints, text lengths)."""
     from .operators.quality import range_violations
     from .sources.tables import table
-    return range_violations(table(spark, sf_dir, "documents", parallel=True),
+    return range_violations(table(spark, sf_dir, "documents"),
                             _documents_range_schema())
 
 

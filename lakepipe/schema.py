@@ -13,8 +13,6 @@ from typing import Any
 
 from pyspark.sql import types as T
 
-from .errors import UnexpectedTypeError
-
 
 @dataclass(frozen=True)
 class ColumnSpec:
@@ -27,9 +25,10 @@ class ColumnSpec:
     max_value: Any = None
     max_length: int | None = None
 
-    def __post_init__(self):
-        if self.primary_key:
-            object.__setattr__(self, "nullable", False)
+    @property
+    def required(self) -> bool:
+        """Key columns never take nulls, whatever ``nullable`` says."""
+        return self.primary_key or not self.nullable
 
     @property
     def has_range(self) -> bool:
@@ -44,9 +43,9 @@ class OutputSchema:
 
     def __init__(self, name: str, *columns: ColumnSpec):
         self.name = name
-        for c in columns:
-            if not isinstance(c, ColumnSpec):
-                raise UnexpectedTypeError("ColumnSpec", type(c))
+        wrong = [type(c).__name__ for c in columns if not isinstance(c, ColumnSpec)]
+        if wrong:
+            raise TypeError(f"schema {name}: columns are declared as ColumnSpec, not {', '.join(wrong)}")
         self.columns = list(columns)
 
     @property
@@ -63,7 +62,7 @@ class OutputSchema:
 
     @property
     def not_null(self) -> list[str]:
-        return [c.name for c in self.columns if not c.nullable]
+        return [c.name for c in self.columns if c.required]
 
     @property
     def ranged(self) -> list[ColumnSpec]:
@@ -77,7 +76,7 @@ class OutputSchema:
 
     def struct_type(self) -> T.StructType:
         return T.StructType([
-            T.StructField(c.name, c.dtype or T.StringType(), c.nullable) for c in self.columns
+            T.StructField(c.name, c.dtype or T.StringType(), not c.required) for c in self.columns
         ])
 
 

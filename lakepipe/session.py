@@ -32,6 +32,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LAKEPIPE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakepipe-warehouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -40,9 +41,17 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint root; set a local one only if unset."""
+    """Return the session's checkpoint root; set a local one only if unset, in a local session.
+
+    On a cluster a machine-local folder would be a different one on every node, so a session
+    without the setting is refused there.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set (master {master}): "
+                               "name a folder that all nodes share")
         root = tempfile.mkdtemp(prefix="lakepipe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -68,6 +77,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder of the shared file system."""
+    jvm = spark.sparkContext._jvm
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"{source} was not moved to {target}")
+
+
 def path_has_data(spark: SparkSession, path: str) -> bool:
     """Whether a folder of the shared file system exists and holds any file."""
     jvm = spark.sparkContext._jvm

@@ -1,7 +1,7 @@
 """CSV exports with a manifest.
 
 The export is written by the executors in parallel (one part file per task)
-unless ``single_file`` is asked for, which coalesces to one task and renames
+unless ``single_file`` is asked for, which writes from one task and renames
 the part file to the exact key. The row count is observed during the write
 (no extra pass); the byte size is read from the file listing.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import date_literal
 from ..operators.quality import enforce_size
+from ..session import move_path, remove_path
 
 DEFAULT_SIZE_LIMIT = 10 * 1024 * 1024
 
@@ -64,7 +65,9 @@ def _rename_single_part(spark: SparkSession, directory: str, target: str) -> Non
     if fs.exists(dst):
         fs.delete(dst, False)
     fs.mkdirs(dst.getParent())
-    fs.rename(parts[0], dst)
+    if len(parts) != 1 or not fs.rename(parts[0], dst):
+        raise OSError(f"{directory}: {len(parts)} part files, not moved to {target}")
+    fs.delete(src_dir, True)
 
 
 def export_csv(df: DataFrame, path: str, *, single_file: bool = False,
@@ -75,7 +78,8 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = False,
     """K4: header, null → empty field, quotes doubled, values not trimmed.
 
     ``single_file=True`` writes one file at exactly ``path`` through a single
-    task (``coalesce(1)``); use it only for deliverables known to be small.
+    writing task; use it only for deliverables known to be small. With ``size_limit`` nothing is
+    published at ``path`` if the file is larger.
     The default writes part files in parallel under ``path``. ``partition_by``
     (K10) writes Hive-style ``col=value`` folders, e.g. ``year=2024/month=01``.
     """
@@ -84,9 +88,10 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = False,
     spark = df.sparkSession
     obs = Observation("export")
     out = csv_ready(df).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out_dir = path + ".parts" if single_file else path
+    # a checked or single file is written aside and moved once it is known to be fine
+    out_dir = path + ".parts" if single_file or size_limit is not None else path
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)  # only the write runs in one task, not what comes before it
     w = (out.write.mode("overwrite").option("header", True).option("quote", '"')
          .option("escape", '"').option("emptyValue", "").option("nullValue", "")
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -99,10 +104,14 @@ def export_csv(df: DataFrame, path: str, *, single_file: bool = False,
     w.csv(out_dir)
     rows = int(obs.get["rows"])
     size, files = written_bytes(spark, out_dir)
+    if size_limit is not None and size > size_limit:
+        remove_path(spark, out_dir)
+        enforce_size(size, size_limit)  # Q14: the file delivered before stays
     if single_file:
         _rename_single_part(spark, out_dir, path)
-    if size_limit is not None:
-        enforce_size(size, size_limit)  # Q14
+    elif out_dir != path:
+        remove_path(spark, path)
+        move_path(spark, out_dir, path)
     return ExportResult(path, rows, size, files)
 
 

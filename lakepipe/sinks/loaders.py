@@ -1,14 +1,14 @@
-"""Load modes for catalog tables (K1–K3, Q6) with the data kept in the shared folder.
+"""Load modes for catalog tables (K1–K3, Q6).
 
 * ``DROP_INSERT``     – replace the table (definition and rows) by the frame;
 * ``TRUNCATE_INSERT`` – the table must exist; keep its definition, replace its rows;
-* ``INSERT``          – create when missing, else append; with a key, rows whose
-  key is already in the table are rejected first (Spark tables do not enforce
-  keys): a left-semi join of the new keys against the table's keys, both
-  sides shuffled on the key, so it scales with the data.
+* ``INSERT``          – create when missing, else append; with a key, a batch that repeats a
+  key or brings one that is already in the table is rejected first (Spark tables do
+  not enforce keys): a grouped count of the batch's keys, and a left-semi join against the
+  table's keys, both shuffled on the key. If the table is partitioned by columns of
+  the key, only the partitions that the batch touches are read.
 
-Tables are external tables whose files live under ``spark.checkpoint.dir``
-(or an explicit ``path``), so every executor can read them.
+Tables are stored in the catalog's warehouse, or at an explicit ``path``.
 
 Guarantees: writes go through Spark's commit protocol (a retried task never
 leaves partial files). Replacing a parquet table is not atomic for readers, so
@@ -22,10 +22,11 @@ from __future__ import annotations
 from enum import Enum
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..errors import PrimaryKeyViolationError, TableNotFoundError
-from ..operators.quality import validate_table_name
-from ..session import path_has_data, shared_dir
+from ..errors import CheckFailed, NotFound
+from ..operators.quality import pk_violations, validate_table_name
+from ..session import path_has_data
 
 
 class LoadMode(Enum):
@@ -38,15 +39,29 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def default_table_path(spark: SparkSession, name: str) -> str:
-    """A stable folder per table name, so replacing a table rewrites its files in
-    place instead of leaving the previous ones behind."""
-    return shared_dir(spark, "tables", name, unique=False)
+#: Partition values of a batch that are put into the key check as a filter; a batch that
+#: touches more partitions is checked against the whole table.
+PRUNED_PARTITIONS = 1000
 
 
-def key_conflicts(df: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``df`` whose key already exists in ``target`` (null keys never match)."""
-    return df.select(*key).join(target.select(*key).distinct(), key, "left_semi")
+def key_conflicts(df: DataFrame, target: DataFrame, key: list[str],
+                  partitions: list[str] | None = None) -> DataFrame:
+    """Rows of ``df`` whose key already exists in ``target`` (null keys never match).
+
+    ``partitions``: partition columns of ``target`` that are in the key.
+    """
+    kept = target
+    for c in partitions or []:
+        values = [r[0] for r in df.select(c).distinct().limit(PRUNED_PARTITIONS + 1).collect()]
+        if len(values) <= PRUNED_PARTITIONS:
+            kept = kept.where(F.col(c).isin(values))
+    return df.select(*key).join(kept.select(*key).distinct(), key, "left_semi")
+
+
+def check_batch_key(df: DataFrame, key: list[str]) -> None:
+    """Reject a batch that repeats a key."""
+    for row in pk_violations(df, key).limit(1).collect():
+        raise CheckFailed("key", key, example=tuple(row)[:-1], rows=row["n"])
 
 
 def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = None,
@@ -62,23 +77,24 @@ def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = N
     spark = df.sparkSession
     validate_table_name(name)
     exists = table_exists(spark, name)
-    location = path or default_table_path(spark, name)
-    if not exists and path_has_data(spark, location):
+    if path and not exists and path_has_data(spark, path):
         # data written by an earlier session whose catalog is gone: attach it, so
         # INSERT checks keys against it and TRUNCATE_INSERT finds the table
-        spark.catalog.createTable(name, path=location, source=file_format)
+        spark.catalog.createTable(name, path=path, source=file_format)
         exists = True
+    if mode is LoadMode.INSERT and key:
+        check_batch_key(df, key)
     if mode is LoadMode.TRUNCATE_INSERT:
         if not exists:
-            raise TableNotFoundError(name)
+            raise NotFound("table", name)
         cols = spark.table(name).columns
         df.select(*cols).write.insertInto(name, overwrite=True)
         return
     if mode is LoadMode.INSERT and exists:
         if key:
-            hit = key_conflicts(df, spark.table(name), key).limit(1).collect()
-            if hit:
-                raise PrimaryKeyViolationError(key, [tuple(hit[0])])
+            parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition and c.name in key]
+            for hit in key_conflicts(df, spark.table(name), key, parts).limit(1).collect():
+                raise CheckFailed("key", key, already_in=name, example=tuple(hit))
         cols = spark.table(name).columns
         df.select(*cols).write.insertInto(name, overwrite=False)
         return
@@ -88,5 +104,7 @@ def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = N
     if bucket_by:
         n, cols = bucket_by
         writer = writer.bucketBy(n, *cols).sortBy(*cols)
-    writer.option("path", location).saveAsTable(name)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 

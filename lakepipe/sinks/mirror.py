@@ -23,14 +23,12 @@ TableGroups = Mapping[str, Mapping[str, list[str]]]
 
 def select_tables(groups: TableGroups, system: str, group: str | None = None,
                   tables: list[str] | None = None) -> list[str]:
-    if tables:
-        return list(tables)
-    system_groups = groups.get(system, {})
-    group = group or "tables"
-    if group not in system_groups:
-        raise KeyError(f"group '{group}' not found for system '{system}'. "
-                       f"Available groups: {list(system_groups)}")
-    return list(system_groups[group])
+    """The tables to mirror: those named, else those of a system's group (default ``tables``)."""
+    known = groups.get(system, {})
+    name = group or "tables"
+    if not tables and name not in known:
+        raise KeyError(f"{system} has no table group {name}; it has {sorted(known)}")
+    return list(tables or known[name])
 
 
 def mirror_tables(spark: SparkSession, sources: Mapping[str, DataFrame], *,

@@ -32,11 +32,10 @@ SELECT p_partkey AS id,
        CAST(p_size % 8 AS INT) AS status_id
 FROM {part}""",
     "product_prices": """
-SELECT p_partkey AS product_id,
+SELECT CASE WHEN p_partkey % 5 = 0 THEN -p_partkey ELSE p_partkey END AS product_id,
        CAST(p_size % 3 + 1 AS INT) AS entity_id,
        CAST(p_retailprice AS DECIMAL(12,2)) AS regular_price
-FROM {part}
-WHERE p_partkey % 5 <> 0""",
+FROM {part}""",
     "customer_sales": """
 SELECT CAST(o_custkey % 3 + 1 AS INT) AS entity_id,
        o_orderkey AS order_id,
@@ -65,14 +64,14 @@ JOIN {nation} ON s_nationkey = n_nationkey
 JOIN {region} ON n_regionkey = r_regionkey""",
     "fact_inventory_current": """
 SELECT o_orderkey AS stock_id,
-       o_orderkey % 2500 AS product_id,
+       o_custkey AS product_id,
        o_custkey AS purchase_order_id,
        o_orderkey % 11 AS purchase_order_item_id,
        CAST(o_custkey % 26 + 1 AS INT) AS warehouse_id,
        CAST(o_orderkey % 6 AS INT) AS product_status_id,
        CAST(o_orderkey % 5 AS INT) AS product_type_id,
        CAST(o_custkey % 7 AS INT) AS entity_id,
-       o_custkey % 120 AS model_id,
+       CAST(FLOOR(o_custkey / 15.0) AS BIGINT) + 1 AS model_id,
        CAST(o_orderkey % 8 AS INT) AS channel_id,
        o_orderpriority AS location_name,
        CONCAT('SKU-', CAST(o_orderkey AS VARCHAR(20))) AS sku,
@@ -117,7 +116,7 @@ FROM {part}""",
     "dim_model": """
 SELECT s_suppkey AS id, s_name AS name, s_nationkey AS brand_id FROM {supplier}""",
     "dim_brand": """
-SELECT n_nationkey AS id, n_name AS name FROM {nation} WHERE n_nationkey < 20""",
+SELECT n_nationkey + 5 AS id, n_name AS name FROM {nation}""",
     "run_log": """
 SELECT CONCAT('pipes.facts.', event_type, '.Pipe', CAST((event_id - event_id % 3) % 7 AS VARCHAR(10))) AS pipe_name,
        (event_id - event_id % 3) % 2 = 0 AS manual_trigger,

@@ -85,12 +85,10 @@ def write_table(df: DataFrame, conn: Connection, table: str, mode: str = "append
 
 
 def table_exists_jdbc(spark: SparkSession, conn: Connection, table: str) -> bool:
-    """Q6 over JDBC: resolving the table's schema fails when it does not exist."""
-    try:
-        read_query(spark, conn, f"SELECT * FROM {validate_table_name(table)} WHERE 1 = 0").schema
-        return True
-    except Exception:  # noqa: BLE001 - the driver reports a missing table in many ways
-        return False
+    """Q6 over JDBC: whether the database's catalog lists the table; a failing connection raises."""
+    found = read_query(spark, conn, "SELECT COUNT(*) AS n FROM information_schema.tables "
+                                    f"WHERE table_name = '{validate_table_name(table)}'")
+    return found.first()["n"] > 0
 
 
 def load_jdbc(df: DataFrame, conn: Connection, table: str, mode, *,
@@ -99,18 +97,19 @@ def load_jdbc(df: DataFrame, conn: Connection, table: str, mode, *,
     DROP_INSERT drops and recreates the table from the frame; TRUNCATE_INSERT
     requires the table and keeps its definition; INSERT appends after checking
     that no key already exists in the table (a semi join against its keys)."""
-    from ..errors import PrimaryKeyViolationError, TableNotFoundError
-    from ..sinks.loaders import LoadMode, key_conflicts
+    from ..errors import CheckFailed, NotFound
+    from ..sinks.loaders import LoadMode, check_batch_key, key_conflicts
     spark = df.sparkSession
     if mode is LoadMode.DROP_INSERT:
         write_table(df, conn, table, "overwrite", truncate=False, batchsize=batchsize)
     elif mode is LoadMode.TRUNCATE_INSERT:
         if not table_exists_jdbc(spark, conn, table):
-            raise TableNotFoundError(table)
+            raise NotFound("table", table)
         write_table(df, conn, table, "overwrite", truncate=True, batchsize=batchsize)
     else:
+        if key:
+            check_batch_key(df, key)
         if key and table_exists_jdbc(spark, conn, table):
-            hit = key_conflicts(df, read_table(spark, conn, table), key).limit(1).collect()
-            if hit:
-                raise PrimaryKeyViolationError(key, [tuple(hit[0])])
+            for hit in key_conflicts(df, read_table(spark, conn, table), key).limit(1).collect():
+                raise CheckFailed("key", key, already_in=table, example=tuple(hit))
         write_table(df, conn, table, "append", batchsize=batchsize)

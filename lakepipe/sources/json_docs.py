@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from ..errors import ResourceNotFoundError
+from ..errors import NotFound
 from ..functions.text import PY_WHITESPACE
 from ..operators.quality import enforce_types
 from ..operators.reshape import flatten as flatten_structs
@@ -284,7 +284,7 @@ def read_json_files(spark: SparkSession, paths, *,
                        .option("pathGlobFilter", glob).load(p))
             except AnalysisException as e:
                 if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                    raise ResourceNotFoundError(p) from e
+                    raise NotFound("path", p) from e
                 raise
             raw = raw.select(F.col("_metadata.file_path").alias("source_file"), "value")
             if whole:

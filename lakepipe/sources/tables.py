@@ -1,46 +1,20 @@
 """Parquet table loading for the test tables (and any ``<dir>/<name>.parquet`` layout).
 
-A scan yields one task per file split; a table stored as a few large,
-unsplittable row groups would leave most cores idle for the row-wise work
-that follows. ``spread`` hash-partitions such a scan up to the cluster's
-default parallelism. On big inputs (more splits than cores) it does nothing.
-
-The partitioning expression is ``xxhash64(key)``, not the key itself: it is
-deterministic (a retried task gets the same rows) but never equals a join's or
-aggregate's required distribution, so those keep their own shuffles, which
-AQE may coalesce or split for skew (a user-requested partitioning on the join
-key would be reused as is and could not be split).
+A scan has a task per file split and row-wise work follows in the same task; more tasks come from
+more row groups and ``spark.sql.files.minPartitionNum``, never from a shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations"]
 
-# Tables too small to be worth redistributing (fixed-size dimensions).
-_TINY = {"region", "nation"}
 
-
-def spread(df: DataFrame, keys: list[str], min_partitions: int | None = None) -> DataFrame:
-    """Hash-repartition on ``keys`` when the frame has fewer partitions than
-    ``min_partitions`` (default: the cluster's default parallelism)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, F.xxhash64(*[F.col(k) for k in keys]))
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = False) -> DataFrame:
-    """``<sf_dir>/<name>.parquet``; ``parallel=True`` applies ``spread`` (opt-in:
-    measured on the test tables it no longer pays for its extra exchange)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if parallel and name not in _TINY:
-        df = spread(df, [df.columns[0]])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ import os
 
 import pytest
 
-from lakepipe.errors import ColumnTypeMismatchError, MissingColumnError, ResourceNotFoundError
+from lakepipe.errors import CheckFailed, NotFound
 from lakepipe.sources.json_docs import json_rows, read_json_files, variant_type_to_ddl
 
 
@@ -75,9 +75,9 @@ def test_schema_validation(spark):
     df = _docs(spark, ['{"id": 1, "flag": true, "name": "a"}'])
     from pyspark.sql import types as T
     json_rows(df, schema={"id": T.LongType(), "flag": T.IntegerType(), "name": None})
-    with pytest.raises(ColumnTypeMismatchError):
+    with pytest.raises(CheckFailed, match="name"):
         json_rows(df, schema={"name": T.LongType()})
-    with pytest.raises(MissingColumnError):
+    with pytest.raises(CheckFailed, match="missing"):
         json_rows(df, schema={"missing": None})
 
 
@@ -98,7 +98,7 @@ def test_read_json_files_directory_and_fallbacks(spark, tmp_path):
     assert cols == ["id", "t"]
     assert rows == sorted([(1, None), (2, None), (3, "[1]"), (4, "[2]"), (5, None), (6, None),
                            (7, None), (8, "9")], key=repr)
-    with pytest.raises(ResourceNotFoundError):
+    with pytest.raises(NotFound):
         read_json_files(spark, os.path.join(str(tmp_path), "missing"))
 
 

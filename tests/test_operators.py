@@ -9,8 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakepipe.errors import (MissingColumnError, NotNullViolationError, PrimaryKeyViolationError,
-                             RangeViolationError)
+from lakepipe.errors import CheckFailed
 from lakepipe.operators import (flatten, global_row_number, null_safe_merge, output_tail,
                                 unpivot, zip_lists)
 from lakepipe.operators import quality as Q
@@ -72,16 +71,16 @@ SCHEMA = OutputSchema(
 def test_enforce_output_order_of_checks(spark):
     dup = spark.createDataFrame([(1, 1, Decimal(1), "a"), (1, 2, Decimal(1), None)],
                                 "id long, small int, amount decimal(10,2), name string")
-    with pytest.raises(PrimaryKeyViolationError):
+    with pytest.raises(CheckFailed, match="more than once"):
         Q.enforce_output(dup, SCHEMA)
     nul = spark.createDataFrame([(1, 1, Decimal(1), "a"), (2, 2, Decimal(1), None)],
                                 "id long, small int, amount decimal(10,2), name string")
-    with pytest.raises(NotNullViolationError) as e:
+    with pytest.raises(CheckFailed) as e:
         Q.enforce_output(nul, SCHEMA)
-    assert e.value.column == "name"
+    assert (e.value.check, e.value.where) == ("not_null", "name")
     rng = spark.createDataFrame([(1, 300, Decimal("1000.00"), "abcd")],
                                 "id long, small int, amount decimal(10,2), name string")
-    with pytest.raises(RangeViolationError):
+    with pytest.raises(CheckFailed, match="outside"):
         Q.enforce_output(rng, SCHEMA)
     viol = {r["column_name"]: r["out_of_range"] for r in Q.range_violations(rng, SCHEMA).collect()}
     assert viol == {"small": 1, "amount": 1, "name": 1}
@@ -95,7 +94,7 @@ def test_output_tail_projects_cleans_defaults_and_casts(spark):
     assert out.schema["small"].dataType == T.ShortType()
     assert sorted(tuple(r) for r in out.collect()) == [(1, 0, Decimal("1.50"), "ab"),
                                                        (2, 3, None, None)]
-    with pytest.raises(MissingColumnError):
+    with pytest.raises(CheckFailed, match="missing"):
         output_tail(df.drop("name"), SCHEMA)
 
 
@@ -111,7 +110,7 @@ def test_type_mismatches_bool_counts_as_int(spark):
     exp = {"flag": T.IntegerType(), "n": T.IntegerType(), "s": T.IntegerType(), "d": T.StringType()}
     got = {r["column_name"]: r["mismatches"] for r in Q.type_mismatches(df, exp).collect()}
     assert got == {"flag": 0, "n": 0, "s": 1, "d": 1}
-    with pytest.raises(MissingColumnError):
+    with pytest.raises(CheckFailed, match="missing"):
         Q.type_mismatches(df, {"nope": None})
 
 
@@ -144,34 +143,31 @@ def test_python_types_in_validation_schema(spark):
     got = {r["column_name"]: r["mismatches"]
            for r in Q.type_mismatches(df, {"i": int, "f": float, "s": int, "b": int}).collect()}
     assert got == {"i": 0, "f": 0, "s": 1, "b": 0}
-    from lakepipe.errors import ColumnTypeMismatchError
-    with pytest.raises(ColumnTypeMismatchError) as e:
+    with pytest.raises(CheckFailed) as e:
         Q.enforce_types(df, {"i": int, "s": float})
-    assert e.value.column == "s" and e.value.expected is float
+    assert e.value.where == "s" and e.value.facts["declared"] is float
 
 
 def test_remaining_domain_errors_carry_their_fields(spark):
     from datetime import date, datetime
 
-    from lakepipe.errors import InvalidDataError, InvalidParameterError, MissingDailyDataError
     from lakepipe.sources.calendar import date_range
     ev = spark.createDataFrame([(datetime(2024, 1, 1, 3),), (datetime(2024, 1, 3, 4),)], "ts timestamp_ntz")
-    with pytest.raises(MissingDailyDataError) as e:
+    with pytest.raises(CheckFailed) as e:
         Q.enforce_daily_completeness(ev, "ts", date_range(spark, "2024-01-01", "2024-01-03"), "events")
-    assert e.value.table_name == "events" and e.value.date == date(2024, 1, 2)
+    assert e.value.where == "events" and e.value.facts == {"day": date(2024, 1, 2)}
     z = spark.createDataFrame([(datetime(2024, 1, 1), 0, 1)], "ts timestamp_ntz, a int, b int")
-    with pytest.raises(InvalidDataError) as e:
+    with pytest.raises(CheckFailed) as e:
         Q.enforce_no_zero_sums(z, "ts", ["a", "b"])
-    assert e.value.zero_sum_columns == ["a"]
-    with pytest.raises(InvalidParameterError) as e:
+    assert e.value.facts["columns"] == ["a"]
+    with pytest.raises(CheckFailed) as e:
         Q.check_parameter("mode", "x", ["a", "b"])
-    assert e.value.valid_options == ["a", "b"] and "Valid options" in str(e.value)
+    assert e.value.facts == {"value": "x", "options": ["a", "b"]} and "none of the options" in str(e.value)
 
 
 def test_small_helpers(spark):
     from datetime import date, datetime
 
-    from lakepipe.errors import UnexpectedTypeError
     from lakepipe.functions.dates import minutes_before, ntz_literal, start_of_day_before
     from lakepipe.operators.reshape import explode_list
     from lakepipe.operators.tail import clean_strings
@@ -180,7 +176,7 @@ def test_small_helpers(spark):
     assert sorted(tuple(r) for r in explode_list(df, "t").collect()) == [(1, "a"), (1, "b")]
     s = spark.createDataFrame([(" x ", " y ")], "a string, b string")
     assert tuple(clean_strings(s, exclude=["b"]).first()) == ("x", " y ")
-    with pytest.raises(UnexpectedTypeError):
+    with pytest.raises(TypeError):
         OutputSchema("bad", "not a column spec")
     row = spark.range(1).select(minutes_before(ntz_literal(datetime(2024, 1, 1, 0, 30)), 45).alias("a"),
                                 start_of_day_before(datetime(2024, 1, 30, 23, 58)).alias("b")).first()

@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 
 import __spark_entry__ as E
 from lakepipe import registry
-from lakepipe.errors import (NotNullViolationError, PrimaryKeyViolationError,
-                             SizeLimitExceededError, TableNotFoundError)
+from lakepipe.errors import CheckFailed, NotFound
 from lakepipe.plans.job import BatchJob, Destination, RunContext
 from lakepipe.schema import ColumnSpec, OutputSchema
+from lakepipe.sinks.loaders import key_conflicts
 from lakepipe.sinks import (LoadMode, dated_key, export_csv, load_table, mirror_tables,
                             period_label, select_tables)
 
@@ -31,12 +31,12 @@ def _name(base):
 def test_load_modes(spark):
     t = _name("t_modes")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
-    with pytest.raises(TableNotFoundError):
+    with pytest.raises(NotFound):
         load_table(df, t, LoadMode.TRUNCATE_INSERT)
     load_table(df, t, LoadMode.INSERT)                       # creates
     load_table(df.withColumn("name", F.upper("name")), t, LoadMode.TRUNCATE_INSERT)
     assert sorted(tuple(r) for r in spark.table(t).collect()) == [(1, "A"), (2, "B")]
-    with pytest.raises(PrimaryKeyViolationError):
+    with pytest.raises(CheckFailed, match="more than once"):
         load_table(df, t, LoadMode.INSERT, key=["id"])
     load_table(spark.createDataFrame([(3, "c")], "id long, name string"), t, LoadMode.INSERT, key=["id"])
     assert spark.table(t).count() == 3
@@ -61,8 +61,15 @@ def test_export_csv_quoting_nulls_and_single_file(spark, tmp_path):
     export_csv(df, gz, single_file=True, compression="gzip")
     with gzip.open(gz, "rt") as fh:
         assert fh.readline().strip() == "id,txt,empty,flag,ts"
-    with pytest.raises(SizeLimitExceededError):
-        export_csv(df, str(tmp_path / "z"), size_limit=10)
+    # too large: nothing is published, what was delivered before stays
+    for single in (False, True):
+        target = str(tmp_path / f"z{single}")
+        export_csv(df, target, single_file=single)
+        with pytest.raises(CheckFailed, match="more bytes"):
+            export_csv(df, target, single_file=single, size_limit=10)
+        assert os.path.exists(target) and not os.path.exists(target + ".parts")
+        export_csv(df, target, single_file=single, size_limit=10**6)
+        assert os.path.isfile(target) if single else os.listdir(target)
 
 
 def test_dated_key_and_period_label(spark):
@@ -112,12 +119,12 @@ def test_job_run_checks_before_writing_and_logs(spark):
     assert sorted(tuple(r) for r in spark.table(target).collect()) == [(1, "a"), (2, "b")]
     bad_ctx = RunContext(as_of=datetime(2024, 1, 1), run_log_table=log)
     bad_target = _name("tiny_bad")
-    with pytest.raises(NotNullViolationError):
+    with pytest.raises(CheckFailed):
         _Tiny([(1, "a"), (2, "NULL")]).run(spark, None, bad_ctx, Destination(table=bad_target))
     assert not spark.catalog.tableExists(bad_target)          # nothing was written
     statuses = sorted((r["uuid"] == ctx.run_id, r["status_id"], r["error"])
                       for r in spark.table(log).collect())
-    assert statuses == [(False, 0, None), (False, 2, "Nulls in not-null column: v"),
+    assert statuses == [(False, 0, None), (False, 2, "v: a value is missing (rows=1)"),
                         (True, 0, None), (True, 1, None)]
 
 
@@ -131,10 +138,17 @@ def test_no_python_udf_in_any_registered_query(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
-def test_inventory_export_broadcasts_bounded_dimensions(spark):
-    plan = _plan(E.queries()["inventory_export"](spark, SF_ORACLE))
-    assert plan.count("BroadcastHashJoin") >= 13
-    assert "SortMergeJoin" not in plan
+def test_inventory_export_broadcasts_by_size_without_a_job(spark):
+    """Label tables are broadcast by their bytes; building the frame neither counts nor funnels rows."""
+    tracker = spark.sparkContext.statusTracker()
+    group = _name("build")
+    spark.sparkContext.setJobGroup(group, "build only")
+    df = E.queries()["inventory_export"](spark, SF_ORACLE)
+    plan = _plan(df)
+    # reading a parquet schema may start a job of one task; the dimensions are not counted
+    assert len(tracker.getJobIdsForGroup(group)) <= 8
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert plan.count("BroadcastHashJoin") >= 10 and "SinglePartition" not in plan
 
 
 def test_kpi_window_filter_reaches_the_scan(spark):
@@ -164,14 +178,13 @@ def test_debug_run_writes_csv_and_warns_on_empty_input(spark, recwarn):
         warnings.simplefilter("always")
         _Tiny([]).run(spark, None, RunContext(as_of=datetime(2024, 1, 1), debug=True),
                       Destination(table=_name("never")))
-    assert any("is empty" in str(x.message) for x in w)
+    assert any("has no rows" in str(x.message) for x in w)
 
 
 def test_enforce_not_empty_and_default_window(spark):
-    from lakepipe.errors import EmptyTableError
     from lakepipe.functions import default_window
     from lakepipe.operators.quality import enforce_not_empty
-    with pytest.raises(EmptyTableError):
+    with pytest.raises(CheckFailed):
         enforce_not_empty(spark.range(0), "t")
     enforce_not_empty(spark.range(1), "t")
     assert default_window(datetime(2024, 3, 8, 5), 7) == ("2024-03-01", "2024-03-08")
@@ -191,7 +204,6 @@ def test_sql_parameters_reach_the_scan(spark):
 
 
 def test_jdbc_connection_options_keep_password_out_of_the_url(spark, monkeypatch):
-    from lakepipe.errors import InvalidTableNameError
     from lakepipe.sources.jdbc import Connection, read_table
     c = Connection("dwh", "mysql", "db.local", None, "etl", "p@ss/word", "sales")
     assert c.url == "jdbc:mysql://db.local:3306/sales"
@@ -202,7 +214,7 @@ def test_jdbc_connection_options_keep_password_out_of_the_url(spark, monkeypatch
     monkeypatch.setenv("PG_USER", "u")
     pg = Connection.from_env("erp", "PG", "postgresql", "erp")
     assert pg.url == "jdbc:postgresql://pg:5432/erp" and pg.user == "u"
-    with pytest.raises(InvalidTableNameError):
+    with pytest.raises(CheckFailed):
         read_table(spark, c, "orders; drop table x")
 
 
@@ -233,7 +245,7 @@ def test_real_jobs_run_end_to_end(spark, tmp_path):
                      Destination(table=target, load_mode=LoadMode.INSERT))
     assert stats["loaded_rows"] == spark.table(target).count() == 1771
     # a second snapshot for the same day violates the key (date, product, warehouse)
-    with pytest.raises(PrimaryKeyViolationError):
+    with pytest.raises(CheckFailed, match="more than once"):
         snap.run(spark, None, RunContext(as_of=as_of, run_log_table=log),
                  Destination(table=target, load_mode=LoadMode.INSERT))
     statuses = [r["status_id"] for r in spark.table(log).orderBy("created_at").collect()]
@@ -243,7 +255,6 @@ def test_real_jobs_run_end_to_end(spark, tmp_path):
 def test_load_jdbc_modes_map_to_writer_options(spark, monkeypatch):
     """Without a database server: record what the JDBC writer would be asked to do."""
     import lakepipe.sources.jdbc as J
-    from lakepipe.errors import TableNotFoundError
     calls = []
     monkeypatch.setattr(J, "write_table", lambda df, conn, table, mode, **kw: calls.append(
         (table, mode, kw.get("truncate", False))))
@@ -252,25 +263,26 @@ def test_load_jdbc_modes_map_to_writer_options(spark, monkeypatch):
     df = spark.createDataFrame([(1,)], "id long")
     J.load_jdbc(df, conn, "t", LoadMode.DROP_INSERT)
     J.load_jdbc(df, conn, "present", LoadMode.TRUNCATE_INSERT)
-    with pytest.raises(TableNotFoundError):
+    with pytest.raises(NotFound):
         J.load_jdbc(df, conn, "absent", LoadMode.TRUNCATE_INSERT)
     J.load_jdbc(df, conn, "absent", LoadMode.INSERT, key=["id"])
     monkeypatch.setattr(J, "read_table", lambda spark, conn, table, **kw: spark.range(3))
-    with pytest.raises(PrimaryKeyViolationError):
+    with pytest.raises(CheckFailed, match="more than once"):
         J.load_jdbc(df, conn, "present", LoadMode.INSERT, key=["id"])
     assert calls == [("t", "overwrite", False), ("present", "overwrite", True),
                      ("absent", "append", False)]
 
 
-def test_insert_reattaches_data_left_by_an_earlier_catalog(spark):
+def test_insert_reattaches_data_left_by_an_earlier_catalog(spark, tmp_path):
     t = _name("t_reattach")
     df = spark.createDataFrame([(1, "a")], "id long, name string")
-    load_table(df, t, LoadMode.DROP_INSERT)
+    path = str(tmp_path / t)
+    load_table(df, t, LoadMode.DROP_INSERT, path=path)
     spark.sql(f"DROP TABLE {t}")              # external table: the files stay
-    with pytest.raises(PrimaryKeyViolationError):
-        load_table(df, t, LoadMode.INSERT, key=["id"])
+    with pytest.raises(CheckFailed, match="more than once"):
+        load_table(df, t, LoadMode.INSERT, key=["id"], path=path)
     load_table(spark.createDataFrame([(2, "b")], "id long, name string"), t, LoadMode.INSERT,
-               key=["id"])
+               key=["id"], path=path)
     assert sorted(tuple(r) for r in spark.table(t).collect()) == [(1, "a"), (2, "b")]
 
 
@@ -318,3 +330,59 @@ def test_bucketed_tables_join_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_insert_rejects_keys_repeated_in_the_batch(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, name string")
+    t = _name("t_batch")
+    for target in (t, t):                                    # a new and an existing table
+        with pytest.raises(CheckFailed, match="more than once"):
+            load_table(df, target, LoadMode.INSERT, key=["id"])
+        load_table(df.where("name = 'c'").limit(0), target, LoadMode.INSERT, key=["id"])
+    assert spark.table(t).count() == 0
+
+
+def test_key_check_reads_only_the_partitions_of_the_batch(spark):
+    t = _name("t_parts")
+    rows = spark.range(40).select((F.col("id") % 4).alias("day"), "id")
+    load_table(rows, t, LoadMode.INSERT, key=["day", "id"], partition_by=["day"])
+    new = spark.createDataFrame([(2, 100)], "day long, id long")
+    plan = _plan(key_conflicts(new, spark.table(t), ["day", "id"], ["day"]))
+    assert "PartitionFilters: [" in plan and "(day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    load_table(new, t, LoadMode.INSERT, key=["day", "id"])
+    with pytest.raises(CheckFailed, match="more than once"):
+        load_table(new, t, LoadMode.INSERT, key=["day", "id"])
+
+
+class _TwoInputs(_Tiny):
+    def extract(self, spark, params, ctx):
+        return super().extract(spark, params, ctx) | {"unused": spark.range(7)}
+
+
+def test_job_with_an_unread_input_ends_and_counts_it(spark):
+    stats = _TwoInputs([(1, "a")]).run(spark, None, RunContext(), Destination(table=_name("unread")))
+    assert stats["inputs"] == {"data": 1, "unused": 7} and stats["loaded_rows"] == 1
+
+
+def test_job_into_an_existing_empty_table_is_completed(spark):
+    log, t = _name("log"), _name("was_empty")
+    load_table(spark.createDataFrame([], "id long, v string"), t, LoadMode.DROP_INSERT)
+    stats = _Tiny([(i, "x") for i in range(50)]).run(spark, None, RunContext(run_log_table=log), Destination(table=t))
+    assert stats["loaded_rows"] == spark.table(t).count() == 50 and stats["output_bytes"] > 0
+    done = spark.table(log).where("status_id = 1").collect()
+    assert len(done) == 1 and (done[0]["loaded_rows"], done[0]["dataframes_memory"]) == (50, 1)
+
+
+def test_export_job_delivers_two_copies_with_manifests(spark, tmp_path):
+    dest = Destination(export_name="tiny", export_root=str(tmp_path), gzip_copy=True, single_file=True,
+                       size_limit=10**6)
+    with pytest.warns(UserWarning, match="has no value"):
+        stats = _Tiny2([(1, None)]).run(spark, None, RunContext(as_of=datetime(2024, 3, 7)), dest)
+    rows = [r for m in stats["manifests"] for r in m.collect()]
+    names = ["tiny_2024-03-07.csv", "tiny_2024-03-07.csv.gz"]
+    assert [(r["file_name"], r["row_count"]) for r in rows] == [(n, 1) for n in names]
+    assert all(os.path.isfile(tmp_path / "year=2024" / "month=03" / n) for n in names)
+
+
+class _Tiny2(_Tiny):
+    schema = OutputSchema("tiny2", ColumnSpec("id", T.LongType(), primary_key=True), ColumnSpec("v", T.StringType()))

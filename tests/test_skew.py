@@ -43,7 +43,7 @@ def test_inventory_export_hot_product_shuffled_join(spark):
     try:
         for k, v in SKEW_CONF.items():
             spark.conf.set(k, v)
-        df = InventoryExport(srcs, max_broadcast_rows=10).build(spark, ctx=ctx)
+        df = InventoryExport(srcs).build(spark, ctx=ctx)
         got = _rows(df)
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
@@ -64,7 +64,11 @@ def test_inventory_snapshot_hot_product_is_combined_map_side(spark):
         "product_id", F.when(F.col("total_qty") % 3 == 0, F.lit(11)).otherwise(F.col("product_id")))
     ctx = RunContext(as_of=datetime(2024, 1, 31))
     a = _rows(InventorySnapshot(srcs).build(spark, ctx=ctx))
-    df = InventorySnapshot(srcs, max_broadcast_rows=10).build(spark, ctx=ctx)
-    assert _rows(df) == a
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = InventorySnapshot(srcs).build(spark, ctx=ctx)
+    got = _rows(df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert got == a
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan            # stock rows are combined before their shuffle
