@@ -161,7 +161,7 @@ PYTHON_TYPES = {int: T.LongType(), float: T.DoubleType(), str: T.StringType(),
                 bool: T.BooleanType()}
 
 
-def _as_spark_type(t):
+def as_spark_type(t):
     if t is None or isinstance(t, T.DataType):
         return t
     if t in PYTHON_TYPES:
@@ -177,7 +177,7 @@ def type_mismatches(df: DataFrame, expected: dict) -> DataFrame:
     A missing column fails the check ``column``.
     """
     require_columns(df, list(expected))
-    expected = {c: _as_spark_type(t) for c, t in expected.items()}
+    expected = {c: as_spark_type(t) for c, t in expected.items()}
     typed = [(c, t) for c, t in expected.items() if t is not None]
     if not typed:
         return df.sparkSession.createDataFrame([], "column_name string, position int, mismatches bigint")

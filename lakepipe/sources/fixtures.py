@@ -156,6 +156,17 @@ ADAPTERS["json_list_docs"] = """
 SELECT event_id, CONCAT('[', props, ',', CAST(event_id AS VARCHAR(20)), ']') AS doc
 FROM {events}"""
 
+# Fields whose values have several JSON types.
+ADAPTERS["json_mixed_docs"] = """
+SELECT event_id,
+       CONCAT('{{"id":', CAST(event_id AS VARCHAR(20)),
+              ',"n":', CASE event_id % 4 WHEN 0 THEN '"12"' WHEN 1 THEN '2.5' WHEN 2 THEN 'true' ELSE '7' END,
+              ',"s":', CASE event_id % 3 WHEN 0 THEN '5' ELSE '"a"' END,
+              ',"f":', CASE event_id % 5 WHEN 0 THEN '1' WHEN 1 THEN 'null' ELSE '0.25' END,
+              ',"user":{{"id":', CAST(user_id AS VARCHAR(20)), '}}',
+              ',"tags":[', CASE event_id % 3 WHEN 0 THEN '' WHEN 1 THEN '"a"' ELSE '"a",3' END, ']}}') AS doc
+FROM {events}"""
+
 # An object with exactly one list field per event (0, 1 or 2 tags).
 ADAPTERS["json_tag_docs"] = """
 SELECT event_id,

@@ -31,15 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from ..errors import NotFound
+from ..errors import CheckFailed, NotFound
 from ..functions.text import PY_WHITESPACE
-from ..operators.quality import enforce_types
+from ..operators.quality import as_spark_type
 from ..operators.reshape import flatten as flatten_structs
 from ..operators.reshape import strict_length
+from ..operators.tail import require_columns
 
 
 def variant_type_to_ddl(schema: str) -> str:
-    """Turn a ``schema_of_variant`` string into Spark DDL (OBJECT→STRUCT, VOID→STRING)."""
+    """Turn a ``schema_of_variant`` string into Spark DDL (OBJECT→STRUCT, VOID→STRING, fractions→DOUBLE)."""
     out, i, quoted = [], 0, False
     while i < len(schema):
         ch = schema[i]
@@ -54,6 +55,13 @@ def variant_type_to_ddl(schema: str) -> str:
                 out.append("STRUCT<")
                 i += 7
                 continue
+            if schema.startswith("DECIMAL(", i):
+                # a fraction is a double, whatever digits the documents happen to have
+                end = schema.index(")", i)
+                whole = schema[i:end].split(",")[1].strip() == "0"
+                out.append(schema[i:end + 1] if whole else "DOUBLE")
+                i = end + 1
+                continue
             if schema.startswith("VOID", i) and not (i and (schema[i - 1].isalnum() or schema[i - 1] == "_")):
                 out.append("STRING")
                 i += 4
@@ -98,7 +106,8 @@ class JsonShape:
     None; ``member_objects``: whether list documents contain objects (with the
     ``"document"`` rule their list fields then stay whole, so list columns are
     text). Infer it once with ``infer_json_shape`` (one pass), store it, and pass
-    it to ``json_rows`` to skip that pass and give every batch the same schema.
+    it to ``json_rows`` to skip that pass and give every batch the same schema. Items that do not fit a
+    given shape are an error there; ``shape_misfits`` returns them.
     """
     object_type: str | None
     value_type: str | None
@@ -154,16 +163,16 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
     if explode_lists not in ("document", "record"):
         raise ValueError("explode_lists must be 'document' or 'record'")
     spark = df.sparkSession
-    rows = _document_items(df, col)
+    items = rows = _document_items(df, col)
+    if shape is not None:
+        # a given shape is a contract: an item that does not fit it stops the job
+        misfit = _misfit(rows, shape)
+        rows = rows.where(F.when(misfit.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
+            F.lit("an item does not have the declared shape: "), misfit)).cast("boolean")))
     shape = shape if shape is not None else _shape_of(rows)
     obj_ddl, val_ddl = shape.object_type, shape.value_type
     if obj_ddl is None and val_ddl is None:
         return spark.createDataFrame([], T.StructType([]))
-    # items of a kind the shape does not declare are not part of the output
-    if obj_ddl is None:
-        rows = rows.where(~F.col("_obj"))
-    elif val_ddl is None:
-        rows = rows.where(F.col("_obj"))
 
     out_cols: list[Column] = []
     obj_type = struct_expr = None
@@ -223,12 +232,107 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
         result = flatten_structs(result)
     result = _plain(result)
     if schema:
-        enforce_types(result, schema)
+        require_columns(result, list(schema))
+        found = _item_mismatches(items, schema, explode_lists).where("mismatches > 0")
+        for r in found.orderBy("position").limit(1).collect():
+            raise CheckFailed("type", r["column_name"], declared=schema[r["column_name"]], rows=r["mismatches"])
     if deduplicate:
         result = result.dropDuplicates()
     return result
 
 
+def _path(name: str) -> str:
+    """A variant path of a (dotted) column name, as an SQL literal."""
+    parts = "".join('["' + x.replace("\\", "\\\\").replace("'", "\\'") + '"]' for x in name.split("."))
+    return f"'${parts}'"
+
+
+def _structs(dtype: T.StructType, prefix: str = "") -> list[tuple[str, list[str]]]:
+    """(dotted path, field names) of a struct and the structs inside it."""
+    out = [(prefix, dtype.names)]
+    for f in dtype.fields:
+        if isinstance(f.dataType, T.StructType):
+            out += _structs(f.dataType, f"{prefix}.{f.name}" if prefix else f.name)
+    return out
+
+
+def _prefixed(names: Column, prefix: str) -> Column:
+    return F.transform(names, lambda k: F.concat(F.lit(prefix), k))
+
+
+def _misfit(rows: DataFrame, shape: JsonShape) -> Column:
+    """Why an item does not fit a shape: its kind, or fields that are not declared; null if it fits."""
+    obj = F.lit("object") if shape.object_type is None else F.lit(None).cast("string")
+    if shape.object_type:
+        dtype = rows.select(F.expr(f"cast(v as {shape.object_type})").alias("s")).schema["s"].dataType
+        extra = []
+        for path, names in _structs(dtype):
+            v = F.expr(f"try_variant_get(v, {_path(path)}, 'variant')") if path else F.col("v")
+            keys = F.when(F.schema_of_variant(v).startswith("OBJECT"), F.json_object_keys(F.to_json(v)))
+            unknown = F.array_except(F.coalesce(keys, F.array().cast("array<string>")), F.array(*map(F.lit, names)))
+            extra.append(_prefixed(unknown, f"{path}." if path else ""))
+        found = F.array_sort(F.concat(*extra))
+        obj = F.when(F.size(found) > 0, F.concat(F.lit("fields "), F.array_join(found, ",")))
+    value = F.lit("value") if shape.value_type is None else F.lit(None).cast("string")
+    return F.when(F.col("_obj"), obj).otherwise(value)
+
+
+def shape_misfits(df: DataFrame, shape: JsonShape, col: str = "doc") -> DataFrame:
+    """Items that ``json_rows`` would refuse under ``shape``: (reason, item).
+
+    ``reason`` is ``value`` or ``object`` for an undeclared kind, else ``fields`` and the undeclared names.
+    """
+    rows = _document_items(df, col)
+    return rows.select(_misfit(rows, shape).alias("reason"), F.to_json("v").alias("item")).where("reason IS NOT NULL")
+
+
+def _conforms(kind: Column, expected) -> Column:
+    """Whether a value of a variant's type conforms: booleans are integers too, nulls always conform."""
+    whole = kind.startswith("DECIMAL") & kind.endswith(",0)")  # an integer beyond 64 bits
+    ok = {T.LongType: kind.isin("BIGINT", "BOOLEAN") | whole, T.StringType: kind == "STRING",
+          T.DoubleType: kind.isin("DOUBLE", "FLOAT") | (kind.startswith("DECIMAL") & ~whole),
+          T.BooleanType: kind == "BOOLEAN"}
+    same = {T.IntegerType: T.LongType, T.ShortType: T.LongType, T.ByteType: T.LongType, T.FloatType: T.DoubleType}
+    dtype = type(as_spark_type(expected))
+    return (kind == "VOID") | ok[same.get(dtype, dtype)]
+
+
+def _misfit_members(members: Column, expected) -> Column:
+    return F.size(F.filter(members, lambda e: ~_conforms(F.schema_of_variant(e), expected)))
+
+
+def _item_mismatches(rows: DataFrame, expected: dict, explode_lists: str) -> DataFrame:
+    """(column_name, position, mismatches) of the items' values as parsed, before anything is made text."""
+    exploded = F.col("_obj") & (F.col("top") | F.lit(explode_lists == "record"))
+    aggs, names = [], [c for c, t in expected.items() if t is not None]
+    if not names:
+        return rows.sparkSession.createDataFrame([], "column_name string, position int, mismatches bigint")
+    for i, c in enumerate(names):
+        field = F.expr(f"try_variant_get(v, {_path(c)}, 'variant')")
+        if c == "value":
+            field = F.when(F.col("_obj"), field).otherwise(F.col("v"))
+        kind = F.schema_of_variant(field)
+        is_list = exploded & kind.startswith("ARRAY")
+        members = F.when(is_list, field).cast("array<variant>")
+        of_list = _misfit_members(members, expected[c])
+        bad = (F.when(field.isNull(), F.lit(0)).when(is_list, of_list)
+               .otherwise((~_conforms(kind, expected[c])).cast("int")))
+        aggs.append(F.coalesce(F.sum(bad), F.lit(0)).cast("long").alias(f"m{i}"))
+    stacked = [F.struct(F.lit(c).alias("column_name"), F.lit(i).alias("position"), F.col(f"m{i}").alias("mismatches"))
+               for i, c in enumerate(names)]
+    return rows.agg(*aggs).select(F.inline(F.array(*stacked)))
+
+
+def json_type_mismatches(df: DataFrame, expected: dict, col: str = "doc",
+                         explode_lists: str = "document") -> DataFrame:
+    """Q4/U4: per declared column, values of the documents of another type.
+
+    The values' own JSON types count: the text ``"12"`` is no integer, ``2.5`` is a float and no integer.
+    Lists that the list rule explodes are checked element by element.
+    """
+    return _item_mismatches(_document_items(df, col), expected, explode_lists)
+
+
 def json_object_rows(spark: SparkSession, obj, **kwargs) -> DataFrame:
     """S9 for an in-memory object: a dict, list or scalar becomes one document
     and follows the same rules as ``json_rows`` (an empty list gives no rows)."""

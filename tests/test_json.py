@@ -130,8 +130,29 @@ def test_in_memory_objects(spark):
     assert json_object_rows(spark, []).count() == 0
 
 
-def test_shape_without_scalars_drops_scalar_members(spark):
-    from lakepipe.sources.json_docs import JsonShape
-    docs = _docs(spark, ['[{"id": 1}, 7]'])
-    out = json_rows(docs, shape=JsonShape("STRUCT<id: BIGINT>", None, True))
-    assert _rows(out) == (["id"], [(1,)])
+def test_items_outside_a_given_shape_are_an_error(spark):
+    from pyspark.errors import PySparkException
+
+    from lakepipe.sources.json_docs import JsonShape, shape_misfits
+    docs = _docs(spark, ['{"x": 1}', '7', '{"x": 2, "y": 3}', '{"x": 3, "u": {"a": 1, "b": 2}}', '[{"x": null}]'])
+    shape = JsonShape("STRUCT<x: BIGINT, u: STRUCT<a: BIGINT>>", None, True)
+    got = sorted((r.reason, r.item) for r in shape_misfits(docs, shape).collect())
+    assert got == [("fields u.b", '{"u":{"a":1,"b":2},"x":3}'), ("fields y", '{"x":2,"y":3}'), ("value", "7")]
+    with pytest.raises(PySparkException, match="declared shape"):
+        json_rows(docs, shape=shape).collect()
+    fits = _docs(spark, ['{"x": 1}', '[{"x": null}]'])
+    assert len(json_rows(fits, shape=shape).collect()) == 2
+    with pytest.raises(PySparkException, match="object"):
+        json_rows(fits, shape=JsonShape(None, "BIGINT", False)).collect()
+
+
+def test_types_are_those_of_the_documents(spark):
+    """Text that looks like a number is no number; fractions are doubles; numbers are no text."""
+    from pyspark.sql import types as T
+    df = _docs(spark, ['{"x": 2.5}', '{"x": 1.25}'])
+    out = json_rows(df, schema={"x": float})
+    assert isinstance(out.schema["x"].dataType, T.DoubleType)
+    for docs, kind in ((['{"x": "12"}'], int), (['{"x": "a"}', '{"x": 5}'], str), (['{"x": 2.5}'], int), (['{"x": 1}'], float)):
+        with pytest.raises(CheckFailed, match="another type"):
+            json_rows(_docs(spark, docs), schema={"x": kind})
+    json_rows(_docs(spark, ['{"x": true, "t": ["a"]}', '{"x": null, "t": []}']), schema={"x": int, "t": str})
