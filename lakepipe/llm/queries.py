@@ -52,10 +52,51 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.leaks(documents(spark, sf_dir), benchmark)
-
-
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_token_counts, op3_quality_model, op4_line_dedup, op5_language_id, op6_bpe, op7_pii, op8_quality_rules,
-                                  op9_near_dedup, op10_decontamination)}
-
-ORACLES: dict[str, str] = {}
+    return decontamination.leaks(documents(spark, sf_dir), benchmark).drop("distance")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_lm_scoring, op2_token_counts, op3_quality_model, op4_line_dedup, op5_language_id, op6_bpe, op7_pii,
+    op8_quality_rules, op9_near_dedup, op10_decontamination)}
+
+# Trained models, hashes that SQL engines do not share, vocabularies and iterative estimates have no form in SQL; those
+# queries are tested against brute-force versions in tests/llm.
+_WORDS = """list_filter(string_split_regex(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"""
+
+_NEAR = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh
+      FROM w),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, UNNEST(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+t AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS c FROM n UNION SELECT t.b, r.c FROM r JOIN t ON t.a = r.node)
+SELECT n.doc_id, n.n AS n_shingles, MIN(r.c) AS component_id, n.doc_id = MIN(r.c) AS kept
+FROM n JOIN r ON r.node = n.doc_id GROUP BY n.doc_id, n.n"""
+
+_LEAKS = f"""
+WITH i AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+iw AS (SELECT item_id, ws, LEAST(len(ws), 5) AS k FROM i WHERE len(ws) > 0),
+ig AS (SELECT item_id, k, UNNEST(list_transform(range(1, len(ws) - k + 2), lambda j: array_to_string(ws[j:j + k - 1], ' '))) AS g
+       FROM iw),
+ic AS (SELECT item_id, k, g, COUNT(*) AS c FROM ig GROUP BY ALL),
+im AS (SELECT item_id, k, COUNT(*) AS m FROM ig GROUP BY ALL),
+d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+dk AS (SELECT doc_id, ws, k, len(ws) - k + 1 AS size FROM d, (SELECT DISTINCT k FROM iw) WHERE len(ws) >= k),
+dg AS (SELECT doc_id, k, size, UNNEST(range(0, size)) AS pos,
+              UNNEST(list_transform(range(1, size + 1), lambda j: array_to_string(ws[j:j + k - 1], ' '))) AS g FROM dk),
+h AS (SELECT doc_id, item_id, dg.k, size, m, pos, dg.g, c FROM dg JOIN ic ON ic.g = dg.g AND ic.k = dg.k JOIN im USING (item_id)),
+w AS (SELECT DISTINCT doc_id, item_id, k, size, m, GREATEST(0, LEAST(pos, size - m)) AS start FROM h),
+x AS (SELECT w.doc_id, w.item_id, w.k, w.size, w.m, start, h.g, LEAST(COUNT(*), MIN(c)) AS shared
+      FROM w JOIN h ON h.doc_id = w.doc_id AND h.item_id = w.item_id AND pos >= start AND pos < start + w.m
+      GROUP BY ALL),
+z AS (SELECT doc_id, item_id, k, start, LEAST(size, m) AS n, m, SUM(shared) AS shared FROM x GROUP BY ALL),
+q AS (SELECT *, shared / (n + m - shared) AS similarity FROM z WHERE 100 * shared >= 80 * (n + m - shared))
+SELECT doc_id, item_id, similarity, start AS first_word, n + k - 1 AS n_words FROM q
+QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
+
+ORACLES: dict[str, str] = {"op9_near_dedup": _NEAR, "op10_decontamination": _LEAKS}
