@@ -41,6 +41,8 @@ CUTOFF = 23.51
 #: Scale added to each statistic: log mean word length, symbols, repeated lines, repeated words.
 SCALES = (0.10, 0.04, 0.30, 0.20)
 DIMS = len(SCALES)
+#: Group tables of at most so many rows (under 10 MB) are broadcast; larger ones are joined by a shuffle.
+BROADCAST_GROUPS = 20_000
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -134,16 +136,17 @@ def _moments(rows: DataFrame, scale: float) -> DataFrame:
 
 
 def _at_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Rows with their squared distance ``d2`` from their group's estimate."""
     x = [F.col(f"x{i}") for i in range(DIMS)]
     m = [F.get(F.col("centre"), F.lit(i)) for i in range(DIMS)]
     return rows.join(estimates, "grp").withColumn("d2", _distance(x, m, F.col("factor"))).drop("centre", "factor")
 
 
-def _start(rows: DataFrame) -> DataFrame:
+def _start(rows: DataFrame, sized) -> DataFrame:
     """First estimates: medians, and median absolute deviations as a diagonal covariance."""
     long = rows.select("grp", F.posexplode(F.array(*[F.col(f"x{i}") for i in range(DIMS)])).alias("dim", "x"))
     mid = histogram_quantile(long, ["grp", "dim"], "x", 0.5, "mid")
-    off = long.join(mid, ["grp", "dim"]).select("grp", "dim", F.abs(F.col("x") - F.col("mid")).alias("off"))
+    off = long.join(sized(mid), ["grp", "dim"]).select("grp", "dim", F.abs(F.col("x") - F.col("mid")).alias("off"))
     both = mid.join(histogram_quantile(off, ["grp", "dim"], "off", 0.5, "mad"), ["grp", "dim"])
     pick = lambda c, i: F.max(F.when(F.col("dim") == i, F.col(c)))
     table = both.groupBy("grp").agg(*[pick("mid", i).alias(f"_m{i}") for i in range(DIMS)],
@@ -173,18 +176,20 @@ def estimates(stats: DataFrame) -> DataFrame:
     The result is a written table of one row per language and source: see ``_base.drop_written``.
     """
     groups = written(_groups(stats), "quality-groups")
+    # every table by group has a row a group (four in _start): one count bounds them all
+    sized = F.broadcast if groups.count() <= BROADCAST_GROUPS else lambda df: df
     same = [F.col("s.lang").eqNullSafe(F.col("g.lang")), F.col("s.source").eqNullSafe(F.col("g.source"))]
     v = [c.alias(f"x{i}") for i, c in enumerate(vector(F.col("s.stats")))]
     rows = (stats.alias("s").filter(~base_failed(F.col("stats")))
-            .join(groups.alias("g"), same[0] & same[1]).select("grp", *v))
-    current = written(_start(rows), "quality-estimate")
+            .join(sized(groups).alias("g"), same[0] & same[1]).select("grp", *v))
+    current = written(_start(rows, sized), "quality-estimate")
     for _ in range(STEPS):
-        near = _at_distance(rows, current)
+        near = _at_distance(rows, sized(current))
         reach = near.select("grp", F.sqrt("d2").alias("d"))
-        core = near.join(histogram_quantile(reach, ["grp"], "d", SUPPORT, "reach"), "grp").filter(F.sqrt("d2") <= F.col("reach"))
+        core = near.join(sized(histogram_quantile(reach, ["grp"], "d", SUPPORT, "reach")), "grp").filter(F.sqrt("d2") <= F.col("reach"))
         last, current = current, written(_moments(core, CONSISTENCY), "quality-estimate")
         drop_written(last)
-    final = _moments(_at_distance(rows, current).filter(F.col("d2") <= REWEIGHT), 1.0)
+    final = _moments(_at_distance(rows, sized(current)).filter(F.col("d2") <= REWEIGHT), 1.0)
     sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= MIN_GROUP)
     out = written(groups.join(final, "grp").join(sizes, "grp").select("lang", "source", "centre", "factor"),
                   "quality-estimates")
@@ -195,8 +200,8 @@ def estimates(stats: DataFrame) -> DataFrame:
 
 def judge(stats: DataFrame, fitted: DataFrame) -> DataFrame:
     """Rows of ``stats`` (any columns, with lang, source and stats) and base_failed, distance, kept."""
-    # group tables are far smaller than the rows; Spark broadcasts them if their bytes allow it
-    e = fitted.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
+    small = fitted.count() <= BROADCAST_GROUPS
+    e = (F.broadcast(fitted) if small else fitted).select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                       F.col("centre").alias("_centre"), F.col("factor").alias("_factor"))
     joined = stats.join(e, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     d2 = _distance(vector(F.col("stats")), [F.get(F.col("_centre"), F.lit(i)) for i in range(DIMS)], F.col("_factor"))
