@@ -18,13 +18,18 @@ BLANKS = "[\\x20\\x09-\\x0D]+"
 
 
 class Cache(dict):
-    """A dict that computes missing values and empties itself when it holds ``limit`` keys."""
+    """A dict that computes missing values and empties itself when it holds ``limit`` keys.
 
-    def __init__(self, compute: Callable, limit: int = 200_000):
+    Values of keys longer than ``longest`` are computed each time, so its memory is bounded.
+    """
+
+    def __init__(self, compute: Callable, limit: int = 200_000, longest: int = 64):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.longest = compute, limit, longest
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.compute(key)
         if len(self) >= self.limit:
             self.clear()
         value = self[key] = self.compute(key)

@@ -245,7 +245,7 @@ class Tokenizer:
         """
         words = (text or "").encode().split()
         for k in range(0, len(words), SPAN):
-            yield b"".join([self.words[w] if len(w) <= 64 else self._word(w) for w in words[k:k + SPAN]])
+            yield b"".join([self.words[w] for w in words[k:k + SPAN]])
 
     def decoder(self, as_bytes: bool = False) -> Decoder:
         return Decoder(self.tokens, as_bytes, self.word_end)

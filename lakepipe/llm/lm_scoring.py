@@ -12,8 +12,8 @@ documents and of these ``1 / SPANS_ONE_IN`` of all spans of ``SPAN`` tokens, bot
 are averaged (later rounds at smaller rates), each row of a parameter by how often the tasks used it. Windows carry the state on, so a text's score is the log10 probability
 of the complete text.
 
-``base_score`` is the unigram score with the same counts. Counts of the ``LOOKUP`` most frequent tokens are broadcast
-(that number bounds their size); those of rarer tokens are joined, summed up per text. Null text counts as empty: its only
+``base_score`` is the unigram score with the same counts. Counts of the ``LOOKUP`` most frequent tokens of at most ``LONGEST``
+bytes are broadcast (that bounds their size); those of other tokens are joined, summed up per text. Null text counts as empty: its only
 token is the end. Without training texts all counts are 0. Repeated rows repeat; other columns are ignored.
 """
 
@@ -39,6 +39,7 @@ WORD_CLASSES = 24
 TAILS = 64
 HIDDEN = 16
 LOOKUP = 1 << 18
+LONGEST = 64
 DOCUMENTS_ONE_IN = 8
 SPANS_ONE_IN = 4
 SPAN = 64
@@ -90,7 +91,7 @@ class Vocabulary:
     counts: np.ndarray
     total: int
     distinct: int
-    least: int  # every token with this count or more is in ``words``
+    least: int  # every token with this count or more and at most LONGEST bytes is in ``words``
     suffixes: dict[bytes, int]
     tail_size: np.ndarray  # N_t + 0.5 * (V_t + 1)
     layout: _gru.Layout
@@ -111,7 +112,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if held > LOOKUP:
             break
         least = r.low
-    top = counts.filter(F.col("c") >= least).toArrow()
+    top = counts.filter((F.col("c") >= least) & (F.octet_length("word") <= LONGEST)).toArrow()
     order = sorted(zip((-c for c in top["c"].to_pylist()), top["word"].to_pylist(), strict=True))
     words, c = [bytes(w) for _, w in order], np.array([-n for n, _ in order], float)
     # tail classes: sums by the last two bytes (65,793 values at most), less the words that have their own output
@@ -239,7 +240,7 @@ def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     # written before it is joined with itself: the row numbers are then fixed
     parts = written(parts.withColumn("row", F.monotonically_increasing_id()), "lm-parts")
     rare = parts.select("row", F.inline(F.arrays_zip(F.col("rare").alias("w"), F.col("rare_n").alias("k"))).alias("w", "k"))
-    known = counts.filter(F.col("c") < v.least)
+    known = counts.filter((F.col("c") < v.least) | (F.octet_length("word") > LONGEST))
     c = F.coalesce("c", F.lit(0))
     sums = (rare.join(known, F.col("w") == F.col("word"), "left").groupBy("row")
             .agg(F.sum(F.col("k") * F.log10(c + 0.5)).alias("logs"), F.sum(F.when(c > 0, F.col("k"))).alias("seen")))

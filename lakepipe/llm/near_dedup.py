@@ -80,7 +80,7 @@ def _pick(bitmap, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Itera
 def _confirm(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (u, v, top, u_text, v_text), those whose full sets are similar enough."""
     look = _word_hashes()
-    recent = Cache(lambda text: shingle_set(text, words, look), 64)  # rows of one v come one after the other
+    recent = Cache(lambda text: shingle_set(text, words, look), 64, 1 << 20)  # rows of one v come one after the other
     for b in batches:
         for k in range(0, b.num_rows, 500):
             rows = []
@@ -136,7 +136,7 @@ def _links_of_units(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBa
     Within a unit a node that is linked with a component needs no second link to it.
     """
     look = _word_hashes()
-    recent = Cache(lambda text: shingle_set(text, words, look), 2 * BLOCK)
+    recent = Cache(lambda text: shingle_set(text, words, look), 2 * BLOCK, 1 << 20)
     for rows in _by_unit(batches):
         out, joined = [], {}
 
