@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _CHUNK = 4096
@@ -18,20 +17,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+#: A random 64-bit value for each byte at each of 64 places in a word.
+_TABLE = mix(np.arange(256 * 64, dtype=np.uint64).reshape(256, 64) + np.uint64(0x243F6A8885A308D3))
 
 
-def shingle_set(text: str | None, words: int, look=word_hash) -> np.ndarray:
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word between ASCII blanks, by tabulation over its bytes.
+
+    A byte's value comes from a table by its place in the word; each further 64 places count with another odd factor.
+    """
+    a = np.frombuffer(text, np.uint8)
+    word = ~((a == 32) | ((a >= 9) & (a <= 13)))
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    lengths = np.diff(np.append(starts, len(a)))
+    place = np.arange(starts[0], len(a)) - np.repeat(starts, lengths)
+    values = _TABLE[a[starts[0]:], place & 63]
+    if lengths.max() > 64:
+        values = values * ((place >> 6) * 2 + 1).astype(np.uint64)
+    values[~word[starts[0]:]] = 0
+    return mix(np.add.reduceat(values, starts - starts[0]))
+
+
+def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the runs of ``words`` words, A-Z lower-cased.
 
     With fewer words the whole sequence is one shingle; without any there is none.
     """
-    split = (text or "").encode().lower().split()
-    n = len(split)
+    h = word_hashes((text or "").encode().lower())
+    n = len(h)
     if not n:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(look, split), np.uint64, n)
+        return h
     k = min(words, n)
     out = h[:n - k + 1].copy()
     for j in range(1, k):
@@ -61,21 +80,24 @@ def super_minhash(shingles: np.ndarray, size: int) -> np.ndarray:
 def _signature(x: np.ndarray, size: int) -> np.ndarray:
     none = np.uint32(0xFFFFFFFF)
     out = np.full(size, none, np.uint32)
-    rows = np.arange(len(x))
-    places = None
+    # Fisher-Yates: the rank-th place is drawn from those not visited yet. Large sets need few ranks, for
+    # which the swaps so far are followed back; small ones keep the permutations as a table.
+    table = len(x) < 256
+    rows = np.arange(len(x)) if table else None
+    places = np.broadcast_to(np.arange(size, dtype=np.uint16), (len(x), size)).copy() if table else None
+    picks: list[np.ndarray] = []
     for rank in range(size):
         r = mix(x + np.uint64((rank + 1) * int(_MULTIPLIER) & 0xFFFFFFFFFFFFFFFF))
-        # Fisher-Yates: the rank-th place is drawn from those not visited yet
         pick = rank + ((r >> np.uint64(40)) % np.uint64(size - rank)).astype(np.intp)
-        if rank == 0:
-            place = first = pick
-        else:
-            if places is None:
-                places = np.broadcast_to(np.arange(size, dtype=np.uint16), (len(x), size)).copy()
-                places[rows, 0], places[rows, first] = places[rows, first], places[rows, 0]
+        if table:
             place = places[rows, pick].astype(np.intp)
             places[rows, pick] = places[:, rank]
             places[rows, rank] = place
+        else:
+            place = pick
+            for j in range(rank - 1, -1, -1):
+                place = np.where(place == picks[j], j, place)
+            picks.append(pick)
         value = (np.uint32(rank) << np.uint32(22)) | (r & np.uint64((1 << 22) - 1)).astype(np.uint32)
         open_ = out == none
         if rank == 0:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ._base import Cache, arrow_schema, batch_of, bitmap_of, drop_written, in_bitmap, written
 from ._components import components
-from ._minhash import band_keys, shared, shingle_set, super_minhash, word_hash
+from ._minhash import band_keys, shared, shingle_set, super_minhash
 
 PLACES = 192
 BANDS = 32
@@ -40,26 +40,16 @@ PERCENT = 80
 NEAR = 136
 ROUNDS = 2
 BLOCK = 256
-CACHED_WORDS = 200_000
 
 SIGNED = "doc_id long, n_shingles long, digest binary, low binary, bands array<long>"
-_words: dict[str, Cache] = {}
-
-
-def _word_hashes():
-    """The worker's bounded cache of word hashes."""
-    if "cache" not in _words:
-        _words["cache"] = Cache(word_hash, CACHED_WORDS)
-    return _words["cache"].__getitem__
 
 
 def _sign(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    look = _word_hashes()
     for b in batches:
         for k in range(0, b.num_rows, 2000):
             rows = []
             for i, text in zip(*(c.to_pylist() for c in b.slice(k, 2000).columns), strict=True):
-                s = shingle_set(text, words, look)
+                s = shingle_set(text, words)
                 if len(s):
                     sig = super_minhash(s, PLACES)
                     rows.append((i, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
@@ -79,13 +69,12 @@ def _pick(bitmap, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Itera
 
 def _confirm(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (u, v, top, u_text, v_text), those whose full sets are similar enough."""
-    look = _word_hashes()
-    recent = Cache(lambda text: shingle_set(text, words, look), 64, 1 << 20)  # rows of one v come one after the other
+    recent = Cache(lambda text: shingle_set(text, words), 64, 1 << 20)  # rows of one v come one after the other
     for b in batches:
         for k in range(0, b.num_rows, 500):
             rows = []
             for u, v, top, a, c in zip(*(c.to_pylist() for c in b.slice(k, 500).columns), strict=True):
-                x, y = shingle_set(a, words, look), recent[c]
+                x, y = shingle_set(a, words), recent[c]
                 both = shared(x, y)
                 if 100 * both >= PERCENT * (len(x) + len(y) - both):
                     rows.append((u, v, top))
@@ -135,8 +124,7 @@ def _links_of_units(words: int, schema: pa.Schema, batches: Iterator[pa.RecordBa
 
     Within a unit a node that is linked with a component needs no second link to it.
     """
-    look = _word_hashes()
-    recent = Cache(lambda text: shingle_set(text, words, look), 2 * BLOCK, 1 << 20)
+    recent = Cache(lambda text: shingle_set(text, words), 2 * BLOCK, 1 << 20)
     for rows in _by_unit(batches):
         out, joined = [], {}
 

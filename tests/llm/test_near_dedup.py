@@ -112,6 +112,19 @@ def test_signature_is_the_element_wise_one():
         assert (M.super_minhash(x, size) == want.astype(np.uint32)).all()
 
 
+def test_word_hashes():
+    rng = random.Random(1)
+    texts = ["", "  ", "a", " a b ", "x" * 300 + " y " + "x" * 300, "é ü é\t\x0bü\r\n",
+             " ".join(f"w{rng.randrange(900)}" for _ in range(3000)), "ab ba " + "a" * 64 + "b " + "a" * 128 + "b"]
+    seen = {}
+    for t in texts:
+        words, hashes = t.encode().split(), M.word_hashes(t.encode())
+        assert len(words) == len(hashes)
+        for w, h in zip(words, hashes, strict=True):
+            assert seen.setdefault(w, int(h)) == int(h)
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     errors = []
