@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..errors import CheckFailed
+
 
 
 def unpivot(df: DataFrame, id_cols: list[str], value_cols: list[str] | None = None,
@@ -64,16 +66,21 @@ def zip_lists(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     """Nested structs → top-level columns named ``a.b.c``; arrays are kept
-    as they are (the walk stops at them), as are scalars."""
+    as they are (the walk stops at them), as are scalars. Two fields that get one name are an error."""
     out: list[Column] = []
+    names: list[str] = []
 
     def walk(prefix: list[str], dtype: T.DataType, ref: Column):
         if isinstance(dtype, T.StructType) and len(dtype.fields) > 0:
             for f in dtype.fields:
                 walk(prefix + [f.name], f.dataType, ref.getField(f.name))
         else:
-            out.append(ref.alias(sep.join(prefix)))
+            names.append(sep.join(prefix))
+            out.append(ref.alias(names[-1]))
 
     for f in df.schema.fields:
         walk([f.name], f.dataType, F.col(f"`{f.name}`"))
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise CheckFailed("name", twice)
     return df.select(*out)

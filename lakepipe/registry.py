@@ -772,9 +772,10 @@ def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _X6_ORACLE = """
-SELECT 'customer' AS table_name, COUNT(*) AS source_rows, COUNT(*) AS target_rows FROM customer
-UNION ALL SELECT 'part', COUNT(*), COUNT(*) FROM part
-UNION ALL SELECT 'supplier', COUNT(*), COUNT(*) FROM supplier"""
+SELECT 'customer' AS table_name, COUNT(*) AS source_rows, COUNT(*) AS target_rows, SUM(c_custkey) AS key_sum,
+       SUM(c_custkey % 1000 * length(c_name)) AS name_sum FROM customer
+UNION ALL SELECT 'part', COUNT(*), COUNT(*), SUM(p_partkey), SUM(p_partkey % 1000 * length(p_name)) FROM part
+UNION ALL SELECT 'supplier', COUNT(*), COUNT(*), SUM(s_suppkey), SUM(s_suppkey % 1000 * length(s_name)) FROM supplier"""
 
 # Table groups per source system (query parameter).
 MIRROR_GROUPS = {"erp": {"tables": ["customer", "part", "supplier"], "dims": ["part"]}}
@@ -783,7 +784,7 @@ MIRROR_GROUPS = {"erp": {"tables": ["customer", "part", "supplier"], "dims": ["p
 @register("mirror_tables", _X6_ORACLE)
 def q_mirror_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X6 (S12 K8 F6): mirror a table group into catalog tables (generated column
-    left out), then reconcile source and target row counts."""
+    left out), then reconcile source and target row counts and sum up the targets' keys and names."""
     from pyspark.sql import functions as F
 
     from .sinks.mirror import mirror_tables, select_tables
@@ -793,8 +794,16 @@ def q_mirror_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a derived column the target computes itself (F6): excluded from the copy
     sources["part"] = sources["part"].withColumn("p_name_upper", F.upper("p_name"))
     prefix = _scratch_table(spark, "mirror") + "_"
-    return mirror_tables(spark, sources, target_prefix=prefix,
-                         generated_columns={"part": ["p_name_upper"]})
+    counts = mirror_tables(spark, sources, target_prefix=prefix,
+                           generated_columns={"part": ["p_name_upper"]})
+    content = None
+    for n, (key, text) in {"customer": ("c_custkey", "c_name"), "part": ("p_partkey", "p_name"),
+                           "supplier": ("s_suppkey", "s_name")}.items():
+        one = spark.table(prefix + n).agg(
+            F.lit(n).alias("table_name"), F.sum(key).alias("key_sum"),
+            F.sum(F.col(key) % 1000 * F.char_length(text)).alias("name_sum"))
+        content = one if content is None else content.unionByName(one)
+    return counts.join(content, "table_name")
 
 
 _EMB_ORACLE = "SELECT vec_id, embedding, COALESCE(label, -1) AS label FROM embeddings"
@@ -822,15 +831,40 @@ WITH b AS (
          GREATEST((SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders),
                   (SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem)) AS hi)
 SELECT 'lakepipe.plans.date_dimension.DateDimension' AS pipe_name, 0 AS status_id,
-       CAST(0 AS BIGINT) AS loaded_rows, CAST(NULL AS VARCHAR) AS error
+       CAST(0 AS BIGINT) AS extracted_rows, CAST(0 AS BIGINT) AS loaded_rows, 0 AS dataframes_memory,
+       CAST(NULL AS VARCHAR) AS error
 UNION ALL
-SELECT 'lakepipe.plans.date_dimension.DateDimension', 1, CAST(hi - lo + 1 AS BIGINT), NULL FROM b"""
+SELECT 'lakepipe.plans.date_dimension.DateDimension', 1, CAST(hi - lo + 1 AS BIGINT), CAST(hi - lo + 1 AS BIGINT), 1, NULL FROM b"""
+
+_REPORT_ORACLE = """
+SELECT 'DateDimension' AS "Pipe name", CAST(0 AS BIGINT) AS "Retry", FALSE AS "Manual trigger", 'Success' AS "Status",
+       CAST(days AS BIGINT) AS "Extracted rows", CAST(days AS BIGINT) AS "Loaded rows", 1 AS "Memory used"
+FROM (SELECT GREATEST((SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders), (SELECT MAX(CAST(l_shipdate AS DATE)) FROM lineitem))
+             - LEAST((SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders), (SELECT MIN(CAST(l_shipdate AS DATE)) FROM lineitem))
+             + 1 AS days)"""
 
 
 @register("job_run_log", _RUN_ORACLE)
 def q_job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the date-dimension job end to end (checks before
     the write, DROP_INSERT into a catalog table) and return its run-log records."""
+    return _logged_run(spark, sf_dir).select("pipe_name", "status_id", "extracted_rows", "loaded_rows",
+                                             "dataframes_memory", "error")
+
+
+@register("job_run_report", _REPORT_ORACLE)
+def q_job_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monitoring report over the log that a job run has just written."""
+    from datetime import timedelta, timezone
+
+    from .plans.monitoring import monitoring_report
+    now = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(minutes=1)
+    return monitoring_report(_logged_run(spark, sf_dir), now).select(
+        "Pipe name", "Retry", "Manual trigger", "Status", "Extracted rows", "Loaded rows", "Memory used")
+
+
+def _logged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run-log records of one run of the date-dimension job over the tables' whole date span."""
     from pyspark.sql import functions as F
 
     from .plans.date_dimension import DateDimension, DateDimensionParameters
@@ -845,8 +879,7 @@ def q_job_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     DateDimension().run(spark, DateDimensionParameters(lo.isoformat(), hi.isoformat()), ctx,
                         Destination(table=_scratch_table(spark, "lp_dim_date"),
                                     load_mode=LoadMode.DROP_INSERT))
-    return spark.table(log_table).where(F.col("uuid") == ctx.run_id).select(
-        "pipe_name", "status_id", "loaded_rows", "error")
+    return spark.table(log_table).where(F.col("uuid") == ctx.run_id)
 
 
 # ----------------------------------------------------------- S1/S2 SQL text

@@ -68,6 +68,11 @@ def ingest_json_folder(spark: SparkSession, source_dir: str, target_dir: str, *,
     return writer.start()
 
 
-def read_ingested(spark: SparkSession, target_dir: str) -> DataFrame:
-    """All rows written so far (batches may differ in columns: schemas are merged)."""
-    return spark.read.option("mergeSchema", True).parquet(target_dir)
+def read_ingested(spark: SparkSession, target_dir: str, deduplicate: bool = True) -> DataFrame:
+    """All rows written so far (batches may differ in columns: schemas are merged).
+
+    A batch is deduplicated when it is written; a row that several batches brought comes once here,
+    unless ``deduplicate`` is off.
+    """
+    rows = spark.read.option("mergeSchema", True).parquet(target_dir)
+    return rows.dropDuplicates([c for c in rows.columns if c != "batch"]) if deduplicate else rows

@@ -156,3 +156,8 @@ def test_types_are_those_of_the_documents(spark):
         with pytest.raises(CheckFailed, match="another type"):
             json_rows(_docs(spark, docs), schema={"x": kind})
     json_rows(_docs(spark, ['{"x": true, "t": ["a"]}', '{"x": null, "t": []}']), schema={"x": int, "t": str})
+
+
+def test_fields_that_flatten_to_one_name_are_an_error(spark):
+    with pytest.raises(CheckFailed, match="flatten"):
+        json_rows(_docs(spark, ['{"a.b": 1, "a": {"b": 2}}']))
