@@ -5,14 +5,13 @@ from __future__ import annotations
 import random
 
 import numpy as np
-import pytest
 
 from lakepipe.llm import _minhash as M
 from lakepipe.llm import near_dedup as N
 from lakepipe.llm._components import components
 from lakepipe.llm.queries import QUERIES
 
-from ..conftest import SF_ORACLE, SF_SMALL
+from ..conftest import SF_SMALL
 from .cases import AWKWARD, SCHEMA, frame, rows
 
 
@@ -60,8 +59,8 @@ def result(df):
     return out
 
 
-@pytest.mark.parametrize("sf", [SF_SMALL, SF_ORACLE])
-def test_query_matches_all_pairs(spark, sf):
+def test_query_matches_all_pairs(spark):  # at sf0.01: test_sql
+    sf = SF_SMALL
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = QUERIES["op9_near_dedup"](spark, sf).collect()
     want = brute(docs)
