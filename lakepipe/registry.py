@@ -221,21 +221,27 @@ def q_titlecase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- T4
-def _postal_oracle() -> str:
-    from .functions.postal import countries_by_pattern
-    cleaned = "upper(regexp_replace(postal_code, '[^0-9A-Za-z]', '', 'g'))"
-    conds = []
-    for pattern, countries in countries_by_pattern().items():
-        clist = ", ".join(f"'{c}'" for c in countries)
-        conds.append(f"(country_code IN ({clist}) AND NOT COALESCE(regexp_matches({cleaned}, "
-                     f"'{pattern}'), FALSE))")
-    return with_adapters(["postal_inputs"], f"""
-SELECT c_custkey, country_code, postal_code,
-       CASE WHEN {' OR '.join(conds)} THEN NULL ELSE {cleaned} END AS postal_code_clean
-FROM postal_inputs""")
-
-
-@register("postal_codes", _postal_oracle())
+_T4_ORACLE = with_adapters(["postal_inputs"], """,
+c AS (SELECT *, upper(regexp_replace(postal_code, '[^0-9A-Za-z]', '', 'g')) AS kept FROM postal_inputs),
+-- how many digits a code has, for the countries whose codes are digits only
+d AS (SELECT * FROM (VALUES (3, 'IS'), (4, 'DK AT BE CH NO LU HU AU NZ PH'),
+                            (5, 'FR DE ES FI EE SE CZ PL IT MX ZA MY TH KR'), (6, 'SG'), (7, 'PT JP')) AS t(n, names)),
+f AS (SELECT n, UNNEST(string_split(names, ' ')) AS country FROM d),
+v AS (SELECT c.*, CASE
+        WHEN f.n IS NOT NULL THEN length(kept) = f.n AND translate(kept, '0123456789', '') = ''
+        WHEN country_code = 'US' THEN length(kept) IN (5, 9) AND translate(kept, '0123456789', '') = ''
+        WHEN country_code = 'CA' THEN regexp_full_match(kept, '([A-Z][0-9]){3}')
+        WHEN country_code = 'NL' THEN regexp_full_match(kept, '[0-9]{4}[A-Z][A-Z]')
+        WHEN country_code = 'IE' THEN length(kept) = 7
+        WHEN country_code IN ('GG', 'JE', 'IM')
+          THEN regexp_full_match(kept, CASE country_code WHEN 'GG' THEN 'GY' ELSE country_code END || '[0-9][0-9]?[A-Z][A-Z]')
+        WHEN country_code = 'GB' THEN kept = 'GIR0AA' OR regexp_full_match(kept, '[A-Z][A-Z]?[0-9][0-9]?[A-Z]?[0-9][A-Z][A-Z]')
+        ELSE TRUE END AS fits
+      FROM c LEFT JOIN f ON f.country = country_code)
+SELECT c_custkey, country_code, postal_code, CASE WHEN fits THEN kept END AS postal_code_clean FROM v""")
+
+
+@register("postal_codes", _T4_ORACLE)
 def q_postal_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: clean customer postal codes and null the invalid ones per country pattern."""
     from .functions.postal import clean_postal_code

@@ -134,12 +134,15 @@ SELECT CONCAT('pipes.facts.', event_type, '.Pipe', CAST((event_id - event_id % 3
 FROM {events}""",
     "postal_inputs": """
 SELECT c_custkey,
-       CASE c_custkey % 6 WHEN 0 THEN 'US' WHEN 1 THEN 'CA' WHEN 2 THEN 'NL' WHEN 3 THEN 'IE' WHEN 4 THEN 'ZZ' END AS country_code,
+       NULLIF(split_part('CA GB US FR DE ES FI EE SE CZ PL NL DK AT BE CH NO LU HU IE IT MX ZA MY TH PT AU NZ PH JP KR SG GG JE IM IS ZZ -',
+                         ' ', CAST(c_custkey % 38 AS INT) + 1), '-') AS country_code,
        CASE WHEN c_custkey % 17 = 0 THEN NULL
-            WHEN c_custkey % 6 = 0 THEN LPAD(CAST(c_custkey AS VARCHAR(20)), 5, '0')
-            WHEN c_custkey % 6 = 1 THEN CONCAT(' k', CAST(c_custkey % 12 AS VARCHAR(10)), 'a-0b1 ')
-            WHEN c_custkey % 6 = 2 THEN CONCAT(CAST(1000 + c_custkey % 9000 AS VARCHAR(10)), ' ab')
-            ELSE CONCAT('D02-', CAST(c_custkey AS VARCHAR(20))) END AS postal_code
+            WHEN c_custkey % 5 = 0 THEN CONCAT(' k', CAST(c_custkey % 12 AS VARCHAR(10)), 'a-0b1 ')
+            WHEN c_custkey % 5 = 1 THEN CONCAT(CAST(1000 + c_custkey % 9000 AS VARCHAR(10)), ' ab')
+            WHEN c_custkey % 5 = 2 THEN CONCAT(split_part('GY JE IM SW d', ' ', CAST(c_custkey % 3 AS INT) + 1 + CAST(c_custkey % 2 AS INT)),
+                                               CAST(c_custkey % 120 AS VARCHAR(10)), '.', 'ab')
+            WHEN c_custkey % 25 = 3 THEN CONCAT('D02-', CAST(c_custkey % 10000 AS VARCHAR(20)))
+            ELSE LPAD(CAST(c_custkey AS VARCHAR(20)), CAST(3 + c_custkey % 7 AS INT), '0') END AS postal_code
 FROM {customer}""",
     "json_docs": """
 SELECT event_id,
