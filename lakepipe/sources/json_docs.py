@@ -358,12 +358,9 @@ def documents_from_text(raw: DataFrame, text_col: str = "value", keep=()) -> Dat
     lines = F.filter(F.split(t, r"\r?\n"), lambda ln: _non_blank(ln))
     ndjson = (F.size(lines) >= 2) & F.forall(lines, lambda ln: F.try_parse_json(ln).isNotNull())
     kept = [F.col(k) for k in keep]
-    staged = raw.where(_non_blank(t)).select(*kept, t.alias("_text"), ndjson.alias("_nd"),
-                                             lines.alias("_lines"))
-    single = staged.where(~F.col("_nd")).select(*kept, F.col("_text").alias("doc"))
-    multi = staged.where(F.col("_nd")).select(*kept, F.explode("_lines").alias("_line")) \
-        .select(*kept, F.concat(F.lit("["), F.col("_line"), F.lit("]")).alias("doc"))
-    return single.unionByName(multi)
+    members = F.transform(lines, lambda ln: F.concat(F.lit("["), ln, F.lit("]")))
+    docs = F.when(ndjson, members).otherwise(F.array(t))
+    return raw.where(_non_blank(t)).select(*kept, F.explode(docs).alias("doc"))
 
 
 def read_json_files(spark: SparkSession, paths, *,
