@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -10,6 +11,8 @@ import numpy as np
 LN10 = float(np.log(10))
 #: Sum of squared gradients that AdaGrad starts with: the first steps stay below the rate.
 SEEN = 1.0
+#: Documents of more symbols are dealt to training lanes first.
+LONG = 4096
 
 
 @dataclass
@@ -91,19 +94,36 @@ def batches(docs: list[np.ndarray], lanes: int, window: int) -> Iterator[tuple[n
             yield active, ids, at == 0
 
 
-def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols [steps, lanes], starts) of all documents one after the other, cut into equal lanes.
+def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(symbols, starts) of each lane, the longest first: whole documents one after the other.
 
-    All lanes are busy to the end, so no step is left to a few long documents. A document that is cut goes on in the next
-    lane with an empty state; -1 fills up the last lane.
+    Each document goes to the lane that is shortest so far, so none is cut; those over ``LONG`` symbols come first, the longest
+    first, the others in the order given. So lanes end about together.
     """
-    stream = np.concatenate(docs)
-    starts = np.zeros(len(stream), bool)
-    starts[np.cumsum([0, *map(len, docs[:-1])])] = True
-    steps = -(-len(stream) // lanes)
-    ids, first = np.full(steps * lanes, -1, np.int32), np.zeros(steps * lanes, bool)
-    ids[:len(stream)], first[:len(stream)] = stream, starts
-    return np.ascontiguousarray(ids.reshape(lanes, steps).T), np.ascontiguousarray(first.reshape(lanes, steps).T)
+    ends = [(0, lane) for lane in range(lanes)]
+    dealt: list[list[np.ndarray]] = [[] for _ in ends]
+    for d in sorted(docs, key=lambda d: min(0, LONG - len(d))):
+        n, lane = ends[0]
+        dealt[lane].append(d)
+        heapq.heapreplace(ends, (n + len(d), lane))
+    dealt = sorted((x for x in dealt if x), key=lambda x: -sum(map(len, x)))
+    symbols = [np.concatenate(x) for x in dealt]
+    starts = [np.zeros(len(s), bool) for s in symbols]
+    for x, first in zip(dealt, starts, strict=True):
+        first[np.cumsum([0, *map(len, x[:-1])])] = True
+    return symbols, starts
+
+
+def lane_windows(symbols: list[np.ndarray], starts: list[np.ndarray], window: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(symbols, starts) [window, lanes not ended] of the lanes; -1 fills up the last window of a lane."""
+    length = np.array([len(s) for s in symbols])
+    for at in range(0, int(length[0]) if len(length) else 0, window):
+        active = int((length > at).sum())
+        ids, first = np.full((window, active), -1, np.int32), np.zeros((window, active), bool)
+        for lane in range(active):
+            piece = symbols[lane][at:at + window]
+            ids[:len(piece), lane], first[:len(piece), lane] = piece, starts[lane][at:at + window]
+        yield ids, first
 
 
 def run_window(p: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray, keep: list | None = None,
@@ -133,9 +153,11 @@ def run_window(p: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray, keep: l
     return states, h
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Softmax of each row; overwrites ``logits``."""
     logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
     return logits
 
 
@@ -171,10 +193,8 @@ def output_gradient(p: dict, layout: Layout, hid: np.ndarray, ids: np.ndarray, g
     cls = layout.class_of[ids]
     logits = hid @ p["wc"].T
     logits += p["bc"][:, 0]
-    logp = _log_softmax(logits)
-    rows = np.arange(len(ids))
-    d = np.exp(logp)
-    d[rows, cls] -= 1
+    d = _softmax(logits)
+    d[np.arange(len(ids)), cls] -= 1
     grad["wc"] += d.T @ hid
     grad["bc"] += d.sum(0)[:, None]
     dhid = d @ p["wc"]
@@ -187,7 +207,9 @@ def output_gradient(p: dict, layout: Layout, hid: np.ndarray, ids: np.ndarray, g
             continue
         at = order[ends[c]:ends[c + 1]]
         x = hid[at]
-        d = np.exp(_log_softmax(x @ p["ww"][a:b].T + p["bw"][a:b, 0]))
+        d = x @ p["ww"][a:b].T
+        d += p["bw"][a:b, 0]
+        d = _softmax(d)
         d[np.arange(len(at)), ids[at] - a] -= 1
         grad["ww"][a:b] += d.T @ x
         grad["bw"][a:b] += d.sum(0)[:, None]
@@ -209,22 +231,33 @@ def score(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 512, win
     return total / LN10
 
 
-def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 64, window: int = 16,
-          rate: float = 0.1) -> dict[str, np.ndarray]:
+@dataclass
+class Progress:
+    """What training carries from one call to the next: sums of squared gradients, how often each row was used, symbols of the largest window."""
+
+    seen: dict[str, np.ndarray]
+    used: dict[str, np.ndarray]
+    widest: int = 1
+
+
+def new_progress(p: dict[str, np.ndarray]) -> Progress:
+    return Progress({k: np.full_like(v, SEEN) for k, v in p.items()}, {k: np.zeros(len(v)) for k, v in p.items()})
+
+
+def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 128, window: int = 16,
+          rate: float = 0.1, progress: Progress | None = None) -> dict[str, np.ndarray]:
     """Truncated backpropagation over whole documents; returns how often each row of a parameter was used.
 
-    Gradients stop at a window's start, the state itself is carried from window to window. ``p`` changes in place,
-    with AdaGrad rates.
+    Gradients stop at a window's start, the state itself is carried from window to window to a document's end. ``p`` changes in
+    place, with AdaGrad rates that go on from ``progress``.
     """
     hidden = p["u"].shape[0]
-    seen = {k: np.full_like(v, SEEN) for k, v in p.items()}
-    used = {k: np.zeros(len(v)) for k, v in p.items()}
-    symbols, firsts = lanes_of(docs, min(lanes, sum(map(len, docs))))
-    h = np.zeros((symbols.shape[1], hidden), np.float32)
-    for k in range(0, len(symbols), window):
-        ids, starts = symbols[k:k + window], firsts[k:k + window]
+    progress = progress or new_progress(p)
+    seen, used = progress.seen, progress.used
+    h = np.zeros((lanes, hidden), np.float32)
+    for ids, starts in lane_windows(*lanes_of(docs, lanes), window):
         keep: list = []
-        states, h = run_window(p, h, ids, keep, starts)
+        states, h = run_window(p, h[:ids.shape[1]], ids, keep, starts)
         at = np.flatnonzero(ids >= 0)
         flat = ids.reshape(-1)[at]
         grad = {k: np.zeros_like(p[k]) for k in ("u", "wc", "bc", "ww", "bw")}
@@ -233,20 +266,31 @@ def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 64, wind
         dstates[at] = dhid
         dstates = dstates.reshape(*ids.shape, hidden)
         dx = np.empty((*ids.shape, 3 * hidden), np.float32)
-        dh = np.zeros_like(h)
+        dgs = np.empty_like(dx)
+        dh = np.zeros((ids.shape[1], hidden), np.float32)
+        back, goes_on = np.ascontiguousarray(p["u"].T), ~starts
         for t in range(len(ids) - 1, -1, -1):
             z, r, c, gn = keep[t]
-            prev = states[t]
+            dg = dgs[t]
             dc = dh * (1 - z) * (1 - c * c)
-            dg = np.concatenate([dh * (prev - c) * z * (1 - z), dc * gn * r * (1 - r), dc * r], 1)
-            dx[t] = dg
+            dg[:, :hidden] = dh * (states[t] - c) * z * (1 - z)
+            dg[:, hidden:2 * hidden] = dc * gn * r * (1 - r)
+            dg[:, 2 * hidden:] = dc * r
+            dx[t, :, :2 * hidden] = dg[:, :2 * hidden]
             dx[t, :, 2 * hidden:] = dc
-            grad["u"] += prev.T @ dg
-            dh = (dh * z + dg @ p["u"].T + dstates[t]) * ~starts[t][:, None]
-        scale = 1 / max(1, len(at)) ** 0.5
-        touched, place = np.unique(flat, return_inverse=True)
-        gx = np.zeros((len(touched), 3 * hidden), np.float32)
-        np.add.at(gx, place, dx.reshape(-1, 3 * hidden)[at])
+            dh *= z
+            dh += dg @ back
+            dh += dstates[t]
+            dh *= goes_on[t][:, None]
+        grad["u"] += states.reshape(-1, hidden).T @ dgs.reshape(-1, 3 * hidden)
+        # by the largest window: a symbol in a window of few lanes counts no more than others
+        progress.widest = max(progress.widest, len(at))
+        scale = 1 / progress.widest ** 0.5
+        order = np.argsort(flat, kind="stable")
+        ordered = flat[order]
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        touched = ordered[first]
+        gx = np.add.reduceat(dx.reshape(-1, 3 * hidden)[at[order]], first)
         for k, g in grad.items():
             g *= scale
             seen[k] += g * g
@@ -261,5 +305,5 @@ def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 64, wind
         gx *= scale
         seen["x"][touched] += gx * gx
         p["x"][touched] -= rate * gx / np.sqrt(seen["x"][touched])
-        used["x"][touched] += np.bincount(place, minlength=len(touched))
+        used["x"][touched] += np.diff(first, append=len(flat))
     return used

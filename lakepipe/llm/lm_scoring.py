@@ -7,9 +7,10 @@ network predicts the class from its state (softmax over classes), then the word
 words); within a tail class a token has the share (c + 0.5) / (N_t + 0.5 * (V_t + 1)) of its class's counts, where
 unseen tokens share the last place. At the start its output is that of the counts alone; training moves it from there.
 
-Training is truncated backpropagation in numpy, in ``ROUNDS`` rounds. Each takes another ``1 / DOCUMENTS_ONE_IN`` of the training
-documents and of these ``1 / SPANS_ONE_IN`` of all spans of ``SPAN`` tokens, both by hash: a share of the corpus, so it grows with it. In a round every task trains a copy on its documents and the copies
-are averaged (later rounds at smaller rates), each row of a parameter by how often the tasks used it. Windows carry the state on, so a text's score is the log10 probability
+Training is truncated backpropagation in numpy on every training document, once and whole, in ``ROUNDS`` rounds: each takes
+another share of them by hash. In a round every task trains a copy on its documents and the copies
+are averaged (later rounds at smaller rates), each row of a parameter by how often the tasks used it. A task reads and trains
+about ``HELD`` tokens at a time. Windows carry the state on from a document's start to its end, in training and in scoring, so a text's score is the log10 probability
 of the complete text.
 
 ``base_score`` is the unigram score with the same counts. Counts of the ``LOOKUP`` most frequent tokens of at most ``LONGEST``
@@ -27,23 +28,20 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _gru
 from ._base import arrow_schema, batch_of, written
 
-NEURAL = 1024
-WORD_CLASSES = 24
+NEURAL = 2048
+WORD_CLASSES = 32
 TAILS = 64
 HIDDEN = 16
 LOOKUP = 1 << 18
 LONGEST = 64
-DOCUMENTS_ONE_IN = 8
-SPANS_ONE_IN = 4
-SPAN = 64
 ROUNDS = 2
+HELD = 1 << 22
 RATE = 0.15
 COUNTED = 200_000
 END = b""
@@ -59,13 +57,6 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
-def spans(text: str | None) -> list[list[bytes]]:
-    """The spans of a text that are trained on."""
-    words, seed = tokens(text), xxhash.xxh32_intdigest(text or "")
-    return [words[k:k + SPAN] for k in range(0, len(words), SPAN)
-            if xxhash.xxh32_intdigest(str(k), seed) % SPANS_ONE_IN == 0]
-
-
 def _count(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
     for b in batches:
@@ -168,17 +159,22 @@ class Reader:
 
 
 def _train(vocab, parameters, rate: float, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One copy trained on the spans of a task: sums of its changes, weighted by use, in blocks of rows."""
-    docs = []
-    reader = None
+    """One copy trained on the texts of a task: sums of its changes, weighted by use, in blocks of rows."""
+    reader, held, n = None, [], 0
+    before = parameters.value
+    after = {k: v.copy() for k, v in before.items()}
+    progress = _gru.new_progress(after)
     for b in batches:
         reader = reader or Reader(vocab.value)
-        docs += [reader.read(words)[0] for t in b.column(0).to_pylist() for words in spans(t)]
-    if not docs:
+        for t in b.column(0).to_pylist():
+            held.append(reader.read(tokens(t))[0])
+            n += len(held[-1])
+            if n >= HELD:
+                _gru.train(after, vocab.value.layout, held, rate=rate, progress=progress)
+                held, n = [], 0
+    if reader is None:
         return
-    before = parameters.value
-    after = {k: v.copy() for k, v in before.items()}
-    used = _gru.train(after, vocab.value.layout, docs, rate=rate)
+    used = _gru.train(after, vocab.value.layout, held, rate=rate, progress=progress)
     for name, v in after.items():
         w = used[name].astype(np.float32)
         change = (v - before[name]) * w[:, None]
@@ -199,7 +195,7 @@ def fit(training: DataFrame, vocab, layout: _gru.Layout) -> dict[str, np.ndarray
     """Parameters after ROUNDS rounds of training copies and averaging them."""
     spark = training.sparkSession
     p = _gru.new_parameters(layout, HIDDEN)
-    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("sgd")), F.lit(DOCUMENTS_ONE_IN))
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("sgd")), F.lit(ROUNDS))
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(p)
         parts = (training.filter(drawn == k).select("text")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import collections
 import math
+import types
+import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +116,48 @@ def test_awkward_rows(spark):
     assert L.lm_scores(frame(spark, []), F.lit(False)).collect() == []
     none = L.lm_scores(frame(spark, rows("a b")), F.lit(True)).collect()[0]
     assert (none.n_known, none.train_tokens, none.base_score) == (0, 0, 0.0) and none.score < 0
+
+
+def test_every_training_document_is_trained_once(spark, monkeypatch, tmp_path):
+    folder = str(tmp_path)
+
+    def note(vocab, parameters, rate, schema, batches):
+        for b in batches:
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write("".join(f"{t}\n" for t in b.column(0).to_pylist()))
+        yield from ()
+
+    monkeypatch.setattr(L, "_train", note)
+    texts = [f"text {i} of its own" for i in range(200)]
+    L.fit(frame(spark, rows(*texts)), None, tiny()[0])
+    assert sorted(t for f in tmp_path.iterdir() for t in f.read_text().splitlines()) == sorted(texts)
+
+
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_every_token_of_a_text_is_trained(monkeypatch, held):
+    """Gradients come from all tokens of a task's texts, also when they are read in several parts."""
+    monkeypatch.setattr(L, "HELD", held)
+    texts = [" ".join(f"w{(i * k) % 11}" for k in range(5 + 37 * i)) for i in range(9)] + [None, ""]
+    words = collections.Counter(w for t in texts for w in L.tokens(t))
+    order = sorted(words, key=lambda w: (-words[w], w))
+    counts = np.array([words[w] for w in order], float)
+    sizes = np.full(L.TAILS, 0.5)
+    v = L.Vocabulary(order, counts, sum(words.values()), len(words), 1, {}, sizes, G.make_layout(counts, sizes, 3))
+    shared = lambda x: types.SimpleNamespace(value=x)
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[k:k + 4], pa.string())}) for k in range(0, len(texts), 4)]
+    out = L._train(shared(v), shared(G.new_parameters(v.layout, L.HIDDEN)), 0.1, L.arrow_schema(L.BLOCKS), iter(batches))
+    used = {(r["name"], r["block"]): np.frombuffer(r["weight"], np.float32) for b in out for r in b.to_pylist()}
+    assert set(used["u", 0]) == {float(v.total)}
+    assert list(used["x", 0][:len(order)]) == list(counts)
+
+
+def test_training_lanes_hold_whole_documents():
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 11, n).astype(np.int32) for n in (300, 1, 64, 65, 7, 129, 16, 2)]
+    symbols, starts = G.lanes_of(docs, 3)
+    got = [tuple(d) for s, f in zip(symbols, starts, strict=True) for d in np.split(s, np.flatnonzero(f)[1:])]
+    assert all(f[0] for f in starts) and sorted(got) == sorted(map(tuple, docs))
+    windows = list(G.lane_windows(symbols, starts, 16))
+    for lane, s in enumerate(symbols):
+        joined = np.concatenate([ids[:, lane] for ids, _ in windows if lane < ids.shape[1]])
+        assert list(joined[:len(s)]) == list(s) and (joined[len(s):] == -1).all()
