@@ -1,14 +1,15 @@
-"""Line dedup (operator 4): content-defined chunks of lines, removed where they repeat anywhere in the corpus.
+"""Line dedup (operator 4): chunks of one line, removed with their equal neighbours where they repeat anywhere in the corpus.
 
-A text is cut at ``\\n`` into lines and its lines into chunks. After a line a chunk ends if the rolling hash over the
-hashes of the last ``SPAN`` lines falls on one of ``ONE_IN`` values; a line of ``LONG_LINE`` words or more is a chunk
-of its own. Both depend on nearby lines only, so an inserted line shifts no boundary elsewhere.
+A text is cut at ``\\n`` into lines and its lines into chunks: a line with a word and the lines without one after it. A line of
+``LONG_LINE`` words or more is a chunk of its own; lines without a word that follow it belong to the next chunk. So an inserted line
+shifts no boundary elsewhere, and every line inside a repeated run is a chunk in each copy of the run.
 
 A chunk that occurs again (in another document or later in the same) is compared with its first occurrence, by
 document id and position, which stays. If their bytes are equal, the chunk is extended over the lines just before
 and after it that are equal as well by their 64-bit hashes (at most those of the next chunk, ``EDGE`` lines each side), as
-boundaries cannot see where a copied passage begins and ends. It is removed if what is equal has two or more lines with a word, or is a long line: a single
-short line that many documents share stays.
+the lines without a word at its ends may differ between copies. It is removed if what is equal has two or more lines with a word, or is a long line: a single
+short line that many documents share stays. So a repeated run of three or more lines is found at every line whose first occurrence
+is in such a run; neighbouring lines of it that all occur first elsewhere, between other lines, stay.
 
 Chunk hashes are counted first; bitmaps of the repeated ones and of their first occurrences (of bounded size) are
 broadcast, so that only chunks that may repeat are shuffled: once to be compared, and those that may come first once more. A chunk that a
@@ -31,11 +32,8 @@ from pyspark.sql import functions as F
 
 from ._base import arrow_schema, batch_of, bitmap_of, in_bitmap, let, written
 
-SPAN = 2
-ONE_IN = 2
 LONG_LINE = 20
 EDGE = 16
-_BASE, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 LIGHT = "doc_id long, row_key long, number int, hash long, position long"
 FULL = ("doc_id long, row_key long, number int, hash long, position long, at int, lines int, filled int, "
@@ -49,21 +47,18 @@ def _long(line: str) -> bool:
 
 def chunks(lines: list[str]) -> list[tuple[int, int]]:
     """The chunks of a text as ranges of lines (first, end)."""
-    out, first, recent = [], 0, []
+    out, first, after_short = [], 0, False
     for i, line in enumerate(lines):
-        if _long(line):
-            if first < i:
-                out.append((first, i))
-            out.append((i, i + 1))
-            first, recent = i + 1, []
+        if not line.strip(BLANK):
+            if after_short:
+                out[-1] = (out[-1][0], i + 1)
+                first = i + 1
             continue
-        recent = [*recent[-(SPAN - 1):], xxhash.xxh64_intdigest(line)]
-        rolling = 0
-        for h in recent:
-            rolling = (rolling * _BASE + h) & _MASK
-        if (rolling >> 32) % ONE_IN == 0:
-            out.append((first, i + 1))
-            first = i + 1
+        after_short = not _long(line)
+        if not after_short and first < i:
+            out.append((first, i))
+        out.append((first if after_short else i, i + 1))
+        first = i + 1
     if first < len(lines):
         out.append((first, len(lines)))
     return out

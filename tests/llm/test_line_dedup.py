@@ -110,3 +110,27 @@ def test_awkward_rows(spark):
     assert kept.schema.names == SCHEMA.names
     assert {71, 74} & {r.doc_id for r in kept.collect()} == set()
     assert L.line_dedup(frame(spark, [])).collect() == []
+
+
+def test_short_passages_are_found(spark):
+    """Every repeated run of 2 to 8 short lines goes from all documents but the first, against raw line runs."""
+    rng = random.Random(8)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passages = [[line(19 if n == 2 else 52 // n + 1) for _ in range(n)] for n in range(2, 9) for _ in range(30)]
+    texts = []
+    for copy in range(3):
+        for p in rng.sample(passages, len(passages)):
+            own = [line(9) for _ in range(rng.randint(2, 6))]
+            at = rng.randint(0, len(own))
+            blank = [""] * rng.choice((0, 0, 1, 2))
+            texts.append("\n".join([*own[:at], *([] if copy == 0 else blank), p[0], "", *p[1:], *own[at:]]))
+    got = result(L.line_dedup(frame(spark, rows(*texts))))
+    seen, shared = set(), set()
+    for i, t in enumerate(texts, 1):
+        lines = [x for x in t.split("\n") if x]
+        runs = set(zip(lines, lines[1:]))
+        gone = {x for run in runs & seen for x in run}
+        seen |= runs
+        shared |= gone
+        assert [x for x in got[i][2].split("\n") if x] == [x for x in lines if x not in gone], i
+    assert shared == {x for p in passages for x in p}
