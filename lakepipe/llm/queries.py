@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontamination, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_model,
+from . import (bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_model,
                quality_rules, token_count)
 from ._base import bucket, documents
 
@@ -55,9 +55,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), benchmark).drop("distance")
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_token_counts, op3_quality_model, op4_line_dedup, op5_language_id, op6_bpe, op7_pii,
-    op8_quality_rules, op9_near_dedup, op10_decontamination)}
+    op8_quality_rules, op9_near_dedup, op10_decontamination, op13_exact_dedup)}
 
 # Trained models, hashes that SQL engines do not share, vocabularies and iterative estimates have no form in SQL; those
 # queries are tested against brute-force versions in tests/llm.
@@ -99,4 +103,9 @@ q AS (SELECT *, shared / (n + m - shared) AS similarity FROM z WHERE 100 * share
 SELECT doc_id, item_id, similarity, start AS first_word, n + k - 1 AS n_words FROM q
 QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
 
-ORACLES: dict[str, str] = {"op9_near_dedup": _NEAR, "op10_decontamination": _LEAKS}
+_COPIES = """
+SELECT doc_id, MAX(doc_id) OVER g AS keep_id, COUNT(*) OVER g AS group_size,
+       doc_id IS NOT DISTINCT FROM MAX(doc_id) OVER g AS kept, sha256(COALESCE(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY COALESCE(text, ''))"""
+
+ORACLES: dict[str, str] = {"op9_near_dedup": _NEAR, "op10_decontamination": _LEAKS, "op13_exact_dedup": _COPIES}
