@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_model,
+from . import (bpe, decontamination, exact_dedup, hard_negatives, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_model,
                quality_rules, token_count)
 from ._base import bucket, documents
 
@@ -55,13 +55,21 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(documents(spark, sf_dir), benchmark).drop("distance")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), vec_id, moved,
+                                         F.col("embedding"), F.col("id") % 100 == 0)
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_token_counts, op3_quality_model, op4_line_dedup, op5_language_id, op6_bpe, op7_pii,
-    op8_quality_rules, op9_near_dedup, op10_decontamination, op13_exact_dedup)}
+    op8_quality_rules, op9_near_dedup, op10_decontamination, op11_hard_negatives,
+    op13_exact_dedup)}
 
 # Trained models, hashes that SQL engines do not share, vocabularies and iterative estimates have no form in SQL; those
 # queries are tested against brute-force versions in tests/llm.
@@ -103,9 +111,27 @@ q AS (SELECT *, shared / (n + m - shared) AS similarity FROM z WHERE 100 * share
 SELECT doc_id, item_id, similarity, start AS first_word, n + k - 1 AS n_words FROM q
 QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1"""
 
+_NEGATIVES = """
+WITH u AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: COALESCE(isfinite(x), FALSE))) = len(embedding)),
+s AS (SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, a.id = b.id AS itself,
+             CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM u a, u b WHERE a.id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same AND NOT itself
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+             ROW_NUMBER() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS k
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 10"""
+
 _COPIES = """
 SELECT doc_id, MAX(doc_id) OVER g AS keep_id, COUNT(*) OVER g AS group_size,
        doc_id IS NOT DISTINCT FROM MAX(doc_id) OVER g AS kept, sha256(COALESCE(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY COALESCE(text, ''))"""
 
-ORACLES: dict[str, str] = {"op9_near_dedup": _NEAR, "op10_decontamination": _LEAKS, "op13_exact_dedup": _COPIES}
+ORACLES: dict[str, str] = {"op9_near_dedup": _NEAR, "op10_decontamination": _LEAKS,
+                           "op11_hard_negatives": _NEGATIVES, "op13_exact_dedup": _COPIES}
