@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontamination, exact_dedup, hard_negatives, language_id, line_dedup, lm_scoring, near_dedup, pii, quality_model,
-               quality_rules, token_count)
+from . import (bpe, decontamination, exact_dedup, hard_negatives, language_id, line_dedup, lm_scoring, near_dedup, pii, prefix_trie,
+               quality_model, quality_rules, token_count)
 from ._base import bucket, documents
 
 PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -62,6 +62,22 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          F.col("embedding"), F.col("id") % 100 == 0)
 
 
+def rebuilt(sequences: DataFrame) -> DataFrame:
+    """Every conversation c with the first crc32(c) % 9 turns of conversation c - c % 5 in place of as many of its own."""
+    base, h = F.col("conv_id") - F.col("conv_id") % 5, (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    heads = sequences.filter("conv_id % 5 = 0").select(
+        F.col("conv_id").alias("base"), *[F.slice(c, 1, 8).alias(f"h_{c}") for c in ("path", "sizes")])
+    both = sequences.withColumn("base", base).join(heads, "base", "left")
+    return both.select("conv_id", *[
+        F.concat(F.when(F.col(f"h_{c}").isNull(), F.slice(c, 1, 0)).otherwise(F.slice(f"h_{c}", F.lit(1), h)),
+                 F.slice(c, h + 1, F.greatest(F.size(c), F.lit(1)))).alias(c) for c in ("path", "sizes")])
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.prefix_trie(rebuilt(prefix_trie.sequences(conversations)))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -69,7 +85,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_lm_scoring, op2_token_counts, op3_quality_model, op4_line_dedup, op5_language_id, op6_bpe, op7_pii,
     op8_quality_rules, op9_near_dedup, op10_decontamination, op11_hard_negatives,
-    op13_exact_dedup)}
+    op12_prefix_trie, op13_exact_dedup)}
 
 # Trained models, hashes that SQL engines do not share, vocabularies and iterative estimates have no form in SQL; those
 # queries are tested against brute-force versions in tests/llm.
@@ -128,10 +144,34 @@ n AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS
       WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
 SELECT anchor_id, positive_id, CAST(k AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 10"""
 
+# the checksum bit by bit: SQL has no crc32
+_CRC = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+  string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)))"""
+
+_TRIE = f"""
+WITH t AS (SELECT conv_id, list({{'r': COALESCE(role, ''), 'x': COALESCE(text, '')}} ORDER BY turn NULLS FIRST) AS ts
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, ts, {_CRC} % 9 AS h FROM t),
+r AS (SELECT h.conv_id, list_concat(COALESCE(b.ts, [])[1:h.h], h.ts[h.h + 1:]) AS p
+      FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % 5),
+m AS (SELECT conv_id, d, p[1:d] AS node, d = len(p) AS ends FROM (SELECT *, UNNEST(range(0, len(p) + 1)) AS d FROM r)),
+n AS (SELECT node, d, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs,
+             sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+      FROM m GROUP BY node, d),
+c AS (SELECT node[1:d - 1] AS parent, COUNT(*) AS k FROM n WHERE d > 0 GROUP BY 1),
+f AS (SELECT n.*, COALESCE(k, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(node[d].x) END AS own
+      FROM n LEFT JOIN c ON c.parent = n.node),
+a AS (SELECT node[1:u] AS top, own, n_children = 0 AS leaf FROM (SELECT *, UNNEST(range(0, d + 1)) AS u FROM f)),
+s AS (SELECT top, COUNT(*) FILTER (leaf) AS n_leaves, CAST(SUM(own) AS BIGINT) AS saved_tokens FROM a GROUP BY top)
+SELECT f.conv_id, f.d AS depth, q.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM f JOIN s ON s.top = f.node LEFT JOIN f q ON f.d > 0 AND q.node = f.node[1:f.d - 1] AND q.d = f.d - 1"""
+
 _COPIES = """
 SELECT doc_id, MAX(doc_id) OVER g AS keep_id, COUNT(*) OVER g AS group_size,
        doc_id IS NOT DISTINCT FROM MAX(doc_id) OVER g AS kept, sha256(COALESCE(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY COALESCE(text, ''))"""
 
 ORACLES: dict[str, str] = {"op9_near_dedup": _NEAR, "op10_decontamination": _LEAKS,
-                           "op11_hard_negatives": _NEGATIVES, "op13_exact_dedup": _COPIES}
+                           "op11_hard_negatives": _NEGATIVES, "op12_prefix_trie": _TRIE,
+                           "op13_exact_dedup": _COPIES}

@@ -19,5 +19,5 @@ def test_query_matches_sql(spark, name):
     names = [d[0] for d in want.description]
     got = QUERIES[name](spark, SF_ORACLE)
     assert sorted(got.columns) == sorted(names)
-    rows = sorted(tuple(r) for r in got.select(*names).collect())
-    assert rows == sorted(want.fetchall()) and rows
+    rows = sorted((tuple(r) for r in got.select(*names).collect()), key=str)
+    assert rows == sorted(want.fetchall(), key=str) and rows
