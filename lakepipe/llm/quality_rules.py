@@ -5,11 +5,13 @@ words, symbol characters, lines equal to an earlier line, words in repeated 5-wo
 fails the fixed limits with fewer than ``MIN_WORDS`` words or over ``MAX_REPEAT_PERCENT`` percent repeated words.
 
 The others form vectors of four transformed statistics (shares are smoothed by pseudo-counts, then arcsine
-of the root; mean word length by its log). For each group a minimum-covariance-determinant estimate starts
-from medians and median deviations and takes ``STEPS`` concentration steps: keep the ``SUPPORT`` share of
-rows nearest to the estimate, re-estimate centre and covariance from them, correct for consistency; a last
-step takes the rows within the 97.5 % quantile. Covariances get a fixed scale per statistic added, as shares
-are zero in most texts. A text whose squared Mahalanobis distance is above ``CUTOFF`` is rejected.
+of the root; mean word length by its log). Each group gets a minimum-covariance-determinant estimate. Concentration steps
+start from three estimates: medians and median deviations, means and the covariance of all rows, and medians with the
+least scales. A step keeps the ``SUPPORT`` share of rows nearest to the estimate (by a histogram of distances) and re-estimates
+centre and covariance from them, corrected for consistency; a start's steps go on until the determinant of the covariance stops
+falling, and of the three the one with the least determinant is kept. A last step takes the rows within the 97.5 % quantile. A text
+whose squared Mahalanobis distance is above ``CUTOFF`` is rejected: the covariance of its group decides. Only where a group varies
+less than a statistic's resolution (``FLOORS``: many groups have no symbol at all), its deviation is set to that.
 
 A group is one language and source with at least ``MIN_GROUP`` texts within the fixed limits; smaller ones of a language
 are estimated together, and if these are too few as well, all of them over languages; below that nothing is
@@ -32,15 +34,17 @@ MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 MIN_GROUP = 40
 SUPPORT = 0.75
-STEPS = 3
 #: Covariance of the nearest 75 % of four normal variables to that of all, and chi-square quantiles
 #: of four degrees of freedom at 97.5 % and 99.99 %.
 CONSISTENCY = 1.486
 REWEIGHT = 11.14
 CUTOFF = 23.51
-#: Scale added to each statistic: log mean word length, symbols, repeated lines, repeated words.
-SCALES = (0.10, 0.04, 0.30, 0.20)
-DIMS = len(SCALES)
+#: Least deviations, the resolution of each statistic: 2 % of word length, one symbol in 2500 characters, one repeated
+#: line in 100, one window of five repeated words in 780.
+FLOORS = (0.02, 0.02, 0.10, 0.08)
+#: A determinant has stopped falling if a step lowers it by less than this share.
+SETTLED = 1e-6
+DIMS = len(FLOORS)
 #: Group tables of at most so many rows (under 10 MB) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_GROUPS = 20_000
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -108,42 +112,45 @@ def _distance(x: list[Column], m: list[Column], cov: Column) -> Column:
 
 
 def _cholesky(estimates: DataFrame, cov: dict[tuple[int, int], Column]) -> DataFrame:
-    """(grp, centre, factor): lower factors of the covariances, row by row of a group table."""
-    out = estimates.withColumns({f"_c{i}{j}": c for (i, j), c in cov.items()})
+    """(grp, start, centre, factor, det): lower factors of the covariances, row by row of a table of estimates."""
+    floor = {(i, j): F.greatest(c, F.lit(FLOORS[i] ** 2)) if i == j else c for (i, j), c in cov.items()}
+    out = estimates.withColumns({f"_c{i}{j}": c for (i, j), c in floor.items()})
     for i in range(DIMS):
         for j in range(i + 1):
             rest = F.col(f"_c{i}{j}")
             for k in range(j):
                 rest = rest - F.col(f"_l{i}{k}") * F.col(f"_l{j}{k}")
-            out = out.withColumn(f"_l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"_l{j}{j}"))
+            # rounded moments may leave a covariance a little short of positive
+            out = out.withColumn(f"_l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-8))) if i == j else rest / F.col(f"_l{j}{j}"))
     factor = F.array(*[F.col(f"_l{i}{j}") if j <= i else F.lit(0.0) for i in range(DIMS) for j in range(DIMS)])
-    return out.select("grp", F.array(*[F.col(f"_m{i}") for i in range(DIMS)]).alias("centre"),
-                      factor.alias("factor"))
+    det = F.col("_l00")
+    for i in range(1, DIMS):
+        det = det * F.col(f"_l{i}{i}")
+    return out.select("grp", "start", F.array(*[F.col(f"_m{i}") for i in range(DIMS)]).alias("centre"),
+                      factor.alias("factor"), (det * det).alias("det"))
 
 
 def _moments(rows: DataFrame, scale: float) -> DataFrame:
-    """Centres and factors of the covariances of the given rows, per group."""
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.avg(f"x{i}").alias(f"_m{i}") for i in range(DIMS)]
+    """Centres and factors of the covariances of the given rows, per group and start."""
+    aggs = [F.avg(f"x{i}").alias(f"_m{i}") for i in range(DIMS)]
     aggs += [F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"_p{i}{j}") for i in range(DIMS) for j in range(i + 1)]
     # sums of doubles differ in their last digits between runs: rounding keeps the verdicts the same
     rounded = [F.round(f"_m{i}", 9).alias(f"_m{i}") for i in range(DIMS)]
-    spread = {(i, j): F.round((F.col(f"_p{i}{j}") - F.col(f"_m{i}") * F.col(f"_m{j}")) * scale, 9)
-              for i in range(DIMS) for j in range(i + 1)}
-    table = rows.groupBy("grp").agg(*aggs)
-    cov = {(i, j): c + (SCALES[i] ** 2 if i == j else 0.0) for (i, j), c in spread.items()}
-    table = table.select("grp", *rounded, *[c.alias(f"_s{i}{j}") for (i, j), c in cov.items()])
+    cov = {(i, j): F.round((F.col(f"_p{i}{j}") - F.col(f"_m{i}") * F.col(f"_m{j}")) * scale, 9)
+           for i in range(DIMS) for j in range(i + 1)}
+    table = rows.groupBy("grp", "start").agg(*aggs).select("grp", "start", *rounded, *[c.alias(f"_s{i}{j}") for (i, j), c in cov.items()])
     return _cholesky(table, {(i, j): F.col(f"_s{i}{j}") for (i, j) in cov})
 
 
 def _at_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Rows with their squared distance ``d2`` from their group's estimate."""
+    """Rows with their squared distance ``d2`` from each estimate of their group."""
     x = [F.col(f"x{i}") for i in range(DIMS)]
     m = [F.get(F.col("centre"), F.lit(i)) for i in range(DIMS)]
-    return rows.join(estimates, "grp").withColumn("d2", _distance(x, m, F.col("factor"))).drop("centre", "factor")
+    return rows.join(estimates, "grp").withColumn("d2", _distance(x, m, F.col("factor"))).drop("centre", "factor", "det")
 
 
-def _start(rows: DataFrame, sized) -> DataFrame:
-    """First estimates: medians, and median absolute deviations as a diagonal covariance."""
+def _starts(rows: DataFrame, sized) -> DataFrame:
+    """First estimates: medians with median deviations (0), means and covariances (1), medians with the least scales (2)."""
     long = rows.select("grp", F.posexplode(F.array(*[F.col(f"x{i}") for i in range(DIMS)])).alias("dim", "x"))
     mid = histogram_quantile(long, ["grp", "dim"], "x", 0.5, "mid")
     off = long.join(sized(mid), ["grp", "dim"]).select("grp", "dim", F.abs(F.col("x") - F.col("mid")).alias("off"))
@@ -151,9 +158,24 @@ def _start(rows: DataFrame, sized) -> DataFrame:
     pick = lambda c, i: F.max(F.when(F.col("dim") == i, F.col(c)))
     table = both.groupBy("grp").agg(*[pick("mid", i).alias(f"_m{i}") for i in range(DIMS)],
                                     *[pick("mad", i).alias(f"_d{i}") for i in range(DIMS)])
-    cov = {(i, j): (F.pow(1.4826 * F.col(f"_d{i}"), 2) + SCALES[i] ** 2) if i == j else F.lit(0.0)
-           for i in range(DIMS) for j in range(i + 1)}
-    return _cholesky(table, cov)
+    table = table.withColumn("start", F.explode(F.array(F.lit(0), F.lit(2))))
+    spread = lambda i: F.when(F.col("start") == 0, F.pow(1.4826 * F.col(f"_d{i}"), 2)).otherwise(0.0)
+    cov = {(i, j): spread(i) if i == j else F.lit(0.0) for i in range(DIMS) for j in range(i + 1)}
+    return _cholesky(table, cov).unionByName(_moments(rows.withColumn("start", F.lit(1)), 1.0))
+
+
+def _concentrated(rows: DataFrame, current: DataFrame, sized) -> DataFrame:
+    """One step for every estimate that is not settled; it is settled if its determinant no longer falls."""
+    near = _at_distance(rows, sized(current.filter("NOT settled").drop("settled")))
+    reach = near.select("grp", "start", F.sqrt("d2").alias("d"))
+    core = (near.join(sized(histogram_quantile(reach, ["grp", "start"], "d", SUPPORT, "reach")), ["grp", "start"])
+            .filter(F.sqrt("d2") <= F.col("reach")))
+    new = _moments(core, CONSISTENCY).select("grp", "start", *[F.col(c).alias(f"n_{c}") for c in ("centre", "factor", "det")])
+    both = current.join(new, ["grp", "start"], "left")
+    # the first determinant is that of a start, not of a core: any first step goes on
+    falls = F.col("n_det").isNotNull() & (F.col("first") | (F.col("n_det") < F.col("det") * (1 - SETTLED)))
+    return both.select("grp", "start", *[F.when(falls, F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in ("centre", "factor", "det")],
+                       (~falls).alias("settled"), F.lit(False).alias("first"))
 
 
 def _groups(stats: DataFrame) -> DataFrame:
@@ -176,25 +198,24 @@ def estimates(stats: DataFrame) -> DataFrame:
     The result is a written table of one row per language and source: see ``_base.drop_written``.
     """
     groups = written(_groups(stats), "quality-groups")
-    # every table by group has a row a group (four in _start): one count bounds them all
+    # every table by group has four rows a group at most: one count bounds them all
     sized = F.broadcast if groups.count() <= BROADCAST_GROUPS else lambda df: df
     same = [F.col("s.lang").eqNullSafe(F.col("g.lang")), F.col("s.source").eqNullSafe(F.col("g.source"))]
     v = [c.alias(f"x{i}") for i, c in enumerate(vector(F.col("s.stats")))]
     rows = (stats.alias("s").filter(~base_failed(F.col("stats")))
             .join(sized(groups).alias("g"), same[0] & same[1]).select("grp", *v))
-    current = written(_start(rows, sized), "quality-estimate")
-    for _ in range(STEPS):
-        near = _at_distance(rows, sized(current))
-        reach = near.select("grp", F.sqrt("d2").alias("d"))
-        core = near.join(sized(histogram_quantile(reach, ["grp"], "d", SUPPORT, "reach")), "grp").filter(F.sqrt("d2") <= F.col("reach"))
-        last, current = current, written(_moments(core, CONSISTENCY), "quality-estimate")
+    rows = written(rows, "quality-vectors")
+    current = written(_starts(rows, sized).withColumns({"settled": F.lit(False), "first": F.lit(True)}), "quality-estimate")
+    while not current.filter("NOT settled").isEmpty():
+        last, current = current, written(_concentrated(rows, current, sized), "quality-estimate")
         drop_written(last)
-    final = _moments(_at_distance(rows, sized(current)).filter(F.col("d2") <= REWEIGHT), 1.0)
+    least = current.groupBy("grp").agg(F.min(F.struct("det", "start", "centre", "factor")).alias("b")).select("grp", "b.*")
+    final = _moments(_at_distance(rows, sized(least)).filter(F.col("d2") <= REWEIGHT), 1.0)
     sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= MIN_GROUP)
     out = written(groups.join(final, "grp").join(sizes, "grp").select("lang", "source", "centre", "factor"),
                   "quality-estimates")
-    drop_written(current)
-    drop_written(groups)
+    for used in (current, rows, groups):
+        drop_written(used)
     return out
 
 
