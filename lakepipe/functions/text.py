@@ -85,25 +85,32 @@ def clean_titlecase(col) -> Column:
     capitalise it (title-case first character, rest lower); re-join with single
     spaces.
 
-    Runs as one flat pass: spaces are collapsed, the text is cut into tokens
-    that are either a part (a run without ' ' or '-') or one separator, each
-    part is fixed, and the tokens are concatenated again.
+    Cut after every space and hyphen, upper and lower case are taken of the whole text once and cut alike: each
+    part is then only compared and put together. No kept letter but "ß" changes its length in upper case,
+    so texts with it are fixed part by part.
     """
     s = py_strip(F.coalesce(to_col(col), F.lit("")))
     s = F.regexp_replace(s, f"[^{TITLECASE_KEEP_CLASS}]+", "")
     s = F.btrim(F.regexp_replace(s, " {2,}", " "), F.lit(" "))
-    tokens = F.regexp_extract_all(s, F.lit("[^ -]+|[ -]"), 0)
 
-    def fix_token(p: Column) -> Column:
-        all_caps = (F.char_length(p) > 1) & (F.upper(p) == p) & (F.lower(p) != p)
-        first = F.substring(p, 1, 1)
-        title = F.upper(first)
-        for k, v in TITLECASE_SPECIAL.items():
-            title = F.when(first == k, F.lit(v)).otherwise(title)
-        cap = F.concat(title, F.lower(F.substring(p, 2, 2147483647)))
-        return F.when((p == " ") | (p == "-") | all_caps, p).otherwise(cap)
+    def parts(text: Column) -> Column:
+        return F.split(text, "(?<=[ -])")
+
+    def put_together(part: Column, upper: Column, lower: Column, first: Column) -> Column:
+        return F.when(part == upper, part).otherwise(F.concat(first, F.substring(lower, 2, 2147483647)))
 
-    return F.array_join(F.transform(tokens, fix_token), "")
+    def special(p: Column) -> Column:
+        title = F.upper(F.substring(p, 1, 1))
+        for k, v in TITLECASE_SPECIAL.items():
+            title = F.when(F.startswith(p, F.lit(k)), F.lit(v)).otherwise(title)
+        return put_together(p, F.upper(p), F.lower(p), title)
+
+    cut = F.arrays_zip(parts(s).alias("p"), parts(F.upper(s)).alias("u"), parts(F.lower(s)).alias("l"))
+    plain = F.transform(cut, lambda x: put_together(x["p"], x["u"], x["l"], F.substring(x["u"], 1, 1)))
+    odd = F.lit(False)
+    for k in TITLECASE_SPECIAL:
+        odd = odd | F.contains(s, F.lit(k))
+    return F.array_join(F.when(odd, F.transform(parts(s), special)).otherwise(plain), "")
 
 
 def last_segment(col, sep: str = ".") -> Column:

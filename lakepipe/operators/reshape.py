@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from ..errors import CheckFailed
 
 
-
 def unpivot(df: DataFrame, id_cols: list[str], value_cols: list[str] | None = None,
             var_name: str = "variable", value_name: str = "value",
             value_type: str | T.DataType | None = None) -> DataFrame:
@@ -32,15 +31,14 @@ def explode_list(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.explode(F.col(f"`{col}`")))
 
 
-def strict_length(arrays: list[Column]) -> Column:
-    """Common length of the non-null arrays. When they differ the query fails
-    with "All list fields must have the same length. Got: [...]" (the
-    ``UnequalListLengthsError`` message), raised on the executor."""
+def strict_length(arrays: list[Column], names: list[str]) -> Column:
+    """Common length of the non-null arrays. If they differ the query fails on the executor,
+    in the words of ``CheckFailed`` and with the length of every list (Q5)."""
     sizes = [F.when(a.isNotNull(), F.size(a)) for a in arrays]
     lo = F.least(*sizes) if len(sizes) > 1 else sizes[0]
     hi = F.greatest(*sizes) if len(sizes) > 1 else sizes[0]
-    msg = F.concat(F.lit("All list fields must have the same length. Got: "),
-                   F.to_json(F.array(*[F.coalesce(s, F.lit(-1)) for s in sizes])))
+    each = F.concat_ws(", ", *[F.concat(F.lit(f"{n}="), s.cast("string")) for n, s in zip(names, sizes, strict=True)])
+    msg = F.concat(F.lit(f"lists: {CheckFailed.CHECKS['lists']} ("), each, F.lit(")"))
     return F.when(lo.isNotNull() & (lo != hi), F.raise_error(msg).cast("int")).otherwise(lo)
 
 
@@ -51,7 +49,7 @@ def zip_lists(df: DataFrame, cols: list[str]) -> DataFrame:
     equal lengths give one row per position (length 0 → no row).
     """
     arrays = [F.col(f"`{c}`") for c in cols]
-    n = strict_length(arrays)
+    n = strict_length(arrays, cols)
     idx = F.when(n.isNull(), F.array(F.lit(-1))) \
            .when(n == 0, F.array().cast("array<int>")) \
            .otherwise(F.sequence(F.lit(0), n - 1))

@@ -193,7 +193,7 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
     if list_fields:
         applies = F.col("_obj") & (F.col("top") | F.lit(explode_lists == "record"))
         arrays = [F.when(applies, F.col("_s").getField(n)) for n in list_fields]
-        n = strict_length(arrays)
+        n = strict_length(arrays, list_fields)
         idx = (F.when(n.isNull(), F.array(F.lit(-1)))
                .when(n == 0, F.array().cast("array<int>"))
                .otherwise(F.sequence(F.lit(0), n - 1)))
@@ -268,7 +268,7 @@ def _misfit(rows: DataFrame, shape: JsonShape) -> Column:
         extra = []
         for path, names in _structs(dtype):
             v = F.expr(f"try_variant_get(v, {_path(path)}, 'variant')") if path else F.col("v")
-            keys = F.when(F.schema_of_variant(v).startswith("OBJECT"), F.json_object_keys(F.to_json(v)))
+            keys = F.map_keys(v.try_cast("map<string, variant>"))
             unknown = F.array_except(F.coalesce(keys, F.array().cast("array<string>")), F.array(*map(F.lit, names)))
             extra.append(_prefixed(unknown, f"{path}." if path else ""))
         found = F.array_sort(F.concat(*extra))
