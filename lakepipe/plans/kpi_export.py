@@ -1,19 +1,14 @@
 """KPI export (X3): sales and purchase KPIs per day and geography, long format.
 
 Both facts are filtered on their day (F2; Catalyst turns ``to_date(ts)
-BETWEEN`` into a pushed half-open range on the timestamp), then aggregated to
-one row per (time, region_type, region, country) *before* they meet, so the
-full outer merge (J3) joins group rows, never order rows, and the
-output honours the declared key (time, region_type, region, country,
-kpi_name). Null geography labels are replaced by ``N/A`` before grouping (the
-key is not-null), which lets the merge use plain equality on exactly the
-aggregation keys: the merge reuses the aggregates' partitioning instead of
-shuffling both sides again. The merged KPIs are unpivoted (R1), rounded (M1),
-and zero and missing values dropped (F4).
-
-Sums are combined map-side. Counting distinct orders first groups each fact by (group,
-order), so a hot group is spread over its orders in that shuffle; the second shuffle
-carries one row per task and group.
+BETWEEN`` into a pushed half-open range on the timestamp) and become one tagged
+table: the fact, its group (time, region_type, region, country), the order and the
+amount. One aggregation gives every group's amount and distinct orders per fact
+(``sums_and_distinct``): rows are folded into sums and bits of order ids in the
+scan's tasks, so no order row is shuffled and no join is needed; the full outer merge
+of the two facts' groups (J3) is the union of their KPI rows, as each KPI comes from
+one fact. Null geography labels are replaced by ``N/A`` (the key is not-null), KPIs are
+unpivoted (R1), rounded (M1), and zero and missing values dropped (F4).
 """
 
 from __future__ import annotations
@@ -26,8 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import date_literal, default_window
-from ..operators.merge import merge
-from ..operators.reshape import unpivot
+from ..operators.aggregate import sums_and_distinct
 from ..schema import ColumnSpec, OutputSchema
 from .job import BatchJob, Destination, RunContext
 
@@ -61,16 +55,24 @@ def in_window(ts_col: str, lo: str, hi: str):
     return day.between(date_literal(lo), date_literal(hi))
 
 
-def sales_kpis(sales: DataFrame) -> DataFrame:
-    return sales.groupBy(*GROUP_COLS).agg(
-        F.sum("net_subtotal").alias("net_subtotal"),
-        F.count_distinct("order_id").alias("sales_orders"))
+#: The KPIs of each fact: its amount and its distinct orders.
+KPI_NAMES = {"sales": ("net_subtotal", "sales_orders"), "purchases": ("total", "purchase_orders")}
 
 
-def purchase_kpis(purchases: DataFrame) -> DataFrame:
-    return purchases.groupBy(*GROUP_COLS).agg(
-        F.sum("total").alias("total"),
-        F.count_distinct("po_id").alias("purchase_orders"))
+def tagged(fact: str, df: DataFrame, order: str, amount: str) -> DataFrame:
+    return df.select(F.lit(fact).alias("fact"), *GROUP_COLS, F.col(order).alias("order"),
+                     F.col(amount).alias("amount"))
+
+
+def kpi_rows(facts: DataFrame) -> DataFrame:
+    """(group, kpi_name, value) of the tagged facts."""
+    totals = sums_and_distinct(facts, ["fact", *GROUP_COLS], ["amount"], "order", "orders")
+    parts = []
+    for fact, (amount, orders) in KPI_NAMES.items():
+        both = [F.struct(F.lit(name).alias("kpi_name"), F.col(c).cast(VALUE_TYPE).alias("value"))
+                for name, c in ((amount, "amount"), (orders, "orders"))]
+        parts.append(F.when(F.col("fact") == fact, F.array(*both)))
+    return totals.select(*GROUP_COLS, F.inline(F.coalesce(*parts)))
 
 
 class KpiExport(BatchJob):
@@ -96,9 +98,8 @@ class KpiExport(BatchJob):
         return {"sales": sales, "purchases": purchases}
 
     def transform(self, inputs, params, ctx: RunContext) -> DataFrame:
-        merged = merge(sales_kpis(inputs["sales"]), purchase_kpis(inputs["purchases"]),
-                       on=GROUP_COLS, how="outer", null_safe=False)
-        long = unpivot(merged, GROUP_COLS, var_name="kpi_name", value_name="value",
-                       value_type=VALUE_TYPE)
+        sales, purchases = inputs["sales"], inputs["purchases"]
+        long = kpi_rows(tagged("sales", sales, "order_id", "net_subtotal")
+                        .unionByName(tagged("purchases", purchases, "po_id", "total")))
         long = long.withColumn("value", F.round("value", 2))
         return long.where(F.col("value").isNotNull() & (F.col("value") != 0))

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None,
@@ -68,6 +68,17 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return path
 
 
+#: Row groups of staged tables: small ones are dealt to several tasks when they are read again.
+STAGED_ROW_GROUP = 4 << 20
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.option("parquet.block.size", STAGED_ROW_GROUP).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system (staging data of a finished run)."""
     jvm = spark.sparkContext._jvm

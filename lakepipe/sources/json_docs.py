@@ -24,6 +24,7 @@ documents too).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,8 @@ from ..operators.quality import as_spark_type
 from ..operators.reshape import flatten as flatten_structs
 from ..operators.reshape import strict_length
 from ..operators.tail import require_columns
+from ..session import staged
+from .json_ranges import array_documents
 
 
 def variant_type_to_ddl(schema: str) -> str:
@@ -114,8 +117,8 @@ class JsonShape:
     member_objects: bool
 
 
-def _document_items(df: DataFrame, col: str) -> DataFrame:
-    """Documents → one row per item: (v VARIANT, top BOOLEAN, _obj BOOLEAN)."""
+def _document_items(df: DataFrame, col: str, keep=()) -> DataFrame:
+    """Documents → one row per item: (v VARIANT, top BOOLEAN, _obj BOOLEAN) and the columns ``keep``."""
     # Blank text and JSON null are no document. Both are handled inside the
     # expressions (an empty member list) rather than by filters: a filter here
     # would be pushed below the input's exchange and parse every document twice.
@@ -123,7 +126,7 @@ def _document_items(df: DataFrame, col: str) -> DataFrame:
     # The first non-blank character of a valid document tells its kind, so the
     # top level needs no walk over the parsed value.
     first = F.substring(F.btrim(text, F.lit(PY_WHITESPACE)), 1, 1)
-    v = df.select(F.parse_json(F.when(_non_blank(text), text)).alias("_v"), first.alias("_first"))
+    v = df.select(*keep, F.parse_json(F.when(_non_blank(text), text)).alias("_v"), first.alias("_first"))
     v_ = F.col("_v")
     no_doc = v_.isNull() | F.is_variant_null(v_)
     members = F.transform(v_.cast("array<variant>"), lambda e: F.struct(
@@ -135,10 +138,15 @@ def _document_items(df: DataFrame, col: str) -> DataFrame:
              .when(F.col("_first") == "[", members).otherwise(single))
     # *_outer generators + a filter after them: Spark infers no size() > 0
     # predicate for outer generators, so the item expression is built once.
-    rows = v.select(F.inline_outer(items))
+    rows = v.select(*keep, F.inline_outer(items))
     return rows.where(F.col("v").isNotNull() & ~F.is_variant_null("v"))
 
 
+def _by_kind(rows: DataFrame) -> DataFrame:
+    """Items with objects in ``_o`` and other values in ``_p``."""
+    return rows.withColumns({"_o": F.when(F.col("_obj"), F.col("v")), "_p": F.when(~F.col("_obj"), F.col("v"))})
+
+
 def _shape_of(rows: DataFrame) -> JsonShape:
     agg = rows.agg(
         F.schema_of_variant_agg(F.when(F.col("_obj"), F.col("v"))).alias("obj"),
@@ -159,34 +167,42 @@ def infer_json_shape(df: DataFrame, col: str = "doc") -> JsonShape:
 
 def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
               deduplicate: bool = True, schema: dict | None = None,
-              explode_lists: str = "document", shape: JsonShape | None = None) -> DataFrame:
+              explode_lists: str = "document", shape: JsonShape | None = None, keep=()) -> DataFrame:
+    """The rows of the documents in ``col``; columns ``keep`` of ``df`` come with every row (and count when
+    rows are deduplicated)."""
     if explode_lists not in ("document", "record"):
         raise ValueError("explode_lists must be 'document' or 'record'")
     spark = df.sparkSession
-    items = rows = _document_items(df, col)
+    items = rows = _document_items(df, col, keep)
+    if shape is None or schema:
+        # parsed once: the shape, the type check and the rows are all read from the staged values, objects and others
+        # apart, as a scan casts every value of a column before any condition on it
+        parted = staged(_by_kind(rows).drop("v"), "json-items")
+        items = rows = parted.withColumn("v", F.coalesce("_o", "_p"))
     if shape is not None:
         # a given shape is a contract: an item that does not fit it stops the job
         misfit = _misfit(rows, shape)
         rows = rows.where(F.when(misfit.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(
             F.lit("an item does not have the declared shape: "), misfit)).cast("boolean")))
     shape = shape if shape is not None else _shape_of(rows)
+    rows = rows if "_o" in rows.columns else _by_kind(rows)
     obj_ddl, val_ddl = shape.object_type, shape.value_type
     if obj_ddl is None and val_ddl is None:
         return spark.createDataFrame([], T.StructType([]))
 
-    out_cols: list[Column] = []
+    out_cols: list[Column] = [F.col(c) for c in keep]
     obj_type = struct_expr = None
     if obj_ddl:
-        struct_expr = F.expr(f"cast(v as {obj_ddl})")
+        struct_expr = F.col("_o").cast(obj_ddl)
         obj_type = rows.select(struct_expr.alias("_s")).schema["_s"].dataType  # analysis only
     names = [f.name for f in obj_type.fields] if obj_type else []
 
-    staged_cols = [F.col("_obj"), F.col("top")]
+    item_cols = [*map(F.col, keep), F.col("_obj"), F.col("top")]
     if obj_type:
-        staged_cols.append(F.when(F.col("_obj"), struct_expr).alias("_s"))
+        item_cols.append(struct_expr.alias("_s"))
     if val_ddl:
-        staged_cols.append(F.when(~F.col("_obj"), F.expr(f"cast(v as {val_ddl})")).alias("_val"))
-    staged = rows.select(*staged_cols)
+        item_cols.append(F.col("_p").cast(val_ddl).alias("_val"))
+    rowwise = rows.select(*item_cols)
 
     # list rule (R3/R4) on objects it applies to
     list_fields = [f.name for f in obj_type.fields if isinstance(f.dataType, T.ArrayType)] if obj_type else []
@@ -200,10 +216,10 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
         # list fields are lifted to top-level columns before the generator, so
         # nested-field pruning never has to look through it
         lifted = [F.col("_s").getField(n).alias(f"_list{i}") for i, n in enumerate(list_fields)]
-        staged = staged.select("*", *lifted, idx.alias("_idx"))
-        staged = staged.select(*[c for c in staged.columns if c != "_idx"],
+        rowwise = rowwise.select("*", *lifted, idx.alias("_idx"))
+        rowwise = rowwise.select(*[c for c in rowwise.columns if c != "_idx"],
                                F.explode_outer("_idx").alias("_pos"))
-        staged = staged.where(F.col("_pos").isNotNull())
+        rowwise = rowwise.where(F.col("_pos").isNotNull())
     # Objects the list rule skips keep whole lists; when such objects exist the
     # field holds elements in some rows and lists in others, so it becomes text.
     mixed = explode_lists == "document" and shape.member_objects
@@ -222,12 +238,12 @@ def json_rows(df: DataFrame, col: str = "doc", *, flatten: bool = True,
         out_cols.append(field.alias(name))
     if val_ddl:
         if "value" in names:
-            idx_v = names.index("value")
+            idx_v = len(keep) + names.index("value")
             out_cols[idx_v] = F.coalesce(out_cols[idx_v].cast("string"),
                                          F.col("_val").cast("string")).alias("value")
         else:
             out_cols.append(F.col("_val").alias("value"))
-    result = staged.select(*out_cols)
+    result = rowwise.select(*out_cols)
     if flatten:
         result = flatten_structs(result)
     result = _plain(result)
@@ -363,36 +379,69 @@ def documents_from_text(raw: DataFrame, text_col: str = "value", keep=()) -> Dat
     return raw.where(_non_blank(t)).select(*kept, F.explode(docs).alias("doc"))
 
 
+def _text(spark: SparkSession, path: str, glob: str, whole: bool) -> DataFrame:
+    try:
+        raw = spark.read.format("text").option("wholetext", whole).option("pathGlobFilter", glob).load(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            raise NotFound("path", path) from e
+        raise
+    return raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("_size"), "value")
+
+
+def _large_arrays(spark: SparkSession, path: str, glob: str, limit: int) -> list[str]:
+    """Names of the files above ``limit`` bytes that begin with a bracket (names only reach the driver)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
+    large = [r.path for r in files.filter(F.col("length") > limit).collect()]
+    if not large:
+        return []
+    # the first text between braces of a file comes from its first range
+    order = F.monotonically_increasing_id().alias("at")
+    heads = (spark.read.format("text").option("lineSep", "}").load(large).where("_metadata.file_block_start = 0")
+             .select(F.col("_metadata.file_path").alias("path"), F.substring(F.ltrim("value"), 1, 1).alias("head"), order)
+             .groupBy("path").agg(F.min_by("head", "at").alias("head")))
+    arrays = {_plain_path(r.path) for r in heads.where("head = '['").collect()}
+    return [f for f in large if _plain_path(f) in arrays]
+
+
+def _plain_path(path: str) -> str:
+    """A path with one slash after its scheme: listings write ``file:/x`` and ``file:///x`` for the same file."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
+
+
 def read_json_files(spark: SparkSession, paths, *,
                     document_globs=("*.json",),
-                    line_globs=("*.jsonl", "*.ndjson")) -> DataFrame:
+                    line_globs=("*.jsonl", "*.ndjson"),
+                    split_above: int | None = None) -> DataFrame:
     """JSON documents from files and directories, as ``(source_file, doc)``.
 
-    Files matching ``document_globs`` (default ``*.json``) are read whole (one
-    task per file) and split by ``documents_from_text`` (one document, or NDJSON
-    lines). Files matching ``line_globs`` (default ``*.jsonl``, ``*.ndjson``) are
-    read line by line, so large files split across tasks; each line is a
-    one-member list document (R2). Blank files/lines are skipped and JSON
-    ``null`` documents are dropped by ``json_rows``.
+    Files matching ``document_globs`` (default ``*.json``) are read whole, one task per file, and split by
+    ``documents_from_text`` (one document, or NDJSON lines); those above ``split_above`` bytes (default: the
+    session's ``spark.sql.files.maxPartitionBytes``) that hold an array are read by several tasks each
+    (``json_ranges``), each member a one-member list document. Files matching ``line_globs`` (default
+    ``*.jsonl``, ``*.ndjson``) are read line by line, so large files split across tasks; each line is a
+    one-member list document (R2). Blank files/lines are skipped and JSON ``null`` documents are dropped
+    by ``json_rows``.
     """
     if isinstance(paths, str):
         paths = [paths]
+    limit = split_above
+    if limit is None:
+        limit = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     frames = []
     for p in paths:
-        for glob, whole in [(g, True) for g in document_globs] + [(g, False) for g in line_globs]:
-            try:
-                raw = (spark.read.format("text").option("wholetext", whole)
-                       .option("pathGlobFilter", glob).load(p))
-            except AnalysisException as e:
-                if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                    raise NotFound("path", p) from e
-                raise
-            raw = raw.select(F.col("_metadata.file_path").alias("source_file"), "value")
-            if whole:
-                frames.append(documents_from_text(raw, "value", keep=["source_file"]))
-            else:
-                frames.append(raw.where(_non_blank(F.col("value"))).select(
-                    "source_file", F.concat(F.lit("["), F.col("value"), F.lit("]")).alias("doc")))
+        for glob in document_globs:
+            raw = _text(spark, p, glob, True)
+            large = _large_arrays(spark, p, glob, limit)
+            if large:
+                frames.append(array_documents(spark, large))
+                names = [_plain_path(f) for f in large]
+                raw = raw.where((F.col("_size") <= limit) | ~F.regexp_replace("source_file", r"^(\w+):/+", "$1:/").isin(names))
+            frames.append(documents_from_text(raw, "value", keep=["source_file"]))
+        for glob in line_globs:
+            raw = _text(spark, p, glob, False)
+            frames.append(raw.where(_non_blank(F.col("value"))).select(
+                "source_file", F.concat(F.lit("["), F.col("value"), F.lit("]")).alias("doc")))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
+from lakepipe.sources.json_docs import JsonShape
 from lakepipe.streaming import ingest_json_folder, read_ingested
 
 
@@ -32,3 +35,26 @@ def test_default_checkpoint_resumes(spark, tmp_path):
     (src / "b.json").write_text(json.dumps({"id": 2}))
     ingest_json_folder(spark, str(src), out).awaitTermination(120)
     assert sorted(r["id"] for r in read_ingested(spark, out).collect()) == [1, 2]
+
+
+def test_rows_are_written_once_over_batches(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    shape = JsonShape("STRUCT<id: BIGINT, u: STRUCT<n: STRING>, tags: ARRAY<STRING>>", None, True)
+
+    def row(i, **more):
+        return {"id": i, "u": {"n": f"n{i}"}, **more}
+
+    files = [[row(1), row(2), row(1)], [row(2), row(3), row(4, tags=["a"])], [row(4, tags=["a"]), row(4), row(1)]]
+    for k, members in enumerate(files):
+        (src / f"{k}.json").write_text(json.dumps(members))
+    q = ingest_json_folder(spark, str(src), out, shape=shape, within="7 days", max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 3
+    (src / "later.json").write_text(json.dumps([row(3), row(5), row(5)]))
+    ingest_json_folder(spark, str(src), out, shape=shape, within="7 days").awaitTermination(120)
+    written = [tuple(r) for r in spark.read.parquet(out).select("id", "`u.n`", "tags").collect()]
+    want = {(1, "n1", None), (2, "n2", None), (3, "n3", None), (4, "n4", '["a"]'), (4, "n4", None), (5, "n5", None)}
+    assert len(written) == len(want) and set(written) == want
+    with pytest.raises(ValueError, match="shape"):
+        ingest_json_folder(spark, str(src), out, within="7 days")
