@@ -18,7 +18,6 @@ the conformed output frame without running anything; ``run`` executes it:
 
 from __future__ import annotations
 
-import threading
 import time
 import uuid
 import warnings
@@ -54,7 +53,7 @@ class Destination:
     jdbc: tuple | None = None  # (Connection, table name): a database table, same load modes
     partition_by: list[str] | None = None  # of a newly created table
     export_name: str | None = None  # CSV at the dated key of this name under ``export_root``
-    export_root: str | None = None  # default: ``exports`` in the shared folder
+    export_root: str | None = None  # default: that of the run context
     gzip_copy: bool = False  # a second, compressed delivery beside the CSV
     size_limit: int | None = None  # bytes of a delivery
 
@@ -70,15 +69,22 @@ class RunContext:
     manual_trigger: bool = True
     run_log_table: str | None = None
     debug: bool = False
+    debug_root: str | None = None  # folder of the debug file; default: one of its own in the shared folder
+    export_root: str | None = None  # folder of the exports that name none
 
 
-def _rows_read(obs: Observation, df: DataFrame, wait: float = 5.0) -> int:
-    """Rows of an input as observed; counted if no executed plan read it (its observation never ends)."""
-    seen: list[int] = []
-    reader = threading.Thread(target=lambda: seen.append(int(obs.get["rows"])), daemon=True)
-    reader.start()
-    reader.join(wait)
-    return seen[0] if seen else df.count()
+def _rows_read(spark: SparkSession, observed: dict[str, tuple[Observation, DataFrame]]) -> dict[str, int]:
+    """Rows of each input as observed while the output was staged.
+
+    An input that no executed plan read has no observation: it is counted. Observations are set by the listener
+    bus, so they are complete once it has handled the events of the write.
+    """
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    out = {}
+    for key, (obs, df) in observed.items():
+        row = obs._jo.getRowOrEmpty()
+        out[key] = row.get().getLong(0) if row.isDefined() and row.get().length() else df.count()
+    return out
 
 
 class BatchJob:
@@ -116,6 +122,8 @@ class BatchJob:
         if not (ctx.debug or dest.writes):
             raise ValueError(f"{self.job_name}: the destination names no table, "
                              "database table, CSV path or export")
+        if dest.export_name and not (ctx.debug or dest.csv_path or dest.export_root or ctx.export_root):
+            raise ValueError(f"{self.job_name}: no export_root for {dest.export_name}, neither in the destination nor in the run context")
         started = time.time()
         stats = {"extracted_rows": 0, "loaded_rows": 0}
         self._log(spark, ctx, RunStatus.STARTED, started, stats, None)
@@ -137,11 +145,11 @@ class BatchJob:
                 for row in all_null_columns(staged).orderBy("position").collect():
                     warnings.warn(f"{self.job_name}: output column {row['column_name']} has no value")
                 output = cast_to_schema(staged, self.schema)
-                manifests = self._write(spark, output, dest, ctx)
+                manifests = self.write(spark, output, dest, ctx)
                 loaded = staged.count()  # what was staged is what was written; read from file footers
             finally:
                 remove_path(spark, stage)
-            counts = {k: _rows_read(obs, df) for k, (obs, df) in observed.items()}
+            counts = _rows_read(spark, observed)
             for k, n in counts.items():
                 if n == 0:
                     warnings.warn(f"{self.job_name}: input {k} has no rows")
@@ -153,11 +161,14 @@ class BatchJob:
         self._log(spark, ctx, RunStatus.COMPLETED, started, stats, None)
         return stats
 
-    def _write(self, spark: SparkSession, output: DataFrame, dest: Destination,
-               ctx: RunContext) -> list[DataFrame]:
-        """Write the checked output everywhere the destination says; manifests of the exports."""
+    def write(self, spark: SparkSession, output: DataFrame, dest: Destination,
+              ctx: RunContext) -> list[DataFrame]:
+        """Hook (U2): write the checked output everywhere the destination says; manifests of the exports.
+
+        A job with a delivery of its own overrides it; checks, run log and staging stay those of ``run``.
+        """
         if ctx.debug:
-            export_csv(output, debug_path(shared_dir(spark, "debug"), self.job_name), single_file=True)
+            export_csv(output, debug_path(ctx.debug_root or shared_dir(spark, "debug"), self.job_name), single_file=True)
             return []
         key = self.schema.primary_key or None
         if dest.table:
@@ -168,8 +179,7 @@ class BatchJob:
             load_jdbc(output, conn, table, dest.load_mode, key=key)
         path = dest.csv_path
         if not path and dest.export_name:
-            root = dest.export_root or shared_dir(spark, "exports", unique=False)
-            path = dated_key(root, dest.export_name, ctx.as_of)
+            path = dated_key(dest.export_root or ctx.export_root, dest.export_name, ctx.as_of)
         if not path:
             return []
         deliveries = [(path, dest.compression)] + ([(f"{path}.gz", "gzip")] if dest.gzip_copy else [])

@@ -334,6 +334,48 @@ def q_kpi_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return KpiExport(srcs).build(spark, KpiExportParameters(*KPI_WINDOW), RunContext(as_of=AS_OF))
 
 
+_X3_LAST_WEEK = "(SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)"
+_X3_JOB_ORACLE = (_X3_ORACLE.replace(f"DATE '{KPI_WINDOW[0]}'", f"{_X3_LAST_WEEK} - 7")
+                  .replace(f"DATE '{KPI_WINDOW[1]}'", _X3_LAST_WEEK)
+                  .replace("SELECT time, COALESCE(region_type", "SELECT d.delivery, time, COALESCE(region_type")
+                  .replace("FROM u WHERE value", "FROM u, (VALUES ('csv'), ('csv.gz'), ('debug'), ('hook')) AS d(delivery) WHERE value"))
+
+
+@register("kpi_export_job", _X3_JOB_ORACLE)
+def q_kpi_export_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The KPI job run for the last week of the orders (its default window), its two
+    deliveries, its debug file, and what a subclass with a write hook of its own delivers, all read back."""
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from .plans.kpi_export import SCHEMA, KpiExport
+    from .session import shared_dir
+    from .sinks.export import debug_path
+    from .sources.tables import table
+    last = table(spark, sf_dir, "orders").agg(F.max(F.to_date("o_orderdate")).alias("d")).first()["d"]
+    root = shared_dir(spark, "exports")
+    ctx = RunContext(as_of=datetime(last.year, last.month, last.day), export_root=root)
+    srcs = adapters(spark, sf_dir, ["customer_sales", "customer_purchases"])
+
+    class ToParquet(KpiExport):
+        def write(self, spark, output, dest, ctx):
+            output.write.parquet(f"{root}/hook")
+            return []
+
+    KpiExport(srcs).run(spark, ctx=ctx)
+    debug = shared_dir(spark, "debug")
+    KpiExport(srcs).run(spark, ctx=replace(ctx, debug=True, debug_root=debug))
+    ToParquet(srcs).run(spark, ctx=ctx)
+    name = f"{root}/year={last:%Y}/month={last:%m}/kpi_{last:%Y-%m-%d}.csv"
+    schema = ", ".join(f"{c.name} {c.dtype.simpleString()}" for c in SCHEMA.columns)
+    read = spark.read.schema(schema).option("header", True)
+    found = [("csv", read.csv(name)), ("csv.gz", read.csv(f"{name}.gz")),
+             ("debug", read.csv(debug_path(debug, KpiExport(srcs).job_name))), ("hook", spark.read.parquet(f"{root}/hook"))]
+    rows = [df.select(F.lit(d).alias("delivery"), *SCHEMA.names) for d, df in found]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
 _J3_ORACLE = with_adapters(["customer_sales", "customer_purchases"], """,
 s AS (SELECT CAST(order_date AS DATE) AS time, region_type, region, country,
              COUNT(*) AS n_rows, SUM(net_subtotal) AS amount, MAX(entity_id) AS entity_id
@@ -522,6 +564,51 @@ def q_json_list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_rows(adapter(spark, sf_dir, "json_list_docs"), "doc")
 
 
+_JSON_DOCUMENTS_ORACLE = with_adapters(["json_docs", "json_tag_docs"], """,
+p AS (SELECT CAST(json_extract(doc, '$.id') AS BIGINT) AS id, json_extract_string(doc, '$.kind') AS kind,
+             CAST(json_extract(doc, '$.user.id') AS BIGINT) AS "user.id",
+             CAST(json_extract(doc, '$.user.flag.odd') AS BOOLEAN) AS "user.flag.odd",
+             CAST(json_extract(doc, '$.tags') AS VARCHAR[]) AS tags,
+             CAST(json_extract(doc, '$.scores') AS BIGINT[]) AS scores FROM json_docs),
+t AS (SELECT -1 - CAST(json_extract(doc, '$.id') AS BIGINT) AS id, json_extract_string(doc, '$.kind') AS kind,
+             CAST(json_extract(doc, '$.tags') AS VARCHAR[]) AS tags FROM json_tag_docs)
+SELECT id, kind, "user.id", "user.flag.odd", UNNEST(tags) AS tags, UNNEST(scores) AS scores, CAST(NULL AS BIGINT) AS value FROM p
+UNION SELECT id, kind, NULL, NULL, UNNEST(tags), NULL, NULL FROM t
+UNION SELECT NULL, NULL, NULL, NULL, NULL, NULL, c_custkey FROM customer
+UNION SELECT NULL, NULL, NULL, NULL, NULL, NULL, COUNT(*) FROM nation""")
+
+
+@register("json_documents", _JSON_DOCUMENTS_ORACLE)
+def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of mixed files. The event documents as one array in a ``.json`` file that is
+    read by ranges, the tag documents in ``.jsonl`` files, the customers' ids as lines of scalars in ``.ndjson``
+    files, the number of nations as a document of its own, and lines of objects in a ``.json`` file."""
+    from pyspark.sql import functions as F
+
+    from .session import rename_parts, shared_dir
+    from .sources.fixtures import adapter
+    from .sources.json_docs import json_rows, read_json_files
+    from .sources.tables import table
+    base = shared_dir(spark, "json_documents")
+    docs = adapter(spark, sf_dir, "json_docs").select("doc")
+    # one file holds one array, so one task writes it; the ranges of the reader are what is shown here
+    one = docs.coalesce(1).select(F.concat(F.when(F.monotonically_increasing_id() == 0, "[").otherwise(","), "doc").alias("value"))
+    one.unionByName(spark.range(1).select(F.lit("]").alias("value"))).coalesce(1).write.text(f"{base}/a")
+    tags = adapter(spark, sf_dir, "json_tag_docs").select(F.regexp_replace("doc", r'^\{"id":(\d+)', r'{"id":$1').alias("value"),
+                                                          F.get_json_object("doc", "$.id").cast("long").alias("id"))
+    # ids of their own, so that these rows are no duplicates of the others
+    tags = tags.select(F.concat(F.lit('{"id":'), (-1 - F.col("id")).cast("string"),
+                                F.regexp_replace("value", r'^\{"id":\d+', "")).alias("value"))
+    tags.write.text(f"{base}/b")
+    table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("value")).write.text(f"{base}/c")
+    table(spark, sf_dir, "nation").agg(F.count(F.lit(1)).cast("string").alias("value")).write.text(f"{base}/d")
+    tags.limit(3).coalesce(1).write.text(f"{base}/e")  # again, as NDJSON in a .json file: duplicates
+    for folder, extension in (("a", "json"), ("b", "jsonl"), ("c", "ndjson"), ("d", "json"), ("e", "json")):
+        rename_parts(spark, f"{base}/{folder}", extension)
+    found = read_json_files(spark, [f"{base}/{x}" for x in "abcde"], split_above=1 << 16)
+    return json_rows(found, "doc", explode_lists="record")
+
+
 # ------------------------------------------------------------ quality checks
 _Q1_ORACLE = """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n
@@ -777,6 +864,31 @@ def q_export_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("bytes") > F.col("row_count")).alias("has_bytes"))
 
 
+_PARTS_ORACLE = "SELECT *, TRUE AS below_limit FROM orders"
+PART_LIMIT = 200_000
+
+
+@register("export_parts", _PARTS_ORACLE)
+def q_export_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 Q14: orders exported as CSV files below a byte limit (cut by a prefix sum of rendered bytes) and read
+    back, each row with whether its file, by its manifest row, is below the limit and holds as many rows."""
+    from pyspark.sql import functions as F
+
+    from .session import shared_dir
+    from .sinks.parts import export_csv_parts
+    from .sources.tables import table
+    orders = table(spark, sf_dir, "orders")
+    path = shared_dir(spark, "exports")
+    manifest = export_csv_parts(orders, path, PART_LIMIT)
+    back = (spark.read.schema(orders.schema).option("header", True).option("recursiveFileLookup", True)
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+            .withColumn("part", F.regexp_extract(F.col("_metadata.file_path"), r"/part=(\d+)/", 1).cast("long")))
+    read = back.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    fine = manifest.join(read, "part").select(
+        "part", ((F.col("bytes") <= PART_LIMIT) & (F.col("n") == F.col("row_count"))).alias("below_limit"))
+    return back.join(fine, "part").drop("part")
+
+
 _X6_ORACLE = """
 SELECT 'customer' AS table_name, COUNT(*) AS source_rows, COUNT(*) AS target_rows, SUM(c_custkey) AS key_sum,
        SUM(c_custkey % 1000 * length(c_name)) AS name_sum FROM customer

@@ -98,6 +98,19 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"{source} was not moved to {target}")
 
 
+def rename_parts(spark: SparkSession, folder: str, extension: str) -> None:
+    """Give the part files of a folder another extension (``part-….txt`` → ``part-….json``)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(hpath):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            target = jvm.org.apache.hadoop.fs.Path(hpath, f"{name.rsplit('.', 1)[0]}.{extension}")
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"{status.getPath()} was not moved to {target}")
+
+
 def path_has_data(spark: SparkSession, path: str) -> bool:
     """Whether a folder of the shared file system exists and holds any file."""
     jvm = spark.sparkContext._jvm

@@ -39,6 +39,8 @@ class Connection:
 
     @property
     def url(self) -> str:
+        if not self.host:
+            raise ValueError(f"connection {self.name}: no host")
         port = self.port or DEFAULT_PORTS.get(self.system)
         db = f"/{self.database}" if self.database else "/"
         return f"jdbc:{self.system}://{self.host}:{port}{db}"

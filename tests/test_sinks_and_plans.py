@@ -386,3 +386,75 @@ def test_export_job_delivers_two_copies_with_manifests(spark, tmp_path):
 
 class _Tiny2(_Tiny):
     schema = OutputSchema("tiny2", ColumnSpec("id", T.LongType(), primary_key=True), ColumnSpec("v", T.StringType()))
+
+
+def _part_files(path):
+    """[(part, text of its one file)] in order."""
+    found = []
+    for folder in path.iterdir():
+        if folder.name.startswith("part="):
+            [file] = [f for f in folder.iterdir() if f.name.startswith("part-")]
+            found.append((int(folder.name[5:]), file.read_bytes()))
+    return sorted(found)
+
+
+@pytest.mark.parametrize("limit", [60, 100, 1000, 10**6])
+def test_parts_stay_below_the_limit_and_keep_the_order(spark, tmp_path, limit):
+    from lakepipe.sinks import export_csv_parts
+    rows = [(i, ("é" * (i % 7)) + ('"q,' if i % 5 == 0 else ""), i % 2 == 0, None if i % 3 else datetime(2024, 1, 1, 2, 3))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, t string, b boolean, at timestamp_ntz").repartitionByRange(4, "id")
+    out = tmp_path / "out"
+    manifest = {r["part"]: r for r in export_csv_parts(df, str(out), limit).collect()}
+    files = _part_files(out)
+    header = b"id,t,b,at\n"
+    assert [p for p, _ in files] == sorted(manifest) and (len(files) > 1) == (limit < 10**5)
+    body = b""
+    for part, text in files:
+        assert text.startswith(header) and len(text) == manifest[part]["bytes"] <= limit
+        assert text.count(b"\n") - 1 == manifest[part]["row_count"]
+        body += text[len(header):]
+    one = tmp_path / "one.csv"
+    export_csv(df, str(one), single_file=False)
+    whole = b"".join(f.read_bytes()[len(header):] for f in sorted(one.iterdir()) if f.name.startswith("part-"))
+    assert body == whole
+    assert spark.read.option("header", True).option("recursiveFileLookup", True).csv(str(out)).count() == 200
+
+
+def test_parts_of_empty_and_too_long_rows(spark, tmp_path):
+    from lakepipe.sinks import export_csv_parts
+    df = spark.createDataFrame([(1, "x" * 50)], "id int, t string")
+    done = export_csv_parts(df.limit(0), str(tmp_path / "empty"), 30).collect()
+    assert [(r["part"], r["row_count"], r["bytes"]) for r in done] == [(0, 0, 5)]
+    with pytest.raises(CheckFailed, match="more bytes"):
+        export_csv_parts(df, str(tmp_path / "long"), 40)
+    assert not (tmp_path / "long").exists()
+    zipped = export_csv_parts(df, str(tmp_path / "zip"), 100, compression="gzip").collect()
+    assert zipped[0]["file_name"].endswith(".gz") and zipped[0]["row_count"] == 1
+
+
+def test_export_needs_a_root(spark):
+    log = _name("log_noroot")
+    with pytest.raises(ValueError, match="export_root"):
+        _Tiny([(1, "a")]).run(spark, None, RunContext(run_log_table=log), Destination(export_name="tiny"))
+    assert not spark.catalog.tableExists(log)
+
+
+class _OwnDelivery(_Tiny):
+    def write(self, spark, output, dest, ctx):
+        self.delivered = [tuple(r) for r in output.collect()]
+        return []
+
+
+def test_write_hook_replaces_the_delivery(spark):
+    log, t = _name("log"), _name("never")
+    job = _OwnDelivery([(1, "a"), (2, "b")])
+    stats = job.run(spark, None, RunContext(run_log_table=log), Destination(table=t))
+    assert sorted(job.delivered) == [(1, "a"), (2, "b")] and stats["loaded_rows"] == 2
+    assert not spark.catalog.tableExists(t) and spark.table(log).count() == 2
+
+
+def test_connection_without_host():
+    from lakepipe.sources.jdbc import Connection
+    with pytest.raises(ValueError, match="no host"):
+        Connection("sales", "mysql", None, 3306, None, None, None).url
