@@ -57,14 +57,6 @@ def make_layout(counts: np.ndarray, tail_mass: np.ndarray, n_classes: int) -> La
     return Layout(n, first, len(tail_mass), np.log(mass / mass.sum()).astype(np.float32), word.astype(np.float32))
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    x = 0.5 * x
-    np.tanh(x, out=x)
-    x *= 0.5
-    x += 0.5
-    return x
-
-
 def new_parameters(layout: Layout, hidden: int, seed: int = 7) -> dict[str, np.ndarray]:
     """Small random recurrent weights; the output starts as the class and word shares of the corpus."""
     rng = np.random.default_rng(seed)
@@ -126,31 +118,79 @@ def lane_windows(symbols: list[np.ndarray], starts: list[np.ndarray], window: in
         yield ids, first
 
 
-def run_window(p: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray, keep: list | None = None,
+@dataclass
+class Gates:
+    """What a window's backward pass needs: gates, candidates and the recurrent part of the candidates, by step."""
+
+    z: np.ndarray
+    r: np.ndarray
+    c: np.ndarray
+    gn: np.ndarray
+
+
+def run_window(p: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray, keep: bool = False,
                starts: np.ndarray | None = None):
-    """States before each symbol of a window, and the state after it. ``keep`` collects what backward needs.
+    """States before each symbol of a window, the state after it, and with ``keep`` the gates.
 
     Where ``starts`` is set, a document starts: the state before its symbol is empty.
     """
-    n = p["u"].shape[0]
-    states = np.empty((len(ids), *h.shape), np.float32)
-    inputs = p["x"][np.maximum(ids, 0)]
-    for t in range(len(ids)):
-        if starts is not None and starts[t].any():
+    n, steps, lanes = p["u"].shape[0], *ids.shape
+    kind = p["u"].dtype
+    states = np.empty((steps, *h.shape), kind)
+    x = p["x"][np.maximum(ids, 0)]
+    u = p["u"].copy()
+    # sigmoid(a) = (1 + tanh(a / 2)) / 2: the halves are taken of weights and inputs
+    u[:, :2 * n] *= 0.5
+    x[:, :, :2 * n] *= 0.5
+    kept = steps if keep else 1
+    zr, c, g = (np.empty((kept, lanes, k * n), kind) for k in (2, 1, 3))
+    begins = starts.any(1) if starts is not None else np.zeros(steps, bool)
+    for t in range(steps):
+        k = t if keep else 0
+        if begins[t]:
             h = h * ~starts[t][:, None]
         states[t] = h
-        g = h @ p["u"]
-        zr = sigmoid(inputs[t, :, :2 * n] + g[:, :2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = r * g[:, 2 * n:]
-        c += inputs[t, :, 2 * n:]
-        np.tanh(c, out=c)
-        if keep is not None:
-            keep.append((z, r, c, g[:, 2 * n:]))
-        h = h - c
-        h *= z
-        h += c
-    return states, h
+        np.matmul(h, u, out=g[k])
+        both, new = zr[k], c[k]
+        np.add(g[k, :, :2 * n], x[t, :, :2 * n], out=both)
+        np.tanh(both, out=both)
+        both *= 0.5
+        both += 0.5
+        np.multiply(both[:, n:], g[k, :, 2 * n:], out=new)
+        new += x[t, :, 2 * n:]
+        np.tanh(new, out=new)
+        h = h - new
+        h *= both[:, :n]
+        h += new
+    return states, h, Gates(zr[:, :, :n], zr[:, :, n:], c, g[:, :, 2 * n:]) if keep else None
+
+
+def backward(p: dict[str, np.ndarray], states: np.ndarray, gates: Gates, dstates: np.ndarray,
+             starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the inputs and of the recurrent sums of a window, from those of its states."""
+    steps, lanes, n = states.shape
+    z, r, c = gates.z, gates.r, gates.c
+    # all that does not depend on the gradient of the next state, for the whole window at once
+    of_c = (1 - z) * (1 - c * c)
+    factors = np.empty((steps, lanes, 3, n), states.dtype)
+    factors[:, :, 0] = (states - c) * z * (1 - z)
+    factors[:, :, 1] = of_c * gates.gn * r * (1 - r)
+    factors[:, :, 2] = of_c * r
+    dgs = np.empty((steps, lanes, 3 * n), states.dtype)
+    nexts = np.empty_like(states)
+    dh = np.zeros((lanes, n), states.dtype)
+    back, begins = np.ascontiguousarray(p["u"].T), starts.any(1)
+    for t in range(steps - 1, -1, -1):
+        nexts[t] = dh
+        np.multiply(dh[:, None, :], factors[t], out=dgs[t].reshape(lanes, 3, n))
+        dh = dh * z[t]
+        dh += dgs[t] @ back
+        dh += dstates[t]
+        if begins[t]:
+            dh *= ~starts[t][:, None]
+    dx = dgs.copy()
+    np.multiply(nexts, of_c, out=dx[:, :, 2 * n:])
+    return dx, dgs
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -163,10 +203,10 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 def _log_share(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log softmax of one column per row; overwrites ``logits``."""
-    np.clip(logits, -80, 80, out=logits)
+    np.minimum(logits, 80, out=logits)
     mine = logits[np.arange(len(at)), at]
     np.exp(logits, out=logits)
-    return mine - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+    return mine - np.log(logits @ np.ones(logits.shape[1], logits.dtype) + 1e-30)
 
 
 def log_likelihood(p: dict, layout: Layout, hid: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -224,7 +264,7 @@ def score(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 512, win
     h = np.zeros((0, hidden), np.float32)
     for active, ids, start in batches(docs, lanes, window):
         h = np.zeros((len(active), hidden), np.float32) if start else h[:len(active)]
-        states, h = run_window(p, h, ids)
+        states, h, _ = run_window(p, h, ids)
         at = np.flatnonzero(ids >= 0)
         logs = log_likelihood(p, layout, states.reshape(-1, hidden)[at], ids.reshape(-1)[at])
         total += np.bincount(active[at % len(active)], logs, len(docs))
@@ -244,7 +284,7 @@ def new_progress(p: dict[str, np.ndarray]) -> Progress:
     return Progress({k: np.full_like(v, SEEN) for k, v in p.items()}, {k: np.zeros(len(v)) for k, v in p.items()})
 
 
-def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 128, window: int = 16,
+def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 64, window: int = 64,
           rate: float = 0.1, progress: Progress | None = None) -> dict[str, np.ndarray]:
     """Truncated backpropagation over whole documents; returns how often each row of a parameter was used.
 
@@ -256,32 +296,14 @@ def train(p: dict, layout: Layout, docs: list[np.ndarray], lanes: int = 128, win
     seen, used = progress.seen, progress.used
     h = np.zeros((lanes, hidden), np.float32)
     for ids, starts in lane_windows(*lanes_of(docs, lanes), window):
-        keep: list = []
-        states, h = run_window(p, h[:ids.shape[1]], ids, keep, starts)
+        states, h, gates = run_window(p, h[:ids.shape[1]], ids, True, starts)
         at = np.flatnonzero(ids >= 0)
         flat = ids.reshape(-1)[at]
         grad = {k: np.zeros_like(p[k]) for k in ("u", "wc", "bc", "ww", "bw")}
         dhid = output_gradient(p, layout, states.reshape(-1, hidden)[at], flat, grad)
-        dstates = np.zeros((ids.size, hidden), np.float32)
+        dstates = np.zeros((ids.size, hidden), states.dtype)
         dstates[at] = dhid
-        dstates = dstates.reshape(*ids.shape, hidden)
-        dx = np.empty((*ids.shape, 3 * hidden), np.float32)
-        dgs = np.empty_like(dx)
-        dh = np.zeros((ids.shape[1], hidden), np.float32)
-        back, goes_on = np.ascontiguousarray(p["u"].T), ~starts
-        for t in range(len(ids) - 1, -1, -1):
-            z, r, c, gn = keep[t]
-            dg = dgs[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            dg[:, :hidden] = dh * (states[t] - c) * z * (1 - z)
-            dg[:, hidden:2 * hidden] = dc * gn * r * (1 - r)
-            dg[:, 2 * hidden:] = dc * r
-            dx[t, :, :2 * hidden] = dg[:, :2 * hidden]
-            dx[t, :, 2 * hidden:] = dc
-            dh *= z
-            dh += dg @ back
-            dh += dstates[t]
-            dh *= goes_on[t][:, None]
+        dx, dgs = backward(p, states, gates, dstates.reshape(states.shape), starts)
         grad["u"] += states.reshape(-1, hidden).T @ dgs.reshape(-1, 3 * hidden)
         # by the largest window: a symbol in a window of few lanes counts no more than others
         progress.widest = max(progress.widest, len(at))

@@ -9,7 +9,8 @@ unseen tokens share the last place. At the start its output is that of the count
 
 Training is truncated backpropagation in numpy on every training document, once and whole, in ``ROUNDS`` rounds: each takes
 another share of them by hash. In a round every task trains a copy on its documents and the copies
-are averaged (later rounds at smaller rates), each row of a parameter by how often the tasks used it. A task reads and trains
+are averaged (later rounds at smaller rates), each row of a parameter by how often the tasks used it; so scores depend on how the
+input is split into tasks, as a copy takes the steps that one split gives. A task reads and trains
 about ``HELD`` tokens at a time. Windows carry the state on from a document's start to its end, in training and in scoring, so a text's score is the log10 probability
 of the complete text.
 
@@ -42,7 +43,9 @@ LOOKUP = 1 << 18
 LONGEST = 64
 ROUNDS = 2
 HELD = 1 << 22
-RATE = 0.15
+RATE = 0.3
+#: Copies are added up in so many parts first, then the parts.
+PARTS = 64
 COUNTED = 200_000
 END = b""
 
@@ -201,7 +204,9 @@ def fit(training: DataFrame, vocab, layout: _gru.Layout) -> dict[str, np.ndarray
         parts = (training.filter(drawn == k).select("text")
                  .mapInArrow(partial(_train, vocab, shared, RATE / (k + 1), arrow_schema(BLOCKS)), BLOCKS))
         # a block holds BLOCK_ROWS rows of one parameter; what is collected is the size of the model
-        summed = parts.groupBy("name", "block").applyInPandas(_add, BLOCKS)
+        parts = parts.withColumn("part", F.spark_partition_id() % PARTS)
+        summed = (parts.groupBy("name", "block", "part").applyInPandas(_add, BLOCKS)
+                  .groupBy("name", "block").applyInPandas(_add, BLOCKS))
         p = {name: v.copy() for name, v in p.items()}
         for r in summed.collect():
             at = r.block * BLOCK_ROWS
