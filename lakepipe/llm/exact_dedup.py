@@ -24,9 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._base import let, written
+from ._base import let, unpacked, whole_rows, written
 
-BLOCK = 4096
+BLOCK = 32768
 
 
 def blocks(text: Column, size: int = BLOCK) -> Column:
@@ -43,10 +43,9 @@ def hashes(block: Column, seed: int) -> Column:
     return F.struct(F.xxhash64(F.lit(2 * seed), block).alias("a"), F.xxhash64(F.lit(2 * seed + 1), block).alias("b"))
 
 
-def _named(keys: DataFrame, order: list[str], kept: list[Column], what: str) -> DataFrame:
-    """Distinct keys in sorted order with a number each, written: numbers are made once."""
-    numbered = keys.distinct().sortWithinPartitions(*order).select(*kept, F.monotonically_increasing_id().alias("name"))
-    return written(numbered, what)
+def _named(keys: DataFrame, order: list[str], *kept: Column) -> DataFrame:
+    """Distinct keys in sorted order with a number each; a partition that is made again has the same order and numbers."""
+    return keys.distinct().sortWithinPartitions(*order).select(*kept, F.monotonically_increasing_id().alias("name"))
 
 
 def block_names(docs: DataFrame, size: int = BLOCK, hashed=hashes) -> tuple[DataFrame, int]:
@@ -54,7 +53,7 @@ def block_names(docs: DataFrame, size: int = BLOCK, hashed=hashes) -> tuple[Data
     every = docs.select(F.explode(blocks(F.col("text"), size)).alias("block"))
     seed = 0
     while True:
-        names = _named(every, ["block"], [hashed(F.col("block"), seed).alias("h")], "block-names").select("h.a", "h.b", "name")
+        names = written(_named(every, ["block"], hashed(F.col("block"), seed).alias("h")).select("h.a", "h.b", "name"), "block-names")
         if names.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
             return names, seed
         seed += 1
@@ -81,7 +80,7 @@ def identities(docs: DataFrame, size: int = BLOCK, hashed=hashes) -> DataFrame:
         # a last block without a partner is paired with a number that names nothing
         pairs = pairs.select("row", "at", F.floor((F.col("left") + 1) / 2).cast("int").alias("left"), "l",
                              F.coalesce("r", F.lit(-1).cast("long")).alias("r"))
-        named = _named(pairs.select("l", "r"), ["l", "r"], [F.col("l"), F.col("r")], "pair-names")
+        named = _named(pairs.select("l", "r"), ["l", "r"], F.col("l"), F.col("r"))
         units = written(pairs.join(named, ["l", "r"]).select("row", "left", "at", "name"), "block-units")
         done.append(units.filter("left = 1").select("row", F.lit(k).alias("round"), "name"))
     every = done[0]
@@ -92,7 +91,7 @@ def identities(docs: DataFrame, size: int = BLOCK, hashed=hashes) -> DataFrame:
 
 def exact_dedup(docs: DataFrame, size: int = BLOCK, hashed=hashes) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, text_sha256): one row per document."""
-    named = written(identities(docs.select("doc_id", "text"), size, hashed), "identities")
+    named = identities(docs.select("doc_id", "text"), size, hashed)
     groups = named.groupBy("round", "name").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     return named.join(groups, ["round", "name"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
@@ -102,7 +101,6 @@ def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns as they were."""
     stay = (exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest"))
             .distinct())
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
     digest = F.sha2(F.coalesce(F.col("whole.text"), F.lit("")), 256)
-    kept = whole.join(stay, F.col("whole.doc_id").eqNullSafe(F.col("id")) & (digest == F.col("digest")), "left_semi")
-    return kept.select(*[F.col("whole").getField(c).alias(c) for c in docs.columns])
+    kept = whole_rows(docs).join(stay, F.col("whole.doc_id").eqNullSafe(F.col("id")) & (digest == F.col("digest")), "left_semi")
+    return unpacked(kept, docs.columns)

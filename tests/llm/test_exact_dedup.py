@@ -38,7 +38,7 @@ def test_whole_table(spark):
     assert got(E.exact_dedup(docs)) == want and any(not r[3] for r in want)
 
 
-@pytest.mark.parametrize("size", [1, 3, 8, 4096])
+@pytest.mark.parametrize("size", [1, 3, 8, 32768])
 def test_blocks_of_any_size(spark, size):
     rnd = random.Random(size)
     texts = ["".join(rnd.choice("aé漢") for _ in range(rnd.randrange(9))) for _ in range(150)]
@@ -59,7 +59,7 @@ def test_hashes_that_collide_are_replaced(spark):
         one = F.lit(7).cast("long")
         return F.struct(one.alias("a"), one.alias("b")) if seed < 2 else E.hashes(block, seed)
 
-    texts = ["one", "two", "one", "three " * 3000, "three " * 3000, "three " * 2999 + "four"]
+    texts = ["one", "two", "one", "three " * 30000, "three " * 30000, "three " * 29999 + "four"]
     df = frame(spark, rows(*texts))
     assert E.block_names(df, hashed=weak_first)[1] == 2
     assert got(E.exact_dedup(df, hashed=weak_first)) == brute(list(enumerate(texts, 1)))
