@@ -118,6 +118,16 @@ def histogram_quantile(values: DataFrame, by: list[str], value: str, q: float, n
             .agg(((F.min("_step") + 1) * QUANTILE_STEP).alias(name)))
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``whole``: no other column can clash with theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``whole`` as they were, but for those in ``changed``."""
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col("whole").getField(c).alias(c) for c in columns])
+
+
 def word_array(text: Column, lower: bool = False) -> Column:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text; null and blank texts have none."""
     t = F.coalesce(text, F.lit(""))

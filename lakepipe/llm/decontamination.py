@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._base import let, word_array
+from ._base import let, unpacked, whole_rows, word_array
 
 WORDS = 5
 SIMILARITY_PERCENT = 80
@@ -169,7 +169,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item, with their columns as they were."""
-    key = F.struct("doc_id", F.xxhash64("text"))
-    keyed = docs.select(F.to_json(key).alias("doc_id"), "text")
-    leaked = leaks(keyed, benchmark).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(leaked, F.to_json(key) == F.col("_leaked"), "left_anti")
+    def key(prefix: str = "") -> Column:
+        return F.to_json(F.struct(F.col(f"{prefix}doc_id").alias("i"), F.xxhash64(f"{prefix}text").alias("t")))
+
+    leaked = leaks(docs.select(key().alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("leaked")).distinct()
+    return unpacked(whole_rows(docs).join(leaked, key("whole.") == F.col("leaked"), "left_anti"), docs.columns)

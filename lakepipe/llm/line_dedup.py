@@ -1,23 +1,24 @@
-"""Line dedup (operator 4): chunks of one line, removed with their equal neighbours where they repeat anywhere in the corpus.
-
-A text is cut at ``\\n`` into lines and its lines into chunks: a line with a word and the lines without one after it. A line of
-``LONG_LINE`` words or more is a chunk of its own; lines without a word that follow it belong to the next chunk. So an inserted line
-shifts no boundary elsewhere, and every line inside a repeated run is a chunk in each copy of the run.
-
-A chunk that occurs again (in another document or later in the same) is compared with its first occurrence, by
-document id and position, which stays. If their bytes are equal, the chunk is extended over the lines just before
-and after it that are equal as well by their 64-bit hashes (at most those of the next chunk, ``EDGE`` lines each side), as
-the lines without a word at its ends may differ between copies. It is removed if what is equal has two or more lines with a word, or is a long line: a single
-short line that many documents share stays. So a repeated run of three or more lines is found at every line whose first occurrence
-is in such a run; neighbouring lines of it that all occur first elsewhere, between other lines, stay.
-
-Chunk hashes are counted first; bitmaps of the repeated ones and of their first occurrences (of bounded size) are
-broadcast, so that only chunks that may repeat are shuffled: once to be compared, and those that may come first once more. A chunk that a
-third of all documents share is one key of a sort-merge join whose partition Spark can split. Of two different chunks with one hash
+"""Line dedup (operator 4): content-defined chunks of lines that repeat anywhere in the corpus.
+
+A text is cut at ``\\n``; lines without a word are no lines here. Every line is hashed, and a rolling hash runs over the hashes of
+two lines in succession. A chunk begins where the rolling hash starts to be one that occurred before in the corpus and ends
+where it stops: its boundaries depend on the lines alone, so an inserted line shifts none of them elsewhere, and
+every run of two or more lines that repeats is found whole, wherever its lines occur besides. A line of ``LONG_LINE`` words or more
+is looked up alone as well. (Boundaries chosen inside a text, by the least rolling hash of every few lines, miss most passages
+of two to eight lines: a chunk must lie inside the passage whole.)
+
+Of the places of one rolling hash the first by document id and position stays; each other is compared with it byte by
+byte, both lines, and is removed if they are equal, with the lines without a word between them. A single
+short line that many documents share stays, but for its repeated runs. The text of each line stays at one place at least: a line is
+removed only where it is part of a run that occurred before.
+
+Hashes are counted first; bitmaps of the repeated ones and of their first places (of bounded size) are
+broadcast, so that only lines that may repeat are shuffled: once to be compared, and those that may come first once more. A run that a
+third of all documents share is one key of a sort-merge join whose partition Spark can split. Of two different runs with one hash
 the later is never removed.
 
-Null text stays null and text without a repeated chunk stays as it is. Equal rows (id and text) count as
-one document and have the same result. Ids may be null (they come first). Other columns are ignored.
+Null text stays null and text without a repeated run stays as it is. Equal rows (id and text) count as
+one document and have the same result. Ids may be null (they come first). Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,90 +31,66 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._base import arrow_schema, batch_of, bitmap_of, in_bitmap, let, written
+from ._base import arrow_schema, batch_of, bitmap_of, in_bitmap, let, unpacked, whole_rows, written
 
 LONG_LINE = 20
-EDGE = 16
 
 LIGHT = "doc_id long, row_key long, number int, hash long, position long"
-FULL = ("doc_id long, row_key long, number int, hash long, position long, at int, lines int, filled int, "
-        "body string, before array<long>, after array<long>, maybe_first boolean")
+FULL = "doc_id long, row_key long, number int, hash long, position long, at int, lines int, body string, maybe_first boolean"
 BLANK = " \t\n\x0b\x0c\r"
+#: Multiplier of the rolling hash.
+ROLL = 0x9E3779B97F4A7C15
+MASK = (1 << 64) - 1
 
 
 def _long(line: str) -> bool:
     return len(line) >= 2 * LONG_LINE - 1 and len(line.split()) >= LONG_LINE
 
 
-def chunks(lines: list[str]) -> list[tuple[int, int]]:
-    """The chunks of a text as ranges of lines (first, end)."""
-    out, first, after_short = [], 0, False
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def rolled(text: str | None) -> tuple[list[tuple[int, int, int, int]], list[str]]:
+    """(number, hash, first line, end) of every two lines in succession and of every long line, and all lines of a text."""
+    lines = (text or "").split("\n")
+    found, last, n = [], None, 0
     for i, line in enumerate(lines):
         if not line.strip(BLANK):
-            if after_short:
-                out[-1] = (out[-1][0], i + 1)
-                first = i + 1
             continue
-        after_short = not _long(line)
-        if not after_short and first < i:
-            out.append((first, i))
-        out.append((first if after_short else i, i + 1))
-        first = i + 1
-    if first < len(lines):
-        out.append((first, len(lines)))
-    return out
-
-
-def _of_text(text: str | None):
-    """(number, hash, body, first, end) of the chunks of a text that have a word; its lines; all its chunks."""
-    lines = (text or "").split("\n")
-    ranges = chunks(lines)
-    found = []
-    for k, (a, b) in enumerate(ranges):
-        body = "\n".join(lines[a:b])
-        if body.strip(BLANK):
-            h = xxhash.xxh3_64_intdigest(body)
-            found.append((k, h - (1 << 64) if h >> 63 else h, body, a, b))
-    return found, lines, ranges
+        h = xxhash.xxh3_64_intdigest(line)
+        if last is not None:
+            found.append((2 * n, _signed((last[1] * ROLL + h) & MASK), last[0], i + 1))
+        if _long(line):
+            found.append((2 * n + 1, _signed(h), i, i + 1))
+        last, n = (i, h), n + 1
+    return found, lines
+
+
+def _position(doc_id: int | None, row_key: int, number: int) -> int:
+    """A hash of an occurrence's place."""
+    return _signed(xxhash.xxh3_64_intdigest(f"{doc_id} {row_key} {number}"))
 
 
 def _light(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = [(i, key, k, h, _position(i, key, k)) for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True)
-                for k, h, *_ in _of_text(text)[0]]
+                for k, h, *_ in rolled(text)[0]]
         yield batch_of(rows, schema)
 
 
-def _line_hash(line: str) -> int:
-    """A hash of a line as a signed long; 0 for lines without a word."""
-    if not line.strip(BLANK):
-        return 0
-    h = xxhash.xxh64_intdigest(line)
-    return h - (1 << 64) if h >> 63 else h
-
-
-def _position(doc_id: int | None, row_key: int, number: int) -> int:
-    """A hash of an occurrence's place."""
-    h = xxhash.xxh3_64_intdigest(f"{doc_id} {row_key} {number}")
-    return h - (1 << 64) if h >> 63 else h
-
-
 def _full(bitmaps, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks whose hash is in the first bitmap, with their bytes and the hashes of the lines around them."""
+    """Places whose hash is in the first bitmap, with the bytes of their lines (those without a word left out)."""
     known, first = bitmaps.value
     for b in batches:
         rows, held = [], 0
         for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            chunked, lines, ranges = _of_text(text)
-            for k, h, body, a, e in chunked:
+            found, lines = rolled(text)
+            for k, h, a, e in found:
                 if in_bitmap(known, h):
-                    before = lines[max(ranges[k - 1][0], a - EDGE):a][::-1] if k else []
-                    after = lines[e:min(ranges[k + 1][1], e + EDGE)] if k + 1 < len(ranges) else []
-                    # a long line counts as enough lines on its own
-                    filled = 2 if _long(lines[a]) else sum(bool(x.strip(BLANK)) for x in lines[a:e])
+                    body = lines[a] if e == a + 1 else f"{lines[a]}\n{lines[e - 1]}"
                     position = _position(i, key, k)
-                    rows.append((i, key, k, h, position, a, e - a, filled, body, list(map(_line_hash, before)),
-                                 list(map(_line_hash, after)), in_bitmap(first, position)))
+                    rows.append((i, key, k, h, position, a, e - a, body, in_bitmap(first, position)))
                     held += len(body)
             if held > 8 << 20:
                 yield batch_of(rows, schema)
@@ -121,12 +98,6 @@ def _full(bitmaps, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iter
         yield batch_of(rows, schema)
 
 
-def _same_lines(a: Column, b: Column) -> Column:
-    """How many leading values of two arrays are equal."""
-    differs = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), F.lit(False))
-    return F.when(differs > 0, differs - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
-
-
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, row_key, removed): the line numbers to remove from each document that has any."""
     keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
@@ -143,23 +114,16 @@ def removals(docs: DataFrame) -> DataFrame:
     at_first = ((F.col("hash") == F.col("r_hash")) & F.col("doc_id").eqNullSafe(F.col("r_id"))
                 & (F.col("row_key") == F.col("r_key")) & (F.col("number") == F.col("r_number")))
     maybe = found.filter("maybe_first").join(repeated.drop("r_position"), at_first, "left")
-    keepers = (maybe.filter("r_hash IS NOT NULL")
-               .select("r_hash", F.col("body").alias("k_body"), F.col("before").alias("k_before"),
-                       F.col("after").alias("k_after"))
+    keepers = (maybe.filter("r_hash IS NOT NULL").select("r_hash", F.col("body").alias("k_body"))
                .dropDuplicates(["r_hash"]))  # equal rows bring the same first occurrence more than once
     later = found.filter("NOT maybe_first").unionByName(maybe.filter("r_hash IS NULL").select(*found.columns))
     same = later.join(keepers, F.col("hash") == F.col("r_hash")).filter(F.col("body") == F.col("k_body"))
-    up, down = F.slice("before", 1, F.col("n_up")), F.slice("after", 1, F.col("n_down"))
-    filled = F.col("filled") + F.size(F.filter(F.concat(up, down), lambda x: x != 0))
-    span = F.sequence(F.col("at") - F.col("n_up"), F.col("at") + F.col("lines") + F.col("n_down") - 1)
-    return (same.withColumn("n_up", _same_lines(F.col("before"), F.col("k_before")))
-            .withColumn("n_down", _same_lines(F.col("after"), F.col("k_after")))
-            .filter(filled >= 2).select("doc_id", "row_key", span.alias("removed"))
+    return (same.select("doc_id", "row_key", F.sequence(F.col("at"), F.col("at") + F.col("lines") - 1).alias("removed"))
             .groupBy("doc_id", "row_key").agg(F.array_distinct(F.flatten(F.collect_list("removed"))).alias("removed")))
 
 
-def row_key() -> Column:
-    return F.xxhash64("text")
+def row_key(text: str = "text") -> Column:
+    return F.xxhash64(text)
 
 
 def rewrite(text: Column, removed: Column) -> Column:
@@ -169,20 +133,22 @@ def rewrite(text: Column, removed: Column) -> Column:
 
 
 def _joined(docs: DataFrame) -> DataFrame:
-    r = removals(docs).select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), F.col("removed").alias("_removed"))
-    return docs.join(r, F.col("doc_id").eqNullSafe(F.col("_id")) & (row_key() == F.col("_key")), "left")
+    """(whole, removed): the rows of ``docs`` with the lines to remove, null if none."""
+    r = removals(docs).select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "removed")
+    return whole_rows(docs).join(r, F.col("whole.doc_id").eqNullSafe(F.col("id")) & (row_key("whole.text") == F.col("key")), "left")
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """Text, lines and removed lines of every document."""
-    out = _joined(docs.select("doc_id", "text"))
+    out = _joined(docs.select("doc_id", "text")).select("whole.doc_id", "whole.text", "removed")
     lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
     return out.select("doc_id", F.when(F.col("text").isNull(), F.lit(0)).otherwise(lines).alias("n_lines"),
-                      F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
-                      rewrite(F.col("text"), F.col("_removed")).alias("text"))
+                      F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+                      rewrite(F.col("text"), F.col("removed")).alias("text"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with their text rewritten; a document of which no word is left goes."""
-    out = _joined(docs).withColumn("text", rewrite(F.col("text"), F.col("_removed")))
-    return out.filter(F.col("_removed").isNull() | F.col("text").rlike("[^\\x20\\x09-\\x0D]")).select(*docs.columns)
+    out = _joined(docs).withColumn("left", rewrite(F.col("whole.text"), F.col("removed")))
+    kept = out.filter(F.col("removed").isNull() | F.col("left").rlike("[^\\x20\\x09-\\x0D]"))
+    return unpacked(kept, docs.columns, text=F.col("left"))

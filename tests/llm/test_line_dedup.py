@@ -12,35 +12,24 @@ from ..conftest import SF_ORACLE, SF_SMALL
 from .cases import AWKWARD, SCHEMA, frame, rows
 
 
+WORD = re.compile(r"[^\x20\x09-\x0D]")
+
+
 def brute(docs):
-    """{id: (lines, removed, text)} of documents with distinct ids."""
-    first, cut = {}, {i: (t or "").split("\n") for i, t in docs}
-    parts = {i: L.chunks(lines) for i, lines in cut.items()}
-    word = lambda x: bool(re.search(r"[^\x20\x09-\x0D]", x))
+    """{id: (lines, removed, text)} of documents with distinct ids, from runs of two raw lines and long lines."""
+    cut = {i: (t or "").split("\n") for i, t in docs}
+    seen, out = set(), {}
     for i in sorted(cut):
-        for k, (a, b) in enumerate(parts[i]):
-            first.setdefault("\n".join(cut[i][a:b]), (i, k))
-    around = lambda i, k: (
-        cut[i][max(parts[i][k - 1][0], parts[i][k][0] - L.EDGE):parts[i][k][0]][::-1] if k else [],
-        cut[i][parts[i][k][1]:min(parts[i][k + 1][1], parts[i][k][1] + L.EDGE)] if k + 1 < len(parts[i]) else [])
-    out = {}
-    for i, text in docs:
+        at = [k for k, x in enumerate(cut[i]) if WORD.search(x)]
+        runs = [((cut[i][a], cut[i][b]), range(a, b + 1)) for a, b in zip(at, at[1:])]
+        runs += [((cut[i][a],), [a]) for a in at if len(cut[i][a].split()) >= 20]
         gone = set()
-        for k, (a, b) in enumerate(parts[i]):
-            at = first["\n".join(cut[i][a:b])]
-            if at != (i, k) and any(map(word, cut[i][a:b])):
-                sides = []
-                for mine, theirs in zip(around(i, k), around(*at), strict=True):
-                    n = 0
-                    while n < min(len(mine), len(theirs)) and mine[n] == theirs[n]:
-                        n += 1
-                    sides.append(n)
-                run = range(a - sides[0], b + sides[1])
-                if sum(word(cut[i][x]) for x in run) > 1 or any(len(cut[i][x].split()) >= L.LONG_LINE for x in range(a, b)):
-                    gone.update(run)
-        kept = "\n".join(x for n, x in enumerate(cut[i]) if n not in gone)
-        out[i] = (0 if text is None else len(cut[i]), len(gone), None if text is None else kept)
-    return out
+        for run, lines in sorted(runs, key=lambda r: r[1][0]):
+            gone.update(lines if run in seen else ())
+            seen.add(run)
+        out[i] = gone
+    return {i: (0 if t is None else len(cut[i]), len(out[i]),
+                None if t is None else "\n".join(x for n, x in enumerate(cut[i]) if n not in out[i])) for i, t in docs}
 
 
 def result(df):
@@ -79,13 +68,22 @@ def test_passages_at_any_offset(spark):
         assert all(x in got[i][2] for x in own)
 
 
-def test_boundaries_do_not_shift():
+def test_an_inserted_line_shifts_nothing_else():
     rng = random.Random(4)
     lines = [f"line {rng.randrange(10**9)}" for _ in range(300)]
-    cut = lambda x: {tuple(x[a:b]) for a, b in L.chunks(x)}
-    before, after = cut(lines), cut(lines[:100] + ["a new one"] + lines[100:])
-    assert len(before - after) <= 3
-    assert [b for _, b in L.chunks(lines)][:-1] == [a for a, _ in L.chunks(lines)][1:]
+    hashes = lambda x: {h for _, h, *_ in L.rolled("\n".join(x))[0]}
+    before, after = hashes(lines), hashes(lines[:100] + ["", "a new one"] + lines[100:])
+    assert len(before - after) == 1 and len(after - before) == 2
+
+
+def test_a_passage_whose_lines_occur_apart_elsewhere(spark):
+    rng = random.Random(6)
+    line = lambda n=17: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = [line() for _ in range(3)]
+    texts = ["\n".join([line(9), x, line(9)]) for x in passage] + ["\n".join([line(9), *passage, line(9)]) for _ in range(2)]
+    got = result(L.line_dedup(frame(spark, rows(*texts))))
+    assert [got[i][1] for i in range(1, 6)] == [0, 0, 0, 0, 3]
+    assert got == brute(list(enumerate(texts, 1)))
 
 
 def test_short_shared_lines_stay(spark):

@@ -48,5 +48,11 @@ def test_stages_keep_columns_and_odd_rows(spark):
             out = stage(spark, frame(spark, data), SF_ORACLE)
             assert out.schema.names == SCHEMA.names, name
             assert set(out.collect()) <= {tuple(r) for r in data}, name
+    extra = ["_id", "_key", "_removed", "_gone", "_leaked", "id", "removed", "gone", "leaked", "left", "whole", "stats", "row"]
+    clashing = frame(spark, AWKWARD).selectExpr("*", *[f"'{c}' AS `{c}`" for c in extra])
+    for name, stage in P.STAGES:
+        out = stage(spark, clashing, SF_ORACLE)
+        assert name == "bpe" or out.columns == clashing.columns, name
+        assert name == "bpe" or all(r[c] == c for r in out.collect() for c in extra), name
     assert P.ORACLE_SQL is None and [n for n, _ in P.STAGES] == [
         "quality_rules", "line_dedup", "near_dedup", "decontamination", "bpe"]
