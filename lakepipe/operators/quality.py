@@ -103,30 +103,40 @@ def range_violations(df: DataFrame, schema: OutputSchema) -> DataFrame:
             .where(F.col("out_of_range") > 0))
 
 
-def enforce_output(df: DataFrame, schema: OutputSchema) -> None:
-    """Raise the first violation: key first, then not-null (column order), then range."""
-    if schema.primary_key:
-        dup = pk_violations(df, schema.primary_key).limit(1).collect()
-        if dup:
-            raise CheckFailed("key", schema.primary_key, example=tuple(dup[0])[:-1])
-    checks = []
-    names = []
-    for i, n in enumerate(schema.not_null):
-        checks.append(F.count_if(_c(n).isNull()).alias(f"n{i}"))
-        names.append(("null", n))
-    for j, s in enumerate(schema.columns):
+def output_metrics(schema: OutputSchema) -> dict[str, Column]:
+    """All column checks of an output as aggregates of one pass, to be observed while it is written:
+    ``rows``, values per column (``v<i>``), nulls in not-null columns (``n<i>``), values out of range (``r<i>``)."""
+    out = {"rows": F.count(F.lit(1))}
+    for i, s in enumerate(schema.columns):
+        out[f"v{i}"] = F.count(_c(s.name))
+        if s.name in schema.not_null:
+            out[f"n{i}"] = F.count_if(_c(s.name).isNull())
         cond = _range_condition(s) if (s.has_range or isinstance(s.dtype, T.DecimalType)) else None
         if cond is not None:
-            checks.append(F.count_if(F.coalesce(cond, F.lit(False))).alias(f"r{j}"))
-            names.append(("range", s.name))
-    if not checks:
-        return
-    row = df.agg(*checks).first()
-    for (kind, name), value in zip(names, row):
-        if value:
-            if kind == "null":
-                raise CheckFailed("not_null", name, rows=value)
-            raise CheckFailed("range", name, rows=value)
+            out[f"r{i}"] = F.count_if(F.coalesce(cond, F.lit(False)))
+    return out
+
+
+def enforce_keys(df: DataFrame, schema: OutputSchema) -> None:
+    """Fail the check ``key`` with one of the repeated keys."""
+    if schema.primary_key:
+        for dup in pk_violations(df, schema.primary_key).limit(1).collect():
+            raise CheckFailed("key", schema.primary_key, example=tuple(dup)[:-1])
+
+
+def enforce_metrics(metrics: dict[str, int], schema: OutputSchema) -> None:
+    """Fail the first violation in ``output_metrics``: not-null in column order, then range."""
+    place = {s.name: i for i, s in enumerate(schema.columns)}
+    for check, kind, names in (("not_null", "n", schema.not_null), ("range", "r", schema.names)):
+        for name in names:
+            if rows := metrics.get(f"{kind}{place[name]}"):
+                raise CheckFailed(check, name, rows=rows)
+
+
+def enforce_output(df: DataFrame, schema: OutputSchema) -> None:
+    """Raise the first violation: key first, then not-null (column order), then range."""
+    enforce_keys(df, schema)
+    enforce_metrics(df.agg(*[c.alias(k) for k, c in output_metrics(schema).items()]).first().asDict(), schema)
 
 
 # ------------------------------------------------------------ Q3, Q4, Q5
@@ -267,7 +277,7 @@ def validate_table_name(name: str) -> str:
 __all__ = [
     "all_null_columns", "check_parameter", "daily_completeness",
     "enforce_daily_completeness", "enforce_no_zero_sums", "enforce_not_empty",
-    "enforce_output", "enforce_size", "enforce_types", "invalid_options", "missing_columns",
-    "null_counts", "null_violations", "pk_violations", "range_violations", "type_mismatches",
+    "enforce_keys", "enforce_metrics", "enforce_output", "enforce_size", "enforce_types", "invalid_options", "missing_columns",
+    "null_counts", "null_violations", "output_metrics", "pk_violations", "range_violations", "type_mismatches",
     "validate_table_name", "zero_sum_days",
 ]

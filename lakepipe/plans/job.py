@@ -9,9 +9,8 @@ the conformed output frame without running anything; ``run`` executes it:
    checkpoint folder, observing per-input row counts on the way (no extra
    pass; S4, Q8 warns on empty inputs, Q7 on output columns without a value). The staged copy cuts the lineage: a
    lost executor after this point costs a re-read, not a recomputation;
-3. check key, not-null and ranges on the staged copy (Q1, Q2, Q13) — column-
-   pruned scans of only the checked columns — *before* anything is written
-   to the destination, then cast and write from it;
+3. check not-null and ranges from aggregates observed in that same write, and the key by a grouped count on the
+   staged copy (Q1, Q2, Q13), *before* anything is written to the destination, then cast and write from it;
 4. remove the staging folder; append COMPLETED (or FAILED with the error,
    then re-raise).
 """
@@ -28,7 +27,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.quality import all_null_columns, enforce_output
+from ..operators.quality import enforce_keys, enforce_metrics, output_metrics
 from ..operators.tail import cast_to_schema, output_tail, prepare_output
 from ..schema import OutputSchema
 from ..sinks.export import dated_key, debug_path, export_csv, export_manifest, written_bytes
@@ -73,17 +72,22 @@ class RunContext:
     export_root: str | None = None  # folder of the exports that name none
 
 
-def _rows_read(spark: SparkSession, observed: dict[str, tuple[Observation, DataFrame]]) -> dict[str, int]:
-    """Rows of each input as observed while the output was staged.
+def _observed(spark: SparkSession, obs: Observation) -> dict[str, int] | None:
+    """What was observed, or None if no executed plan held the observation.
 
-    An input that no executed plan read has no observation: it is counted. Observations are set by the listener
-    bus, so they are complete once it has handled the events of the write.
+    Observations are set by the listener bus, so they are complete once it has handled the events of the write.
     """
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    row = obs._jo.getRowOrEmpty()
+    return obs.get if row.isDefined() and row.get().length() else None
+
+
+def _rows_read(spark: SparkSession, observed: dict[str, tuple[Observation, DataFrame]]) -> dict[str, int]:
+    """Rows of each input as observed while the output was staged; an input that no plan read is counted."""
     out = {}
     for key, (obs, df) in observed.items():
-        row = obs._jo.getRowOrEmpty()
-        out[key] = row.get().getLong(0) if row.isDefined() and row.get().length() else df.count()
+        seen = _observed(spark, obs)
+        out[key] = int(seen["rows"]) if seen else df.count()
     return out
 
 
@@ -137,16 +141,22 @@ class BatchJob:
             prepared = prepare_output(self.transform(inputs, params, ctx), self.schema)
             stage = shared_dir(spark, "staging", self.job_name.replace(".", "_"), ctx.run_id,
                                unique=False)
-            prepared.write.mode("overwrite").parquet(stage)
+            checks, checked = output_metrics(self.schema), Observation(f"out_{uuid.uuid4().hex[:8]}")
+            prepared.observe(checked, *[c.alias(k) for k, c in checks.items()]).write.mode("overwrite").parquet(stage)
             try:
                 staged = spark.read.parquet(stage)
                 size, _ = written_bytes(spark, stage)
-                enforce_output(staged, self.schema)
-                for row in all_null_columns(staged).orderBy("position").collect():
-                    warnings.warn(f"{self.job_name}: output column {row['column_name']} has no value")
+                metrics = _observed(spark, checked)
+                if metrics is None:  # an output without rows may be written without running its plan
+                    metrics = staged.agg(*[c.alias(k) for k, c in checks.items()]).first().asDict()
+                enforce_keys(staged, self.schema)
+                enforce_metrics(metrics, self.schema)
+                for i, name in enumerate(self.schema.names):
+                    if not metrics[f"v{i}"]:
+                        warnings.warn(f"{self.job_name}: output column {name} has no value")
                 output = cast_to_schema(staged, self.schema)
                 manifests = self.write(spark, output, dest, ctx)
-                loaded = staged.count()  # what was staged is what was written; read from file footers
+                loaded = int(metrics["rows"])  # what was staged is what was written
             finally:
                 remove_path(spark, stage)
             counts = _rows_read(spark, observed)

@@ -23,6 +23,7 @@ from enum import Enum
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import CheckFailed, NotFound
 from ..operators.quality import pk_violations, validate_table_name
@@ -44,10 +45,36 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 PRUNED_PARTITIONS = 1000
 
 
+#: A batch with at most so many values of a key column is looked up by value: Parquet's Bloom filters of the column
+#: then skip row groups (Spark pushes longer lists as a range only).
+LISTED_KEYS = 10
+#: Types whose least and largest value tell which row groups can hold a key.
+_ORDERED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
+
+
+def _within_batch(df: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of ``target`` that can hold a key of ``df``, as filters that reach the scan."""
+    names = [c for c in key if isinstance(target.schema[c].dataType, _ORDERED) and target.schema[c].dataType == df.schema[c].dataType]
+    if not names:
+        return target
+    spans = df.agg(*[f(F.col(f"`{c}`")).alias(f"{k}{i}") for i, c in enumerate(names)
+                     for k, f in (("lo", F.min), ("hi", F.max), ("n", F.approx_count_distinct))]).first()
+    for i, c in enumerate(names):
+        if spans[f"lo{i}"] is not None:
+            target = target.where(F.col(f"`{c}`").between(F.lit(spans[f"lo{i}"]), F.lit(spans[f"hi{i}"])))
+            if spans[f"n{i}"] <= LISTED_KEYS:
+                values = [r[0] for r in df.select(f"`{c}`").where(F.col(f"`{c}`").isNotNull()).distinct().limit(LISTED_KEYS + 1).collect()]
+                target = target.where(F.col(f"`{c}`").isin(values)) if len(values) <= LISTED_KEYS else target
+    return target
+
+
 def key_conflicts(df: DataFrame, target: DataFrame, key: list[str],
                   partitions: list[str] | None = None) -> DataFrame:
     """Rows of ``df`` whose key already exists in ``target`` (null keys never match).
 
+    Of the target only row groups are read whose least and largest keys, and for a short batch whose Bloom filters, allow a
+    key of the batch; what is read is joined exactly.
+
     ``partitions``: partition columns of ``target`` that are in the key.
     """
     kept = target
@@ -55,6 +82,7 @@ def key_conflicts(df: DataFrame, target: DataFrame, key: list[str],
         values = [r[0] for r in df.select(c).distinct().limit(PRUNED_PARTITIONS + 1).collect()]
         if len(values) <= PRUNED_PARTITIONS:
             kept = kept.where(F.col(c).isin(values))
+    kept = _within_batch(df, kept, key)
     return df.select(*key).join(kept.select(*key).distinct(), key, "left_semi")
 
 
@@ -98,7 +126,10 @@ def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = N
         cols = spark.table(name).columns
         df.select(*cols).write.insertInto(name, overwrite=False)
         return
-    writer = df.write.format(file_format).mode("overwrite" if mode is LoadMode.DROP_INSERT else "append")
+    writer = df.write.format(file_format)
+    for c in (key or []) if file_format == "parquet" else []:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer = writer.mode("overwrite" if mode is LoadMode.DROP_INSERT else "append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:

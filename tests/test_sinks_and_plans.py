@@ -458,3 +458,58 @@ def test_connection_without_host():
     from lakepipe.sources.jdbc import Connection
     with pytest.raises(ValueError, match="no host"):
         Connection("sales", "mysql", None, 3306, None, None, None).url
+
+
+def test_key_check_skips_row_groups(spark, tmp_path):
+    t = _name("t_pruned")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        rows = spark.range(0, 400_000, 1, 4).select("id", F.concat(F.lit("k"), F.col("id")).alias("code"), F.lit("x" * 20).alias("v"))
+        load_table(rows, t, LoadMode.INSERT, key=["id", "code"])
+        new = spark.createDataFrame([(150_000, "k150000", "y"), (150_001, "other", "y"), (900_000, "k900000", "y")], "id long, code string, v string")
+        found = key_conflicts(new, spark.table(t), ["id", "code"])
+        assert [tuple(r) for r in found.collect()] == [(150_000, "k150000")]
+        plan = _plan(found)
+        assert "In(id" in plan and "GreaterThanOrEqual(id,150000)" in plan
+        scanned = [m for m in _scan_rows(found) if m is not None]
+        assert max(scanned) < 400_000, scanned
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    with pytest.raises(CheckFailed, match="more than once"):
+        load_table(new, t, LoadMode.INSERT, key=["id", "code"])
+    load_table(new.where("id = 900000"), t, LoadMode.INSERT, key=["id", "code"])
+    assert spark.table(t).count() == 400_001
+
+
+def _scan_rows(df):
+    """Rows that came out of each file scan of the executed plan."""
+    found = []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if hasattr(node, "plan") and node.getClass().getSimpleName().endswith("QueryStageExec"):
+            return walk(node.plan())
+        metrics = node.metrics()
+        if "FileSourceScan" in node.getClass().getSimpleName() and metrics.contains("numOutputRows"):
+            found.append(metrics.apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_job_checks_come_from_the_staging_write(spark):
+    class Bad(_Tiny):
+        schema = OutputSchema("bad", ColumnSpec("id", T.LongType(), primary_key=True, max_value=10),
+                              ColumnSpec("v", T.StringType(), nullable=False))
+
+    for rows, words in (([(1, "a"), (1, "b")], "more than once"), ([(1, None), (2, "b")], "missing"), ([(99, "a")], "outside")):
+        t = _name("never")
+        with pytest.raises(CheckFailed, match=words):
+            Bad(rows).run(spark, None, RunContext(), Destination(table=t))
+        assert not spark.catalog.tableExists(t)
+    stats = Bad([(3, "a"), (4, "b")]).run(spark, None, RunContext(), Destination(table=_name("fine")))
+    assert stats["loaded_rows"] == 2
