@@ -61,7 +61,11 @@ def run_summaries(run_log: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def monitoring_report(run_log: DataFrame, as_of: datetime, sort: bool = True) -> DataFrame:
-    runs = run_summaries(run_log, as_of)
+    return numbered_report(run_summaries(run_log, as_of), as_of, sort)
+
+
+def numbered_report(runs: DataFrame, as_of: datetime, sort: bool = True) -> DataFrame:
+    """The report of run summaries: recent runs, numbered, under the report's column names."""
     recent = runs.where(F.col("starting_date") >= start_of_day_before(as_of, 1))
     numbered = global_row_number(recent, [F.col("starting_date"), F.col("uuid")], "ID")
     out = numbered.select(
