@@ -1,14 +1,14 @@
 """Line dedup (operator 4): content-defined chunks of lines that repeat anywhere in the corpus.
 
 A text is cut at ``\\n``; lines without a word are no lines here. Every line is hashed, and a rolling hash runs over the hashes of
-two lines in succession. A chunk begins where the rolling hash starts to be one that occurred before in the corpus and ends
+two lines in succession. A line of ``LONG_LINE`` words or more is looked up alone, by its own hash. A chunk begins where the rolling hash starts to be one that occurred before in the corpus and ends
 where it stops: its boundaries depend on the lines alone, so an inserted line shifts none of them elsewhere, and
-every run of two or more lines that repeats is found whole, wherever its lines occur besides. A line of ``LONG_LINE`` words or more
-is looked up alone as well. (Boundaries chosen inside a text, by the least rolling hash of every few lines, miss most passages
+every run of two or more lines that repeats is found whole, wherever its lines occur besides. (Boundaries chosen inside a text, by the least rolling hash of every few lines, miss most passages
 of two to eight lines: a chunk must lie inside the passage whole.)
 
-Of the places of one rolling hash the first by document id and position stays; each other is compared with it byte by
-byte, both lines, and is removed if they are equal, with the lines without a word between them. A single
+Of the places of one hash the first by document id and position stays; each other is compared with it byte by
+byte, and is removed if they are equal, two lines with the lines without a word between them. A long line beside a short one
+goes by its own comparison, as it occurs before wherever the two do; its bytes are shuffled once. A single
 short line that many documents share stays, but for its repeated runs. The text of each line stays at one place at least: a line is
 removed only where it is part of a run that occurred before.
 
@@ -35,8 +35,8 @@ from ._base import arrow_schema, batch_of, bitmap_of, in_bitmap, let, unpacked,
 
 LONG_LINE = 20
 
-LIGHT = "doc_id long, row_key long, number int, hash long, position long"
-FULL = "doc_id long, row_key long, number int, hash long, position long, at int, lines int, body string, maybe_first boolean"
+LIGHT = "doc_id long, row_key long, number int, hash long"
+FULL = "doc_id long, row_key long, number int, hash long, at int, lines int, body string, maybe_first boolean"
 BLANK = " \t\n\x0b\x0c\r"
 #: Multiplier of the rolling hash.
 ROLL = 0x9E3779B97F4A7C15
@@ -51,46 +51,43 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def rolled(text: str | None) -> tuple[list[tuple[int, int, int, int]], list[str]]:
-    """(number, hash, first line, end) of every two lines in succession and of every long line, and all lines of a text."""
+def rolled(text: str | None) -> tuple[list[tuple[int, int, int, int, str]], list[str]]:
+    """(number, hash, first line, end, bytes to compare) of every two lines in succession and of every long line; all lines.
+
+    The range and the bytes of two lines are those of the short ones; two long lines are not looked up together.
+    """
     lines = (text or "").split("\n")
     found, last, n = [], None, 0
     for i, line in enumerate(lines):
         if not line.strip(BLANK):
             continue
-        h = xxhash.xxh3_64_intdigest(line)
-        if last is not None:
-            found.append((2 * n, _signed((last[1] * ROLL + h) & MASK), last[0], i + 1))
-        if _long(line):
-            found.append((2 * n + 1, _signed(h), i, i + 1))
-        last, n = (i, h), n + 1
+        h, long = xxhash.xxh3_64_intdigest(line), _long(line)
+        if last is not None and not (last[2] and long):
+            both = _signed((last[1] * ROLL + h) & MASK)
+            body = lines[last[0]] if long else line if last[2] else f"{lines[last[0]]}\n{line}"
+            found.append((2 * n, both, last[0] + last[2], i + (not long), body))
+        if long:
+            found.append((2 * n + 1, _signed(h), i, i + 1, line))
+        last, n = (i, h, long), n + 1
     return found, lines
 
 
-def _position(doc_id: int | None, row_key: int, number: int) -> int:
-    """A hash of an occurrence's place."""
-    return _signed(xxhash.xxh3_64_intdigest(f"{doc_id} {row_key} {number}"))
-
-
 def _light(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = [(i, key, k, h, _position(i, key, k)) for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True)
+        rows = [(i, key, k, h) for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True)
                 for k, h, *_ in rolled(text)[0]]
         yield batch_of(rows, schema)
 
 
 def _full(bitmaps, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places whose hash is in the first bitmap, with the bytes of their lines (those without a word left out)."""
+    """Places whose hash is in the first bitmap, with the bytes of their lines."""
     known, first = bitmaps.value
     for b in batches:
         rows, held = [], 0
         for i, text, key in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            found, lines = rolled(text)
-            for k, h, a, e in found:
+            for k, h, a, e, body in rolled(text)[0]:
                 if in_bitmap(known, h):
-                    body = lines[a] if e == a + 1 else f"{lines[a]}\n{lines[e - 1]}"
-                    position = _position(i, key, k)
-                    rows.append((i, key, k, h, position, a, e - a, body, in_bitmap(first, position)))
+                    rows.append((i, key, k, h, a, e - a, body, in_bitmap(first, key ^ k ^ ((i or 0) << 8))))
                     held += len(body)
             if held > 8 << 20:
                 yield batch_of(rows, schema)
@@ -101,19 +98,22 @@ def _full(bitmaps, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iter
 def removals(docs: DataFrame) -> DataFrame:
     """(doc_id, row_key, removed): the line numbers to remove from each document that has any."""
     keyed = docs.select("doc_id", "text", row_key().alias("row_key"))
-    occurrence = F.struct("doc_id", "row_key", "number", "position")
+    occurrence = F.struct("doc_id", "row_key", "number")
     repeated = (keyed.mapInArrow(partial(_light, arrow_schema(LIGHT)), LIGHT).groupBy("hash")
                 .agg(F.min(occurrence).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
                 .select(F.col("hash").alias("r_hash"), F.col("first.doc_id").alias("r_id"), F.col("first.row_key").alias("r_key"),
-                        F.col("first.number").alias("r_number"), F.col("first.position").alias("r_position")))
-    repeated = written(repeated, "repeated-chunks")
+                        F.col("first.number").alias("r_number")))
+    # a place in a bitmap, as in _full: the text's hash with number and id in its low digits
+    of_id = F.call_function("shiftleft", F.coalesce("r_id", F.lit(0)), F.lit(8))
+    place = F.col("r_key").bitwiseXOR(F.col("r_number").cast("long")).bitwiseXOR(of_id)
+    repeated = written(repeated.withColumn("r_place", place), "repeated-lines")
     bitmaps = docs.sparkSession.sparkContext.broadcast(
-        (bitmap_of(repeated, "r_hash"), bitmap_of(repeated, "r_position")))
-    found = written(keyed.mapInArrow(partial(_full, bitmaps, arrow_schema(FULL)), FULL), "chunks")
+        (bitmap_of(repeated, "r_hash"), bitmap_of(repeated, "r_place")))
+    found = written(keyed.mapInArrow(partial(_full, bitmaps, arrow_schema(FULL)), FULL), "lines")
     # first occurrences are joined by their whole position, so a chunk that is everywhere is no hot key here
     at_first = ((F.col("hash") == F.col("r_hash")) & F.col("doc_id").eqNullSafe(F.col("r_id"))
                 & (F.col("row_key") == F.col("r_key")) & (F.col("number") == F.col("r_number")))
-    maybe = found.filter("maybe_first").join(repeated.drop("r_position"), at_first, "left")
+    maybe = found.filter("maybe_first").join(repeated.drop("r_place"), at_first, "left")
     keepers = (maybe.filter("r_hash IS NOT NULL").select("r_hash", F.col("body").alias("k_body"))
                .dropDuplicates(["r_hash"]))  # equal rows bring the same first occurrence more than once
     later = found.filter("NOT maybe_first").unionByName(maybe.filter("r_hash IS NULL").select(*found.columns))

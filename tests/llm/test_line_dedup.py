@@ -21,8 +21,9 @@ def brute(docs):
     seen, out = set(), {}
     for i in sorted(cut):
         at = [k for k, x in enumerate(cut[i]) if WORD.search(x)]
-        runs = [((cut[i][a], cut[i][b]), range(a, b + 1)) for a, b in zip(at, at[1:])]
-        runs += [((cut[i][a],), [a]) for a in at if len(cut[i][a].split()) >= 20]
+        long = {a for a in at if len(cut[i][a].split()) >= 20}
+        runs = [((cut[i][a], cut[i][b]), range(a, b + 1)) for a, b in zip(at, at[1:]) if not long >= {a, b}]
+        runs += [((cut[i][a],), [a]) for a in long]
         gone = set()
         for run, lines in sorted(runs, key=lambda r: r[1][0]):
             gone.update(lines if run in seen else ())
