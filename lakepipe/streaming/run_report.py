@@ -38,39 +38,42 @@ _HOUR_MS = 3_600_000
 TOLD = -1
 
 
-def _greatest(old, values: pd.Series):
-    new = values.dropna()
-    return old if new.empty else new.max() if old is None or pd.isna(old) else max(old, new.max())
-
-
-def _least(old, values: pd.Series):
-    new = values.dropna()
-    return old if new.empty else new.min() if old is None or pd.isna(old) else min(old, new.min())
+def _known(values: list) -> list:
+    return [v for v in values if v is not None and v == v]  # neither null nor not-a-number
 
 
 def folded(before: tuple | None, records: pd.DataFrame) -> tuple:
     """The summary of a run after some more of its records."""
     s = dict(zip(_FIELDS, before or (None,) * len(_FIELDS), strict=True))
-    ended, begun = records[records["status_id"] != 0], records[records["status_id"] == 0]
-    # the text after the last dot, as the batch report takes it
-    names = {n.rpartition(".")[2] for n in records["pipe_name"].dropna()}
+    r = {c: records[c].tolist() for c in RUN_LOG_SCHEMA.names if c != "created_at"}
+    r["created_at"] = [None if t is pd.NaT else t for t in records["created_at"].tolist()]
+    ended = [k for k, status in enumerate(r["status_id"]) if status != 0]
+    begun = [k for k, status in enumerate(r["status_id"]) if status == 0]
+
+    def joined(field: str, more: list[str]) -> list[str]:
+        return sorted({*(s[field] if s[field] is not None else []), *more})
+
+    def best(pick, field: str, column: str, rows) -> object:
+        return pick(_known([s[field], *(r[column][k] for k in rows)]), default=None)
+
     out = {
-        "names": sorted({*(s["names"] if s["names"] is not None else []), *names}),
-        "errors": sorted({*(s["errors"] if s["errors"] is not None else []), *records["error"].dropna()}),
-        "started": int(s["started"] or 0) + len(begun),
-        "succeeded": int(s["succeeded"] or 0) + int((records["status_id"] == 1).sum()),
-        "failed": int(s["failed"] or 0) + int((records["status_id"] == 2).sum()),
-        "highest": _greatest(s["highest"], records["status_id"]),
-        "manual": bool(s["manual"]) or bool(records["manual_trigger"].fillna(False).astype(bool).any()),
-        "first_record": _least(s["first_record"], records["created_at"]),
-        "starting_date": _least(s["starting_date"], begun["created_at"]),
-        "ending_date": _greatest(s["ending_date"], ended["created_at"]),
-        "duration": _greatest(s["duration"], ended["duration"]),
-        "extracted_rows": _greatest(s["extracted_rows"], ended["extracted_rows"]),
-        "loaded_rows": _greatest(s["loaded_rows"], ended["loaded_rows"]),
-        "memory_used": _greatest(s["memory_used"], ended["dataframes_memory"]),
+        # the text after the last dot, as the batch report takes it
+        "names": joined("names", [n.rpartition(".")[2] for n in _known(r["pipe_name"])]),
+        "errors": joined("errors", _known(r["error"])),
+        "started": (s["started"] or 0) + len(begun),
+        "succeeded": (s["succeeded"] or 0) + r["status_id"].count(1),
+        "failed": (s["failed"] or 0) + r["status_id"].count(2),
+        "highest": best(max, "highest", "status_id", range(len(records))),
+        "manual": bool(s["manual"]) or any(_known(r["manual_trigger"])),
+        "first_record": best(min, "first_record", "created_at", range(len(records))),
+        "starting_date": best(min, "starting_date", "created_at", begun),
+        "ending_date": best(max, "ending_date", "created_at", ended),
+        "duration": best(max, "duration", "duration", ended),
+        "extracted_rows": best(max, "extracted_rows", "extracted_rows", ended),
+        "loaded_rows": best(max, "loaded_rows", "loaded_rows", ended),
+        "memory_used": best(max, "memory_used", "dataframes_memory", ended),
     }
-    return tuple(None if not isinstance(v, list) and pd.isna(v) else v for v in (out[f] for f in _FIELDS))
+    return tuple(out[f] for f in _FIELDS)
 
 
 def _ended(summary: tuple) -> bool:
@@ -138,7 +141,7 @@ def run_summaries_stream(spark: SparkSession, log_dir: str, target_dir: str, *,
 
 def current_summaries(spark: SparkSession, target_dir: str) -> DataFrame:
     """The last summary of each run."""
-    rows = spark.read.parquet(target_dir)
+    rows = spark.read.schema(f"{SUMMARY}, batch bigint").parquet(target_dir)
     last = F.max_by(F.struct(*[F.col(c) for c in (*_FIELDS, "overdue")]), "batch").alias("s")
     return rows.groupBy("uuid").agg(last).select("uuid", "s.*")
 
