@@ -85,32 +85,39 @@ def clean_titlecase(col) -> Column:
     capitalise it (title-case first character, rest lower); re-join with single
     spaces.
 
-    Cut after every space and hyphen, upper and lower case are taken of the whole text once and cut alike: each
-    part is then only compared and put together. No kept letter but "ß" changes its length in upper case,
-    so texts with it are fixed part by part.
+    Words are cut at the spaces once, and only those with a hyphen into parts. No kept letter but "ß" changes its
+    length in upper case, so only texts with it look for special first letters.
     """
     s = py_strip(F.coalesce(to_col(col), F.lit("")))
     s = F.regexp_replace(s, f"[^{TITLECASE_KEEP_CLASS}]+", "")
     s = F.btrim(F.regexp_replace(s, " {2,}", " "), F.lit(" "))
 
-    def parts(text: Column) -> Column:
-        return F.split(text, "(?<=[ -])")
-
-    def put_together(part: Column, upper: Column, lower: Column, first: Column) -> Column:
-        return F.when(part == upper, part).otherwise(F.concat(first, F.substring(lower, 2, 2147483647)))
+    def plain(p: Column) -> Column:
+        return F.upper(F.substring(p, 1, 1))
 
     def special(p: Column) -> Column:
-        title = F.upper(F.substring(p, 1, 1))
+        title = plain(p)
         for k, v in TITLECASE_SPECIAL.items():
             title = F.when(F.startswith(p, F.lit(k)), F.lit(v)).otherwise(title)
-        return put_together(p, F.upper(p), F.lower(p), title)
-
-    cut = F.arrays_zip(parts(s).alias("p"), parts(F.upper(s)).alias("u"), parts(F.lower(s)).alias("l"))
-    plain = F.transform(cut, lambda x: put_together(x["p"], x["u"], x["l"], F.substring(x["u"], 1, 1)))
-    odd = F.lit(False)
-    for k in TITLECASE_SPECIAL:
-        odd = odd | F.contains(s, F.lit(k))
-    return F.array_join(F.when(odd, F.transform(parts(s), special)).otherwise(plain), "")
+        return title
+
+    def fixed(text: Column, first) -> Column:
+        def part(p: Column) -> Column:
+            return F.when(F.upper(p) == p, p).otherwise(F.concat(first(p), F.lower(F.substring(p, 2, 2147483647))))
+
+        def word(w: Column) -> Column:
+            return F.when(F.contains(w, F.lit("-")), F.array_join(F.transform(F.split(w, "-"), part), "-")).otherwise(part(w))
+
+        return F.array_join(F.transform(F.split(text, " "), word), " ")
+
+    def of_text(text: Column) -> Column:
+        odd = F.lit(False)
+        for k in TITLECASE_SPECIAL:
+            odd = odd | F.contains(text, F.lit(k))
+        return F.when(odd, fixed(text, special)).otherwise(fixed(text, plain))
+
+    # inside the lambda the cleaned text is computed once
+    return F.element_at(F.transform(F.array(s), of_text), 1)
 
 
 def last_segment(col, sep: str = ".") -> Column:
