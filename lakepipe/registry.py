@@ -943,6 +943,28 @@ def q_mirror_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(content, "table_name")
 
 
+_MIRROR_CHANGES_ORACLE = """
+SELECT *, CAST(1 AS BIGINT) AS rewritten, CAST((SELECT COUNT(*) FROM customer) AS BIGINT) AS reconciled FROM customer"""
+
+
+@register("mirror_changes", _MIRROR_CHANGES_ORACLE)
+def q_mirror_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mirror of the customers in which one row differs, brought up to date: the ranges that were rewritten (one),
+    the rows that the comparison counted in the source, and the mirror's rows."""
+    from pyspark.sql import functions as F
+
+    from .sinks.mirror import RANGE, mirror_changes
+    from .sources.tables import table
+    customer, name = table(spark, sf_dir, "customer"), _scratch_table(spark, "lp_mirror_changes")
+    one = customer.agg(F.max("c_custkey").alias("k")).first()["k"]
+    old = customer.withColumn("c_name", F.when(F.col("c_custkey") == one, F.lit("before")).otherwise(F.col("c_name")))
+    mirror_changes(spark, old, name, ["c_custkey"], ranges=64)
+    done = mirror_changes(spark, customer, name, ["c_custkey"], ranges=64).agg(
+        F.count_if("changed").alias("rewritten"), F.sum("source_rows").alias("reconciled")).first()
+    return spark.table(name).drop(RANGE).select("*", F.lit(done["rewritten"]).cast("long").alias("rewritten"),
+                                                F.lit(done["reconciled"]).cast("long").alias("reconciled"))
+
+
 _EMB_ORACLE = "SELECT vec_id, embedding, COALESCE(label, -1) AS label FROM embeddings"
 
 

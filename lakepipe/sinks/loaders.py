@@ -95,12 +95,12 @@ def check_batch_key(df: DataFrame, key: list[str]) -> None:
 def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = None,
                key: list[str] | None = None, partition_by: list[str] | None = None,
                bucket_by: tuple[int, list[str]] | None = None,
-               file_format: str = "parquet") -> None:
+               file_format: str = "parquet", options: dict[str, str] | None = None) -> None:
     """Load ``df`` into catalog table ``name`` with the given mode.
 
     ``bucket_by=(n, columns)`` stores a newly created table in ``n`` buckets on
     ``columns``: joins and aggregations on those columns between tables bucketed
-    the same way read co-located buckets instead of shuffling.
+    the same way read co-located buckets instead of shuffling. ``options`` are stored with a new table.
     """
     spark = df.sparkSession
     validate_table_name(name)
@@ -129,7 +129,7 @@ def load_table(df: DataFrame, name: str, mode: LoadMode, *, path: str | None = N
     writer = df.write.format(file_format)
     for c in (key or []) if file_format == "parquet" else []:
         writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
-    writer = writer.mode("overwrite" if mode is LoadMode.DROP_INSERT else "append")
+    writer = writer.options(**(options or {})).mode("overwrite" if mode is LoadMode.DROP_INSERT else "append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
