@@ -943,6 +943,70 @@ def q_mirror_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(content, "table_name")
 
 
+_OUTCOMES_ORACLE = """
+WITH n AS (SELECT COUNT(*) AS orders, COUNT(*) FILTER (o_totalprice < 0) AS negative, COUNT(DISTINCT o_orderstatus) AS states FROM orders)
+SELECT 'rows' AS "check", CASE WHEN negative = 0 THEN 'failed' ELSE 'passed' END AS outcome, negative AS "rows" FROM n
+UNION ALL SELECT 'rows', CASE WHEN orders = 0 THEN 'failed' ELSE 'passed' END, orders FROM n
+UNION ALL SELECT 'table', 'failed', orders FROM n
+UNION ALL SELECT 'table_name', 'failed', orders FROM n
+UNION ALL SELECT 'size', CASE WHEN orders > 0 THEN 'failed' ELSE 'passed' END, orders FROM n
+UNION ALL SELECT 'empty_input', CASE WHEN negative = 0 THEN 'warned' ELSE 'passed' END, negative FROM n"""
+
+
+@register("check_outcomes", _OUTCOMES_ORACLE)
+def q_check_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6 Q8 Q10 Q14 Q15: what the checks that end a load or a job say about the orders: orders without value (none) and all
+    orders as not empty, a load into a table that is not there, a bad table name, an export above its limit, and a job that is
+    given the orders without value as an input."""
+    import warnings
+
+    from pyspark.sql import functions as F
+
+    from .errors import CheckFailed, NotFound
+    from .operators.quality import enforce_not_empty, validate_table_name
+    from .plans.job import BatchJob, Destination
+    from .schema import ColumnSpec, OutputSchema
+    from .session import shared_dir
+    from .sinks.export import export_csv
+    from .sinks.loaders import LoadMode, load_table
+    from .sources.tables import table
+    orders = table(spark, sf_dir, "orders")
+    negative = orders.where("o_totalprice < 0")
+
+    def outcome(run) -> str:
+        try:
+            run()
+        except (CheckFailed, NotFound):
+            return "failed"
+        return "passed"
+
+    class Keys(BatchJob):
+        schema = OutputSchema("keys", ColumnSpec("o_orderkey", primary_key=True))
+
+        def extract(self, spark, params, ctx):
+            return {"data": orders, "negative": negative}
+
+        def transform(self, inputs, params, ctx):
+            return inputs["data"].select("o_orderkey").unionByName(inputs["negative"].select("o_orderkey"))
+
+    with warnings.catch_warnings(record=True) as caught:
+        warnings.simplefilter("always")
+        Keys().run(spark, None, RunContext(as_of=AS_OF), Destination(csv_path=shared_dir(spark, "exports")))
+    warned = any("input negative has no rows" in str(w.message) for w in caught)
+    found = [("rows", outcome(lambda: enforce_not_empty(negative, "orders")), negative),
+             ("rows", outcome(lambda: enforce_not_empty(orders, "orders")), orders),
+             ("table", outcome(lambda: load_table(orders, _scratch_table(spark, "lp_no_such_table"), LoadMode.TRUNCATE_INSERT)), orders),
+             ("table_name", outcome(lambda: validate_table_name("orders; --")), orders),
+             ("size", outcome(lambda: export_csv(orders, shared_dir(spark, "exports"), size_limit=100)), orders),
+             ("empty_input", "warned" if warned else "passed", negative)]
+    rows = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(c).alias("check"), F.lit(o).alias("outcome"), "rows")
+            for c, o, df in found]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
 _MIRROR_CHANGES_ORACLE = """
 SELECT *, CAST(1 AS BIGINT) AS rewritten, CAST((SELECT COUNT(*) FROM customer) AS BIGINT) AS reconciled FROM customer"""
 
