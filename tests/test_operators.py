@@ -211,3 +211,35 @@ def test_distinct_counts_shuffle_partial_sets_only(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     first = plan[plan.rindex("partial_bit_or"):]
     assert "Exchange" not in first and "Expand" not in plan
+
+
+def test_abbreviations_by_table_equal_the_pattern(spark):
+    import random
+
+    from lakepipe.functions import abbreviate
+    from lakepipe.operators.abbreviations import abbreviate_with, dictionary_table
+    rnd = random.Random(17)
+    parts = ["a", "b", "ab", "é", "éa", "St", ".", "-", " ", "'", "a b", "x_1", "漢", "\t"]
+    cases = [([{"Street": "St", "Saint": "St.", "North": "N", "St": "Street"}, {"Road": "Rd", "North": "No", "a.b": "AB"}],
+              ["Saint Street North", "Streetwise Road", "  North Road ", None, "St Street", "Roadster road Road.", "x a.b y", "a.bc", ""])]
+    for _ in range(6):
+        words = {"".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 5))) for _ in range(12)}
+        dicts = [{w: rnd.choice(["", "Z", "a", "b b", "$1\\"]) for w in words if w.strip()}, {"b": "B", "St": "S"}]
+        cases.append((dicts, ["".join(rnd.choice(parts) for _ in range(rnd.randrange(25))) for _ in range(80)]))
+    for dicts, texts in cases:
+        df = spark.createDataFrame([(i, t, "r") for i, t in enumerate(texts)], "id int, t string, row string").repartition(3)
+        want = {r["id"]: r["w"] for r in df.select("id", abbreviate("t", dicts).alias("w")).collect()}
+        out = abbreviate_with(df, "t", dictionary_table(spark, dicts), "short")
+        assert out.columns == ["id", "t", "row", "short"]
+        assert {r["id"]: r["short"] for r in out.collect()} == want
+
+
+def test_abbreviations_of_a_large_dictionary(spark):
+    from lakepipe.operators.abbreviations import abbreviate_with
+    entries = spark.range(100_000).selectExpr("concat('word', id, IF(id % 3 = 0, ' of many', '')) AS entry", "concat('w', id) AS short", "id AS rank")
+    texts = spark.range(2000).selectExpr("id", "concat('a word', id * 40, ' of many and word', id, ' word') AS t")
+    out = {r["id"]: r["s"] for r in abbreviate_with(texts, "t", entries, "s").collect()}
+    want = {i: f"a {'w' + str(i * 40) if (i * 40) % 3 == 0 else 'w' + str(i * 40) + ' of many'} and "
+               f"{'word' + str(i) if i % 3 == 0 else 'w' + str(i)} word" for i in range(2000)}
+    assert out == want
+    assert abbreviate_with(texts, "t", entries.limit(0), "s").where("s = t").count() == 2000
