@@ -24,6 +24,7 @@ import codecs
 import hashlib
 import heapq
 import json
+import re
 import struct
 import unicodedata
 
@@ -34,6 +35,8 @@ from ._base import Cache, map_batches
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 SPAN = 4096
+BLOCK = 1 << 15
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def byte_symbols() -> list[str]:
@@ -209,13 +212,7 @@ class Tokenizer:
         self.words = Cache(self._word, cached)
 
     def _piece(self, piece: str) -> bytes:
-        symbols = [self._symbols[b] for b in piece.encode()]
-        t = self.transducer
-        if len(symbols) <= 48:  # the whole word fits in the buffer
-            symbols[-1] += self.word_end
-            ids = [t.vocab[x] for x in t.merge(symbols)]
-        else:
-            ids = list(t.encode(symbols))
+        ids = list(self.transducer.encode(self._symbols[b] for b in piece.encode()))
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, raw: bytes) -> bytes:
@@ -243,9 +240,13 @@ class Tokenizer:
         Words between ASCII blanks are independent of each other: no pattern, special token or
         composed character spans a blank.
         """
-        words = (text or "").encode().split()
-        for k in range(0, len(words), SPAN):
-            yield b"".join([self.words[w] for w in words[k:k + SPAN]])
+        data, at = (text or "").encode(), 0
+        while at < len(data):
+            # about BLOCK bytes up to the next blank: the words of one block are held, not those of the text
+            blank = _BLANK.search(data, at + BLOCK)
+            end = blank.start() if blank else len(data)
+            yield b"".join([self.words[w] for w in data[at:end].split()])
+            at = end
 
     def decoder(self, as_bytes: bool = False) -> Decoder:
         return Decoder(self.tokens, as_bytes, self.word_end)

@@ -13,7 +13,9 @@ shingles over all shingles, each counted as often as it occurs.
 3. Index. Two fingerprints within ``RADIUS`` bits agree in one of ``RADIUS + 1`` blocks, so joining
    windows and items on (item, block, value) finds every pair within the radius. At the similarity asked for a pair's
    expected distance is 9.7 bits with a deviation of 2.9; 20 bits leave out fewer than one in 5,000 of pairs
-   exactly at the limit and none that are equal.
+   exactly at the limit and none that are equal. Blocks for so wide a radius have three or four bits, and most pairs share one:
+   which items a window may hold is decided by the shingle join of step 1, and the index with its exact distance
+   only spares step 4 the pairs that are far apart. A smaller radius would select better and lose pairs at the limit.
 4. The similarity of what remains is computed in full.
 
 Result: one row per document and leaked item, with the best window. Null and blank texts and items have no
