@@ -541,7 +541,7 @@ def q_run_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = adapter(spark, sf_dir, "run_log")
     records = log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA.fields])
     records.repartition(3, "created_at").write.parquet(f"{base}/log")
-    run_summaries_stream(spark, f"{base}/log", f"{base}/out", max_files_per_trigger=1, keep_days=36500).awaitTermination()
+    run_summaries_stream(spark, f"{base}/log", f"{base}/out", max_files_per_trigger=1).awaitTermination()
     report = report_from(current_summaries(spark, f"{base}/out"), MONITORING_AS_OF)
     return report.select(*[F.col(c).cast("int").alias(c) if c in ("Extracted rows", "Loaded rows", "Memory used") else c
                            for c in report.columns])

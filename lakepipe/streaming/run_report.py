@@ -2,11 +2,12 @@
 
 The batch report aggregates the whole log each time. Here each run is a key of streaming state that holds its summary so far
 (a few numbers and the sets of its job names and errors, never its records), and a micro-batch touches only the runs it has records of.
-A stream that runs all the time sets a timer for each run that has started and not ended: when ``TIMEOUT_MINUTES`` pass
-without a record, its summary is given out once more as overdue, without any record to trigger it. Scheduled runs
-(``available_now``) are over before a timer could go off; there the report itself tells who is overdue. The state of a run is dropped
-``keep_days`` after its last record (by the clock, or in scheduled runs by the records' own time), when nothing reports it any
-more. A checkpoint serves one of the two kinds.
+
+Scheduled runs (``available_now``) use Spark's own streaming aggregation; its state is one row per run of the log. A stream that
+runs all the time can set timers, which aggregations cannot: there a run that has started and not ended gets one, and when
+``timeout_minutes`` pass without a record, its summary is given out once more as overdue, without any record to trigger it; the state
+of a run is dropped ``keep_days`` after its last record. That takes a Python call per run and batch, which suits a live log and not the
+catching up of a long one. A checkpoint serves one of the two kinds.
 
 Every batch appends the summaries that changed to ``<target>/batch=<id>``; a batch that is repeated after a failure rewrites its own
 folder. ``current_summaries`` takes the last summary of each run, and ``report_from`` makes of them the report that
@@ -25,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.dates import minutes_before, ntz_literal, seconds_to_hms
+from ..functions.text import last_segment
 from ..plans.monitoring import TIMEOUT_MINUTES, numbered_report
 from ..plans.runlog import RUN_LOG_SCHEMA
 
@@ -80,13 +82,13 @@ def _ended(summary: tuple) -> bool:
     return bool(summary[_FIELDS.index("succeeded")] or summary[_FIELDS.index("failed")])
 
 
-def _updater(timeout_minutes: float, keep_days: int, live: bool):
+def _updater(timeout_minutes: float, keep_days: int):
     highest = _FIELDS.index("highest")
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         before = state.get if state.exists else None
         if state.hasTimedOut:
-            if live and not _ended(before) and before[highest] != TOLD:
+            if not _ended(before) and before[highest] != TOLD:
                 # the first timer of an open run tells that it is overdue, the next one drops the state
                 yield _row(key, before, True)
                 state.update((*before[:highest], TOLD, *before[highest + 1:]))
@@ -96,20 +98,34 @@ def _updater(timeout_minutes: float, keep_days: int, live: bool):
             return
         if before is not None and before[highest] == TOLD:
             before = (*before[:highest], 0, *before[highest + 1:])
-        last = 0
         for records in batches:
             before = folded(before, records)
-            last = max(last, int(records["created_at"].max().timestamp() * 1000))
         state.update(before)
-        if live:
-            state.setTimeoutDuration(keep_days * 24 * _HOUR_MS if _ended(before) else int(timeout_minutes * 60_000))
-        else:
-            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_days * 24 * _HOUR_MS + 1)
+        state.setTimeoutDuration(keep_days * 24 * _HOUR_MS if _ended(before) else int(timeout_minutes * 60_000))
         yield _row(key, before, False)
 
     return update
 
 
+def _summed(records: DataFrame) -> DataFrame:
+    """SUMMARY of each run as a streaming aggregation."""
+    status = F.col("status_id")
+
+    def ended(f, c: str):
+        return f(F.when(status != 0, F.col(c)))
+
+    columns = {
+        "names": F.array_sort(F.collect_set(last_segment("pipe_name"))), "errors": F.array_sort(F.collect_set("error")),
+        "started": F.count_if(status == 0), "succeeded": F.count_if(status == 1), "failed": F.count_if(status == 2),
+        "highest": F.max(status), "manual": F.coalesce(F.bool_or("manual_trigger"), F.lit(False)),
+        "first_record": F.min("created_at"), "starting_date": F.min(F.when(status == 0, F.col("created_at"))),
+        "ending_date": ended(F.max, "created_at"), "duration": ended(F.max, "duration").cast("long"),
+        "extracted_rows": ended(F.max, "extracted_rows"), "loaded_rows": ended(F.max, "loaded_rows"),
+        "memory_used": ended(F.max, "dataframes_memory").cast("long"),
+    }
+    return records.groupBy("uuid").agg(*[columns[f].alias(f) for f in _FIELDS]).withColumn("overdue", F.lit(False))
+
+
 def _row(key: tuple, summary: tuple, overdue: bool) -> pd.DataFrame:
     out = pd.DataFrame([[key[0], *summary, overdue]], columns=["uuid", *_FIELDS, "overdue"])
     for c in ("first_record", "starting_date", "ending_date"):
@@ -123,13 +139,11 @@ def run_summaries_stream(spark: SparkSession, log_dir: str, target_dir: str, *,
     """Follow the folder of a run-log table (see ``runlog``) and append changed summaries under ``target_dir``."""
     target, live = target_dir.rstrip("/"), trigger != "available_now"
     records = spark.readStream.schema(RUN_LOG_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(log_dir)
-    if not live:
-        # records later than that are dropped, as their run's state is
-        records = records.withColumn("record_time", F.col("created_at").cast("timestamp")).withWatermark(
-            "record_time", f"{keep_days} days")
-    timers = GroupStateTimeout.ProcessingTimeTimeout if live else GroupStateTimeout.EventTimeTimeout
-    changed = records.groupBy("uuid").applyInPandasWithState(
-        _updater(timeout_minutes, keep_days, live), SUMMARY, STATE, "update", timers)
+    if live:
+        changed = records.groupBy("uuid").applyInPandasWithState(
+            _updater(timeout_minutes, keep_days), SUMMARY, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    else:
+        changed = _summed(records)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
