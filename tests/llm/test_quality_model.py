@@ -75,6 +75,39 @@ def test_joined_scores_equal_broadcast_scores(spark):
         assert a[i].perplexity == pytest.approx(b[i].perplexity, rel=1e-3) and a[i].kept == b[i].kept
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_every_trusted_text_is_counted_and_judged(spark, monkeypatch, limit):
+    """Each in the model that does not judge it; copies of a text, trusted or not, are judged by the same model."""
+    texts = [f"{a} of {b} and {c}" for a in ("cats", "dogs", "birds") for b in ("iron", "wood") for c in ("salt", "rain", "sand")]
+    texts += texts[:3] + ["qqqq zzzz", "iron iron iron", None, ""]
+    docs = frame(spark, rows(*texts))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 20)] + [(22, 0, 0), (24, 1, 0)], "doc_id long, quality int, toxic int")
+    seen = {}
+
+    def fit(counts, of=Q.fit):
+        seen["bytes"] = counts.agg({"n": "sum"}).collect()[0][0]
+        return of(counts)
+
+    def limits(judged, of=Q._limits):
+        seen["judged"] = judged.count()
+        return of(judged)
+
+    monkeypatch.setattr(Q, "fit", fit)
+    monkeypatch.setattr(Q, "_limits", limits)
+    if limit == 0:
+        monkeypatch.setattr(Q, "BROADCAST_IDS", 0)
+    got = {r.doc_id: r for r in Q.quality_scores(docs, labels, limit).collect()}
+    assert seen == {"bytes": sum(len(t) for t in texts[:19]), "judged": 19}
+    judge = {r.doc_id: r.m for r in docs.select("doc_id", Q.judge(docs["text"]).alias("m")).collect()}
+    models = [plain_model([texts[i - 1] for i in range(1, 20) if judge[i] != m]) for m in (0, 1)]
+    for i, t in enumerate(texts, 1):
+        if t:
+            b = b"\0" * (Q.ORDER - 1) + t.encode()
+            loss = -sum(math.log(models[judge[i]](b[k - Q.ORDER + 1:k], b[k])) for k in range(Q.ORDER - 1, len(b)))
+            assert got[i].perplexity == pytest.approx(math.exp(loss / len(t)), rel=1e-3)
+    assert [judge[i] for i in (19, 20, 21)] == [judge[i] for i in (1, 2, 3)] and {judge[i] for i in range(1, 20)} == {0, 1}
+
+
 def test_table_holds_any_keys():
     rng = np.random.default_rng(0)
     keys = np.unique(rng.integers(0, 2**40, 5000, dtype=np.uint64))
