@@ -10,7 +10,7 @@ unseen tokens share the last place. At the start its output is that of the count
 Training is truncated backpropagation in numpy on every training document, once and whole, in ``ROUNDS`` rounds: each takes
 another share of them by hash. In a round every task trains a copy on its documents and the copies
 are averaged (later rounds at smaller rates), each row of a parameter by how often the tasks used it; so scores depend on how the
-input is split into tasks, as a copy takes the steps that one split gives. A task reads and trains
+input is split into tasks, as a copy takes the steps that one split gives. A task reads about ``READ`` bytes and trains or scores
 about ``HELD`` tokens at a time. Windows carry the state on from a document's start to its end, in training and in scoring, so a text's score is the log10 probability
 of the complete text.
 
@@ -29,6 +29,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +44,10 @@ LOOKUP = 1 << 18
 LONGEST = 64
 ROUNDS = 2
 HELD = 1 << 22
+READ = 1 << 24
 RATE = 0.3
 #: Copies are added up in so many parts first, then the parts.
 PARTS = 64
-COUNTED = 200_000
 END = b""
 
 COUNTS = "word binary, n long"
@@ -60,15 +61,37 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
+def pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch with about READ bytes of text each time; the text is the last column."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(b.column(b.num_columns - 1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(size // READ)) + 1).tolist(), b.num_rows]
+    for k, end in zip(cuts, cuts[1:], strict=False):
+        if end > k:
+            yield b.slice(k, end - k)
+
+
+def all_tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(``tokens`` of each text, one after the other; where those of each text start, and their number at the end)."""
+    # a blank after every text makes the split end in an empty string, which is END
+    ended = pc.binary_join_element_wise(pc.fill_null(texts, ""), "", " ")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(ended))
+    words, first = split.flatten().cast(pa.binary()), split.offsets.to_numpy().astype(np.int64)
+    first -= first[0]
+    # a blank before the first word leaves an empty string, too
+    blank = pc.equal(words.take(pa.array(first[:-1])), END).to_numpy(zero_copy_only=False)
+    if blank.any():
+        kept = np.ones(len(words), bool)
+        kept[first[:-1][blank]] = False
+        words = words.filter(pa.array(kept))
+        first[1:] -= np.cumsum(blank)
+    return words, first
+
+
 def _count(schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
     for b in batches:
-        for text in b.column(0).to_pylist():
-            held.update(tokens(text))
-            if len(held) >= COUNTED:
-                yield batch_of(list(held.items()), schema)
-                held.clear()
-    yield batch_of(list(held.items()), schema)
+        for piece in pieces(b):
+            counted = pc.value_counts(all_tokens(piece.column(0))[0])
+            yield pa.RecordBatch.from_arrays(counted.flatten(), schema=schema)
 
 
 def token_counts(training: DataFrame) -> DataFrame:
@@ -90,8 +113,11 @@ class Vocabulary:
     tail_size: np.ndarray  # N_t + 0.5 * (V_t + 1)
     layout: _gru.Layout
 
-    def tail_of(self, word: bytes) -> int:
-        return self.suffixes.get(word[-2:], 0)
+    def tails_of(self, words: pa.Array) -> np.ndarray:
+        """The tail class of each word, by its last two bytes; 0 of others."""
+        known = pa.array(list(self.suffixes), pa.binary())
+        at = pc.index_in(pc.binary_slice(words, -2), value_set=known).fill_null(-1).to_numpy()
+        return np.array([*self.suffixes.values(), 0], np.int32)[at]
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -132,33 +158,43 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 class Reader:
     """Texts to symbols, with the parts of both scores that counts alone give."""
 
-    class _Ranks(dict):
-        def __missing__(self, key):
-            return -1
-
     def __init__(self, v: Vocabulary):
         self.v = v
-        self.rank = self._Ranks(zip(v.words, range(len(v.words)), strict=True))
+        self.words = pa.array(v.words, pa.binary())
         n = min(NEURAL, len(v.words))
-        tails = np.array([v.tail_of(w) for w in v.words[n:]], np.int32)
+        tails = v.tails_of(self.words[n:])
         self.symbol = np.concatenate([np.arange(n), n + tails, [0]]).astype(np.int32)
         self.n, self.log_size = n, np.log10(v.tail_size)
         self.log_count = np.append(np.log10(v.counts + 0.5), 0.0)
         self.in_tail = np.append(np.where(np.arange(len(v.words)) < n, 0.0, self.log_count[:-1]), 0.0)
         self.in_tail[n:-1] -= self.log_size[tails]
 
-    def read(self, words: list[bytes]) -> tuple[np.ndarray, float, float, list[bytes]]:
-        """(symbols, base part, score part, tokens whose counts are not at hand)."""
-        ranks = np.fromiter(map(self.rank.__getitem__, words), np.int64, len(words))
+    def _find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+        words, first = all_tokens(texts)
+        ranks = pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+        rare_at = np.flatnonzero(ranks < 0)
+        rare = words.take(pa.array(rare_at))
+        tails = self.v.tails_of(rare)
         symbols = self.symbol[ranks]
-        score, rare = self.in_tail[ranks].sum(), []
-        for i in np.flatnonzero(ranks < 0):
-            w = words[i]
-            t = self.v.tail_of(w)
-            symbols[i] = self.n + t
-            score -= self.log_size[t]
-            rare.append(w)
-        return symbols, float(self.log_count[ranks].sum()), float(score), rare
+        symbols[rare_at] = self.n + tails
+        return symbols, first, ranks, rare_at, tails, rare
+
+    def symbols(self, texts: pa.Array) -> list[np.ndarray]:
+        """Symbols of each text."""
+        symbols, first, *_ = self._find(texts)
+        return [symbols[a:b] for a, b in zip(first, first[1:], strict=False)]
+
+    def read(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, float, float, list[bytes]]]:
+        """(symbols, base part, score part, tokens whose counts are not at hand) of each text."""
+        symbols, first, ranks, rare_at, tails, rare = self._find(texts)
+        if not len(texts):
+            return
+        of_tail = self.in_tail[ranks]
+        of_tail[rare_at] = -self.log_size[tails]
+        base, part = (np.add.reduceat(x, first[:-1]) for x in (self.log_count[ranks], of_tail))
+        at, words = np.searchsorted(rare_at, first), rare.to_pylist()
+        for k in range(len(texts)):
+            yield symbols[first[k]:first[k + 1]], float(base[k]), float(part[k]), words[at[k]:at[k + 1]]
 
 
 def _train(vocab, parameters, rate: float, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,12 +205,13 @@ def _train(vocab, parameters, rate: float, schema: pa.Schema, batches: Iterator[
     progress = _gru.new_progress(after)
     for b in batches:
         reader = reader or Reader(vocab.value)
-        for t in b.column(0).to_pylist():
-            held.append(reader.read(tokens(t))[0])
-            n += len(held[-1])
-            if n >= HELD:
-                _gru.train(after, vocab.value.layout, held, rate=rate, progress=progress)
-                held, n = [], 0
+        for piece in pieces(b):
+            for symbols in reader.symbols(piece.column(0)):
+                held.append(symbols)
+                n += len(symbols)
+                if n >= HELD:
+                    _gru.train(after, vocab.value.layout, held, rate=rate, progress=progress)
+                    held, n = [], 0
     if reader is None:
         return
     used = _gru.train(after, vocab.value.layout, held, rate=rate, progress=progress)
@@ -216,17 +253,27 @@ def fit(training: DataFrame, vocab, layout: _gru.Layout) -> dict[str, np.ndarray
     return p
 
 
+def _scored(vocab, parameters, schema: pa.Schema, held: list[tuple]) -> pa.RecordBatch:
+    ids, symbols, base, part, rare = zip(*held, strict=True)
+    neural = _gru.score(parameters.value, vocab.value.layout, list(symbols))
+    counted = [Counter(r) for r in rare]
+    return batch_of([(i, len(s), len(s) - len(r), x, float(y + z), list(c), list(c.values()))
+                     for i, s, r, x, y, z, c in zip(ids, symbols, rare, base, part, neural, counted, strict=True)], schema)
+
+
 def _score(vocab, parameters, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    reader = None
+    reader, held, n = None, [], 0
     for b in batches:
         reader = reader or Reader(vocab.value)
-        for k in range(0, b.num_rows, 4096):
-            ids, texts = (c.to_pylist() for c in b.slice(k, 4096).columns)
-            symbols, base, score, rare = zip(*(reader.read(tokens(t)) for t in texts), strict=True)
-            neural = _gru.score(parameters.value, vocab.value.layout, list(symbols))
-            counted = [Counter(r) for r in rare]
-            yield batch_of([(i, len(s), len(s) - len(r), x, float(y + z), list(c), list(c.values()))
-                            for i, s, r, x, y, z, c in zip(ids, symbols, rare, base, score, neural, counted, strict=True)], schema)
+        for piece in pieces(b):
+            for i, read in zip(piece.column(0).to_pylist(), reader.read(piece.column(1)), strict=True):
+                held.append((i, *read))
+                n += len(read[0])
+                if n >= HELD:
+                    yield _scored(vocab, parameters, schema, held)
+                    held, n = [], 0
+    if held:
+        yield _scored(vocab, parameters, schema, held)
 
 
 def lm_scores(docs: DataFrame, held_out: Column) -> DataFrame:

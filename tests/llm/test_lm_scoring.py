@@ -161,3 +161,55 @@ def test_training_lanes_hold_whole_documents():
     for lane, s in enumerate(symbols):
         joined = np.concatenate([ids[:, lane] for ids, _ in windows if lane < ids.shape[1]])
         assert list(joined[:len(s)]) == list(s) and (joined[len(s):] == -1).all()
+
+
+def test_tokens_of_a_column_are_those_of_each_text():
+    texts = [None, "", " ", "  a", "a  ", "\x0b\x0c\x1cA\u0085\u00c9 b\r\n\tC\x00 ", "\u0130 \u00df x", " \n ", "Z"]
+    for part in (texts, texts[3:5], texts[:1], texts[2:3], []):
+        words, first = L.all_tokens(pa.array(part, pa.string()))
+        words = words.to_pylist()
+        assert [words[a:b] for a, b in zip(first, first[1:], strict=False)] == [L.tokens(t) for t in part]
+    words, first = L.all_tokens(pa.array(texts, pa.string())[3:6])
+    assert words.to_pylist() == [w for t in texts[3:6] for w in L.tokens(t)] and len(first) == 4
+
+
+def test_scoring_fills_its_lanes(monkeypatch):
+    """Short documents follow one another in a lane, so no window runs for a few of them alone."""
+    layout, p = tiny()
+    docs = [np.full(n, n % 11, np.int32) for n in [5] * 600 + [400] * 8]
+    want = [G.score(p, layout, [d])[0] for d in (docs[0], docs[-1])]
+    run, windows = G.run_window, []
+    monkeypatch.setattr(G, "run_window", lambda *a, **k: windows.append(1) or run(*a, **k))
+    got = G.score(p, layout, docs, lanes=8, window=16)
+    assert np.allclose(got, [want[0]] * 600 + [want[1]] * 8, rtol=1e-4)
+    assert len(windows) <= 50
+
+
+def test_probabilities_of_large_weights_sum_to_one():
+    layout, p = tiny()
+    h = G.run_window(G.gate_weights(p), np.zeros((5, 1), np.float32), np.array([[3], [0]], np.int32), np.zeros((2, 1), bool))[0][1, :, 0]
+    p["wc"][0], p["ww"][0] = 900 * np.sign(h), 900 * np.sign(h)
+    each = [G.score(p, layout, [np.array([3, s], np.int32)])[0] - G.score(p, layout, [np.array([3], np.int32)])[0] for s in range(11)]
+    assert sum(10 ** x for x in each) == pytest.approx(1, abs=1e-4)
+    G.train(p, layout, [np.array([3, 0, 4], np.int32)])
+    assert all(np.isfinite(v).all() for v in p.values())
+
+
+def test_scores_do_not_depend_on_how_much_is_held(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * k) % 11}" for k in range(5 + 37 * i)) for i in range(9)] + [None, "", " w1 never seen"]
+    words = collections.Counter(w for t in texts[:-1] for w in L.tokens(t))
+    order = sorted(words, key=lambda w: (-words[w], w))
+    counts, sizes = np.array([words[w] for w in order], float), np.full(L.TAILS, 7.5)
+    v = L.Vocabulary(order, counts, sum(words.values()), len(words), 1, {b"en": 2}, sizes, G.make_layout(counts, sizes, 3))
+    shared = lambda x: types.SimpleNamespace(value=x)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    scored = lambda: [r for b in L._score(shared(v), shared(G.new_parameters(v.layout, L.HIDDEN)), L.arrow_schema(L.SCORED),
+                                          iter([batch])) for r in b.to_pylist()]
+    want = scored()
+    assert [r["doc_id"] for r in want] == list(range(len(texts)))
+    assert want[-1]["rare"] == [b"never", b"seen"] and want[-1]["n_tokens"] == 4
+    monkeypatch.setattr(L, "HELD", 50)
+    monkeypatch.setattr(L, "READ", 100)
+    for got, r in zip(scored(), want, strict=True):
+        assert got.pop("rare") == r.pop("rare") and got.pop("rare_n") == r.pop("rare_n")
+        assert got == pytest.approx(r)
